@@ -47,9 +47,14 @@ def category_sum_having(df: DataFrame, category: str, items: str, name_field: st
 def two_level_totals(df: DataFrame, outer: str, inner: str, items: str, name_field: str,
                      qty_field: str, min_total: float) -> DataFrame:
     """outer -> map(inner -> total) keeping inner totals >= min_total; outer
-    keys left with an empty map are dropped.  Each map is bounded by the
-    number of distinct inner keys of one outer key."""
-    ex = explode_items(df, [outer, inner], items, name_field, qty_field)
+    keys left with an empty map are dropped.  ``inner`` is a record column
+    (a subcategory) or, when the record has no such column, the item name.
+    Each map is bounded by the distinct inner keys of one outer key."""
+    record_level = inner in df.columns
+    keys = [outer, inner] if record_level else [outer]
+    ex = explode_items(df, keys, items, name_field, qty_field)
+    if not record_level:
+        ex = ex.withColumnRenamed("item", inner)
     sums = (ex.groupBy(outer, inner).agg(F.sum("qty").alias("total"))
               .filter(F.col("total") >= min_total))
     return sums.groupBy(outer).agg(

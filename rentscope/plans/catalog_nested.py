@@ -1,0 +1,157 @@
+"""Registered jobs for nested records and the small Python notes, over
+driver tables.  Nested inputs are built by Spark from lineitems: one record
+per order holding its (part, quantity) list -- a list bounded by the lines of
+one order -- and a map from return flag to such lists."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.numeric import avg_rounded, sql_avg_rounded
+from ..functions.text import capitalize_first, words
+from ..operators import aggregates as agg
+from ..operators import nested
+from ..sources.tables import table
+from .catalog import register
+
+
+def order_records(spark, sf_dir) -> DataFrame:
+    """(o_orderkey, o_custkey, o_orderpriority, o_orderstatus, items)."""
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
+    items = li.groupBy("l_orderkey").agg(
+        F.collect_list(F.struct(F.col("l_partkey").alias("item"), F.col("l_quantity").alias("qty"))).alias("items"))
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    return o.join(items, o.o_orderkey == items.l_orderkey).drop("l_orderkey")
+
+
+def order_flag_maps(spark, sf_dir) -> DataFrame:
+    """(o_orderkey, o_orderpriority, by_flag: map<flag, array<struct>>)."""
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
+    per_flag = li.groupBy("l_orderkey", "l_returnflag").agg(
+        F.collect_list(F.struct(F.col("l_partkey").alias("item"), F.col("l_quantity").alias("qty"))).alias("items"))
+    maps = per_flag.groupBy("l_orderkey").agg(
+        F.map_from_entries(F.collect_list(F.struct("l_returnflag", "items"))).alias("by_flag"))
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority")
+    return o.join(maps, o.o_orderkey == maps.l_orderkey).drop("l_orderkey")
+
+
+_ITEMS = """
+WITH items AS (
+  SELECT o.o_orderkey, o.o_custkey, o.o_orderpriority, o.o_orderstatus, l.l_partkey AS item, l.l_quantity AS qty,
+         l.l_returnflag
+  FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey)
+"""
+
+
+@register("nested_sum", _ITEMS + """
+SELECT o_orderkey, o_orderpriority AS store, sum(qty) AS total FROM items
+GROUP BY o_orderkey, o_orderpriority HAVING sum(qty) > 12""")
+def nested_sum(spark, sf_dir):
+    r = nested.record_sum(order_records(spark, sf_dir), "items", "qty", out="total", min_total=12)
+    return r.select("o_orderkey", F.col("o_orderpriority").alias("store"), "total")
+
+
+@register("nested_avg", _ITEMS + f"""
+SELECT o_orderpriority AS category, {sql_avg_rounded('qty', 4)} AS mean_qty FROM items GROUP BY o_orderpriority""")
+def nested_avg(spark, sf_dir):
+    ex = nested.explode_items(order_records(spark, sf_dir), "o_orderpriority", "items", "item", "qty")
+    return ex.groupBy(F.col("o_orderpriority").alias("category")).agg(avg_rounded(F.col("qty"), 4).alias("mean_qty"))
+
+
+@register("nested_sum_having", _ITEMS + """
+SELECT upper(lower(o_orderpriority)) AS category, sum(qty) AS total FROM items
+GROUP BY upper(lower(o_orderpriority)) HAVING sum(qty) >= 20""")
+def nested_sum_having(spark, sf_dir):
+    rec = order_records(spark, sf_dir).withColumn("category", F.lower("o_orderpriority"))
+    return nested.category_sum_having(rec, "category", "items", "item", "qty", min_total=20)
+
+
+@register("nested_two_level", _ITEMS + """
+SELECT o_custkey, item, sum(qty) AS total FROM items GROUP BY o_custkey, item HAVING sum(qty) >= 10""")
+def nested_two_level(spark, sf_dir):
+    # customer -> part -> quantity, inner totals >= 10, emptied customers
+    # dropped; compared in exploded form (maps do not hash portably).
+    rec = order_records(spark, sf_dir)
+    maps = nested.two_level_totals(rec, "o_custkey", "item", "items", "item", "qty", min_total=10)
+    return nested.explode_two_level(maps, "o_custkey", "item")
+
+
+@register("map_explode_totals", _ITEMS + """
+SELECT o_orderpriority AS store, l_returnflag AS category, sum(qty) AS total FROM items
+GROUP BY o_orderpriority, l_returnflag""")
+def map_explode_totals(spark, sf_dir):
+    m = order_flag_maps(spark, sf_dir).withColumnRenamed("o_orderpriority", "store")
+    return nested.map_of_lists_totals(m, "store", "by_flag", "item", "qty")
+
+
+# ---------------------------------------------------------------------------
+# Text and list notes
+# ---------------------------------------------------------------------------
+
+@register("word_count", r"""
+SELECT word, count(*) AS n FROM (
+  SELECT unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS word FROM documents) t
+WHERE length(word) > 0 GROUP BY word""")
+def word_count(spark, sf_dir):
+    d = table(spark, sf_dir, "documents", "text")
+    return agg.word_frequency(d, words(F.col("text")), out_word="word", out_n="n")
+
+
+@register("invert_index", """
+SELECT p_size, count(*) AS n_brands, array_to_string(list_sort(list(p_brand)), ',') AS brands
+FROM (SELECT DISTINCT p_size, p_brand FROM part WHERE p_brand IS NOT NULL) t GROUP BY p_size""")
+def invert_index(spark, sf_dir):
+    # size -> the sorted distinct brands that make it (bounded by the brand domain)
+    inv = agg.invert_index(table(spark, sf_dir, "part", "p_size", "p_brand"), key="p_brand", value="p_size")
+    return inv.select("p_size", F.size("keys").cast("bigint").alias("n_brands"),
+                      F.array_join("keys", ",").alias("brands"))
+
+
+@register("capitalize_sort", """
+SELECT p_partkey, upper(substr(p_name, 1, 1)) || lower(substr(p_name, 2)) AS name_cap FROM part
+ORDER BY name_cap, p_partkey""")
+def capitalize_sort(spark, sf_dir):
+    p = table(spark, sf_dir, "part", "p_partkey", "p_name")
+    return p.select("p_partkey", capitalize_first(F.col("p_name")).alias("name_cap")).orderBy("name_cap", "p_partkey")
+
+
+@register("bucket_case", """
+SELECT p_partkey, p_size, CASE WHEN p_size < 20 THEN 'low' WHEN p_size >= 30 THEN 'high' ELSE 'medium' END AS bucket
+FROM part""")
+def bucket_case(spark, sf_dir):
+    p = table(spark, sf_dir, "part", "p_partkey", "p_size")
+    s = F.col("p_size")
+    return p.select("p_partkey", "p_size",
+                    F.when(s < 20, "low").when(s >= 30, "high").otherwise("medium").alias("bucket"))
+
+
+@register("even_times3", """
+SELECT p_partkey, p_size * 3 AS tripled FROM part WHERE p_size % 2 = 0""")
+def even_times3(spark, sf_dir):
+    p = table(spark, sf_dir, "part", "p_partkey", "p_size")
+    return p.where(F.col("p_size") % 2 == 0).select("p_partkey", (F.col("p_size") * 3).alias("tripled"))
+
+
+@register("cond_convert", """
+SELECT event_id, round(CASE WHEN value > 60 THEN (value - 32) * 5 / 9 ELSE value END, 4) AS converted
+FROM events""")
+def cond_convert(spark, sf_dir, threshold: float = 60.0):
+    e = table(spark, sf_dir, "events", "event_id", "value")
+    v = F.col("value")
+    return e.select("event_id", F.round(F.when(v > threshold, (v - 32) * 5 / 9).otherwise(v), 4).alias("converted"))
+
+
+@register("filter_project", """
+SELECT c_name FROM customer WHERE c_acctbal > 20 AND c_mktsegment = 'BUILDING'""")
+def filter_project(spark, sf_dir):
+    c = table(spark, sf_dir, "customer", "c_name", "c_acctbal", "c_mktsegment")
+    return c.where("c_acctbal > 20 AND c_mktsegment = 'BUILDING'").select("c_name")
+
+
+@register("origin_distance", """
+SELECT p_partkey, round(sqrt(CAST(p_size AS DOUBLE) * p_size + p_retailprice * p_retailprice), 6) AS distance
+FROM part""")
+def origin_distance(spark, sf_dir):
+    p = table(spark, sf_dir, "part", "p_partkey", "p_size", "p_retailprice")
+    return p.select("p_partkey", F.round(F.hypot(F.col("p_size").cast("double"), "p_retailprice"), 6).alias("distance"))
