@@ -7,14 +7,14 @@ original is kept.  Work is done once per distinct (block, name), not per row:
 1. distinct (block, name) over the data (partial aggregate),
 2. candidates = the block's official names whose *length bound* can still
    reach the threshold (a lossless prune: LCS <= shorter length),
-3. native LCS score, best candidate per (block, name) by max score then the
+3. LCS score (bit-parallel in Arrow batches, or the native expression),
+   once per distinct pair of token-sorted texts; best candidate per (block, name) by max score then the
    smallest name (a deterministic tie-break),
 4. join the small result back on (block, name).
 
-The seed is a reference list (official names per city); it is broadcast only
-after its size has been checked against ``broadcast_rows``.  Beyond that the
-candidate join is a shuffle join on (block, length band) that AQE can
-skew-split.
+The candidate join is left to AQE: it broadcasts the seed side only when the
+measured size is under the broadcast threshold, and otherwise runs a
+sort-merge join whose hot (city) partitions it splits.
 """
 
 from __future__ import annotations
@@ -22,14 +22,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import length_bound, ratio
+from ..functions.fuzzy import length_bound, ratio, ratio_vectorized
 from ..functions.text import token_sort
 
 DEFAULT_THRESHOLD = 65.0  # fixed value: acceptance score of the source rule
 
 
 def best_matches(names: DataFrame, seed: DataFrame, block: str, name: str, official: str,
-                 threshold: float = DEFAULT_THRESHOLD, broadcast_rows: int = 2_000_000) -> DataFrame:
+                 threshold: float = DEFAULT_THRESHOLD, scorer: str = "vectorized") -> DataFrame:
     """(block, name) -> (block, name, match, score) for names with a candidate
     at or above the threshold."""
     q = (names.select(block, name).where(F.col(name).isNotNull() & F.col(block).isNotNull())
@@ -40,23 +40,33 @@ def best_matches(names: DataFrame, seed: DataFrame, block: str, name: str, offic
              .where(F.col("_off").isNotNull()).distinct()
              .withColumn("_ss", token_sort(F.col("_off")))
              .withColumn("_sl", F.length("_ss")))
-    n_seed = s.count()  # one scalar to the driver: decides the join shape
+    # Candidate pairs: same block, and a length bound that can still reach the
+    # threshold.  No broadcast is forced: AQE broadcasts the seed side when its
+    # measured size is small and otherwise keeps a skew-split sort-merge join.
     cond = (F.col(block) == F.col("_sb")) & (length_bound(F.col("_ql"), F.col("_sl")) >= threshold)
-    right = F.broadcast(s) if n_seed <= broadcast_rows else s
-    pairs = q.join(right, cond, "inner")
-    scored = pairs.withColumn("_score", ratio(F.col("_qs"), F.col("_ss"))).where(F.col("_score") >= threshold)
+    pairs = q.join(s, cond, "inner").select(block, name, "_off", "_qs", "_ss")
+    # The score depends only on the two token-sorted texts: score each distinct
+    # text pair once (names repeat across blocks), then join the scores back.
+    # The pairs are few bytes but CPU-heavy to score, so they are hash-split
+    # into an explicit partition count (AQE would coalesce them into one task).
+    score_fn = ratio_vectorized if scorer == "vectorized" else ratio
+    n_parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scores = (pairs.select("_qs", "_ss").repartition(n_parts, "_qs", "_ss").distinct()
+                   .withColumn("_score", score_fn(F.col("_qs"), F.col("_ss")))
+                   .where(F.col("_score") >= threshold))
+    scored = pairs.join(scores, ["_qs", "_ss"])
     best = scored.groupBy(block, name).agg(
         F.min_by(F.struct("_off", "_score"), F.struct(-F.col("_score"), F.col("_off"))).alias("_b"))
     return best.select(block, name, F.col("_b._off").alias("match"), F.col("_b._score").alias("score"))
 
 
 def standardize(df: DataFrame, seed: DataFrame, name: str, block: str, official: str,
-                out: str, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+                out: str, threshold: float = DEFAULT_THRESHOLD, scorer: str = "vectorized") -> DataFrame:
     """df + ``out``: matched official name or the original.
 
     Guards: NULL name, empty block, or a block without seed rows keep the
     original (a NULL block matches nothing)."""
-    best = best_matches(df.where(F.col(block) != ""), seed, block, name, official, threshold)
+    best = best_matches(df.where(F.col(block) != ""), seed, block, name, official, threshold, scorer)
     best = best.select(F.col(block).alias("_mb"), F.col(name).alias("_mn"), "match")
     joined = df.join(best, (F.col(block) == F.col("_mb")) & (F.col(name) == F.col("_mn")), "left")
     return joined.withColumn(out, F.coalesce(F.col("match"), F.col(name))).drop("_mb", "_mn", "match")
