@@ -29,8 +29,13 @@ def above_group_avg(df: DataFrame, by, x: str, out: str = "group_avg") -> DataFr
 
 
 def with_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:
-    """Attach a one-row aggregate to every row (bounded broadcast: 1 row)."""
-    return df.crossJoin(F.broadcast(scalar))
+    """Attach the columns of a one-row aggregate to every row.
+
+    The row is a scalar subquery (computed once, then used as a value), so no
+    join -- cross, nested-loop or otherwise -- is planned."""
+    packed = scalar.select(F.struct(*scalar.columns).alias("_s")).scalar()
+    out = df.withColumn("_s", packed)
+    return out.select(*df.columns, *[F.col(f"_s.{c}").alias(c) for c in scalar.columns])
 
 
 def groups_above_mean_total(df: DataFrame, by, x: str, total: str = "total") -> DataFrame:
@@ -42,8 +47,8 @@ def groups_above_mean_total(df: DataFrame, by, x: str, total: str = "total") ->
 
 def max_below_max(df: DataFrame, x: str, out: str) -> DataFrame:
     """MAX(x) WHERE x < (SELECT MAX(x)): one row, NULL when no such value."""
-    top = df.agg(F.max(x).alias("_top"))
-    return with_scalar(df.select(x), top).filter(F.col(x) < F.col("_top")).agg(F.max(x).alias(out))
+    top = df.select(F.max(x)).scalar()
+    return df.where(F.col(x) < top).agg(F.max(x).alias(out))
 
 
 def offset_date_join(left: DataFrame, right: DataFrame, on, left_date: Column,

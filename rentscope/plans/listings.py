@@ -17,6 +17,7 @@ from ..functions.clean import (NON_RESIDENTIAL_TYPES, blank_to_null, col_type, d
                                is_non_residential, safe_int)
 from ..operators.standardize import standardize
 from ..operators.windows import latest_per_key
+from ..session import materialize
 from ..sources.tables import table
 
 # Bronze column names, in order (19 source fields + 2 audit columns).
@@ -190,4 +191,8 @@ def driver_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def driver_transformation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transformation(driver_silver(spark, sf_dir), driver_seed(spark, sf_dir))
+    """Silver is written once as a table (shared folder) and read twice by the
+    standardization (names to match, rows to label), as the source model
+    materializes silver before transforming it."""
+    silver_table = materialize(driver_silver(spark, sf_dir), "silver")
+    return transformation(silver_table, driver_seed(spark, sf_dir))
