@@ -9,8 +9,9 @@ its order columns -- and each partition is scanned in Arrow batches for
 *local* ranks and sums.  A small summary (one row per group per partition)
 turns local values into global ones: offsets are prefix sums over the
 partitions a group spans, so the summary window is bounded by the partition
-count.  The scanned rows are checkpointed once, so the ranks the summary is
-built from are the ones joined back, even if an executor is lost.
+count.  The scanned rows are written once to the shared checkpoint folder,
+so the ranks the summary is built from are the ones joined back, even if an
+executor is lost.
 
 Requires a total order within each group (add tie-break columns).
 """
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_root
+from ..session import materialize
 
 RANK, CUM, COUNT, TOTAL = "_rank", "_cum", "_n", "_total"
 
@@ -97,8 +98,9 @@ def ordered_scan(df: DataFrame, by: Sequence[str], order: Sequence[Column], valu
     schema = T.StructType(df.schema.fields + [
         T.StructField("_pid", T.IntegerType()), T.StructField("_lrank", T.LongType()),
         T.StructField("_lcum", T.DoubleType()), T.StructField("_lcnt", T.LongType())])
-    checkpoint_root(spark)
-    scanned = ranged.mapInPandas(_scan_partition(by, value), schema).checkpoint(eager=True)
+    # Written once to the shared folder and read back: the summary and the
+    # join below see the same ranks, and a lost executor cannot change them.
+    scanned = materialize(ranged.mapInPandas(_scan_partition(by, value), schema), "ordered-scan")
 
     val = F.col(value).cast("double") if value else F.lit(0.0)
     per_part = scanned.groupBy(*by, "_pid").agg(

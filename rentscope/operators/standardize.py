@@ -34,12 +34,12 @@ def best_matches(names: DataFrame, seed: DataFrame, block: str, name: str, offic
     at or above the threshold."""
     q = (names.select(block, name).where(F.col(name).isNotNull() & F.col(block).isNotNull())
               .distinct()
-              .withColumn("_qs", token_sort(F.col(name)))
-              .withColumn("_ql", F.length("_qs")))
+              .select(block, name, token_sort(F.col(name)).alias("_qs")))
+    q = q.select("*", F.length("_qs").alias("_ql"))
     s = (seed.select(F.col(block).alias("_sb"), F.col(official).alias("_off"))
              .where(F.col("_off").isNotNull()).distinct()
-             .withColumn("_ss", token_sort(F.col("_off")))
-             .withColumn("_sl", F.length("_ss")))
+             .select("_sb", "_off", token_sort(F.col("_off")).alias("_ss")))
+    s = s.select("*", F.length("_ss").alias("_sl"))
     # Candidate pairs: same block, and a length bound that can still reach the
     # threshold.  No broadcast is forced: AQE broadcasts the seed side when its
     # measured size is small and otherwise keeps a skew-split sort-merge join.

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..operators import quality
 from . import market, star
-from ..session import materialize
 from .catalog import register
 from .listings import driver_silver, driver_staging, driver_transformation
 
@@ -245,8 +244,8 @@ LEFT JOIN d_geo g ON f.geo_fk = g.geo_key
 LEFT JOIN d_feature d ON f.feature_fk = d.feature_key
 LEFT JOIN d_date t ON f.fk_date = t.date_key""")
 def star_join(spark, sf_dir):
-    # four consumers of one transformation: write it once, read it four times
-    tr = materialize(driver_transformation(spark, sf_dir), "transformation")
+    # four consumers read the one materialized transformation table
+    tr = driver_transformation(spark, sf_dir)
     return star.star_join(star.fact_listing(tr), star.dim_geo(tr), star.dim_feature(tr), star.dim_date(tr))
 
 

@@ -130,30 +130,26 @@ def silver(stg: DataFrame, as_of=None, non_residential=NON_RESIDENTIAL_TYPES,
     ``extracted_at`` are broken by the link, then the title.
     """
     as_of_col = F.current_date() if as_of is None else F.lit(as_of).cast("date")
-    cleaned = (stg.withColumn("common_neighborhood_name", F.upper("common_neighborhood_name"))
-                  .withColumn("zone_name", blank_to_null(F.col("zone_name"))))
+    cleaned = stg.withColumns({"common_neighborhood_name": F.upper("common_neighborhood_name"),
+                               "zone_name": blank_to_null(F.col("zone_name"))})
     latest = latest_per_key(cleaned, "property_id",
                             order=["extracted_at", "property_link", "property_title"],
                             first_col="_first_seen", last_col="_last_seen")
     ref_days = F.datediff(as_of_col, F.to_date("extracted_at")).cast("bigint")
-    status = F.when(F.col("reference_days") > inactive_after, F.lit("INACTIVE")).otherwise(F.lit("ACTIVE"))
+    inactive = ref_days > inactive_after
     nonres = is_non_residential(F.col("property_type"), non_residential)
-    out = (latest
-           .withColumn("days_on_market",
-                       F.datediff(F.to_date("_last_seen"), F.to_date("_first_seen")).cast("bigint"))
-           .withColumn("reference_days", ref_days)
-           .withColumn("property_status", status)
-           .withColumn("days_off_market",
-                       F.when(F.col("property_status") == "INACTIVE", F.col("reference_days"))
-                        .otherwise(F.lit(0).cast("bigint")))
-           .withColumn("rooms", F.when(nonres, F.lit(0)).otherwise(F.col("rooms_count")))
-           .withColumn("bathrooms", F.when(nonres & F.col("bathrooms_count").isNull(), F.lit(0))
-                                     .otherwise(F.col("bathrooms_count")))
-           .withColumn("garages", F.when(nonres & F.col("garages_count").isNull(), F.lit(0))
-                                   .otherwise(F.col("garages_count")))
-           .withColumn("administration_value",
-                       F.when(nonres & F.col("administration_value").isNull(), F.lit(0.0).cast("float"))
-                        .otherwise(F.col("administration_value"))))
+    out = latest.withColumns({
+        "days_on_market": F.datediff(F.to_date("_last_seen"), F.to_date("_first_seen")).cast("bigint"),
+        "reference_days": ref_days,
+        "property_status": F.when(inactive, F.lit("INACTIVE")).otherwise(F.lit("ACTIVE")),
+        "days_off_market": F.when(inactive, ref_days).otherwise(F.lit(0).cast("bigint")),
+        "rooms": F.when(nonres, F.lit(0)).otherwise(F.col("rooms_count")),
+        "bathrooms": F.when(nonres & F.col("bathrooms_count").isNull(), F.lit(0))
+                      .otherwise(F.col("bathrooms_count")),
+        "garages": F.when(nonres & F.col("garages_count").isNull(), F.lit(0)).otherwise(F.col("garages_count")),
+        "administration_value": F.when(nonres & F.col("administration_value").isNull(), F.lit(0.0).cast("float"))
+                                 .otherwise(F.col("administration_value")),
+    })
     return out.select(*SILVER_COLUMNS)
 
 
@@ -191,8 +187,11 @@ def driver_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def driver_transformation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver is written once as a table (shared folder) and read twice by the
-    standardization (names to match, rows to label), as the source model
-    materializes silver before transforming it."""
+    """The transformation table (silver + neighborhood_final).
+
+    Silver is written once as a table (shared folder) and read twice by the
+    standardization (names to match, rows to label); the result is written as
+    a table too, because the marts read it several times -- the same two
+    materialized models as the source project."""
     silver_table = materialize(driver_silver(spark, sf_dir), "silver")
-    return transformation(silver_table, driver_seed(spark, sf_dir))
+    return materialize(transformation(silver_table, driver_seed(spark, sf_dir)), "transformation")

@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
 
+_SCHEMAS: dict[str, str] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """Parquet scan of one table; naming columns lets the scan prune early."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one table; naming columns lets the scan prune early.
+
+    The schema is read from the footers once per path and then passed
+    explicitly, so repeated reads of the same table start no inference job."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _SCHEMAS.get(path)
+    if known is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema.json()
+    else:
+        df = spark.read.schema(T.StructType.fromJson(json.loads(known))).parquet(path)
     return df.select(*cols) if cols else df
 
 
