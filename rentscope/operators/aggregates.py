@@ -81,7 +81,9 @@ def invert_index(df: DataFrame, key: str, value: str, out: str = "keys") -> Data
 
 
 def word_frequency(df: DataFrame, words_col: Column, out_word: str = "word", out_n: str = "n") -> DataFrame:
-    """Token frequency over whole texts: explode, then a partially aggregated
-    count (each task pre-counts its words before the shuffle)."""
+    """Token frequency over whole texts: explode, drop empty tokens, then a
+    partially aggregated count (each task pre-counts its words before the
+    shuffle, so a very frequent word never reaches one task as raw rows)."""
     return (df.select(F.explode(words_col).alias(out_word))
+              .where(F.length(out_word) > 0)
               .groupBy(out_word).agg(F.count(F.lit(1)).alias(out_n)))

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 
-RANK, CUM, COUNT, TOTAL = "_rank", "_cum", "_n", "_total"
+RANK, CUM, COUNT, TOTAL, DENSE = "_rank", "_cum", "_n", "_total", "_dense"
 
 
 def _same_as_previous(pdf: pd.DataFrame, cols: Sequence[str]) -> pd.Series:
@@ -43,11 +43,12 @@ def _same_as_previous(pdf: pd.DataFrame, cols: Sequence[str]) -> pd.Series:
     return same
 
 
-def _scan_partition(by: Sequence[str], value: str | None):
+def _scan_partition(by: Sequence[str], value: str | None, dense_on: str | None = None):
     def run(batches):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
         last_key, last_rank, last_cum, last_cnt = None, 0, 0.0, 0
+        last_dense, last_dval = 0, None
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -62,6 +63,12 @@ def _scan_partition(by: Sequence[str], value: str | None):
             else:
                 cum = pd.Series(0.0, index=pdf.index)
                 cnt = pd.Series(0, index=pdf.index)
+            if dense_on is not None:
+                # a new dense value starts at each group start or value change
+                newv = start | ~_same_as_previous(pdf, [dense_on])
+                dense = newv.astype("int64").groupby(run_id).cumsum()
+            else:
+                dense = pd.Series(0, index=pdf.index)
             # continue the run that was open at the end of the previous batch
             first_key = tuple(pdf.loc[0, list(by)])
             if last_key is not None and _keys_equal(first_key, last_key):
@@ -69,10 +76,15 @@ def _scan_partition(by: Sequence[str], value: str | None):
                 rank = rank + first_run * last_rank
                 cum = cum + first_run * last_cum
                 cnt = cnt + first_run * last_cnt
+                if dense_on is not None:
+                    carry = last_dense - (1 if _keys_equal((pdf.loc[0, dense_on],), (last_dval,)) else 0)
+                    dense = dense + first_run * carry
             last_key = tuple(pdf.loc[len(pdf) - 1, list(by)])
             last_rank, last_cum, last_cnt = int(rank.iloc[-1]), float(cum.iloc[-1]), int(cnt.iloc[-1])
+            last_dense = int(dense.iloc[-1])
+            last_dval = pdf.loc[len(pdf) - 1, dense_on] if dense_on is not None else None
             out = pdf.assign(_pid=pid, _lrank=rank.astype("int64"), _lcum=cum.astype("float64"),
-                             _lcnt=cnt.astype("int64"))
+                             _lcnt=cnt.astype("int64"), _ldense=dense.astype("int64"))
             yield out
     return run
 
@@ -87,9 +99,10 @@ def _keys_equal(a: tuple, b: tuple) -> bool:
 
 
 def ordered_scan(df: DataFrame, by: Sequence[str], order: Sequence[Column], value: str | None = None,
-                 n_parts: int | None = None) -> DataFrame:
+                 n_parts: int | None = None, dense_on: str | None = None) -> DataFrame:
     """df + _rank (row number in group order), _cum (running SUM(value), NULL
-    while no non-NULL value seen), _n (group rows), _total (SUM(value))."""
+    while no non-NULL value seen), _n (group rows), _total (SUM(value)), and
+    with ``dense_on`` (the leading order column) _dense (its DENSE_RANK)."""
     spark = df.sparkSession
     by = list(by)
     n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -97,32 +110,45 @@ def ordered_scan(df: DataFrame, by: Sequence[str], order: Sequence[Column], valu
                .sortWithinPartitions(*[F.col(c) for c in by], *order)
     schema = T.StructType(df.schema.fields + [
         T.StructField("_pid", T.IntegerType()), T.StructField("_lrank", T.LongType()),
-        T.StructField("_lcum", T.DoubleType()), T.StructField("_lcnt", T.LongType())])
+        T.StructField("_lcum", T.DoubleType()), T.StructField("_lcnt", T.LongType()),
+        T.StructField("_ldense", T.LongType())])
     # Written once to the shared folder and read back: the summary and the
     # join below see the same ranks, and a lost executor cannot change them.
-    scanned = materialize(ranged.mapInPandas(_scan_partition(by, value), schema), "ordered-scan")
+    scanned = materialize(ranged.mapInPandas(_scan_partition(by, value, dense_on), schema), "ordered-scan")
 
     val = F.col(value).cast("double") if value else F.lit(0.0)
+    dv = F.col(dense_on) if dense_on else F.lit(None)
     per_part = scanned.groupBy(*by, "_pid").agg(
-        F.max("_lrank").alias("_pn"), F.sum(val).alias("_ps"), F.count(val).alias("_pc"))
+        F.max("_lrank").alias("_pn"), F.sum(val).alias("_ps"), F.count(val).alias("_pc"),
+        F.max("_ldense").alias("_pd"), F.min_by(dv, "_lrank").alias("_pfirst"),
+        F.max_by(dv, "_lrank").alias("_plast"))
     before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
+    # a partition whose first value continues the previous partition's last
+    # value does not start a new dense value
+    cont = F.coalesce(F.col("_pfirst").eqNullSafe(
+        F.lag("_plast").over(Window.partitionBy(*by).orderBy("_pid"))) &
+        F.lag("_pid").over(Window.partitionBy(*by).orderBy("_pid")).isNotNull(), F.lit(False)).cast("long")
+    per_part = per_part.withColumn("_cont", cont).withColumn("_pd_net", F.col("_pd") - F.col("_cont"))
     offs = per_part.select(
         *[F.col(c).alias(f"_k_{c}") for c in by], F.col("_pid").alias("_k_pid"),
         F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_rank_off"),
         F.coalesce(F.sum("_ps").over(before), F.lit(0.0)).alias("_cum_off"),
         F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_cnt_off"),
+        F.coalesce(F.sum("_pd_net").over(before), F.lit(0)).alias("_dense_off"),
+        F.col("_cont").alias("_k_cont"),
         F.sum("_pn").over(whole).alias(COUNT),
         F.sum("_ps").over(whole).alias(TOTAL))
     cond = F.col("_pid") == F.col("_k_pid")
     for c in by:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
     j = scanned.join(offs, cond, "inner")
+    extra = [(F.col("_ldense") + F.col("_dense_off") - F.col("_k_cont")).alias(DENSE)] if dense_on else []
     return j.select(
         *df.columns,
         (F.col("_lrank") + F.col("_rank_off")).alias(RANK),
         F.when(F.col("_lcnt") + F.col("_cnt_off") > 0, F.col("_lcum") + F.col("_cum_off")).alias(CUM),
-        F.col(COUNT), F.col(TOTAL))
+        F.col(COUNT), F.col(TOTAL), *extra)
 
 
 def running_total(df: DataFrame, by, order: Sequence[Column], x: str, out: str = "running",
@@ -160,11 +186,11 @@ def dense_rank(df: DataFrame, by, x: str, descending: bool = True, out: str = "d
 def pareto(df: DataFrame, by, x: str, tiebreak: Sequence[Column], cut: float = 80.0) -> DataFrame:
     """Skew-safe form of ``windows.pareto`` (same columns)."""
     by = [by] if isinstance(by, str) else list(by)
-    s = ordered_scan(df, by, [F.col(x).desc()] + list(tiebreak), x)
+    s = ordered_scan(df, by, [F.col(x).desc()] + list(tiebreak), x, dense_on=x)
     s = (s.withColumnRenamed(CUM, "cum_value").withColumnRenamed(TOTAL, "group_total")
+          .withColumnRenamed(DENSE, "ranking")
           .withColumn("cum_pct", F.lit(100.0) * F.try_divide(F.col("cum_value"), F.col("group_total")))
           .drop(RANK, COUNT))
-    s = dense_rank(s, by, x, descending=True, out="ranking")
     return s.filter(F.col("cum_pct") <= cut)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import avg_rounded, sql_avg_rounded
-from ..functions.text import capitalize_first, words
+from ..functions.text import WORD_SPLIT, capitalize_first
 from ..operators import aggregates as agg
 from ..operators import nested
 from ..sources.tables import table
@@ -95,7 +95,8 @@ SELECT word, count(*) AS n FROM (
 WHERE length(word) > 0 GROUP BY word""")
 def word_count(spark, sf_dir):
     d = table(spark, sf_dir, "documents", "text")
-    return agg.word_frequency(d, words(F.col("text")), out_word="word", out_n="n")
+    # split on non-letters/digits; empty tokens are filtered after the explode
+    return agg.word_frequency(d, F.split(F.lower("text"), WORD_SPLIT), out_word="word", out_n="n")
 
 
 @register("invert_index", """

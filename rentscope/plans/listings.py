@@ -9,6 +9,7 @@ survives the joins, so the work grows with ``events``.
 from __future__ import annotations
 
 import datetime as _dt
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from ..functions.clean import (NON_RESIDENTIAL_TYPES, blank_to_null, col_type, d
                                is_non_residential, safe_int)
 from ..operators.standardize import standardize
 from ..operators.windows import latest_per_key
-from ..session import materialize
+from ..session import materialize, scratch_path
 from ..sources.tables import table
 
 # Bronze column names, in order (19 source fields + 2 audit columns).
@@ -186,12 +187,35 @@ def driver_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.upper("p_name").alias("neighborhood_official_name")).distinct()
 
 
+_BUILT: dict[tuple, str] = {}
+
+
+def _source_stamp(sf_dir: str) -> tuple:
+    """Identity of the inputs: path, size and mtime of every source table."""
+    out = []
+    for name in ("events", "part", "customer", "nation"):
+        p = os.path.join(sf_dir, f"{name}.parquet")
+        st = os.stat(p) if os.path.exists(p) else None
+        out.append((p, st.st_size if st else -1, st.st_mtime_ns if st else -1))
+    return tuple(out)
+
+
 def driver_transformation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transformation table (silver + neighborhood_final).
 
     Silver is written once as a table (shared folder) and read twice by the
     standardization (names to match, rows to label); the result is written as
     a table too, because the marts read it several times -- the same two
-    materialized models as the source project."""
+    materialized models as the source project.  Within one session the table
+    is built once per set of inputs and shared by every mart that reads it
+    (a changed input file gives a new key and a rebuild)."""
+    key = (spark.sparkContext.applicationId, _source_stamp(sf_dir))
+    path = _BUILT.get(key)
+    if path is not None and os.path.exists(path):
+        return spark.read.parquet(path)
     silver_table = materialize(driver_silver(spark, sf_dir), "silver")
-    return materialize(transformation(silver_table, driver_seed(spark, sf_dir)), "transformation")
+    tr = transformation(silver_table, driver_seed(spark, sf_dir))
+    path = scratch_path(spark, "transformation")
+    tr.write.mode("overwrite").parquet(path)
+    _BUILT[key] = path
+    return spark.read.parquet(path)

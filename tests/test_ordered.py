@@ -65,3 +65,14 @@ def test_hot_group_spans_partitions(spark):
                              F.countDistinct("_rank").alias("d"))
     for r in chk.collect():
         assert r.lo == 1 and r.hi == r.c == r.d
+
+
+def test_dense_from_scan_with_ties_across_partitions(spark):
+    # many equal values so runs of one value cross partition boundaries
+    rows = [(i, "hot" if i % 3 else "cold", float(i // 40)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id int, g string, x double").repartition(5)
+    s = ordered.ordered_scan(df, ["g"], [F.col("x").desc(), F.col("id")], "x", n_parts=11, dense_on="x")
+    w = df.withColumn("d", F.dense_rank().over(Window.partitionBy("g").orderBy(F.col("x").desc())))
+    a = sorted((r.id, r._dense) for r in s.collect())
+    b = sorted((r.id, r.d) for r in w.collect())
+    assert a == b
