@@ -25,6 +25,25 @@ def non_negative_violations(df: DataFrame, column: str, keep: Sequence[str] = ()
     return df.where(F.col(column) < 0).select(*keep, column)
 
 
+def violations_long(df: DataFrame, columns: Sequence[str], contract: str, keep: Sequence[str] = ()) -> DataFrame:
+    """All violations of one contract over several columns in ONE pass:
+    each row is unpivoted into (column_name, value) pairs and filtered, so
+    the table is read once however many columns are checked.  ``contract``
+    is "not_null" or "non_negative"."""
+    if contract == "not_null":
+        flag = lambda c: F.col(c).isNull()
+    elif contract == "non_negative":
+        flag = lambda c: F.coalesce(F.col(c) < 0, F.lit(False))
+    else:
+        raise ValueError(contract)
+    fields = lambda c: [F.lit(c).alias("column_name"), flag(c).alias("_bad")] + (
+        [F.col(c).cast("double").alias("value")] if contract == "non_negative" else [])
+    pairs = F.array(*[F.struct(*fields(c)) for c in columns])
+    long = df.select(*keep, F.explode(pairs).alias("_kv")).select(*keep, "_kv.*")
+    out = ["column_name", *keep] + (["value"] if contract == "non_negative" else [])
+    return long.where(F.col("_bad")).select(*out)
+
+
 def contract_report(df: DataFrame, unique: Sequence[str] = (), not_null: Sequence[str] = (),
                     non_negative: Sequence[str] = ()) -> DataFrame:
     """(contract, column_name, failures, passed) for every contract.

@@ -271,28 +271,16 @@ UNION ALL SELECT 'rent_value', property_id FROM silver WHERE rent_value IS NULL
 UNION ALL SELECT 'zone_name', property_id FROM silver WHERE zone_name IS NULL
 UNION ALL SELECT 'bathrooms', property_id FROM silver WHERE bathrooms IS NULL""")
 def dq_not_null(spark, sf_dir):
-    s = driver_silver(spark, sf_dir)
-    parts = [quality.not_null_violations(s, c, keep=["property_id"]).select(
-                 F.lit(c).alias("column_name"), "property_id")
-             for c in ("property_id", "rent_value", "zone_name", "bathrooms")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return quality.violations_long(driver_silver(spark, sf_dir), ["property_id", "rent_value", "zone_name", "bathrooms"],
+                                   "not_null", keep=["property_id"])
 
 
 @register("dq_non_negative", L_SILVER + "\nUNION ALL ".join(
     f"SELECT '{c}' AS column_name, property_id, CAST({c} AS DOUBLE) AS value FROM silver WHERE {c} < 0"
     for c in NON_NEGATIVE))
 def dq_non_negative(spark, sf_dir):
-    s = driver_silver(spark, sf_dir)
-    parts = [quality.non_negative_violations(s, c, keep=["property_id"]).select(
-                 F.lit(c).alias("column_name"), "property_id", F.col(c).cast("double").alias("value"))
-             for c in NON_NEGATIVE]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return quality.violations_long(driver_silver(spark, sf_dir), NON_NEGATIVE, "non_negative",
+                                   keep=["property_id"])
 
 
 @register("dq_report", L_SILVER + """

@@ -18,7 +18,7 @@ from ..functions.clean import (NON_RESIDENTIAL_TYPES, blank_to_null, col_type, d
                                is_non_residential, safe_int)
 from ..operators.standardize import standardize
 from ..operators.windows import latest_per_key
-from ..session import materialize, scratch_path
+from ..session import scratch_path
 from ..sources.tables import table
 
 # Bronze column names, in order (19 source fields + 2 audit columns).
@@ -167,11 +167,28 @@ def driver_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging(observations_from_tables(spark, sf_dir))
 
 
-def driver_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+def driver_silver_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(driver_staging(spark, sf_dir), as_of=DRIVER_AS_OF,
                   non_residential=DRIVER_NON_RESIDENTIAL)
 
 
+def _table_once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Write a model table once per session and set of inputs; later readers
+    get the written table (a changed input file gives a new key)."""
+    key = (name, spark.sparkContext.applicationId, _source_stamp(sf_dir))
+    path = _BUILT.get(key)
+    if path is None or not os.path.exists(path):
+        path = scratch_path(spark, name)
+        build().write.mode("overwrite").parquet(path)
+        _BUILT[key] = path
+    return spark.read.parquet(path)
+
+
+def driver_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver table: materialized like the source's silver model."""
+    return _table_once(spark, sf_dir, "silver", lambda: driver_silver_job(spark, sf_dir))
+
+
 def driver_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Official names: (city, upper(part name)) of every listed part with
     p_size <= 25."""
@@ -203,19 +220,10 @@ def _source_stamp(sf_dir: str) -> tuple:
 def driver_transformation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transformation table (silver + neighborhood_final).
 
-    Silver is written once as a table (shared folder) and read twice by the
-    standardization (names to match, rows to label); the result is written as
-    a table too, because the marts read it several times -- the same two
-    materialized models as the source project.  Within one session the table
-    is built once per set of inputs and shared by every mart that reads it
-    (a changed input file gives a new key and a rebuild)."""
-    key = (spark.sparkContext.applicationId, _source_stamp(sf_dir))
-    path = _BUILT.get(key)
-    if path is not None and os.path.exists(path):
-        return spark.read.parquet(path)
-    silver_table = materialize(driver_silver(spark, sf_dir), "silver")
-    tr = transformation(silver_table, driver_seed(spark, sf_dir))
-    path = scratch_path(spark, "transformation")
-    tr.write.mode("overwrite").parquet(path)
-    _BUILT[key] = path
-    return spark.read.parquet(path)
+    Silver is a written table read twice by the standardization (names to
+    match, rows to label); the result is written as a table too, because the
+    marts read it several times -- the same two materialized models as the
+    source project.  Within one session each table is built once per set of
+    inputs and shared by every job that reads it."""
+    return _table_once(spark, sf_dir, "transformation",
+                       lambda: transformation(driver_silver(spark, sf_dir), driver_seed(spark, sf_dir)))
