@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -12,9 +11,11 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from rentscope.session import get_spark
-    ckpt = tempfile.mkdtemp(prefix="rentscope-test-ckpt-")
-    s = get_spark("local[4]", app="rentscope-tests", shuffle_partitions=4,
-                  extra={"spark.checkpoint.dir": ckpt})
+    # spark.checkpoint.dir comes from the environment's Spark defaults when it
+    # names one; rentscope.session.checkpoint_root only creates a folder when
+    # the setting is absent.
+    from rentscope.session import checkpoint_root, get_spark
+    s = get_spark("local[4]", app="rentscope-tests", shuffle_partitions=4)
+    checkpoint_root(s)
     yield s
     s.stop()
