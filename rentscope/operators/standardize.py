@@ -28,10 +28,65 @@ from ..functions.text import token_sort
 DEFAULT_THRESHOLD = 65.0  # fixed value: acceptance score of the source rule
 
 
+def _min_overlap(own_len, threshold: float):
+    """Smallest multiset overlap any qualifying partner can need: the
+    partner is at least thr/(200-thr) times as long (else the length bound
+    fails), and the score needs LCS >= thr*(la+lb)/200 (LCS <= overlap)."""
+    eps = 1e-9
+    partner_min = F.ceil(own_len * threshold / (200.0 - threshold) - eps)
+    return F.ceil((own_len + partner_min) * threshold / 200.0 - eps)
+
+
+def _prefix_tokens(df: DataFrame, key_cols: list, text: str, counts: DataFrame, threshold: float) -> DataFrame:
+    """(key..., ch, occ) for the rarest ``len - t + 1`` tokens of each text,
+    where a token is (character, occurrence number of that character)."""
+    chars = F.split(F.col(text), "")
+    occ = F.transform(chars, lambda c, i: F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x == c)))
+    toks = (df.select(*key_cols, text, F.explode(F.arrays_zip(chars.alias("ch"), occ.alias("occ"))).alias("_t"))
+              .select(*key_cols, text, "_t.ch", "_t.occ").where(F.length("ch") > 0))
+    ranked = toks.join(counts, ["ch", "occ"])
+    per = ranked.groupBy(*key_cols, text).agg(
+        F.array_sort(F.collect_list(F.struct("_freq", "ch", "occ"))).alias("_toks"))
+    n = F.length(text)
+    plen = F.least(n, F.greatest(F.lit(1), n - _min_overlap(n, threshold) + 1)).cast("int")
+    return (per.select(*key_cols, text, F.explode(F.slice("_toks", 1, plen)).alias("_p"))
+               .select(*key_cols, text, "_p.ch", "_p.occ"))
+
+
+def _candidates_prefix(q: DataFrame, s: DataFrame, block: str, threshold: float) -> DataFrame:
+    """(block, _qs, _ss) pairs that can reach the threshold, found through an
+    equi-join on (block, prefix token) -- exact prefix filtering, so no pair
+    that could qualify is lost and no all-pairs product is formed.  Two
+    empty texts (score 100) have no tokens and are paired directly."""
+    qt = q.select(F.col(block).alias("_b"), "_qs").distinct()
+    st = s.select(F.col("_sb").alias("_b"), "_ss").distinct()
+    # global token order: rarest (character, occurrence) first
+    both = (qt.select(F.col("_qs").alias("_x")).union(st.select(F.col("_ss").alias("_x"))))
+    cc = F.split(F.col("_x"), "")
+    occ = F.transform(cc, lambda c, i: F.size(F.filter(F.slice(cc, 1, i + 1), lambda x: x == c)))
+    counts = (both.select(F.explode(F.arrays_zip(cc.alias("ch"), occ.alias("occ"))).alias("_t"))
+                  .select("_t.ch", "_t.occ").where(F.length("ch") > 0)
+                  .groupBy("ch", "occ").agg(F.count(F.lit(1)).alias("_freq")))
+    qp = _prefix_tokens(qt, ["_b"], "_qs", counts, threshold)
+    sp = _prefix_tokens(st, ["_b"], "_ss", counts, threshold)
+    pairs = qp.join(sp, ["_b", "ch", "occ"]).select("_b", "_qs", "_ss").distinct()
+    empty = (qt.where(F.length("_qs") == 0).join(st.where(F.length("_ss") == 0), "_b")
+               .select("_b", "_qs", "_ss"))
+    return pairs.unionByName(empty).withColumnRenamed("_b", block)
+
+
 def best_matches(names: DataFrame, seed: DataFrame, block: str, name: str, official: str,
-                 threshold: float = DEFAULT_THRESHOLD, scorer: str = "vectorized") -> DataFrame:
+                 threshold: float = DEFAULT_THRESHOLD, scorer: str = "vectorized",
+                 candidates: str = "block") -> DataFrame:
     """(block, name) -> (block, name, match, score) for names with a candidate
-    at or above the threshold."""
+    at or above the threshold.
+
+    ``candidates="block"`` (default) pairs each distinct name with the
+    official names of its own block that pass the length bound: the official
+    list of a city is a reference table of bounded size, so the pair count is
+    linear in distinct names.  ``"prefix"`` generates pairs by exact prefix
+    filtering on (block, rare token) -- lossless (tests compare it with
+    "block"), worth it when official lists per block are very large."""
     q = (names.select(block, name).where(F.col(name).isNotNull() & F.col(block).isNotNull())
               .distinct()
               .select(block, name, token_sort(F.col(name)).alias("_qs")))
@@ -40,11 +95,19 @@ def best_matches(names: DataFrame, seed: DataFrame, block: str, name: str, offic
              .where(F.col("_off").isNotNull()).distinct()
              .select("_sb", "_off", token_sort(F.col("_off")).alias("_ss")))
     s = s.select("*", F.length("_ss").alias("_sl"))
-    # Candidate pairs: same block, and a length bound that can still reach the
-    # threshold.  No broadcast is forced: AQE broadcasts the seed side when its
-    # measured size is small and otherwise keeps a skew-split sort-merge join.
-    cond = (F.col(block) == F.col("_sb")) & (length_bound(F.col("_ql"), F.col("_sl")) >= threshold)
-    pairs = q.join(s, cond, "inner").select(block, name, "_off", "_qs", "_ss")
+    if candidates == "prefix" and threshold > 0:
+        cand = _candidates_prefix(q, s, block, threshold).select(
+            F.col(block).alias("_cb"), F.col("_qs").alias("_cq"), F.col("_ss").alias("_cs"))
+        pairs = (cand.join(q, (F.col("_cb") == F.col(block)) & (F.col("_cq") == F.col("_qs")))
+                     .join(s, (F.col("_cb") == F.col("_sb")) & (F.col("_cs") == F.col("_ss")))
+                     .where(length_bound(F.col("_ql"), F.col("_sl")) >= threshold)
+                     .select(block, name, "_off", "_qs", "_ss"))
+    else:
+        # Candidate pairs: same block, and a length bound that can still reach
+        # the threshold.  AQE broadcasts the seed side when its measured size
+        # is small and otherwise keeps a skew-split sort-merge join.
+        cond = (F.col(block) == F.col("_sb")) & (length_bound(F.col("_ql"), F.col("_sl")) >= threshold)
+        pairs = q.join(s, cond, "inner").select(block, name, "_off", "_qs", "_ss")
     # The score depends only on the two token-sorted texts: score each distinct
     # text pair once (names repeat across blocks), then join the scores back.
     # The pairs are few bytes but CPU-heavy to score, so they are hash-split
@@ -61,12 +124,14 @@ def best_matches(names: DataFrame, seed: DataFrame, block: str, name: str, offic
 
 
 def standardize(df: DataFrame, seed: DataFrame, name: str, block: str, official: str,
-                out: str, threshold: float = DEFAULT_THRESHOLD, scorer: str = "vectorized") -> DataFrame:
+                out: str, threshold: float = DEFAULT_THRESHOLD, scorer: str = "vectorized",
+                candidates: str = "block") -> DataFrame:
     """df + ``out``: matched official name or the original.
 
     Guards: NULL name, empty block, or a block without seed rows keep the
     original (a NULL block matches nothing)."""
-    best = best_matches(df.where(F.col(block) != ""), seed, block, name, official, threshold, scorer)
+    best = best_matches(df.where(F.col(block) != ""), seed, block, name, official, threshold, scorer,
+                        candidates)
     best = best.select(F.col(block).alias("_mb"), F.col(name).alias("_mn"), "match")
     joined = df.join(best, (F.col(block) == F.col("_mb")) & (F.col(name) == F.col("_mn")), "left")
     return joined.withColumn(out, F.coalesce(F.col("match"), F.col(name))).drop("_mb", "_mn", "match")

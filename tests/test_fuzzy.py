@@ -66,3 +66,32 @@ def test_best_score_wins_with_name_tiebreak(spark):
     df = spark.createDataFrame([(1, "ABC", "c")], "id int, common_neighborhood_name string, city_name string")
     out = standardize(df, seed, "common_neighborhood_name", "city_name", "neighborhood_official_name", "nf")
     assert out.collect()[0].nf == "ABCD"  # equal scores: the smallest name
+
+
+def test_prefix_candidates_equal_block_candidates(spark):
+    """Exact prefix filtering loses no match: same result as comparing every
+    length-compatible pair of the block, on random near-duplicate names."""
+    rnd = random.Random(5)
+    words = ["SANTA", "ANA", "NIQUÍA", "BELLO", "SAN", "JOSE", "LA", "CANDELARIA", "NORTE", "SUR", "A"]
+    def name():
+        toks = [rnd.choice(words) for _ in range(rnd.randint(1, 3))]
+        t = " ".join(toks)
+        if t and rnd.random() < 0.5:  # typo: drop or swap one character
+            i = rnd.randrange(len(t))
+            t = t[:i] + t[i + 1:] if rnd.random() < 0.5 else t[:i] + rnd.choice("AEIOUXZ") + t[i + 1:]
+        return t
+    cities = ["c1", "c2", "c3"]
+    seed = spark.createDataFrame(list({(rnd.choice(cities), name()) for _ in range(60)}),
+                                 "city_name string, neighborhood_official_name string")
+    rows = [(i, name(), rnd.choice(cities)) for i in range(300)] + [(900, "", "c1"), (901, "", "c2")]
+    seed = seed.union(spark.createDataFrame([("c1", "")], "city_name string, neighborhood_official_name string"))
+    df = spark.createDataFrame(rows, "id int, common_neighborhood_name string, city_name string")
+    got = {}
+    for how in ("prefix", "block"):
+        for thr in (65.0, 40.0, 90.0):
+            out = standardize(df, seed, "common_neighborhood_name", "city_name", "neighborhood_official_name",
+                              "nf", threshold=thr, candidates=how)
+            got[(how, thr)] = sorted((r.id, r.nf) for r in out.collect())
+    for thr in (65.0, 40.0, 90.0):
+        assert got[("prefix", thr)] == got[("block", thr)], thr
+    assert dict(got[("prefix", 65.0)])[900] == ""  # empty name matches the empty official name (score 100)
