@@ -105,9 +105,11 @@ def ordered_scan(df: DataFrame, by: Sequence[str], order: Sequence[Column], valu
     with ``dense_on`` (the leading order column) _dense (its DENSE_RANK)."""
     spark = df.sparkSession
     by = list(by)
-    n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n_parts, *[F.col(c) for c in by], *order) \
-               .sortWithinPartitions(*[F.col(c) for c in by], *order)
+    keys = [F.col(c) for c in by] + list(order)
+    # Without an explicit count AQE may merge *adjacent* small range
+    # partitions (order is preserved); large inputs keep their spread.
+    ranged = df.repartitionByRange(n_parts, *keys) if n_parts else df.repartitionByRange(*keys)
+    ranged = ranged.sortWithinPartitions(*keys)
     schema = T.StructType(df.schema.fields + [
         T.StructField("_pid", T.IntegerType()), T.StructField("_lrank", T.LongType()),
         T.StructField("_lcum", T.DoubleType()), T.StructField("_lcnt", T.LongType()),

@@ -111,9 +111,9 @@ def best_matches(names: DataFrame, seed: DataFrame, block: str, name: str, offic
     # The score depends only on the two token-sorted texts: score each distinct
     # text pair once (names repeat across blocks), then join the scores back.
     # The pairs are few bytes but CPU-heavy to score, so they are hash-split
-    # into an explicit partition count (AQE would coalesce them into one task).
+    # into about two tasks per core (AQE would coalesce them into one task).
     score_fn = ratio_vectorized if scorer == "vectorized" else ratio
-    n_parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = max(2, 2 * names.sparkSession.sparkContext.defaultParallelism)
     scores = (pairs.select("_qs", "_ss").repartition(n_parts, "_qs", "_ss").distinct()
                    .withColumn("_score", score_fn(F.col("_qs"), F.col("_ss")))
                    .where(F.col("_score") >= threshold))
