@@ -75,3 +75,25 @@ def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
+
+
+def scale_conf(shuffle_bytes: float, executor_cores: int, executors: int,
+               target_partition_bytes: float = 256 * 1024 ** 2) -> dict:
+    """Spill-aware sizing for a large run (set at submit time).
+
+    Shuffle partitions are chosen so each reducer holds about
+    ``target_partition_bytes`` of the largest shuffle (AQE then merges small
+    ones and splits skewed ones), never fewer than 2 tasks per core; scans
+    are split at 256 MB, and broadcasts stay under 64 MB so a measured-small
+    side never costs executor memory at 1000 executors.
+    """
+    cores = max(1, executor_cores * executors)
+    parts = max(2 * cores, int(shuffle_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(int(target_partition_bytes)),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(int(4 * target_partition_bytes)),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 ** 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }

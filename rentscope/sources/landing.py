@@ -129,13 +129,27 @@ def first_of_duplicates(df: DataFrame) -> DataFrame:
 
 
 def coalesce_fields(df: DataFrame, target: str, *alternatives: str) -> DataFrame:
-    """A5: fill ``target`` from the first alternative spelling present."""
-    present = [a for a in (target, *alternatives) if a in df.columns]
-    if not present:
+    """A5: fill ``target`` from the first alternative spelling present.
+
+    Spark resolves names case-insensitively, so spellings that differ only in
+    case would be ambiguous by name: columns are matched and read by
+    position instead; the merged column takes the place of the first one."""
+    wanted = [n.lower() for n in (target, *alternatives)]
+    hits = sorted((wanted.index(c.lower()), i) for i, c in enumerate(df.columns) if c.lower() in wanted)
+    if not hits:
         return df
-    expr = F.coalesce(*[F.col(f"`{a}`") for a in present])
-    out = df.withColumn(target, expr)
-    return out.drop(*[a for a in present if a != target])
+    tmp = [f"_c{i}" for i in range(len(df.columns))]
+    t = df.toDF(*tmp)
+    merged = F.coalesce(*[F.col(tmp[i]) for _, i in hits]).alias(target)
+    first = min(i for _, i in hits)
+    used = {i for _, i in hits}
+    cols = []
+    for i, name in enumerate(df.columns):
+        if i == first:
+            cols.append(merged)
+        elif i not in used:
+            cols.append(F.col(tmp[i]).alias(name))
+    return t.select(*cols)
 
 
 def enforce_columns(df: DataFrame, required=BRONZE_COLUMNS) -> DataFrame:

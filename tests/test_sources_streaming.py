@@ -106,3 +106,19 @@ def test_stream_ingest_and_refresh_equal_batch(spark):
     cols = batch.columns
     assert sorted(map(tuple, batch.select(cols).collect()), key=repr) == \
         sorted(map(tuple, stream.select(cols).collect()), key=repr)
+
+
+def test_nested_field_fallback(spark):
+    df = spark.createDataFrame([("bogota", None), (None, "cali"), (None, None)],
+                               "`MCIUDAD.NOMBRE` string, `mciudad.nombre` string")
+    out = landing.coalesce_fields(df, "MCIUDAD.NOMBRE", "mciudad.nombre")
+    assert out.columns == ["MCIUDAD.NOMBRE"]
+    assert [r[0] for r in out.collect()] == ["bogota", "cali", None]
+
+
+def test_scale_conf():
+    from rentscope.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4, executor_cores=4, executors=1000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409601  # 100 TB / 256 MB + 1
+    c = scale_conf(1024 ** 3, executor_cores=4, executors=10)
+    assert int(c["spark.sql.shuffle.partitions"]) == 80  # at least 2 tasks per core
