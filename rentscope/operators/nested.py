@@ -44,19 +44,29 @@ def category_sum_having(df: DataFrame, category: str, items: str, name_field: st
               .filter(F.col(out) >= min_total))
 
 
-def two_level_totals(df: DataFrame, outer: str, inner: str, items: str, name_field: str,
-                     qty_field: str, min_total: float) -> DataFrame:
-    """outer -> map(inner -> total) keeping inner totals >= min_total; outer
-    keys left with an empty map are dropped.  ``inner`` is a record column
-    (a subcategory) or, when the record has no such column, the item name.
-    Each map is bounded by the distinct inner keys of one outer key."""
+def two_level_totals_long(df: DataFrame, outer: str, inner: str, items: str, name_field: str,
+                          qty_field: str, min_total: float) -> DataFrame:
+    """(outer, inner, total) with inner totals >= min_total.  An outer key
+    whose inner totals all fail simply has no rows, which is the "drop
+    emptied outers" rule.  ``inner`` is a record column (a subcategory) or,
+    when the record has no such column, the item name.  Nothing is collected
+    per key: a partially aggregated groupBy over exploded items."""
     record_level = inner in df.columns
     keys = [outer, inner] if record_level else [outer]
     ex = explode_items(df, keys, items, name_field, qty_field)
     if not record_level:
         ex = ex.withColumnRenamed("item", inner)
-    sums = (ex.groupBy(outer, inner).agg(F.sum("qty").alias("total"))
+    return (ex.groupBy(outer, inner).agg(F.sum("qty").alias("total"))
               .filter(F.col("total") >= min_total))
+
+
+def two_level_totals(df: DataFrame, outer: str, inner: str, items: str, name_field: str,
+                     qty_field: str, min_total: float) -> DataFrame:
+    """outer -> map(inner -> total): the long form folded into one map per
+    outer key.  Each map holds the distinct inner keys of one outer key, so
+    use it where that domain is bounded; ``two_level_totals_long`` is the
+    collection-free form."""
+    sums = two_level_totals_long(df, outer, inner, items, name_field, qty_field, min_total)
     return sums.groupBy(outer).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(inner, "total")))).alias("totals"))
 

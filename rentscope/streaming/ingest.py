@@ -18,11 +18,13 @@ from pyspark.sql import types as T
 
 def incremental_ingest(spark: SparkSession, landing: str, bronze_path: str, checkpoint: str,
                        load_type: str = "INCREMENTAL", max_files_per_trigger: int | None = None,
-                       available_now: bool = True) -> StreamingQuery:
+                       available_now: bool = True, multi_line: bool = False) -> StreamingQuery:
     schema = T.StructType(PAGE_SCHEMA.fields + [T.StructField("city", T.StringType())])
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if multi_line:  # one JSON object per file, as the portal serves a page
+        reader = reader.option("multiLine", True)
     pages = reader.json(landing)
     # current_timestamp() is fixed per micro-batch: one load instant per batch
     bronze = to_bronze(pages, F.current_timestamp(), load_type)

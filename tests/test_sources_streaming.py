@@ -122,3 +122,16 @@ def test_scale_conf():
     assert int(c["spark.sql.shuffle.partitions"]) == 409601  # 100 TB / 256 MB + 1
     c = scale_conf(1024 ** 3, executor_cores=4, executors=10)
     assert int(c["spark.sql.shuffle.partitions"]) == 80  # at least 2 tasks per core
+
+
+def test_stream_multiline_pages_once_each(spark):
+    root = _scratch()
+    land, out = os.path.join(root, "landing"), os.path.join(root, "bronze")
+    _write_pages(land, "bogota", [_page([_listing(1), _listing(2)], total=2)])
+    from rentscope.streaming.ingest import incremental_ingest as ingest
+    ingest(spark, land, out, os.path.join(root, "ck"), multi_line=True, max_files_per_trigger=1).awaitTermination()
+    _write_pages(land, "cali", [_page([_listing(3, city="cali")]), _page([_listing(4, city="cali")])])
+    ingest(spark, land, out, os.path.join(root, "ck"), multi_line=True, max_files_per_trigger=1).awaitTermination()
+    b = spark.read.parquet(out)
+    assert sorted(r.MIDINMUEBLE for r in b.collect()) == ["1", "2", "3", "4"]
+    assert b.select("UPLOADED_DATE").distinct().count() >= 2  # one load instant per micro-batch
