@@ -3,7 +3,6 @@ market measures) over listing observations derived from the driver tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import _round0, avg_rounded, sql_avg_rounded
+from ..functions.numeric import avg_rounded, round_ratio, sql_avg_rounded
 from ..operators import aggregates as agg
 from ..operators import joins, ordered, windows
 from .catalog import register
@@ -333,7 +333,7 @@ def ctr(spark, sf_dir):
         (F.col("ts") < F.lit("2025-01-01").cast("timestamp_ntz")))
     g = e.groupBy("user_id").agg(F.count_if(F.col("event_type") == "click").alias("_c"),
                                  F.count_if(F.col("event_type") == "view").alias("_v"))
-    return g.select("user_id", (_round0(F.col("_c") * 10000, F.col("_v")) / 100.0).alias("ctr"))
+    return g.select("user_id", round_ratio(F.col("_c") * 100, F.col("_v"), 2).alias("ctr"))
 
 
 @register("monthly_avg", f"""
@@ -474,7 +474,7 @@ def weighted_mean(spark, sf_dir):
     # exact ROUND(sum(x*w)/sum(w), 1) over integer counts
     s = ipo.agg(F.sum(F.col("item_count") * F.col("order_occurrences")).alias("_xw"),
                 F.sum("order_occurrences").alias("_w"))
-    return s.select((_round0(F.col("_xw") * 10, F.col("_w")) / 10.0).alias("avg_items"))
+    return s.select(round_ratio(F.col("_xw"), F.col("_w"), 1).alias("avg_items"))
 
 
 _DRUGS = """

@@ -6,7 +6,6 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources import landing

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.listings import AUDIT_COLUMNS, BRONZE_COLUMNS
+from ..plans.listings import BRONZE_COLUMNS
 
 
 def _s(*names):
