@@ -283,7 +283,7 @@ def dq_non_negative(spark, sf_dir):
 
 
 @register("dq_report", L_SILVER + """
-SELECT contract, column_name, failures, failures = 0 AS passed FROM (
+SELECT contract, column_name, CAST(failures AS BIGINT) AS failures, failures = 0 AS passed FROM (
   SELECT 'not_null' AS contract, 'property_id' AS column_name, count_if(property_id IS NULL) AS failures FROM silver
   UNION ALL SELECT 'not_null', 'rent_value', count_if(rent_value IS NULL) FROM silver
 """ + "".join(f"  UNION ALL SELECT 'non_negative', '{c}', count_if({c} < 0) FROM silver\n" for c in NON_NEGATIVE) + """
@@ -334,7 +334,7 @@ def layout_profile(spark, sf_dir):
 
 @register("stratum_supply", L_TR + f"""
 SELECT socioeconomic_stratum, count(*) AS n_listings,
-       count_if(property_status = 'ACTIVE') AS n_active, {_median_sql('rent_value', 'median_rent')}
+       CAST(count_if(property_status = 'ACTIVE') AS BIGINT) AS n_active, {_median_sql('rent_value', 'median_rent')}
 FROM tr GROUP BY socioeconomic_stratum""")
 def stratum_supply(spark, sf_dir):
     return market.stratum_supply(driver_transformation(spark, sf_dir)).select(
@@ -350,7 +350,8 @@ SELECT city_name, neighborhood_final, round(median_rent, 4) AS median_rent, rank
 WHERE rank_cheapest <= 3 OR rank_priciest <= 3""")
 def affordability_rank(spark, sf_dir):
     return market.affordability_rank(driver_transformation(spark, sf_dir)).select(
-        "city_name", "neighborhood_final", r4("median_rent"), "rank_cheapest", "rank_priciest")
+        "city_name", "neighborhood_final", r4("median_rent"), F.col("rank_cheapest").cast("bigint").alias("rank_cheapest"),
+        F.col("rank_priciest").cast("bigint").alias("rank_priciest"))
 
 
 @register("top20_depth", L_TR + """

@@ -176,7 +176,7 @@ WHERE rn <= 5""")
 def top5_per_group(spark, sf_dir):
     t = windows.top_n_per_group(biz(spark, sf_dir), "macrosector",
                                 [F.col("revenue").desc(), F.col("c_custkey")], 5)
-    return t.select("c_name", "macrosector", "revenue", "rn")
+    return t.select("c_name", "macrosector", "revenue", F.col("rn").cast("bigint").alias("rn"))
 
 
 @register("share_of_group", _BIZ + """
@@ -208,7 +208,7 @@ FROM biz""")
 def quartiles(spark, sf_dir):
     q = ordered.ntile(biz(spark, sf_dir), "macrosector",
                       [F.col("revenue").desc(), F.col("c_custkey")], 4, out="quartile")
-    return q.select("c_name", "macrosector", "revenue", "quartile")
+    return q.select("c_name", "macrosector", "revenue", F.col("quartile").cast("bigint").alias("quartile"))
 
 
 @register("global_top10_dense", _BIZ + """
@@ -216,7 +216,8 @@ SELECT c_name, revenue, dense_rank FROM (
   SELECT c_name, revenue, dense_rank() OVER (ORDER BY revenue DESC) AS dense_rank FROM biz) t
 WHERE dense_rank <= 10""")
 def global_top10_dense(spark, sf_dir):
-    return windows.global_dense_top(biz(spark, sf_dir), "revenue", 10).select("c_name", "revenue", "dense_rank")
+    return windows.global_dense_top(biz(spark, sf_dir), "revenue", 10).select(
+        "c_name", "revenue", F.col("dense_rank").cast("bigint").alias("dense_rank"))
 
 
 @register("group_vs_global_avg", _BIZ + f"""
@@ -312,8 +313,8 @@ def has_all(spark, sf_dir):
 
 
 @register("cond_pivot", """
-SELECT count_if(event_type NOT IN ('click', 'view')) AS laptop_views,
-       count_if(event_type IN ('click', 'view')) AS mobile_views FROM events""")
+SELECT CAST(count_if(event_type NOT IN ('click', 'view')) AS BIGINT) AS laptop_views,
+       CAST(count_if(event_type IN ('click', 'view')) AS BIGINT) AS mobile_views FROM events""")
 def cond_pivot(spark, sf_dir):
     e = _events(spark, sf_dir, "event_type")
     return agg.cond_pivot(e, F.col("event_type").isin("click", "view"), "mobile_views", "laptop_views")
@@ -549,7 +550,7 @@ def second_highest_subquery(spark, sf_dir):
 @register("nested_get", """
 SELECT event_type, count(*) AS n_events,
        count(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS n_with_k,
-       sum(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS sum_k,
+       CAST(sum(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k,
        max(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS max_k
 FROM events GROUP BY event_type""")
 def nested_get(spark, sf_dir):
