@@ -28,3 +28,16 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
 def read_versions(spark: SparkSession, paths: list[str]) -> DataFrame:
     """One read per schema version (a handful of paths, not per file)."""
     return union_by_name([spark.read.parquet(p) for p in paths])
+
+
+def read_loads(spark: SparkSession, path: str, load_types=None, since=None, until=None) -> DataFrame:
+    """Bronze rows of selected loads.  Filters on the partition columns
+    (LOAD_TYPE, LOAD_DATE) prune whole folders before any file is opened."""
+    df = spark.read.parquet(path)
+    if load_types:
+        df = df.where(F.col("LOAD_TYPE").isin(*load_types))
+    if since is not None:
+        df = df.where(F.col("LOAD_DATE") >= F.lit(since).cast("date"))
+    if until is not None:
+        df = df.where(F.col("LOAD_DATE") < F.lit(until).cast("date"))
+    return df

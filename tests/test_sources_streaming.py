@@ -135,3 +135,16 @@ def test_stream_multiline_pages_once_each(spark):
     b = spark.read.parquet(out)
     assert sorted(r.MIDINMUEBLE for r in b.collect()) == ["1", "2", "3", "4"]
     assert b.select("UPLOADED_DATE").distinct().count() >= 2  # one load instant per micro-batch
+
+
+def test_bronze_partition_pruning(spark):
+    root = _scratch()
+    land, out = os.path.join(root, "landing"), os.path.join(root, "bronze")
+    _write_pages(land, "bogota", [_page([_listing(1), _listing(2)], total=2)])
+    pages = landing.read_pages(spark, land, multi_line=True)
+    for day in (1, 2, 3):
+        landing.write_bronze(landing.to_bronze(pages, dt.datetime(2026, 1, day, 8), "FULL"), out)
+    df = bronze_src.read_loads(spark, out, load_types=["FULL"], since=dt.date(2026, 1, 2))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "LOAD_DATE" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert df.count() == 4 and {r.LOAD_DATE.day for r in df.select("LOAD_DATE").distinct().collect()} == {2, 3}
