@@ -121,25 +121,41 @@ def staging(bronze: DataFrame) -> DataFrame:
     )
 
 
-def silver(stg: DataFrame, as_of=None, non_residential=NON_RESIDENTIAL_TYPES,
-           inactive_after: int = INACTIVE_AFTER_DAYS) -> DataFrame:
-    """One current row per property with lifecycle columns (24 columns).
+SNAPSHOT_ORDER = ["extracted_at", "property_link", "property_title"]
+
+
+def snapshot_state(stg: DataFrame) -> DataFrame:
+    """Per property: the latest sighting's columns plus first/last sighting.
 
     Latest sighting, first and last sighting come out of ONE partially
     aggregated groupBy(property_id): a property seen in a third of all loads
     is reduced per input partition before the shuffle.  Ties on
-    ``extracted_at`` are broken by the link, then the title.
-    """
-    as_of_col = F.current_date() if as_of is None else F.lit(as_of).cast("date")
+    ``extracted_at`` are broken by the link, then the title.  The state is
+    mergeable: two states of the same property combine with the same
+    max_by / min / max (see ``merge_states``)."""
     cleaned = stg.withColumns({"common_neighborhood_name": F.upper("common_neighborhood_name"),
                                "zone_name": blank_to_null(F.col("zone_name"))})
-    latest = latest_per_key(cleaned, "property_id",
-                            order=["extracted_at", "property_link", "property_title"],
-                            first_col="_first_seen", last_col="_last_seen")
+    return latest_per_key(cleaned, "property_id", order=SNAPSHOT_ORDER,
+                          first_col="_first_seen", last_col="_last_seen")
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """Combine several states of the same properties into one."""
+    carry = [c for c in states.columns if c not in ("property_id", "_first_seen", "_last_seen")]
+    g = states.groupBy("property_id").agg(
+        F.max_by(F.struct(*carry), F.struct(*SNAPSHOT_ORDER)).alias("_latest"),
+        F.min("_first_seen").alias("_first_seen"), F.max("_last_seen").alias("_last_seen"))
+    return g.select("property_id", "_latest.*", "_first_seen", "_last_seen")
+
+
+def lifecycle(state: DataFrame, as_of=None, non_residential=NON_RESIDENTIAL_TYPES,
+              inactive_after: int = INACTIVE_AFTER_DAYS) -> DataFrame:
+    """Silver columns from a snapshot state (24 columns)."""
+    as_of_col = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     ref_days = F.datediff(as_of_col, F.to_date("extracted_at")).cast("bigint")
     inactive = ref_days > inactive_after
     nonres = is_non_residential(F.col("property_type"), non_residential)
-    out = latest.withColumns({
+    out = state.withColumns({
         "days_on_market": F.datediff(F.to_date("_last_seen"), F.to_date("_first_seen")).cast("bigint"),
         "reference_days": ref_days,
         "property_status": F.when(inactive, F.lit("INACTIVE")).otherwise(F.lit("ACTIVE")),
@@ -154,6 +170,12 @@ def silver(stg: DataFrame, as_of=None, non_residential=NON_RESIDENTIAL_TYPES,
     return out.select(*SILVER_COLUMNS)
 
 
+def silver(stg: DataFrame, as_of=None, non_residential=NON_RESIDENTIAL_TYPES,
+           inactive_after: int = INACTIVE_AFTER_DAYS) -> DataFrame:
+    """One current row per property with lifecycle columns (24 columns)."""
+    return lifecycle(snapshot_state(stg), as_of, non_residential, inactive_after)
+
+
 def transformation(silver_df: DataFrame, seed: DataFrame, threshold: float = 65.0) -> DataFrame:
     """silver + neighborhood_final (25 columns)."""
     return standardize(silver_df, seed, name="common_neighborhood_name", block="city_name",

@@ -1,20 +1,29 @@
-"""S2: refresh the silver snapshot after new bronze arrives.
-
-Silver is stored partitioned by a hash bucket of ``property_id``.  For each
-micro-batch of new bronze rows, only the buckets of the properties it touches
-are recomputed from all bronze and overwritten (dynamic partition
-overwrite); other buckets are not read or written.  Late files need no
-watermark: the newest ``extracted_at`` wins and first/last sightings do not
-depend on arrival order, so recomputing a bucket is always exact.
+"""S2: keep the silver snapshot current as new bronze arrives.
+
+A mergeable per-property *state* (latest sighting, first and last sighting;
+``plans.listings.snapshot_state``) is stored partitioned by a hash bucket of
+``property_id``.  Each micro-batch of new bronze rows is reduced to a state
+of its own (partial aggregation), the stored state is read only for the
+buckets the batch touches (partition pruning), the two are merged with the
+same max_by / min / max, and only those buckets are overwritten.  The work
+per batch is the batch plus the touched buckets' state -- never the whole
+bronze history.  Late files need no watermark: the newest ``extracted_at``
+wins and first/last sightings do not depend on arrival order.
+
+Silver is ``lifecycle(state, as_of)``: a projection computed on read, since
+its "days since last seen" moves with the as-of date anyway.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.listings import silver, staging
+from ..plans.listings import NON_RESIDENTIAL_TYPES, lifecycle, merge_states, snapshot_state, staging
+from ..session import materialize
 from ..sources.bronze import as_text
 
 N_BUCKETS = 64
@@ -24,32 +33,38 @@ def bucket_of(c, n: int = N_BUCKETS):
     return F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
 
 
-def rebuild_buckets(spark: SparkSession, bronze: DataFrame, buckets: DataFrame, silver_path: str,
-                    as_of=None, non_residential=None, n_buckets: int = N_BUCKETS) -> None:
-    """Recompute silver for the given buckets and overwrite just those."""
-    stg = staging(as_text(bronze.drop("LOAD_DATE")) if "LOAD_DATE" in bronze.columns else as_text(bronze))
-    stg = stg.withColumn("bucket", bucket_of(F.col("property_id"), n_buckets))
-    # the bucket list holds at most n_buckets rows: a bounded broadcast
-    stg = stg.join(F.broadcast(buckets), "bucket", "left_semi")
-    kw = {} if non_residential is None else {"non_residential": non_residential}
-    snap = silver(stg.drop("bucket"), as_of=as_of, **kw)
-    snap = snap.withColumn("bucket", bucket_of(F.col("property_id"), n_buckets))
+def merge_batch(spark: SparkSession, bronze_rows: DataFrame, state_path: str, n_buckets: int = N_BUCKETS) -> None:
+    """Fold a batch of bronze rows into the stored state."""
+    rows = bronze_rows.drop("LOAD_DATE") if "LOAD_DATE" in bronze_rows.columns else bronze_rows
+    new = snapshot_state(staging(as_text(rows)))
+    new = new.withColumn("bucket", bucket_of(F.col("property_id"), n_buckets))
+    # the touched bucket ids: at most n_buckets small ints
+    touched = [r.bucket for r in new.select("bucket").distinct().collect()]
+    if not touched:
+        return
+    parts = [new]
+    if os.path.exists(state_path):
+        old = spark.read.parquet(state_path).where(F.col("bucket").isin(*touched))  # pruned read
+        parts.append(old.select(*new.columns))
+    both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    merged = merge_states(both.drop("bucket")).withColumn("bucket", bucket_of(F.col("property_id"), n_buckets))
+    # written to the shared folder first: the target partitions are being read
+    staged = materialize(merged, "state-merge")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    snap.write.mode("overwrite").partitionBy("bucket").parquet(silver_path)
+    staged.write.mode("overwrite").partitionBy("bucket").parquet(state_path)
+
+
+def read_silver(spark: SparkSession, state_path: str, as_of=None, non_residential=NON_RESIDENTIAL_TYPES) -> DataFrame:
+    return lifecycle(spark.read.parquet(state_path).drop("bucket"), as_of, non_residential)
 
 
-def refresh_from_stream(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str,
-                        as_of=None, non_residential=None, n_buckets: int = N_BUCKETS) -> StreamingQuery:
-    """Stream the bronze table; per micro-batch rebuild affected buckets."""
+def refresh_from_stream(spark: SparkSession, bronze_path: str, state_path: str, checkpoint: str,
+                        n_buckets: int = N_BUCKETS) -> StreamingQuery:
+    """Stream the bronze table; fold every micro-batch into the state."""
     schema = spark.read.parquet(bronze_path).schema
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        touched = (batch.select(bucket_of(F.col("MIDINMUEBLE").cast("string"), n_buckets).alias("bucket"))
-                        .distinct())
-        if touched.isEmpty():
-            return
-        all_bronze = spark.read.parquet(bronze_path)
-        rebuild_buckets(spark, all_bronze, touched, silver_path, as_of, non_residential, n_buckets)
+        merge_batch(spark, batch, state_path, n_buckets)
 
     return (spark.readStream.schema(schema).parquet(bronze_path)
             .writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)

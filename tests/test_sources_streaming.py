@@ -12,7 +12,7 @@ from rentscope.plans.listings import BRONZE_COLUMNS, silver, staging
 from rentscope.sources import bronze as bronze_src
 from rentscope.sources import landing
 from rentscope.streaming.ingest import incremental_ingest
-from rentscope.streaming.refresh import refresh_from_stream
+from rentscope.streaming.refresh import read_silver, refresh_from_stream
 
 
 def _scratch():
@@ -93,16 +93,16 @@ def test_stream_ingest_and_refresh_equal_batch(spark):
     as_of = dt.date(2030, 1, 1)
     write_landing(pages.where(F.col("page") % 2 == 0), landing_dir, mode="append")
     incremental_ingest(spark, landing_dir, bronze_dir, os.path.join(root, "ck_ingest")).awaitTermination()
-    refresh_from_stream(spark, bronze_dir, silver_dir, os.path.join(root, "ck_refresh"), as_of=as_of).awaitTermination()
+    refresh_from_stream(spark, bronze_dir, silver_dir, os.path.join(root, "ck_refresh")).awaitTermination()
     n1 = spark.read.parquet(bronze_dir).count()
     write_landing(pages.where(F.col("page") % 2 == 1), landing_dir, mode="append")
     incremental_ingest(spark, landing_dir, bronze_dir, os.path.join(root, "ck_ingest")).awaitTermination()
-    refresh_from_stream(spark, bronze_dir, silver_dir, os.path.join(root, "ck_refresh"), as_of=as_of).awaitTermination()
+    refresh_from_stream(spark, bronze_dir, silver_dir, os.path.join(root, "ck_refresh")).awaitTermination()
     bronze_all = spark.read.parquet(bronze_dir)
     total = pages.select(F.sum(F.size("results"))).first()[0]
     assert bronze_all.count() == total and 0 < n1 < total  # each landing file ingested once
     batch = silver(staging(bronze_src.as_text(bronze_all.drop("LOAD_DATE"))), as_of=as_of)
-    stream = spark.read.parquet(silver_dir).drop("bucket")
+    stream = read_silver(spark, silver_dir, as_of=as_of)
     cols = batch.columns
     assert sorted(map(tuple, batch.select(cols).collect()), key=repr) == \
         sorted(map(tuple, stream.select(cols).collect()), key=repr)
