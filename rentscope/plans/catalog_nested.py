@@ -26,12 +26,20 @@ def order_records(spark, sf_dir) -> DataFrame:
 
 
 def order_flag_maps(spark, sf_dir) -> DataFrame:
-    """(o_orderkey, o_orderpriority, by_flag: map<flag, array<struct>>)."""
+    """(o_orderkey, o_orderpriority, by_flag: map<flag, array<struct>>).
+
+    One grouping per order (its lines, bounded by the lines of one order);
+    the flag -> items map is then formed inside the row with array
+    functions, so no second shuffle is needed."""
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
-    per_flag = li.groupBy("l_orderkey", "l_returnflag").agg(
-        F.collect_list(F.struct(F.col("l_partkey").alias("item"), F.col("l_quantity").alias("qty"))).alias("items"))
-    maps = per_flag.groupBy("l_orderkey").agg(
-        F.map_from_entries(F.collect_list(F.struct("l_returnflag", "items"))).alias("by_flag"))
+    lines = li.groupBy("l_orderkey").agg(F.collect_list(F.struct(
+        F.col("l_returnflag").alias("flag"), F.col("l_partkey").alias("item"),
+        F.col("l_quantity").alias("qty"))).alias("_lines"))
+    flags = F.array_distinct(F.transform("_lines", lambda x: x["flag"]))
+    per_flag = F.transform(flags, lambda f: F.transform(F.filter("_lines", lambda x: x["flag"] == f),
+                                                        lambda x: F.struct(x["item"].alias("item"),
+                                                                           x["qty"].alias("qty"))))
+    maps = lines.select("l_orderkey", F.map_from_arrays(flags, per_flag).alias("by_flag"))
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority")
     return o.join(maps, o.o_orderkey == maps.l_orderkey).drop("l_orderkey")
 
