@@ -2,8 +2,11 @@
 
 Every operator here partitions by its group keys, so the window's exchange is
 a hash shuffle on those keys.  Where a group can be hot, the operator is
-written as a partial aggregation instead (``latest_per_key``) or is pre-pruned
-before the shuffle (rank filters become WindowGroupLimit).
+written as a partial aggregation instead (``latest_per_key``,
+``share_of_group``) or is pre-pruned before the shuffle (rank filters become
+WindowGroupLimit).  ``running_total``, ``ntile_per_group`` and ``pareto``
+keep the plain window form for groups known to be small; the registered jobs
+use the skew-safe forms in ``operators.ordered``.
 """
 
 from __future__ import annotations

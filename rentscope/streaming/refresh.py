@@ -12,6 +12,10 @@ wins and first/last sightings do not depend on arrival order.
 
 Silver is ``lifecycle(state, as_of)``: a projection computed on read, since
 its "days since last seen" moves with the as-of date anyway.
+
+The merge is idempotent (max_by / min / max over the same rows give the same
+state), and each bucket is replaced by the commit of one job, so a micro-batch
+replayed after a failure leaves the state exactly as one run would.
 """
 
 from __future__ import annotations
