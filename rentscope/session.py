@@ -44,15 +44,24 @@ def get_spark(master: str | None = None, app: str = "rentscope",
     return spark
 
 
+_LOCAL_ROOT: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts; read from the session first."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        # Only reached when the cluster names no shared folder (tests).
-        root = tempfile.mkdtemp(prefix="rentscope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # Only reached when the cluster names no shared folder (tests, local
+        # runs): one folder per application, remembered here because core
+        # settings may not be changeable at runtime.
+        app = spark.sparkContext.applicationId
+        root = _LOCAL_ROOT.setdefault(app, tempfile.mkdtemp(prefix="rentscope-ckpt-"))
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # noqa: BLE001 - a read-only core setting
+            pass
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(root)
     return root
