@@ -343,8 +343,8 @@ def stratum_supply(spark, sf_dir):
 
 @register("affordability_rank", L_TR + """
 SELECT city_name, neighborhood_final, round(median_rent, 4) AS median_rent, rank_cheapest, rank_priciest FROM (
-  SELECT *, row_number() OVER (PARTITION BY city_name ORDER BY median_rent ASC, neighborhood_final ASC) AS rank_cheapest,
-            row_number() OVER (PARTITION BY city_name ORDER BY median_rent DESC, neighborhood_final ASC) AS rank_priciest
+  SELECT *, row_number() OVER (PARTITION BY city_name ORDER BY median_rent ASC NULLS LAST, neighborhood_final ASC NULLS LAST) AS rank_cheapest,
+            row_number() OVER (PARTITION BY city_name ORDER BY median_rent DESC NULLS LAST, neighborhood_final ASC NULLS LAST) AS rank_priciest
   FROM (SELECT city_name, neighborhood_final, median(CAST(rent_value AS DOUBLE)) AS median_rent
         FROM tr GROUP BY city_name, neighborhood_final) m) r
 WHERE rank_cheapest <= 3 OR rank_priciest <= 3""")

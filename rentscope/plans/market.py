@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.quantiles import median_by
+from ..operators import ordered
+from ..operators.quantiles import join_null_safe, median_by
 
 LOCATION = ["city_name", "neighborhood_final"]
 
@@ -45,14 +46,18 @@ def stratum_supply(tr: DataFrame) -> DataFrame:
 def affordability_rank(tr: DataFrame, n: int = 3) -> DataFrame:
     """Cheapest and priciest neighborhoods per city by median rent.
 
-    The window runs over one row per neighborhood (already aggregated), so
-    its partitions are bounded by neighborhoods per city, not listings."""
+    Both rankings are skew-safe ordered scans over one row per neighborhood
+    (a city with a third of all neighborhoods is still ranked by many tasks);
+    ties on the median are broken by the neighborhood name.  NULL medians
+    sort last in both directions."""
     m = median_by(tr, LOCATION, {"median_rent": F.col("rent_value")})
-    w_lo = Window.partitionBy("city_name").orderBy(F.col("median_rent").asc(), F.col("neighborhood_final").asc())
-    w_hi = Window.partitionBy("city_name").orderBy(F.col("median_rent").desc(), F.col("neighborhood_final").asc())
-    r = (m.withColumn("rank_cheapest", F.row_number().over(w_lo))
-          .withColumn("rank_priciest", F.row_number().over(w_hi)))
-    return r.filter((F.col("rank_cheapest") <= n) | (F.col("rank_priciest") <= n))
+    name = F.col("neighborhood_final").asc_nulls_last()
+    lo = ordered.ordered_scan(m, ["city_name"], [F.col("median_rent").asc_nulls_last(), name]) \
+        .select(*LOCATION, "median_rent", F.col(ordered.RANK).alias("rank_cheapest"))
+    hi = ordered.ordered_scan(m, ["city_name"], [F.col("median_rent").desc_nulls_last(), name]) \
+        .select(*LOCATION, F.col(ordered.RANK).alias("rank_priciest"))
+    both = join_null_safe(lo, hi, LOCATION, how="inner")
+    return both.filter((F.col("rank_cheapest") <= n) | (F.col("rank_priciest") <= n))
 
 
 def top_depth(tr: DataFrame, n: int = 20) -> DataFrame:
