@@ -106,3 +106,11 @@ def scale_conf(shuffle_bytes: float, executor_cores: int, executors: int,
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
     }
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table through the Hadoop FileSystem of its URI
+    (HDFS, object stores or local), once no job reads it any more."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

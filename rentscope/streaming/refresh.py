@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.listings import NON_RESIDENTIAL_TYPES, lifecycle, merge_states, snapshot_state, staging
-from ..session import materialize
+from ..session import drop_path, scratch_path
 from ..sources.bronze import as_text
 
 N_BUCKETS = 64
@@ -53,9 +53,11 @@ def merge_batch(spark: SparkSession, bronze_rows: DataFrame, state_path: str, n_
     both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     merged = merge_states(both.drop("bucket")).withColumn("bucket", bucket_of(F.col("property_id"), n_buckets))
     # written to the shared folder first: the target partitions are being read
-    staged = materialize(merged, "state-merge")
+    staged_path = scratch_path(spark, "state-merge")
+    merged.write.mode("overwrite").parquet(staged_path)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    staged.write.mode("overwrite").partitionBy("bucket").parquet(state_path)
+    spark.read.parquet(staged_path).write.mode("overwrite").partitionBy("bucket").parquet(state_path)
+    drop_path(spark, staged_path)  # the state now holds the merged buckets
 
 
 def read_silver(spark: SparkSession, state_path: str, as_of=None, non_residential=NON_RESIDENTIAL_TYPES) -> DataFrame:
