@@ -21,7 +21,7 @@ from ..operators.windows import latest_per_key
 from ..session import scratch_path
 from ..sources.tables import table
 
-# Bronze column names, in order (19 source fields + 2 audit columns).
+# Bronze column names, in order (19 source fields + 2 audit columns).
 BRONZE_COLUMNS = [
     "MIDINMUEBLE", "MIDEMPRESA", "TITLE", "LINK", "MBARRIO", "MNOMBRECOMUNBARRIO",
     "MCIUDAD.NOMBRE", "MZONA.NOMBRE", "MAREA", "AREAPRIVADA", "MNROCUARTOS", "MNROBANOS",

@@ -53,7 +53,7 @@ def fact_listing(tr: DataFrame, link_base: str = LINK_BASE) -> DataFrame:
         date_key(tr).alias("fk_date"),
         geo_key(tr).alias("geo_fk"),
         feature_key(tr).alias("feature_fk"),
-        F.col("rent_value").alias("reting_price"),
+        F.col("rent_value").alias("reting_price"),  # fixed value: the mart's published column name (sic)
         F.coalesce(F.col("administration_value"), F.lit(0.0).cast("float")).alias("administration_value"),
         "days_on_market", "days_off_market", "longitude", "latitude",
         concat_skip_nulls(F.lit(link_base), F.col("property_link")).alias("link"),
