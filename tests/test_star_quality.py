@@ -79,3 +79,13 @@ def test_contracts_report_exactly_their_rows(spark):
     import pytest
     with pytest.raises(ValueError):
         quality.assert_contracts(quality.contract_report(df, not_null=["rent_value"]))
+
+
+def test_key_text_is_portable_for_large_and_small_floats(spark):
+    from pyspark.sql import types as T
+
+    from rentscope.functions.keys import concat_skip_nulls, key_text
+    df = spark.createDataFrame([(1.0e7, 0.0005, None)], "a float, b double, c string")
+    r = df.select(key_text(F.col("a"), T.FloatType()).alias("a"), key_text(F.col("b"), T.DoubleType()).alias("b"),
+                  concat_skip_nulls(F.lit("x"), F.col("c"), F.lit("-")).alias("c")).first()
+    assert (r.a, r.b, r.c) == ("10000000.00", "0.00", "x-")  # never '1.0E7'; NULL parts skipped
