@@ -7,7 +7,9 @@ absent (unit tests, local runs) do we pick a folder ourselves.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -67,9 +69,32 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_CREATED: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder."""
-    return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh path under the shared checkpoint folder.  Paths handed out
+    here are removed when this process exits (they are only read by jobs of
+    this process: materialized models, scan outputs, staged merges)."""
+    path = os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _CREATED.append((spark, path))
+    return path
+
+
+def _remove_scratch() -> None:
+    for spark, path in reversed(_CREATED):
+        try:
+            if spark.sparkContext._jsc is not None:
+                drop_path(spark, path)
+                continue
+        except Exception:  # noqa: BLE001 - the JVM may already be gone at exit
+            pass
+        local = path[len("file:"):] if path.startswith("file:") else path
+        if "://" not in local and os.path.isdir(local):
+            shutil.rmtree(local, ignore_errors=True)
+
+
+atexit.register(_remove_scratch)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
