@@ -76,3 +76,24 @@ def test_dense_from_scan_with_ties_across_partitions(spark):
     a = sorted((r.id, r._dense) for r in s.collect())
     b = sorted((r.id, r.d) for r in w.collect())
     assert a == b
+
+
+def test_affordability_rank_equals_window_form(spark):
+    from rentscope.plans import market
+    rnd = random.Random(9)
+    rows = []
+    for i in range(1500):
+        city = "big" if rnd.random() < 0.5 else f"c{rnd.randint(0, 4)}"
+        nb = f"n{rnd.randint(0, 60)}"
+        rows.append((city, nb, float(rnd.choice([10, 20, 30, 40, 55]))))  # many tied medians
+    tr = spark.createDataFrame(rows, "city_name string, neighborhood_final string, rent_value double")
+    got = sorted(tuple(r) for r in market.affordability_rank(tr, 3).select(
+        "city_name", "neighborhood_final", "median_rent", "rank_cheapest", "rank_priciest").collect())
+    m = tr.groupBy("city_name", "neighborhood_final").agg(F.median("rent_value").alias("median_rent"))
+    lo = Window.partitionBy("city_name").orderBy(F.col("median_rent").asc(), F.col("neighborhood_final").asc())
+    hi = Window.partitionBy("city_name").orderBy(F.col("median_rent").desc(), F.col("neighborhood_final").asc())
+    w = (m.withColumn("rank_cheapest", F.row_number().over(lo)).withColumn("rank_priciest", F.row_number().over(hi))
+          .where("rank_cheapest <= 3 OR rank_priciest <= 3"))
+    want = sorted(tuple(r) for r in w.select("city_name", "neighborhood_final", "median_rent",
+                                            "rank_cheapest", "rank_priciest").collect())
+    assert got == want
