@@ -97,3 +97,19 @@ def test_affordability_rank_equals_window_form(spark):
     want = sorted(tuple(r) for r in w.select("city_name", "neighborhood_final", "median_rent",
                                             "rank_cheapest", "rank_priciest").collect())
     assert got == want
+
+
+def test_scan_with_more_partitions_than_rows(spark):
+    df = spark.createDataFrame([(i, "g" if i < 5 else None, float(i)) for i in range(8)], "id int, g string, x double")
+    s = ordered.ordered_scan(df, ["g"], [F.col("x").asc(), F.col("id")], "x", n_parts=50)
+    got = sorted(((r.g, r.id, r._rank, r._cum, r._n) for r in s.collect()), key=repr)
+    want = sorted([("g", i, i + 1, float(sum(range(i + 1))), 5) for i in range(5)] +
+                  [(None, i, i - 4, float(sum(range(5, i + 1))), 3) for i in range(5, 8)], key=repr)
+    assert got == want
+
+
+def test_median_by_all_null_group(spark):
+    from rentscope.operators.quantiles import median_by
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("z", None), ("z", None)], "g string, x double")
+    got = {r.g: r.m for r in median_by(df, "g", {"m": F.col("x")}, extra=[F.count(F.lit(1)).alias("n")]).collect()}
+    assert got == {"a": 2.0, "z": None}
