@@ -70,9 +70,13 @@ def share_of_group(df: DataFrame, by, x: str, out: str = "pct") -> DataFrame:
     split across tasks; a ``sum() over (partition by)`` would not."""
     by = _cols(by)
     tot = df.groupBy(*by).agg(F.sum(x).alias("_tot"))
-    return (df.join(tot, on=by, how="left")
+    tot = tot.select(*[F.col(c).alias(f"_g_{c}") for c in by], "_tot")
+    cond = F.lit(True)
+    for c in by:  # NULL keys form one group, as in PARTITION BY
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    return (df.join(tot, cond, "left")
               .withColumn(out, F.lit(100.0) * F.try_divide(F.col(x), F.nullif(F.col("_tot"), F.lit(0))))
-              .drop("_tot"))
+              .drop("_tot", *[f"_g_{c}" for c in by]))
 
 
 def running_total(df: DataFrame, by, order: Sequence[Column], x: str, out: str = "running") -> DataFrame:

@@ -158,3 +158,9 @@ def test_aggregates(spark):
     assert agg.signed_sum(tx, "a", "x", F.col("t") == "Withdrawal", "b").first().b == 6.0
     ipo = spark.createDataFrame([(1, 500), (2, 1000), (3, 800), (4, 1000)], "item_count int, occ int")
     assert agg.weighted_mean(ipo, "item_count", "occ").first().weighted_mean == 2.7
+
+
+def test_share_of_group_null_key_is_a_group(spark):
+    df = spark.createDataFrame([(1, None, 1.0), (2, None, 3.0), (3, "a", 2.0)], "id int, g string, x double")
+    got = {r.id: r.pct for r in windows.share_of_group(df, "g", "x").collect()}
+    assert got == {1: 25.0, 2: 75.0, 3: 100.0}
