@@ -98,13 +98,15 @@ def global_dense_top(df: DataFrame, x: str, n: int, out: str = "dense_rank",
     to the data: the broadcast side holds at most n rows by construction.
     ``only`` keeps a single rank (e.g. 2 for "second highest").
     """
-    vals = df.select(x).where(F.col(x).isNotNull()).distinct()
-    o = F.col(x).desc() if descending else F.col(x).asc()
+    vals = df.select(x).distinct()
+    o = F.col(x).desc() if descending else F.col(x).asc()  # the window's own NULL placement
     top = vals.orderBy(o).limit(n)
     ranked = top.withColumn(out, F.dense_rank().over(Window.orderBy(o)))
     if only is not None:
         ranked = ranked.filter(F.col(out) == only)
-    return df.join(F.broadcast(ranked), on=x, how="inner")
+    ranked = ranked.withColumnRenamed(x, "_top_x")
+    return (df.join(F.broadcast(ranked), F.col(x).eqNullSafe(F.col("_top_x")), "inner")
+              .drop("_top_x"))
 
 
 def pareto(df: DataFrame, by, x: str, tiebreak: Sequence[Column], cut: float = 80.0) -> DataFrame:

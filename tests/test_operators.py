@@ -164,3 +164,10 @@ def test_share_of_group_null_key_is_a_group(spark):
     df = spark.createDataFrame([(1, None, 1.0), (2, None, 3.0), (3, "a", 2.0)], "id int, g string, x double")
     got = {r.id: r.pct for r in windows.share_of_group(df, "g", "x").collect()}
     assert got == {1: 25.0, 2: 75.0, 3: 100.0}
+
+
+def test_global_dense_top_ranks_null_like_the_window(spark):
+    df = spark.createDataFrame([(1, 5.0), (2, None), (3, 5.0), (4, 1.0)], "id int, x double")
+    a = sorted((r.id, r.dense_rank) for r in windows.global_dense_top(df, "x", 3).collect())
+    w = df.withColumn("dense_rank", F.dense_rank().over(Window.orderBy(F.col("x").desc()))).where("dense_rank <= 3")
+    assert a == sorted((r.id, r.dense_rank) for r in w.collect()) == [(1, 1), (2, 3), (3, 1), (4, 2)]
