@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import line_rules
+from . import fm_decontam, line_rules, simhash_gray
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +20,19 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_lines_removed")
 
 
-QUERIES: dict[str, Job] = {f.__name__: f for f in (op5_quality_rules,)}
+def op4_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return simhash_gray.near_dup_groups(docs).select(
+        "doc_id", simhash_gray.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return fm_decontam.decontaminate(docs, table(spark, sf_dir, "benchmark", "item_id", "text")).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+QUERIES: dict[str, Job] = {f.__name__: f for f in (op4_simhash_gray, op5_quality_rules, op10_decontamination)}
 
 ORACLE: dict[str, str] = {}
 
