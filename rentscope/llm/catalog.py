@@ -8,11 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import fm_decontam, line_rules, simhash_gray
+from . import fm_decontam, line_rules, packing, simhash_gray, token_counts
 
 Job = Callable[[SparkSession, str], DataFrame]
 
 
+def word_tokenizer() -> str:
+    """File of the public word-end BPE tokenizer."""
+    import public_tokenizers
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "text")
+    return token_counts.suffix_sums(token_counts.length_histogram(docs, word_tokenizer()))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return line_rules.apply_rules(docs).select(
@@ -26,13 +37,18 @@ def op4_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", simhash_gray.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack(docs, word_tokenizer())
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return fm_decontam.decontaminate(docs, table(spark, sf_dir, "benchmark", "item_id", "text")).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES: dict[str, Job] = {f.__name__: f for f in (op4_simhash_gray, op5_quality_rules, op10_decontamination)}
+QUERIES: dict[str, Job] = {f.__name__: f for f in (op1_token_counts, op4_simhash_gray, op5_quality_rules, op7_packing, op10_decontamination)}
 
 ORACLE: dict[str, str] = {}
 
