@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import fm_decontam, line_rules, packing, simhash_gray, token_counts
+from . import fm_decontam, line_rules, packing, secret_forest, simhash_gray, token_counts
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,12 @@ def op4_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", simhash_gray.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    model = secret_forest.train(secret_forest.labelled_findings(spark))
+    return secret_forest.findings(docs, model)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return packing.pack(docs, word_tokenizer())
@@ -48,7 +54,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES: dict[str, Job] = {f.__name__: f for f in (op1_token_counts, op4_simhash_gray, op5_quality_rules, op7_packing, op10_decontamination)}
+QUERIES: dict[str, Job] = {f.__name__: f for f in (op1_token_counts, op4_simhash_gray, op5_quality_rules, op6_secret_scan, op7_packing, op10_decontamination)}
 
 ORACLE: dict[str, str] = {}
 

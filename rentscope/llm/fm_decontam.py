@@ -291,9 +291,10 @@ def _spans_of_block(docs: DataFrame, items: list[tuple[int | None, bytes | None]
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
                   item_col: str = "item_id", item_text: str = "text", window: int = WINDOW,
                   block_bytes: int = BLOCK_BYTES, shard_symbols: int = SHARD_SYMBOLS) -> DataFrame:
-    """(id_col, n_words, spans, n_hit, items, n_items, items_sha256, contaminated), a row per document.
+    """(id_col, text_hash, n_words, spans, n_hit, items, n_items, items_sha256, contaminated), a row per document.
 
-    ``spans`` are the merged word ranges [start, end) that benchmark windows
+    ``text_hash`` is Spark's ``xxhash64`` of the text, to tell apart rows of
+    one id.  ``spans`` are the merged word ranges [start, end) that benchmark windows
     cover, ``items`` the ids found.  A document is contaminated if at least
     one word in twenty is covered."""
     bench = benchmark.select(F.col(f"`{item_col}`").cast("bigint").alias("item"),
@@ -302,7 +303,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     blocks = max(1, math.ceil(size / block_bytes))
     src = docs.select(
         F.col(f"`{id_col}`").cast("bigint").alias("id"),
-        (F.lit(0).cast("bigint") if blocks == 1 else F.xxhash64(F.col(f"`{text}`"))).alias("h"),
+        F.xxhash64(F.col(f"`{text}`")).alias("h"),
         F.col(f"`{text}`").cast("binary").alias("t"))
     parts = []
     for k in range(blocks):
@@ -318,7 +319,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                         lambda x: F.struct(x["starts"].alias("start"), x["ends"].alias("end")))
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, x: a + x["end"] - x["start"])
     listed = F.array_join(F.sort_array(F.transform("items", lambda x: x.cast("string"))), ",")
-    return found.select(F.col("id").alias(id_col), "n_words", spans.alias("spans"), "items") \
+    return found.select(F.col("id").alias(id_col), F.col("h").alias("text_hash"), "n_words", spans.alias("spans"), "items") \
         .withColumn("n_hit", n_hit) \
         .withColumn("n_items", F.size("items").cast("bigint")) \
         .withColumn("items_sha256", F.sha2(listed, 256)) \
