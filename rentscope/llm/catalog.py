@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import fm_decontam, line_rules, packing, quality_qda, secret_forest, simhash_gray, token_counts
+from . import fm_decontam, html_sst, line_rules, packing, quality_qda, secret_forest, simhash_gray, token_counts
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,10 @@ def op2_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_qda.score_documents(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_sst.extract_pages(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op4_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return simhash_gray.near_dup_groups(docs).select(
@@ -59,7 +63,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES: dict[str, Job] = {f.__name__: f for f in (op1_token_counts, op2_quality_qda, op4_simhash_gray, op5_quality_rules, op6_secret_scan, op7_packing, op10_decontamination)}
+QUERIES: dict[str, Job] = {f.__name__: f for f in (op1_token_counts, op2_quality_qda, op3_html_extraction, op4_simhash_gray, op5_quality_rules, op6_secret_scan, op7_packing, op10_decontamination)}
 
 ORACLE: dict[str, str] = {}
 
