@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import fm_decontam, html_sst, line_rules, packing, quality_qda, secret_forest, simhash_gray, token_counts
+from . import chat_events, fm_decontam, html_sst, line_rules, packing, quality_qda, secret_forest, simhash_gray, token_counts
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -57,15 +57,45 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, word_tokenizer())
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    marked = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", marked), (-1, 1, "assistant", marked)],
+                                "conv_id bigint, turn bigint, role string, text string")
+    log = chat_events.events_of_turns(turns.unionByName(own))
+    return chat_events.digests(chat_events.format_conversations(log))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return fm_decontam.decontaminate(docs, table(spark, sf_dir, "benchmark", "item_id", "text")).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES: dict[str, Job] = {f.__name__: f for f in (op1_token_counts, op2_quality_qda, op3_html_extraction, op4_simhash_gray, op5_quality_rules, op6_secret_scan, op7_packing, op10_decontamination)}
-
-ORACLE: dict[str, str] = {}
+QUERIES: dict[str, Job] = {f.__name__: f for f in (op1_token_counts, op2_quality_qda, op3_html_extraction, op4_simhash_gray, op5_quality_rules, op6_secret_scan, op7_packing, op8_chat_formatting, op10_decontamination)}
+
+# The escaped length: a backslash more for each backslash and each control string.
+_CHAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+  SELECT *, length(text) + length(text) - length(replace(text, '\', ''))
+         + len(regexp_extract_all(replace(text, '\', '\\'), '</?s>|\[/?INST\]|\[SYS\]|\[/?ROLE\]')) AS n,
+         CASE role WHEN 'user' THEN 6 WHEN 'assistant' THEN 7 WHEN 'system' THEN 5
+              ELSE 13 + 2 * octet_length(encode(role)) END AS tag
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(7 + tag + n) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+""".replace("\\\\", "\\").strip()
+
+ORACLE: dict[str, str] = {"op8_chat_formatting": _CHAT}
 
 
 def queries() -> dict[str, Job]:
