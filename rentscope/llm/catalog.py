@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chat_events, fm_decontam, html_sst, line_rules, packing, quality_qda, secret_forest, simhash_gray, token_counts
+from . import chat_events, fm_decontam, html_sst, license_scan, line_rules, packing, quality_qda, secret_forest, simhash_gray, token_counts
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -66,13 +66,27 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_events.digests(chat_events.format_conversations(log))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a directory per source, language and 64 ids.  A document of at most
+    600 characters stands for a licence file one level up, any other for a text file."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    top = F.concat_ws("/", "source", "lang")
+    number = F.col("doc_id").cast("string")
+    path = F.when(F.length("text") <= 600, F.concat(top, F.lit("/LICENSE."), number)) \
+        .otherwise(F.concat(top, F.lit("/b"), F.floor(F.col("doc_id") / 64).cast("string"), F.lit("/"), number,
+                            F.lit(".txt")))
+    return license_scan.scan(docs.select("doc_id", path.alias("path"), "text")).select(
+        "doc_id", "path", "is_license_file", "own_license", "own_score", "n_statements", "license", "origin",
+        "from_directory")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return fm_decontam.decontaminate(docs, table(spark, sf_dir, "benchmark", "item_id", "text")).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES: dict[str, Job] = {f.__name__: f for f in (op1_token_counts, op2_quality_qda, op3_html_extraction, op4_simhash_gray, op5_quality_rules, op6_secret_scan, op7_packing, op8_chat_formatting, op10_decontamination)}
+QUERIES: dict[str, Job] = {f.__name__: f for f in (op1_token_counts, op2_quality_qda, op3_html_extraction, op4_simhash_gray, op5_quality_rules, op6_secret_scan, op7_packing, op8_chat_formatting, op9_license_scan, op10_decontamination)}
 
 # The escaped length: a backslash more for each backslash and each control string.
 _CHAT = r"""
