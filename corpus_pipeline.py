@@ -32,8 +32,9 @@ def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = line_rules.apply_rules(docs).where("kept")
-    return _with_text(judged.withColumn("text", F.col("clean_text")), docs.columns)
+    # the whole row travels as one value, so that no column of it meets a figure's name
+    judged = line_rules.apply_rules(docs.select(F.struct("*").alias("row"), "text")).where("kept")
+    return _with_text(judged.select("row.*", "clean_text").withColumn("text", F.col("clean_text")), docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -91,7 +91,9 @@ def _element(tag: str, attrs: str, parent: _Frame, removed) -> tuple[_Frame, str
     if "=" in attrs:
         found = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)}
         link = found.pop("href", "")
-        named = _DIGITS.sub("0", " ".join(f"{k}={v}" for k, v in sorted(found.items()))).lower()
+        if "id" in found:  # numbered ids are one path
+            found["id"] = _DIGITS.sub("0", found["id"])
+        named = " ".join(f"{k}={v}" for k, v in sorted(found.items())).lower()
         words = {w for v in found.values() for w in _SPLIT.split(v.lower())}
     noise = parent.noise or tag in NOISE_TAGS or (tag not in ("html", "body") and not NOISE_WORDS.isdisjoint(words))
     if tag == "header" and not parent.inside:

@@ -163,18 +163,18 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", threshold: fl
     # one row per directory that holds a licence file
     holders = own.where("is_license_file and own_license is not null").groupBy("directory") \
         .agg(F.min(F.struct((-F.col("own_score")).alias("minus"), "own_license")).alias("b")) \
-        .select(F.col("directory").alias("holder"), F.col("b.own_license").alias("given"))
+        .select(F.col("directory").alias("__holder"), F.col("b.own_license").alias("__given"))
     # every distinct directory with its ancestors, itself included; the deepest holder decides
     dirs = own.select("directory").distinct()
     steps = F.when(F.col("directory") == "", F.array(F.lit(""))).otherwise(F.concat(F.array(F.lit("")), F.transform(
         F.sequence(F.lit(1), F.size(F.split("directory", "/"))),
         lambda k: F.array_join(F.slice(F.split(F.col("directory"), "/"), F.lit(1), k), "/"))))
-    nearest = dirs.select("directory", F.explode(steps).alias("holder")).join(holders, "holder") \
-        .groupBy("directory").agg(F.max(F.struct(F.length("holder").alias("depth"), "holder", "given")).alias("b")) \
-        .select("directory", F.col("b.given").alias("given"), F.col("b.holder").alias("holder"))
+    nearest = dirs.select("directory", F.explode(steps).alias("__holder")).join(holders, "__holder") \
+        .groupBy("directory").agg(F.max(F.struct(F.length("__holder").alias("depth"), "__holder", "__given")).alias("b")) \
+        .select("directory", F.col("b.__given").alias("__given"), F.col("b.__holder").alias("__holder"))
     return own.join(nearest, "directory", "left").select(
         *carried, "directory", "is_license_file", "own_license", "own_score", "n_statements",
-        F.coalesce("own_license", "given").alias("license"),
-        F.when(F.col("own_license").isNotNull(), "own").when(F.col("given").isNotNull(), "inherited")
+        F.coalesce("own_license", "__given").alias("license"),
+        F.when(F.col("own_license").isNotNull(), "own").when(F.col("__given").isNotNull(), "inherited")
         .otherwise("none").alias("origin"),
-        F.when(F.col("own_license").isNull(), F.col("holder")).alias("from_directory"))
+        F.when(F.col("own_license").isNull(), F.col("__holder")).alias("from_directory"))

@@ -1,0 +1,45 @@
+import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from rentscope.llm import secret_forest as S
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return S.train(S.labelled_findings(spark))
+
+
+def test_expression_equals_the_forest_and_separates_unseen_findings(spark, model):
+    # rows past the training bound are held out
+    fresh = S.labelled_findings(spark, S.TRAIN_ROWS + 1500).withColumn("n", F.monotonically_increasing_id()).where(f"n >= {S.TRAIN_ROWS}")
+    x = fresh.select("label", S.features(F.col("value"), F.col("left"), F.col("right"), F.col("path")).alias("f")) \
+        .withColumn("p", S.forest_score(model, F.col("f")))
+    y = model.transform(VectorAssembler(inputCols=S.FEATURES, outputCol="features").transform(x.select("label", "p", "f.*")))
+    rows = y.select("label", "p", vector_to_array("probability")[1].alias("q")).collect()
+    assert len(rows) == 1500 and all(abs(r.p - r.q) < 1e-9 for r in rows)
+    assert sum((r.p >= S.THRESHOLD) == (r.label == 1) for r in rows) >= 0.97 * len(rows)
+
+
+KEY = "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda"
+
+
+def test_findings_and_redaction(spark, model, make_docs, prose):
+    texts = {1: f'text token = "{KEY}" more 2669109448945250 end', 2: f"commit {KEY} fixed it", 3: None, 4: "",
+             5: f'token = "{KEY}"', 6: prose(1, 3000), 7: f'{prose(2, 50)}\ntoken = "{KEY}"\nTOKEN = "{KEY.upper()}"'}
+    docs = make_docs(list(texts.items()) + [(1, texts[1])]).withColumn("score", F.lit("x"))
+    rows = S.findings(docs, model).collect()
+    for r in rows:
+        assert r.length == (16 if not r.is_secret and r.length == 16 else 40)
+        value = texts[r.doc_id][r.start:r.start + r.length]
+        assert spark.range(1).select(F.sha2(F.lit(value), 256)).first()[0] == r.value_sha256
+    assert sorted((r.doc_id, r.start) for r in rows if r.is_secret) == sorted(
+        [(1, 14), (1, 14), (5, 9), (7, texts[7].index(KEY)), (7, texts[7].index(KEY.upper()))])
+    clean = {r.doc_id: r.text for r in S.redact(docs, model).collect()}
+    assert clean[1] == 'text token = "[SECRET]" more 2669109448945250 end'
+    assert clean[2] == texts[2] and clean[3] is None and clean[4] == "" and clean[6] == texts[6]
+    assert clean[5] == 'token = "[SECRET]"' and KEY.upper() not in clean[7]
+    assert S.redact(docs, model).columns == docs.columns
+    assert S.findings(docs.limit(0), model).count() == 0
+    assert S.findings(docs.drop("source"), model, path=None).count() == len(rows)
