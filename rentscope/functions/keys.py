@@ -11,10 +11,10 @@ def key_text(c: Column, dtype: T.DataType | None = None) -> Column:
     """Canonical text of a key part.
 
     Float text is not portable (1.0E7 vs 10000000.0), so fractional parts are
-    rendered through decimal(18,2); everything else is a plain string cast.
+    rendered through decimal(38,10); everything else is a plain string cast.
     """
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return c.cast("decimal(18,2)").cast("string")
+        return c.cast("decimal(38,10)").cast("string")
     return c.cast("string")
 
 

@@ -11,7 +11,7 @@ WORD_SPLIT = r"[^\p{L}\p{N}]+"
 
 def capitalize_first(c: Column) -> Column:
     """Upper-case the first character, lower-case the rest (not initcap)."""
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(c, F.lit(2))))
 
 
 def words(c: Column) -> Column:

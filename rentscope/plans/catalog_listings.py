@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import quality
 from . import market, star
 from .catalog import register
-from .listings import driver_silver, driver_staging, driver_transformation
+from .listings import build_model, driver_silver, driver_staging, driver_transformation
 
 # ---------------------------------------------------------------------------
 # Oracle: the same derivation written independently in DuckDB SQL.
@@ -78,8 +78,7 @@ seed AS (
   FROM (SELECT DISTINCT user_id FROM events) u
   JOIN part p ON p.p_partkey = u.user_id
   JOIN customer c ON c.c_custkey = u.user_id
-  JOIN nation n ON n.n_nationkey = c.c_nationkey
-  WHERE p.p_size <= 25),
+  JOIN nation n ON n.n_nationkey = c.c_nationkey),
 qn AS (
   SELECT DISTINCT city_name, common_neighborhood_name AS nm FROM silver
   WHERE common_neighborhood_name IS NOT NULL AND city_name <> ''),
@@ -123,17 +122,20 @@ keyed AS (
                     coalesce(CAST(rooms AS VARCHAR), '0'), '-',
                     coalesce(CAST(bathrooms AS VARCHAR), '0'), '-',
                     coalesce(CAST(garages AS VARCHAR), '0'), '-',
-                    coalesce(CAST(CAST(total_area AS DECIMAL(18,2)) AS VARCHAR), '0'), '-',
+                    coalesce(CAST(CAST(total_area AS DECIMAL(38,10)) AS VARCHAR), '0'), '-',
                     property_type)) AS feature_key
   FROM tr),
 d_geo AS (
-  SELECT geo_key, max(city_name) AS city_name, max(neighborhood_final) AS neighborhood_final
-  FROM keyed GROUP BY geo_key),
+  SELECT geo_key, city_name, neighborhood_final FROM (
+    SELECT DISTINCT ON (geo_key) geo_key, city_name, neighborhood_final FROM keyed
+    ORDER BY geo_key, city_name DESC NULLS LAST, neighborhood_final DESC NULLS LAST) t),
 d_feature AS (
-  SELECT feature_key, max(socioeconomic_stratum) AS socioeconomic_stratum, max(rooms) AS rooms,
-         max(bathrooms) AS bathrooms, max(garages) AS garages, max(total_area) AS total_area,
-         max(property_type) AS property_type
-  FROM keyed GROUP BY feature_key),
+  SELECT feature_key, socioeconomic_stratum, rooms, bathrooms, garages, total_area, property_type FROM (
+    SELECT DISTINCT ON (feature_key) feature_key, socioeconomic_stratum, rooms, bathrooms, garages, total_area,
+           property_type
+    FROM keyed
+    ORDER BY feature_key, socioeconomic_stratum DESC NULLS LAST, rooms DESC NULLS LAST, bathrooms DESC NULLS LAST,
+             garages DESC NULLS LAST, total_area DESC NULLS LAST, property_type DESC NULLS LAST) t),
 d_date AS (
   SELECT DISTINCT date_key, extracted_at, CAST(year(extracted_at) AS INTEGER) AS year,
          CAST(month(extracted_at) AS INTEGER) AS month
@@ -169,6 +171,17 @@ def staging_listings(spark, sf_dir):
     return driver_staging(spark, sf_dir)
 
 
+@register("build_silver", L_SILVER + "SELECT * FROM silver")
+def build_silver(spark, sf_dir):
+    """Writes the silver table anew; the marts after it read what it wrote."""
+    return build_model(spark, sf_dir, "silver")
+
+
+@register("build_transformation", L_TR + "SELECT * FROM tr")
+def build_transformation(spark, sf_dir):
+    return build_model(spark, sf_dir, "transformation")
+
+
 @register("silver_listings", L_SILVER + "SELECT * FROM silver")
 def silver_listings(spark, sf_dir):
     return driver_silver(spark, sf_dir)

@@ -5,32 +5,51 @@ audit columns)."""
 from __future__ import annotations
 
 import datetime as _dt
-import os
 
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from ..sources import landing
+from ..sources import bronze, landing
+from ..streaming.ingest import incremental_ingest
+from ..streaming.refresh import read_silver, refresh_from_stream
 from .catalog import register
+from .catalog_listings import _SILVER, _STG, _with
 from .landing_pages import pages_from_tables, write_landing
-from .listings import _source_stamp
+from .listings import DRIVER_AS_OF, DRIVER_NON_RESIDENTIAL, source_stamp
 
-LOADED_AT = _dt.datetime(2024, 2, 1)  # the load instant stamped on this load
+LOADED_AT = _dt.datetime(2024, 2, 1)  # the load instant stamped on a full load
+STREAMED_AT = _dt.datetime(2024, 2, 4)  # ... and on the incremental batches
 
+# Bronze holds text; these are compared as numbers.
+NUMBERS = ["MAREA", "AREAPRIVADA", "MVALORARRIENDO", "DATA.MVALORADMINISTRACION", "LOCALIZACION.LON",
+           "LOCALIZACION.LAT"]
 
-_LANDED: dict[tuple, str] = {}
+_LANDED: dict[tuple, dict[str, str]] = {}
 
 
-def _landed(spark, sf_dir):
-    """Landing pages as the portal would have delivered them.  They stand in
-    for files that already exist upstream, so they are written once per
-    session and set of inputs; every call reads them through the ingest."""
-    key = (spark.sparkContext.applicationId, _source_stamp(sf_dir))
-    path = _LANDED.get(key)
-    if path is None or not os.path.exists(path):
-        path = scratch_path(spark, "landing")
-        write_landing(pages_from_tables(spark, sf_dir), path)
-        _LANDED[key] = path
-    return landing.read_pages(spark, path)
+def _landed(spark, sf_dir) -> dict[str, str]:
+    """Landing folders as the portal would have delivered them: all pages, and
+    the even and odd pages apart.  They stand in for files that already exist
+    upstream, so they are written once per session and set of inputs."""
+    key = (spark.sparkContext.applicationId, source_stamp(spark, sf_dir))
+    if key not in _LANDED:
+        root = scratch_path(spark, "landing")
+        pages = pages_from_tables(spark, sf_dir)
+        write_landing(pages, f"{root}/all")
+        for k, name in enumerate(("even", "odd")):
+            write_landing(pages.where(F.col("page") % 2 == k), f"{root}/{name}")
+        _LANDED[key] = {n: f"{root}/{n}" for n in ("all", "even", "odd")}
+    return _LANDED[key]
+
+
+def land_fixtures(spark, sf_dir) -> None:
+    """Write the landing pages before anything is timed."""
+    _landed(spark, sf_dir)
+
+
+def _typed(df):
+    return df.select(*[F.col(f"`{c}`").cast("double").alias(c) if c in NUMBERS else F.col(f"`{c}`")
+                       for c in df.columns if c not in ("LOAD_ID", "LOAD_DATE")])
 
 
 _OBS = """
@@ -42,7 +61,8 @@ WITH obs AS (
 """
 
 
-@register("landing_bronze", _OBS + """
+def _bronze_sql(loaded: str, load_type: str) -> str:
+    return f"""
 SELECT CAST(user_id AS VARCHAR) AS "MIDINMUEBLE", CAST(c_nationkey AS VARCHAR) AS "MIDEMPRESA", c_name AS "TITLE",
        '/listing/' || CAST(event_id AS VARCHAR) AS "LINK", p_name AS "MBARRIO", substr(p_name, 2) AS "MNOMBRECOMUNBARRIO",
        city AS "MCIUDAD.NOMBRE",
@@ -55,14 +75,62 @@ SELECT CAST(user_id AS VARCHAR) AS "MIDINMUEBLE", CAST(c_nationkey AS VARCHAR) A
        CASE WHEN event_id % 4 = 0 THEN NULL ELSE c_acctbal / 100 END AS "DATA.MVALORADMINISTRACION",
        CAST(-75.5 AS DOUBLE) + CAST(c_custkey % 100 AS DOUBLE) / CAST(1000 AS DOUBLE) AS "LOCALIZACION.LON",
        CAST(6.2 AS DOUBLE) + CAST(p_partkey % 100 AS DOUBLE) / CAST(1000 AS DOUBLE) AS "LOCALIZACION.LAT",
-       p_type AS "MTIPOINMUEBLE.NOMBRE", TIMESTAMP '2024-02-01 00:00:00' AS "UPLOADED_DATE", 'FULL' AS "LOAD_TYPE"
-FROM obs""")
+       p_type AS "MTIPOINMUEBLE.NOMBRE", {loaded} AS "UPLOADED_DATE", {load_type} AS "LOAD_TYPE"
+FROM obs"""
+
+
+_FULL_AT, _STREAM_AT = "TIMESTAMP '2024-02-01 00:00:00'", "TIMESTAMP '2024-02-04 00:00:00'"
+# even pages come with the full load, odd pages with the stream
+_EVEN = "(event_id // 50) % 2 = 0"
+_TWO_LOADS = (f"CASE WHEN {_EVEN} THEN {_FULL_AT} ELSE {_STREAM_AT} END",
+              f"CASE WHEN {_EVEN} THEN 'FULL' ELSE 'INCREMENTAL' END")
+
+
+@register("landing_bronze", _OBS + _bronze_sql(_FULL_AT, "'FULL'"))
 def landing_bronze(spark, sf_dir):
-    return landing.to_bronze(_landed(spark, sf_dir), LOADED_AT, "FULL")
+    pages = landing.read_pages(spark, _landed(spark, sf_dir)["all"])
+    return _typed(landing.to_bronze(pages, LOADED_AT, "FULL"))
 
 
 @register("catalog_summary", _OBS + """
 SELECT city, count(*) AS total_entries, count(*) AS listings_seen, count(DISTINCT event_id // 50) AS pages
 FROM obs GROUP BY city""")
 def catalog_summary(spark, sf_dir):
-    return landing.catalog_summary(_landed(spark, sf_dir))
+    return landing.catalog_summary(landing.read_pages(spark, _landed(spark, sf_dir)["all"]))
+
+
+def _full_and_stream(spark, sf_dir) -> str:
+    """Bronze of a full load of the even pages and two stream runs over the odd
+    ones (the second run finds nothing new)."""
+    land, root = _landed(spark, sf_dir), scratch_path(spark, "bronze-two-loads")
+    landing.full_load(spark, land["even"], f"{root}/bronze", loaded_at=LOADED_AT)
+    for _ in range(2):
+        incremental_ingest(spark, land["odd"], f"{root}/bronze", f"{root}/checkpoint", max_files_per_trigger=40,
+                           loaded_at=STREAMED_AT).awaitTermination()
+    return root
+
+
+@register("stream_bronze", _OBS + _bronze_sql(*_TWO_LOADS))
+def stream_bronze(spark, sf_dir):
+    """A9-A12, S1: FULL and INCREMENTAL loads in one bronze layer, read back."""
+    return _typed(bronze.read_loads(spark, f"{_full_and_stream(spark, sf_dir)}/bronze"))
+
+
+@register("refresh_silver", _with(_STG.replace("e.ts AS extracted_at", f"{_TWO_LOADS[0]} AS extracted_at").replace(
+    "CASE WHEN day(e.ts) = 1 THEN 'FULL' ELSE 'INCREMENTAL' END", _TWO_LOADS[1]), _SILVER) + "SELECT * FROM silver")
+def refresh_silver(spark, sf_dir):
+    """S2: the snapshot state fed by the stream of bronze loads, read as silver."""
+    root = _full_and_stream(spark, sf_dir)
+    refresh_from_stream(spark, f"{root}/bronze", f"{root}/state", f"{root}/refresh-checkpoint").awaitTermination()
+    return read_silver(spark, f"{root}/state", as_of=DRIVER_AS_OF, non_residential=DRIVER_NON_RESIDENTIAL)
+
+
+@register("bronze_union", _OBS + _bronze_sql(*_TWO_LOADS))
+def bronze_union(spark, sf_dir):
+    """A12: two loads whose types drifted (text against numbers), unioned by name."""
+    land, path = _landed(spark, sf_dir), scratch_path(spark, "bronze-drift")
+    landing.full_load(spark, land["even"], path, loaded_at=LOADED_AT)
+    odd = landing.to_bronze(landing.read_pages(spark, land["odd"]), STREAMED_AT, "INCREMENTAL")
+    drifted = _typed(odd).drop("LOAD_TYPE").withColumn("LOAD_DATE", F.to_date("UPLOADED_DATE"))
+    drifted.write.partitionBy("LOAD_DATE").parquet(f"{path}/LOAD_TYPE=INCREMENTAL/LOAD_ID=drifted")
+    return _typed(bronze.read_loads(spark, path))

@@ -26,7 +26,7 @@ def pages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("title"),
         F.concat(F.lit("/listing/"), F.col("event_id").cast("string")).alias("link"),
         F.col("p_name").alias("mbarrio"),
-        F.substring("p_name", 2, 1 << 20).alias("mnombrecomunbarrio"),
+        F.expr("substring(p_name, 2)").alias("mnombrecomunbarrio"),
         F.struct(F.col("n_name").alias("nombre")).alias("mciudad"),
         F.struct(F.when(size % 7 == 0, F.lit("")).when(size % 7 == 1, F.lit("-"))
                   .otherwise(F.col("p_brand")).alias("nombre")).alias("mzona"),

@@ -9,7 +9,6 @@ survives the joins, so the work grows with ``events``.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +17,7 @@ from ..functions.clean import (NON_RESIDENTIAL_TYPES, blank_to_null, col_type, d
                                is_non_residential, safe_int)
 from ..operators.standardize import standardize
 from ..operators.windows import latest_per_key
-from ..session import scratch_path
+from ..session import file_stamp, scratch_path
 from ..sources.tables import table
 
 # Bronze column names, in order (19 source fields + 2 audit columns).
@@ -71,7 +70,7 @@ def observations_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("TITLE"),
         F.concat(F.lit("/listing/"), F.col("event_id").cast("string")).alias("LINK"),
         F.col("p_name").alias("MBARRIO"),
-        F.substring("p_name", 2, 1 << 20).alias("MNOMBRECOMUNBARRIO"),
+        F.expr("substring(p_name, 2)").alias("MNOMBRECOMUNBARRIO"),
         F.col("n_name").alias("MCIUDAD.NOMBRE"),
         F.when(size % 7 == 0, F.lit("")).when(size % 7 == 1, F.lit("-"))
          .otherwise(F.col("p_brand")).alias("MZONA.NOMBRE"),
@@ -195,15 +194,27 @@ def driver_silver_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _table_once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Write a model table once per session and set of inputs; later readers
+    """A model table written once per session and set of inputs; later readers
     get the written table (a changed input file gives a new key)."""
-    key = (name, spark.sparkContext.applicationId, _source_stamp(sf_dir))
-    path = _BUILT.get(key)
-    if path is None or not os.path.exists(path):
-        path = scratch_path(spark, name)
-        build().write.mode("overwrite").parquet(path)
-        _BUILT[key] = path
-    return spark.read.parquet(path)
+    key = (name, spark.sparkContext.applicationId, source_stamp(spark, sf_dir))
+    if key not in _BUILT:
+        _BUILT[key] = _write(spark, name, build)
+    return spark.read.parquet(_BUILT[key])
+
+
+def _write(spark: SparkSession, name: str, build) -> str:
+    path = scratch_path(spark, name)
+    build().write.parquet(path)
+    return path
+
+
+def build_model(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Write a model table anew and hand it to the readers that follow:
+    ``silver``, or ``transformation`` (which reads silver)."""
+    job = {"silver": driver_silver_job, "transformation": _driver_transformation_job}[name]
+    key = (name, spark.sparkContext.applicationId, source_stamp(spark, sf_dir))
+    _BUILT[key] = _write(spark, name, lambda: job(spark, sf_dir))
+    return spark.read.parquet(_BUILT[key])
 
 
 def driver_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,10 +223,10 @@ def driver_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def driver_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Official names: (city, upper(part name)) of every listed part with
-    p_size <= 25."""
+    """Official names: (city, upper(part name)) of every listed part.  The
+    listings carry the name without its first letter, so none matches exactly."""
     e = table(spark, sf_dir, "events", "user_id")
-    p = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_size").where(F.col("p_size") <= 25)
+    p = table(spark, sf_dir, "part", "p_partkey", "p_name")
     c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     listed = e.select("user_id").distinct()
@@ -229,14 +240,15 @@ def driver_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BUILT: dict[tuple, str] = {}
 
 
-def _source_stamp(sf_dir: str) -> tuple:
-    """Identity of the inputs: path, size and mtime of every source table."""
-    out = []
-    for name in ("events", "part", "customer", "nation"):
-        p = os.path.join(sf_dir, f"{name}.parquet")
-        st = os.stat(p) if os.path.exists(p) else None
-        out.append((p, st.st_size if st else -1, st.st_mtime_ns if st else -1))
-    return tuple(out)
+def source_stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Identity of the inputs: the files of every source table, through the
+    FileSystem of their URI."""
+    return (sf_dir, *(file_stamp(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+                      for name in ("events", "part", "customer", "nation")))
+
+
+def _driver_transformation_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transformation(driver_silver(spark, sf_dir), driver_seed(spark, sf_dir))
 
 
 def driver_transformation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,7 +257,6 @@ def driver_transformation(spark: SparkSession, sf_dir: str) -> DataFrame:
     Silver is a written table read twice by the standardization (names to
     match, rows to label); the result is written as a table too, because the
     marts read it several times -- the same two materialized models as the
-    source project.  Within one session each table is built once per set of
-    inputs and shared by every job that reads it."""
-    return _table_once(spark, sf_dir, "transformation",
-                       lambda: transformation(driver_silver(spark, sf_dir), driver_seed(spark, sf_dir)))
+    source project.  ``build_silver`` and ``build_transformation`` are queries
+    of their own; the marts read what they wrote."""
+    return _table_once(spark, sf_dir, "transformation", lambda: _driver_transformation_job(spark, sf_dir))

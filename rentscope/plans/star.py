@@ -29,16 +29,20 @@ def date_key(df: DataFrame):
     return F.md5(F.col("extracted_at").cast("string"))
 
 
+def _one_row(df: DataFrame, key: str, attrs: list[str]) -> DataFrame:
+    """One existing row per key: the largest as a whole, never a mix of rows."""
+    return df.groupBy(key).agg(F.max(F.struct(*attrs)).alias("r")).select(key, "r.*")
+
+
 def dim_geo(tr: DataFrame) -> DataFrame:
     k = tr.select(geo_key(tr).alias("geo_key"), "city_name", "neighborhood_final")
-    return k.groupBy("geo_key").agg(F.max("city_name").alias("city_name"),
-                                    F.max("neighborhood_final").alias("neighborhood_final"))
+    return _one_row(k, "geo_key", ["city_name", "neighborhood_final"])
 
 
 def dim_feature(tr: DataFrame) -> DataFrame:
     attrs = ["socioeconomic_stratum", "rooms", "bathrooms", "garages", "total_area", "property_type"]
     k = tr.select(feature_key(tr).alias("feature_key"), *attrs)
-    return k.groupBy("feature_key").agg(*[F.max(a).alias(a) for a in attrs])
+    return _one_row(k, "feature_key", attrs)
 
 
 def dim_date(tr: DataFrame) -> DataFrame:

@@ -57,9 +57,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        # Only reached when the cluster names no shared folder (tests, local
-        # runs): one folder per application, remembered here because core
-        # settings may not be changeable at runtime.
+        # Only local runs may fall back to a folder of this machine: on a
+        # cluster every executor would write to its own disk.
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        # One folder per application, remembered here because core settings
+        # may not be changeable at runtime.
         app = spark.sparkContext.applicationId
         root = _LOCAL_ROOT.setdefault(app, tempfile.mkdtemp(prefix="rentscope-ckpt-"))
         try:
@@ -91,20 +94,12 @@ def _remove_scratch() -> None:
                 continue
         except Exception:  # noqa: BLE001 - the JVM may already be gone at exit
             pass
-        local = path[len("file:"):] if path.startswith("file:") else path
-        if "://" not in local and os.path.isdir(local):
-            shutil.rmtree(local, ignore_errors=True)
+        shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
 
 
 atexit.register(_remove_scratch)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (never localCheckpoint): survives executor loss."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     """Write ``df`` to the shared folder and read it back (lineage cut)."""
     spark = df.sparkSession
@@ -141,3 +136,49 @@ def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+# ---- small files through the Hadoop FileSystem of their URI ------------------
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it does not exist."""
+    fs, p = _fs(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def file_stamp(spark: SparkSession, path: str) -> tuple:
+    """(length, modification time) of a table's files, by name."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return ()
+    found = fs.listStatus(p)
+    return tuple(sorted((x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in found))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file under a temporary name, then rename it to a name that
+    is not taken yet: readers see all of it or nothing."""
+    fs, p = _fs(spark, path)
+    fs_tmp, tmp = _fs(spark, f"{os.path.dirname(path)}/_tmp-{uuid.uuid4().hex[:12]}")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(tmp, p):
+        fs.delete(tmp, False)
+        raise FileExistsError(path)

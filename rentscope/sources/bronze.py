@@ -1,22 +1,28 @@
 """Bronze reads across loads whose column types drifted (A12).
 
-Parquet schema merging refuses bigint/string conflicts, so each schema
-version is read on its own, every source column is cast to string, and the
-versions are unioned by name (missing columns become NULL).  Staging then
-types the strings once, with the rules of ``functions.clean``.
+Every load has a folder of its own (``LOAD_TYPE=/LOAD_ID=/LOAD_DATE=``).  Loads
+of one schema are read together; loads whose types or columns differ are read
+schema by schema, cast to text and unioned by name (missing columns become
+NULL).  Staging then types the text once, with the rules of
+``functions.clean``.
 """
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.listings import AUDIT_COLUMNS
+from ..session import list_names
 
+LOAD_COLUMNS = [*AUDIT_COLUMNS, "LOAD_ID", "LOAD_DATE"]
 
-def as_text(df: DataFrame, keep=AUDIT_COLUMNS) -> DataFrame:
+
+def as_text(df: DataFrame, keep=tuple(LOAD_COLUMNS)) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") if c in keep else F.col(f"`{c}`").cast("string").alias(c)
                        for c in df.columns])
 
@@ -25,17 +31,35 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [as_text(f) for f in frames])
 
 
-def read_versions(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """One read per schema version (a handful of paths, not per file)."""
-    return union_by_name([spark.read.parquet(p) for p in paths])
+def load_folders(spark: SparkSession, path: str, load_types=None) -> list[str]:
+    """Folders of the loads, by type and id."""
+    root = path.rstrip("/")
+    types = [t for t in list_names(spark, root) if t.startswith("LOAD_TYPE=")
+             and (not load_types or t.split("=", 1)[1] in load_types)]
+    return [f"{root}/{t}/{i}" for t in types for i in list_names(spark, f"{root}/{t}") if i.startswith("LOAD_ID=")]
+
+
+def read_versions(spark: SparkSession, folders: list[str], base: str) -> DataFrame:
+    """The given loads, one read per schema version among them."""
+    versions: dict[str, tuple[T.StructType, list[str]]] = {}
+    for folder in folders:
+        schema = spark.read.parquet(folder).schema
+        versions.setdefault(json.dumps(schema.jsonValue(), sort_keys=True), (schema, []))[1].append(folder)
+    frames = []
+    for schema, paths in versions.values():
+        full = T.StructType([*schema.fields, T.StructField("LOAD_TYPE", T.StringType()),
+                             T.StructField("LOAD_ID", T.StringType())])
+        frames.append(spark.read.schema(full).option("basePath", base).parquet(*paths))
+    return union_by_name(frames)
 
 
 def read_loads(spark: SparkSession, path: str, load_types=None, since=None, until=None) -> DataFrame:
-    """Bronze rows of selected loads.  Filters on the partition columns
-    (LOAD_TYPE, LOAD_DATE) prune whole folders before any file is opened."""
-    df = spark.read.parquet(path)
-    if load_types:
-        df = df.where(F.col("LOAD_TYPE").isin(*load_types))
+    """Bronze rows of selected loads, unioned by name as text.  The load type
+    selects folders; LOAD_DATE filters prune partitions before any file is opened."""
+    folders = load_folders(spark, path, load_types)
+    if not folders:
+        raise ValueError(f"no loads in {path}")
+    df = read_versions(spark, folders, path)
     if since is not None:
         df = df.where(F.col("LOAD_DATE") >= F.lit(since).cast("date"))
     if until is not None:

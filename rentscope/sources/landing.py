@@ -2,55 +2,41 @@
 
 A landing page is one JSON object ``{totalEntries, results: [listing...]}``
 per file (or per line), stored under ``.../city=<name>/``.  Executors parse
-files in parallel with an explicit schema; nothing goes through the driver
-except the emptiness check (a LIMIT 1 probe) and the column contract
-(schema metadata).
+files in parallel with an explicit schema; only a load's row count and which
+fields occurred reach the driver, observed while the load is written.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.listings import BRONZE_COLUMNS
+from ..session import drop_path
 
 
-def _s(*names):
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
-
-
-# One listing as the portal returns it (types are our choice; drift between
-# loads is absorbed by the string-typed bronze union below).
-LISTING_SCHEMA = T.StructType([
-    T.StructField("midinmueble", T.StringType()),
-    T.StructField("midempresa", T.StringType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("link", T.StringType()),
-    T.StructField("mbarrio", T.StringType()),
-    T.StructField("mnombrecomunbarrio", T.StringType()),
-    T.StructField("mciudad", _s("nombre")),
-    T.StructField("mzona", _s("nombre")),
-    T.StructField("marea", T.DoubleType()),
-    T.StructField("areaprivada", T.DoubleType()),
-    T.StructField("mnrocuartos", T.StringType()),
-    T.StructField("mnrobanos", T.StringType()),
-    T.StructField("mnrogarajes", T.StringType()),
-    T.StructField("estrato", T.StringType()),
-    T.StructField("mvalorarriendo", T.DoubleType()),
-    T.StructField("data", T.StructType([T.StructField("mvaloradministracion", T.DoubleType())])),
-    T.StructField("localizacion", T.StructType([T.StructField("lon", T.DoubleType()),
-                                                T.StructField("lat", T.DoubleType())])),
-    T.StructField("mtipoinmueble", _s("nombre")),
-])
-
+# A page as the portal returns it.  A listing stays raw JSON text here: every
+# leaf reaches bronze as text, so a badly typed or drifted cell is kept as it
+# came and staging's casts decide about it.
 PAGE_SCHEMA = T.StructType([
     T.StructField("totalEntries", T.LongType()),
-    T.StructField("results", T.ArrayType(LISTING_SCHEMA)),
+    T.StructField("results", T.ArrayType(T.StringType())),
 ])
 
+# Other spellings of a required field, tried in order where the field is absent or null.
+FALLBACKS = {
+    "MCIUDAD.NOMBRE": ["MCIUDAD"],
+    "MZONA.NOMBRE": ["MZONA"],
+    "MTIPOINMUEBLE.NOMBRE": ["MTIPOINMUEBLE"],
+    "DATA.MVALORADMINISTRACION": ["MVALORADMINISTRACION"],
+    "LOCALIZACION.LON": ["LON"],
+    "LOCALIZACION.LAT": ["LAT"],
+}
+NESTING = 3  # levels of nested objects that become dotted names
+
 
 def read_pages(spark: SparkSession, path: str, multi_line: bool = False, schema=PAGE_SCHEMA,
                partition_col: str | None = "city") -> DataFrame:
@@ -65,15 +51,33 @@ def read_pages(spark: SparkSession, path: str, multi_line: bool = False, schema=
 
 
 def listings(pages: DataFrame, keep=("city",)) -> DataFrame:
-    """A1: one row per listing; pages with NULL or empty results add nothing."""
+    """A1: one row per listing (raw JSON in ``listing``); pages with NULL or
+    empty results add nothing."""
     keep = [k for k in keep if k in pages.columns]
-    return pages.select(*keep, F.explode("results").alias("_l")).select(*keep, "_l.*")
+    return pages.select(*keep, F.explode("results").alias("listing"))
+
 
+def fields_of(listing: Column, underscore_to_dot: bool = False, nesting: int = NESTING) -> Column:
+    """A3, A4: a listing's leaves as array<struct<name, value>>, in page order;
+    nested objects become dotted upper-case names, values are text."""
+    entry = "array<struct<name:string,value:string>>"
 
-def require_rows(df: DataFrame, what: str = "listings") -> DataFrame:
-    if df.isEmpty():
-        raise ValueError(f"no {what} extracted")
-    return df
+    def leaves(text: Column, prefix: Column | None, level: int) -> Column:
+        def one(e: Column) -> Column:
+            name = e["key"] if prefix is None else F.concat(prefix, F.lit("."), e["key"])
+            leaf = F.array(F.struct(name.alias("name"), e["value"].alias("value")))
+            if level == 0:
+                return leaf
+            return F.when(F.startswith(e["value"], F.lit("{")), leaves(e["value"], name, level - 1)).otherwise(leaf)
+        found = F.map_entries(F.from_json(text, "map<string,string>"))
+        return F.coalesce(F.flatten(F.transform(found, one)), F.array().cast(entry))
+
+    def named(x: Column) -> Column:
+        name = F.upper(x["name"])
+        return F.struct((F.replace(name, F.lit("_"), F.lit(".")) if underscore_to_dot else name).alias("name"),
+                        x["value"].alias("value"))
+
+    return F.transform(leaves(listing, None, nesting), named)
 
 
 def catalog_summary(pages: DataFrame) -> DataFrame:
@@ -85,12 +89,6 @@ def catalog_summary(pages: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("pages"))
 
 
-def assert_catalog(summary: DataFrame) -> None:
-    total = summary.agg(F.sum("total_entries")).first()[0] or 0
-    if total == 0:
-        raise ValueError("catalog reports no listings")
-
-
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     """A3: struct fields become top-level columns named ``parent.child`` at
     any depth (arrays are left as they are)."""
@@ -166,30 +164,62 @@ def with_audit(df: DataFrame, loaded_at: _dt.datetime | Column, load_type: str)
     return df.withColumns({"UPLOADED_DATE": ts.cast("timestamp_ntz"), "LOAD_TYPE": F.lit(load_type)})
 
 
-def to_bronze(pages: DataFrame, loaded_at, load_type: str) -> DataFrame:
-    """A1, A3-A8 in one projection chain (streaming-safe: no actions)."""
-    flat = flatten(listings(pages, keep=()))
-    norm = first_of_duplicates(normalize_names(flat, underscore_to_dot=(load_type == "FULL")))
-    return with_audit(enforce_columns(norm), loaded_at, load_type)
+def _named(fields: Column, name: str) -> Column:
+    return F.filter(fields, lambda x: (x["name"] == name) & ~F.startswith(F.coalesce(x["value"], F.lit("")), F.lit("{")))
+
+
+def _value(fields: Column, names: list[str]) -> Column:
+    """A5, A6: the first value of the first spelling that has one."""
+    return F.coalesce(*[F.get(_named(fields, n), F.lit(0))["value"] for n in names])
 
 
-def write_bronze(bronze: DataFrame, path: str) -> None:
-    """A9: append-only parquet, partitioned by load type and load date so
-    later reads prune to the loads they need."""
-    (bronze.withColumn("LOAD_DATE", F.to_date("UPLOADED_DATE"))
-           .write.mode("append").partitionBy("LOAD_TYPE", "LOAD_DATE").parquet(path))
+def to_bronze(pages: DataFrame, loaded_at, load_type: str) -> DataFrame:
+    """A1, A3-A8 in one projection chain (streaming-safe: no actions): the
+    required columns as text, the load instant and the load type."""
+    rows = listings(pages, keep=()).select(fields_of(F.col("listing"), load_type == "FULL").alias("_f"))
+    named = rows.select("_f", *[_value(F.col("_f"), [c, *FALLBACKS.get(c, [])]).alias(c) for c in BRONZE_COLUMNS])
+    return with_audit(named.drop("_f"), loaded_at, load_type)
+
+
+def _present(name: str) -> Column:
+    """Does any listing have the required field, in whatever spelling?"""
+    spellings = [name, *FALLBACKS.get(name, [])]
+    return F.max(F.exists("_f", lambda x: x["name"].isin(*spellings)).cast("int"))
+
+
+def load(spark: SparkSession, pages: DataFrame, bronze_path: str, load_id: str, load_type: str,
+         loaded_at: _dt.datetime | Column) -> int:
+    """A7-A9: one load into its own folder ``LOAD_TYPE=/LOAD_ID=``; returns its rows.
+
+    The landing is parsed once: the write observes which required fields
+    occurred.  A load that lacks one is taken back and raises.  Writing the
+    same load again replaces its folder, so a replay leaves one copy."""
+    path = f"{bronze_path.rstrip('/')}/LOAD_TYPE={load_type}/LOAD_ID={load_id}"
+    seen = Observation(f"load-{load_id}")
+    rows = listings(pages, keep=()).select(fields_of(F.col("listing"), load_type == "FULL").alias("_f"))
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("n"),
+                        *[_present(c).alias(f"p{k}") for k, c in enumerate(BRONZE_COLUMNS)])
+    out = rows.select(*[_value(F.col("_f"), [c, *FALLBACKS.get(c, [])]).alias(c) for c in BRONZE_COLUMNS])
+    out = with_audit(out, loaded_at, load_type).drop("LOAD_TYPE").withColumn("LOAD_DATE", F.to_date("UPLOADED_DATE"))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("LOAD_DATE").parquet(path)
+    got = seen.get
+    missing = [c for k, c in enumerate(BRONZE_COLUMNS) if got["n"] and not got[f"p{k}"]]
+    if missing or not got["n"]:
+        drop_path(spark, path)
+    if missing:
+        raise ValueError(f"missing required columns: {missing}")
+    return got["n"]
 
 
 def full_load(spark: SparkSession, landing: str, bronze_path: str, loaded_at: _dt.datetime | None = None,
-              multi_line: bool = False) -> DataFrame:
+              multi_line: bool = False, load_id: str | None = None) -> DataFrame:
     """A10: every page of every city -> bronze (batch)."""
+    from .bronze import read_loads
     loaded_at = loaded_at or _dt.datetime.now().replace(microsecond=0)
-    pages = read_pages(spark, landing, multi_line)
-    assert_catalog(catalog_summary(pages))
-    bronze = to_bronze(pages, loaded_at, "FULL")
-    require_rows(bronze)
-    write_bronze(bronze, bronze_path)
-    return spark.read.parquet(bronze_path)
+    load_id = load_id or f"full-{_dt.datetime.now():%Y%m%dT%H%M%S%f}"
+    if not load(spark, read_pages(spark, landing, multi_line), bronze_path, load_id, "FULL", loaded_at):
+        raise ValueError("no listings extracted")
+    return read_loads(spark, bronze_path)
 
 
 def read_seed(spark: SparkSession, path: str) -> DataFrame:

@@ -1,76 +1,126 @@
 """S2: keep the silver snapshot current as new bronze arrives.
 
 A mergeable per-property *state* (latest sighting, first and last sighting;
-``plans.listings.snapshot_state``) is stored partitioned by a hash bucket of
-``property_id``.  Each micro-batch of new bronze rows is reduced to a state
-of its own (partial aggregation), the stored state is read only for the
-buckets the batch touches (partition pruning), the two are merged with the
-same max_by / min / max, and only those buckets are overwritten.  The work
-per batch is the batch plus the touched buckets' state -- never the whole
-bronze history.  Late files need no watermark: the newest ``extracted_at``
-wins and first/last sightings do not depend on arrival order.
-
-Silver is ``lifecycle(state, as_of)``: a projection computed on read, since
-its "days since last seen" moves with the as-of date anyway.
-
-The merge is idempotent (max_by / min / max over the same rows give the same
-state), and each bucket is replaced by the commit of one job, so a micro-batch
-replayed after a failure leaves the state exactly as one run would.
+``plans.listings.snapshot_state``) is stored in hash buckets of
+``property_id``.  Each batch of new bronze rows is reduced to a state of its own
+(partial aggregation), the stored state is read only for the buckets the batch
+touches, the two are merged with the same max_by / min / max, and only those
+buckets are written.  The work per batch is the batch plus the touched buckets'
+state -- never the whole bronze history.
+
+The stored state is versioned.  A merge writes its buckets into a folder of its
+own and then publishes a manifest (bucket -> folder, bucket count, the batch)
+under the next free number by one rename; readers use the manifest with the
+highest number.  A merge that breaks off halfway leaves the published state as
+it was, and running it again replaces its folder.  A batch whose id the manifest
+already has is skipped.
+
+The bucket count comes from the number of properties (``ROWS_PER_BUCKET``) and
+is stored in the manifest; when the state has outgrown it fourfold, the next
+merge writes all buckets anew with a larger count.
+
+Late files need no watermark: the newest ``extracted_at`` wins and first/last
+sightings do not depend on arrival order.  Silver is ``lifecycle(state,
+as_of)``: a projection computed on read.
 """
 
 from __future__ import annotations
 
-import os
+import json
+import math
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.listings import NON_RESIDENTIAL_TYPES, lifecycle, merge_states, snapshot_state, staging
-from ..session import drop_path, scratch_path
-from ..sources.bronze import as_text
+from ..session import drop_path, list_names, publish_text, read_text, scratch_path
+from ..sources.bronze import as_text, read_loads
 
-N_BUCKETS = 64
+ROWS_PER_BUCKET = 500_000
 
 
-def bucket_of(c, n: int = N_BUCKETS):
+def bucket_of(c, n: int):
     return F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
 
 
-def merge_batch(spark: SparkSession, bronze_rows: DataFrame, state_path: str, n_buckets: int = N_BUCKETS) -> None:
-    """Fold a batch of bronze rows into the stored state."""
-    rows = bronze_rows.drop("LOAD_DATE") if "LOAD_DATE" in bronze_rows.columns else bronze_rows
-    new = snapshot_state(staging(as_text(rows)))
-    new = new.withColumn("bucket", bucket_of(F.col("property_id"), n_buckets))
-    # the touched bucket ids: at most n_buckets small ints
-    touched = [r.bucket for r in new.select("bucket").distinct().collect()]
-    if not touched:
+def manifest(spark: SparkSession, state_path: str) -> dict | None:
+    """The published state: number, n_buckets, rows, batch, buckets {bucket: folder}."""
+    names = [n for n in list_names(spark, state_path) if n.startswith("manifest-")]
+    return json.loads(read_text(spark, f"{state_path}/{names[-1]}")) if names else None
+
+
+def read_state(spark: SparkSession, state_path: str, found: dict, buckets=None) -> DataFrame | None:
+    """The stored rows of some buckets (or all); None if they hold none."""
+    chosen = [f"{state_path}/{f}/bucket={b}" for b, f in found["buckets"].items()
+              if buckets is None or int(b) in buckets]
+    return spark.read.parquet(*chosen) if chosen else None
+
+
+def merge_batch(spark: SparkSession, bronze_rows: DataFrame, state_path: str, batch_id: str,
+                rows_per_bucket: int = ROWS_PER_BUCKET) -> None:
+    """Fold a batch of bronze rows into the stored state; a repeated batch id changes nothing."""
+    state_path = state_path.rstrip("/")
+    now = manifest(spark, state_path)
+    if now and batch_id in now["batches"]:
+        return
+    staged = scratch_path(spark, "batch-state")  # read twice below: buckets, rows
+    snapshot_state(staging(as_text(bronze_rows))).write.parquet(staged)
+    new = spark.read.parquet(staged)
+    n_new = new.count()
+    if not n_new:
         return
-    parts = [new]
-    if os.path.exists(state_path):
-        old = spark.read.parquet(state_path).where(F.col("bucket").isin(*touched))  # pruned read
-        parts.append(old.select(*new.columns))
-    both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    merged = merge_states(both.drop("bucket")).withColumn("bucket", bucket_of(F.col("property_id"), n_buckets))
-    # written to the shared folder first: the target partitions are being read
-    staged_path = scratch_path(spark, "state-merge")
-    merged.write.mode("overwrite").parquet(staged_path)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    spark.read.parquet(staged_path).write.mode("overwrite").partitionBy("bucket").parquet(state_path)
-    drop_path(spark, staged_path)  # the state now holds the merged buckets
+    n_buckets = now["n_buckets"] if now else max(1, math.ceil(n_new / rows_per_bucket))
+    wide = now is not None and now["rows"] > 4 * n_buckets * rows_per_bucket
+    if wide:
+        n_buckets = math.ceil(now["rows"] / rows_per_bucket)
+    # the touched bucket ids: at most n_buckets small ints
+    touched = None if wide else {r.b for r in new.select(bucket_of(F.col("property_id"), n_buckets).alias("b"))
+                                 .distinct().collect()}
+    old = read_state(spark, state_path, now, touched) if now else None
+    merged = merge_states(new if old is None else new.unionByName(old.select(*new.columns)))
+    folder = f"data/{zlib.crc32(batch_id.encode()):08x}-{(now or {'number': 0})['number'] + 1:09d}"
+    merged.withColumn("bucket", bucket_of(F.col("property_id"), n_buckets)).repartition("bucket") \
+        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket") \
+        .parquet(f"{state_path}/{folder}")
+    written = [int(n.split("=", 1)[1]) for n in list_names(spark, f"{state_path}/{folder}") if n.startswith("bucket=")]
+    buckets = {} if wide or not now else dict(now["buckets"])
+    buckets.update({str(b): folder for b in written})
+    number = (now["number"] if now else 0) + 1
+    known = {"number": number, "n_buckets": n_buckets, "buckets": buckets,
+             "batches": [*(now["batches"] if now else []), batch_id][-1000:],
+             "previous": sorted(set(now["buckets"].values())) if now else []}
+    replaced = old.count() if old is not None else 0
+    known["rows"] = (now["rows"] if now else 0) - replaced + spark.read.parquet(f"{state_path}/{folder}").count()
+    publish_text(spark, f"{state_path}/manifest-{number:09d}.json", json.dumps(known))
+    drop_path(spark, staged)
+    _clean(spark, state_path, known)
+
+
+def _clean(spark: SparkSession, state_path: str, known: dict) -> None:
+    """Folders that neither this state nor the one before refers to."""
+    live = {*known["buckets"].values(), *known["previous"]}
+    for name in list_names(spark, f"{state_path}/data"):
+        if f"data/{name}" not in live:
+            drop_path(spark, f"{state_path}/data/{name}")
 
 
 def read_silver(spark: SparkSession, state_path: str, as_of=None, non_residential=NON_RESIDENTIAL_TYPES) -> DataFrame:
-    return lifecycle(spark.read.parquet(state_path).drop("bucket"), as_of, non_residential)
+    found = manifest(spark, state_path)
+    if found is None:
+        raise ValueError(f"no state in {state_path}")
+    return lifecycle(read_state(spark, state_path.rstrip("/"), found), as_of, non_residential)
 
 
 def refresh_from_stream(spark: SparkSession, bronze_path: str, state_path: str, checkpoint: str,
-                        n_buckets: int = N_BUCKETS) -> StreamingQuery:
-    """Stream the bronze table; fold every micro-batch into the state."""
-    schema = spark.read.parquet(bronze_path).schema
+                        rows_per_bucket: int = ROWS_PER_BUCKET) -> StreamingQuery:
+    """Stream the bronze loads as text; fold every micro-batch into the state."""
+    schema = read_loads(spark, bronze_path).schema
+    stream = f"{zlib.crc32(checkpoint.encode()):08x}"
 
-    def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        merge_batch(spark, batch, state_path, n_buckets)
+    def per_batch(batch: DataFrame, epoch: int) -> None:
+        merge_batch(batch.sparkSession, batch, state_path, f"{stream}-{epoch}", rows_per_bucket)
 
     return (spark.readStream.schema(schema).parquet(bronze_path)
             .writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)

@@ -53,8 +53,8 @@ def test_full_load_multiline(spark):
     assert summ == {"bogota": (5, 2, 3), "cali": (0, 1, 1)}
     b = landing.full_load(spark, root, out, loaded_at=dt.datetime(2026, 1, 5, 10), multi_line=True)
     assert b.count() == 3
-    assert [c for c in b.columns if c not in ("LOAD_TYPE", "LOAD_DATE")] == BRONZE_COLUMNS + ["UPLOADED_DATE"]
-    stg = staging(bronze_src.as_text(b.drop("LOAD_DATE")))
+    assert [c for c in b.columns if c not in ("LOAD_TYPE", "LOAD_ID", "LOAD_DATE")] == BRONZE_COLUMNS + ["UPLOADED_DATE"]
+    stg = staging(bronze_src.as_text(b))
     r = {x.property_id: x for x in stg.collect()}
     assert r["1"].rooms_count == 3 and r["3"].city_name is None and r["1"].total_area == 50.0
 
@@ -143,8 +143,121 @@ def test_bronze_partition_pruning(spark):
     _write_pages(land, "bogota", [_page([_listing(1), _listing(2)], total=2)])
     pages = landing.read_pages(spark, land, multi_line=True)
     for day in (1, 2, 3):
-        landing.write_bronze(landing.to_bronze(pages, dt.datetime(2026, 1, day, 8), "FULL"), out)
+        landing.load(spark, pages, out, f"day{day}", "FULL", dt.datetime(2026, 1, day, 8))
     df = bronze_src.read_loads(spark, out, load_types=["FULL"], since=dt.date(2026, 1, 2))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "LOAD_DATE" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert df.count() == 4 and {r.LOAD_DATE.day for r in df.select("LOAD_DATE").distinct().collect()} == {2, 3}
+
+
+def _ids(spark, path):
+    return sorted(r.MIDINMUEBLE for r in bronze_src.read_loads(spark, path).collect())
+
+
+@pytest.mark.parametrize("scheme", ["", "file:"])
+def test_full_and_incremental_loads_live_together(spark, scheme):
+    root = _scratch()
+    lands = {k: os.path.join(root, k) for k in ("a", "b", "c")}
+    _write_pages(lands["a"], "bogota", [_page([_listing(1), _listing(2)], total=2)])
+    _write_pages(lands["b"], "cali", [_page([_listing(3, city="cali")])])
+    _write_pages(lands["c"], "cali", [_page([_listing(7, city="cali")])])
+    out, state = f"{scheme}{root}/bronze", f"{scheme}{root}/state"
+    landing.full_load(spark, lands["a"], out, dt.datetime(2026, 1, 1), multi_line=True)
+    incremental_ingest(spark, lands["b"], out, f"{root}/ck", multi_line=True).awaitTermination()
+    refresh_from_stream(spark, out, state, f"{root}/ck2").awaitTermination()
+    landing.full_load(spark, lands["c"], out, dt.datetime(2026, 1, 2), multi_line=True)
+    refresh_from_stream(spark, out, state, f"{root}/ck2").awaitTermination()
+    assert _ids(spark, out) == ["1", "2", "3", "7"]
+    assert sorted(r.property_id for r in read_silver(spark, state).collect()) == ["1", "2", "3", "7"]
+
+
+def test_load_replaces_itself_on_replay(spark):
+    root = _scratch()
+    _write_pages(f"{root}/l", "bogota", [_page([_listing(1), _listing(2)])])
+    pages = landing.read_pages(spark, f"{root}/l", multi_line=True)
+    for _ in range(2):
+        assert landing.load(spark, pages, f"{root}/b", "batch-7", "INCREMENTAL", dt.datetime(2026, 1, 1)) == 2
+    assert _ids(spark, f"{root}/b") == ["1", "2"]
+
+
+def test_bad_cells_are_kept_as_text_and_fail_staging(spark):
+    root = _scratch()
+    _write_pages(f"{root}/l", "bogota", [_page([_listing(1, marea="45 m2", mvalorarriendo="1500000", mciudad="Bogota"), _listing(2)])])
+    rows = landing.full_load(spark, f"{root}/l", f"{root}/b", multi_line=True)
+    r = {x.MIDINMUEBLE: x for x in rows.collect()}["1"]
+    assert (r.MAREA, r.MVALORARRIENDO, r["MCIUDAD.NOMBRE"]) == ("45 m2", "1500000", "Bogota")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        staging(rows).collect()
+
+
+def test_absent_required_field_raises_and_leaves_no_load(spark):
+    root = _scratch()
+    bad = [_listing(k) for k in (1, 2)]
+    for x in bad:
+        del x["mvalorarriendo"]
+    _write_pages(f"{root}/l", "bogota", [_page(bad)])
+    with pytest.raises(ValueError, match="MVALORARRIENDO"):
+        landing.full_load(spark, f"{root}/l", f"{root}/b", multi_line=True)
+    assert bronze_src.load_folders(spark, f"{root}/b") == []
+    with pytest.raises(Exception, match="MVALORARRIENDO"):
+        incremental_ingest(spark, f"{root}/l", f"{root}/b", f"{root}/ck", multi_line=True).awaitTermination()
+
+
+def test_drifted_loads_read_as_one(spark):
+    root = _scratch()
+    for k, kind in enumerate(("string", "double", "bigint")):
+        spark.createDataFrame([(str(k), k + 1)], "MIDINMUEBLE string, MAREA int") \
+            .select("MIDINMUEBLE", F.col("MAREA").cast(kind), F.lit(dt.date(2026, 1, 1)).alias("LOAD_DATE")) \
+            .write.partitionBy("LOAD_DATE").parquet(f"{root}/b/LOAD_TYPE=FULL/LOAD_ID=l{k}")
+    assert sorted((r.MIDINMUEBLE, r.MAREA) for r in bronze_src.read_loads(spark, f"{root}/b").collect()) == [
+        ("0", "1"), ("1", "2.0"), ("2", "3")]
+
+
+def test_broken_and_repeated_merges_give_the_same_state(spark, monkeypatch):
+    from rentscope.streaming import refresh
+    root = _scratch()
+    _write_pages(f"{root}/l", "bogota", [_page([_listing(k) for k in range(1, 41)])])
+    rows = landing.full_load(spark, f"{root}/l", f"{root}/b", dt.datetime(2026, 1, 1), multi_line=True)
+    newer = rows.where("MIDINMUEBLE in ('3', '4')").withColumn("UPLOADED_DATE", F.lit(dt.datetime(2026, 1, 9)).cast("timestamp_ntz"))
+    state = f"{root}/state"
+    refresh.merge_batch(spark, rows, state, "one", rows_per_bucket=10)
+    assert refresh.manifest(spark, state)["n_buckets"] == 4
+    with monkeypatch.context() as m:  # breaks after the data, before the manifest
+        m.setattr(refresh, "publish_text", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            refresh.merge_batch(spark, newer, state, "two", rows_per_bucket=10)
+    before = refresh.manifest(spark, state)
+    assert before["batches"] == ["one"] and before["rows"] == 40
+    for _ in range(2):
+        refresh.merge_batch(spark, newer, state, "two", rows_per_bucket=10)
+    after = refresh.manifest(spark, state)
+    assert after["batches"] == ["one", "two"] and after["rows"] == 40
+    got = {r.property_id: r.extracted_at.day for r in read_silver(spark, state).collect()}
+    assert len(got) == 40 and got["3"] == got["4"] == 9 and got["5"] == 1
+    # four times outgrown: more buckets, all rows kept
+    refresh.merge_batch(spark, newer, state, "three", rows_per_bucket=2)
+    refresh.merge_batch(spark, newer, state, "four", rows_per_bucket=2)
+    assert refresh.manifest(spark, state)["n_buckets"] == 20
+    assert read_silver(spark, state).count() == 40
+
+
+def test_scratch_folder_must_be_named_off_local_masters(spark, monkeypatch):
+    from rentscope import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+        applicationId = "x"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
+

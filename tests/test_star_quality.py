@@ -88,4 +88,19 @@ def test_key_text_is_portable_for_large_and_small_floats(spark):
     df = spark.createDataFrame([(1.0e7, 0.0005, None)], "a float, b double, c string")
     r = df.select(key_text(F.col("a"), T.FloatType()).alias("a"), key_text(F.col("b"), T.DoubleType()).alias("b"),
                   concat_skip_nulls(F.lit("x"), F.col("c"), F.lit("-")).alias("c")).first()
-    assert (r.a, r.b, r.c) == ("10000000.00", "0.00", "x-")  # never '1.0E7'; NULL parts skipped
+    assert (r.a, r.b, r.c) == ("10000000.0000000000", "0.0005000000", "x-")  # never '1.0E7'; NULL parts skipped
+
+
+def test_dimension_rows_exist_when_keys_collide(spark):
+    from rentscope.plans import star
+    tr = spark.createDataFrame([("A", "Z-B"), ("A-Z", "B")], "city_name string, neighborhood_final string")
+    rows = star.dim_geo(tr).collect()
+    assert len(rows) == 1 and (rows[0].city_name, rows[0].neighborhood_final) in {("A", "Z-B"), ("A-Z", "B")}
+
+
+def test_feature_keys_keep_close_areas_apart(spark):
+    from rentscope.plans import star
+    tr = spark.createDataFrame([(1, 1, 1, 1, 50.001, "house"), (1, 1, 1, 1, 50.002, "house")],
+                               "socioeconomic_stratum int, rooms int, bathrooms int, garages int, total_area float, property_type string")
+    assert star.dim_feature(tr).count() == 2
+
