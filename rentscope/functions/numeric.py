@@ -1,8 +1,9 @@
-"""Exact rounding of ratios of integers.
+"""Exact rounding of ratios and averages.
 
-ROUND(AVG(x), d) over two-decimal money is decided by exact rational
-arithmetic here (integer cents, half away from zero), so the answer does not
-depend on float summation order or on how an engine rounds binary ties.
+ROUND(AVG(x), d) is decided by integer arithmetic on decimals (half away from
+zero), so the answer does not depend on float summation order or on how an
+engine rounds binary ties.  Sums are decimal(38): 10^12 rows of values up to
+10^14 stay exact.
 """
 
 from __future__ import annotations
@@ -10,55 +11,38 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+SCALE = 6  # decimals kept of each averaged value
+WHOLE = "decimal(38,0)"
 
-def cents(x: Column, scale: int = 2) -> Column:
-    """Fixed-point integer of a value with ``scale`` decimals."""
-    return F.round(x * (10 ** scale)).cast("bigint")
+
+def _rounded(num: Column, den: Column) -> Column:
+    """num / den to the nearest integer, half away from zero (NULL unless den > 0)."""
+    n, d = num.cast(WHOLE), den.cast(WHOLE)
+    top = (2 * F.abs(n) + d).cast(WHOLE)
+    twice = (2 * d).cast(WHOLE)
+    # a multiple of the divisor: the division is exact
+    q = ((top - top % twice).cast(WHOLE) / twice).cast(WHOLE)
+    return F.when(d > 0, F.when(n < 0, -q).otherwise(q))
 
 
 def round_ratio(num: Column, den: Column, digits: int) -> Column:
     """num / den rounded half away from zero to ``digits`` decimals, exactly.
 
-    ``num`` and ``den`` are integral; den > 0 (NULL otherwise)."""
-    n = num.cast("bigint") * (10 ** digits)
-    d = den.cast("bigint")
-    top = F.lit(2) * F.abs(n) + d
-    q = (top - top % (F.lit(2) * d)) / (F.lit(2) * d)  # exact integer quotient
-    return F.when(d > 0, F.signum(n) * q / (10 ** digits))
-
-
-def _round0(num: Column, den: Column) -> Column:
-    n, d = num.cast("bigint"), den.cast("bigint")
-    top = F.lit(2) * F.abs(n) + d
-    return F.when(d > 0, F.signum(n) * ((top - top % (F.lit(2) * d)) / (F.lit(2) * d)))
-
-
-def avg_rounded(x: Column, digits: int, scale: int = 2) -> Column:
-    """ROUND(AVG(x), digits) for values with ``scale`` decimals (aggregate)."""
-    return _avg_scaled(F.sum(cents(x, scale)), F.count(x), digits, scale)
-
-
-def _avg_scaled(s: Column, c: Column, digits: int, scale: int) -> Column:
-    # avg = s / (c * 10^scale); in units of 10^-digits: s * 10^(digits-scale) / c
-    if digits >= scale:
-        return _round0(s * (10 ** (digits - scale)), c) / (10 ** digits)
-    return _round0(s, c * (10 ** (scale - digits))) / (10 ** digits)
-
-
-# DuckDB text of the same rules, for the oracle SQL.
-def sql_cents(x: str, scale: int = 2) -> str:
-    return f"CAST(round({x} * {10 ** scale}) AS BIGINT)"
+    ``num`` and ``den`` are integral; den > 0 (NULL otherwise).  The result is
+    a decimal with ``digits`` decimals."""
+    q = _rounded(num.cast(WHOLE) * (10 ** digits), den)
+    return (q.cast(f"decimal(38,{digits})") / (10 ** digits)).cast(f"decimal(38,{digits})")
 
 
-def sql_round_ratio0(num: str, den: str) -> str:
-    return (f"CASE WHEN ({den}) > 0 THEN sign({num}) * ((2 * abs({num}) + ({den})) // (2 * ({den}))) END")
+def avg_rounded(x: Column, digits: int, scale: int = SCALE) -> Column:
+    """ROUND(AVG(x), digits) as a double, of values kept to ``scale`` decimals
+    (aggregate; ``digits`` <= ``scale``)."""
+    total = F.sum(x.cast(f"decimal(28,{scale})"))
+    units = (total * F.lit(10 ** scale).cast("decimal(7,0)")).cast(WHOLE)
+    q = _rounded(units, F.count(x).cast(WHOLE) * (10 ** (scale - digits)))
+    return (q.cast(f"decimal(38,{digits})") / (10 ** digits)).cast("double")
 
 
-def sql_avg_rounded(x: str, digits: int, scale: int = 2) -> str:
-    s = f"sum({sql_cents(x, scale)})"
-    c = f"count({x})"
-    if digits >= scale:
-        num, den = f"({s}) * {10 ** (digits - scale)}", c
-    else:
-        num, den = s, f"{c} * {10 ** (scale - digits)}"
-    return f"(({sql_round_ratio0(num, den)}) / {float(10 ** digits)})"
+# DuckDB text for the oracle SQL: the plain form, in the engine's own arithmetic.
+def sql_avg_rounded(x: str, digits: int) -> str:
+    return f"round(avg(CAST({x} AS DECIMAL(28,6))), {digits})"

@@ -1,6 +1,7 @@
-"""Grouped aggregates.  All are hash aggregates with map-side partial
-aggregation, so a hot key is reduced in every input partition before the
-shuffle and never reaches one task as raw rows."""
+"""Grouped aggregates.  All aggregate partially on the map side (hash
+aggregates, or sort aggregates where a value is not of fixed width), so a hot
+key is reduced in every input partition before the shuffle and never reaches
+one task as raw rows."""
 
 from __future__ import annotations
 
@@ -51,13 +52,6 @@ def keys_with_min_rows(df: DataFrame, key: str, n: int, out: str = "n_keys") ->
     return g.agg(F.count(F.lit(1)).alias(out))
 
 
-def rate_pct(df: DataFrame, by, num: Column, den: Column, out: str = "rate", digits: int = 2) -> DataFrame:
-    """100 * count_if(num) / count_if(den), NULL when the denominator is 0."""
-    return df.groupBy(by).agg(
-        F.round(F.lit(100.0) * F.try_divide(F.count_if(num).cast("double"),
-                                           F.count_if(den).cast("double")), digits).alias(out))
-
-
 def signed_sum(df: DataFrame, by, x: str, negative_when: Column, out: str) -> DataFrame:
     return df.groupBy(by).agg(F.sum(F.when(negative_when, -F.col(x)).otherwise(F.col(x))).alias(out))
 

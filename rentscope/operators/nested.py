@@ -71,10 +71,6 @@ def two_level_totals(df: DataFrame, outer: str, inner: str, items: str, name_fie
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(inner, "total")))).alias("totals"))
 
 
-def explode_two_level(df: DataFrame, outer: str, inner: str, totals: str = "totals") -> DataFrame:
-    return df.select(outer, F.explode(totals).alias(inner, "total"))
-
-
 def map_of_lists_totals(df: DataFrame, key: str, cat_map: str, name_field: str, qty_field: str) -> DataFrame:
     """(key, map<category, array<item>>) records -> (key, category, total)."""
     cats = df.select(key, F.explode(cat_map).alias("category", "_items"))

@@ -1,18 +1,18 @@
-"""Skew-safe ordered scans: row number, running sum and group size/total per
-group without sending any group to a single task.
-
-A window ``PARTITION BY g ORDER BY o`` puts every row of a group in one task;
-a group holding a third of the table would then be scanned by one core.
-Here the rows are instead range-partitioned on ``(g, o)`` -- the range
-partitioner samples the keys, so a hot group is cut into many partitions by
-its order columns -- and each partition is scanned in Arrow batches for
-*local* ranks and sums.  A small summary (one row per group per partition)
-turns local values into global ones: offsets are prefix sums over the
-partitions a group spans, so the summary window is bounded by the partition
-count.  The scanned rows are written once to the shared checkpoint folder,
-so the ranks the summary is built from are the ones joined back, even if an
-executor is lost.
-
+"""Skew-safe ordered scans: row number, running sum, dense rank and group
+totals without sending any group to a single task.
+
+A window ``PARTITION BY g ORDER BY x`` puts every row of a group in one task;
+a group holding a third of the table would then be scanned by one core.  Here
+each group is cut into value ranges of the leading order column: a row's
+*slot* is a monotone function of its value (``_slot``), so slots follow the
+order and equal values share one.  Window functions run per (group, slot);
+a summary with one row per (group, slot) -- a partial aggregate -- gives the
+offsets of the slots before, as prefix sums over at most ``SLOTS`` rows of a
+group.  Everything is built-in functions in one plan, values keep their types,
+and a slot depends on nothing but the row and the column's range, so the
+result is the same however often a stage is run.
+
+A value that itself holds a large share of a group's rows stays in one slot.
 Requires a total order within each group (add tie-break columns).
 """
 
@@ -20,148 +20,98 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..session import materialize
 
 RANK, CUM, COUNT, TOTAL, DENSE = "_rank", "_cum", "_n", "_total", "_dense"
+OCTAVES, PER_OCTAVE = 20, 256
+SLOTS = OCTAVES * PER_OCTAVE + 5
+
+
+def _slot(x: Column, lo: Column, hi: Column, descending: bool, nulls_last: bool) -> Column:
+    """Number of the value range of ``x`` (a double) in scan order.
+
+    Ranges are fine near the smallest value and widen towards the largest
+    (``PER_OCTAVE`` to each doubling of the distance), which suits both even
+    and right-skewed values.  Infinite values, NaN and NULL have slots of their own."""
+    share = F.least(F.greatest(F.try_divide(x - lo, hi - lo), F.lit(0.0)), F.lit(1.0))
+    ranged = F.floor(PER_OCTAVE * F.log2(1 + F.coalesce(share, F.lit(0.0)) * float(2 ** OCTAVES - 1))).cast("int")
+    top = SLOTS
+    slot = F.when(F.isnan(x), top + 2).when(x == float("inf"), top + 1).when(x == float("-inf"), -1).otherwise(ranged)
+    slot = -slot if descending else slot
+    return F.when(x.isNull(), F.lit(2 * top if nulls_last else -2 * top)).otherwise(slot)
+
+
+def _slotted(df: DataFrame, by: Sequence[str], lead: str, descending: bool, nulls_last: bool) -> DataFrame:
+    """df + ``_k``: (group columns, slot), a struct whose NULL fields compare equal."""
+    x = F.col(lead)
+    if df.schema[lead].dataType.typeName() in ("date", "timestamp", "timestamp_ntz"):
+        x = F.unix_micros(x.cast("timestamp"))
+    x = x.cast("double")
+    finite = F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x)
+    ends = df.agg(F.min(finite).alias("_lo"), F.max(finite).alias("_hi"))
+    lo, hi = (ends.select(c).scalar() for c in ("_lo", "_hi"))
+    return df.withColumn("_k", F.struct(*by, _slot(x, lo, hi, descending, nulls_last).alias("_slot")))
+
+
+def _offsets(slotted: DataFrame, by: Sequence[str], value: Column, lead: str, dense: bool) -> DataFrame:
+    """Per (group, slot): rows, value sum and count of the slots before, and of the group."""
+    per = slotted.groupBy("_k").agg(F.count(F.lit(1)).alias("_pn"), F.sum(value).alias("_ps"),
+                                    F.count(value).alias("_pc"))
+    if dense:
+        distinct = slotted.select("_k", lead).distinct().groupBy("_k").agg(F.count(F.lit(1)).alias("_pd"))
+        per = per.join(distinct, "_k")
+    group = [F.col(f"_k.{c}") for c in by]
+    before = Window.partitionBy(*group).orderBy(F.col("_k._slot")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group)
+    return per.select(
+        "_k", "_pn",
+        F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_rank_off"),
+        F.sum("_ps").over(before).alias("_cum_off"),
+        F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_cnt_off"),
+        *([F.coalesce(F.sum("_pd").over(before), F.lit(0)).alias("_dense_off")] if dense else []),
+        F.sum("_pn").over(whole).alias(COUNT), F.sum("_ps").over(whole).alias(TOTAL))
 
 
-def _same_as_previous(pdf: pd.DataFrame, cols: Sequence[str]) -> pd.Series:
-    """Row-wise: does this row's key equal the previous row's (NULL == NULL)?"""
-    same = pd.Series(True, index=pdf.index)
-    for c in cols:
-        s = pdf[c]
-        prev = s.shift(1)
-        eq = (s == prev) | (s.isna() & prev.isna())
-        same &= eq.fillna(False).astype(bool)
-    if len(same):
-        same.iloc[0] = False
-    return same
-
-
-def _scan_partition(by: Sequence[str], value: str | None, dense_on: str | None = None):
-    def run(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        last_key, last_rank, last_cum, last_cnt = None, 0, 0.0, 0
-        last_dense, last_dval = 0, None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            start = ~_same_as_previous(pdf, by)
-            run_id = start.cumsum()
-            rank = pdf.groupby(run_id).cumcount() + 1
-            if value is not None:
-                v = pd.to_numeric(pdf[value], errors="coerce")
-                cum = v.fillna(0.0).groupby(run_id).cumsum()
-                cnt = v.notna().astype("int64").groupby(run_id).cumsum()
-            else:
-                cum = pd.Series(0.0, index=pdf.index)
-                cnt = pd.Series(0, index=pdf.index)
-            if dense_on is not None:
-                # a new dense value starts at each group start or value change
-                newv = start | ~_same_as_previous(pdf, [dense_on])
-                dense = newv.astype("int64").groupby(run_id).cumsum()
-            else:
-                dense = pd.Series(0, index=pdf.index)
-            # continue the run that was open at the end of the previous batch
-            first_key = tuple(pdf.loc[0, list(by)])
-            if last_key is not None and _keys_equal(first_key, last_key):
-                first_run = run_id == 1
-                rank = rank + first_run * last_rank
-                cum = cum + first_run * last_cum
-                cnt = cnt + first_run * last_cnt
-                if dense_on is not None:
-                    carry = last_dense - (1 if _keys_equal((pdf.loc[0, dense_on],), (last_dval,)) else 0)
-                    dense = dense + first_run * carry
-            last_key = tuple(pdf.loc[len(pdf) - 1, list(by)])
-            last_rank, last_cum, last_cnt = int(rank.iloc[-1]), float(cum.iloc[-1]), int(cnt.iloc[-1])
-            last_dense = int(dense.iloc[-1])
-            last_dval = pdf.loc[len(pdf) - 1, dense_on] if dense_on is not None else None
-            out = pdf.assign(_pid=pid, _lrank=rank.astype("int64"), _lcum=cum.astype("float64"),
-                             _lcnt=cnt.astype("int64"), _ldense=dense.astype("int64"))
-            yield out
-    return run
-
-
-def _keys_equal(a: tuple, b: tuple) -> bool:
-    for x, y in zip(a, b):
-        if pd.isna(x) and pd.isna(y):
-            continue
-        if pd.isna(x) or pd.isna(y) or x != y:
-            return False
-    return True
-
-
-def ordered_scan(df: DataFrame, by: Sequence[str], order: Sequence[Column], value: str | None = None,
-                 n_parts: int | None = None, dense_on: str | None = None) -> DataFrame:
+def ordered_scan(df: DataFrame, by: Sequence[str], lead: str, ties: Sequence[Column] = (), value: str | None = None,
+                 descending: bool = False, nulls_last: bool | None = None, dense: bool = False) -> DataFrame:
     """df + _rank (row number in group order), _cum (running SUM(value), NULL
     while no non-NULL value seen), _n (group rows), _total (SUM(value)), and
-    with ``dense_on`` (the leading order column) _dense (its DENSE_RANK)."""
-    spark = df.sparkSession
+    with ``dense`` _dense (DENSE_RANK of ``lead``).
+
+    ``lead`` is a numeric or time column; NULLs come first in ascending and
+    last in descending order unless ``nulls_last`` says otherwise."""
     by = list(by)
-    keys = [F.col(c) for c in by] + list(order)
-    # Without an explicit count AQE may merge *adjacent* small range
-    # partitions (order is preserved); large inputs keep their spread.
-    ranged = df.repartitionByRange(n_parts, *keys) if n_parts else df.repartitionByRange(*keys)
-    ranged = ranged.sortWithinPartitions(*keys)
-    schema = T.StructType(df.schema.fields + [
-        T.StructField("_pid", T.IntegerType()), T.StructField("_lrank", T.LongType()),
-        T.StructField("_lcum", T.DoubleType()), T.StructField("_lcnt", T.LongType()),
-        T.StructField("_ldense", T.LongType())])
-    # Written once to the shared folder and read back: the summary and the
-    # join below see the same ranks, and a lost executor cannot change them.
-    scanned = materialize(ranged.mapInPandas(_scan_partition(by, value, dense_on), schema), "ordered-scan")
-
-    val = F.col(value).cast("double") if value else F.lit(0.0)
-    dv = F.col(dense_on) if dense_on else F.lit(None)
-    per_part = scanned.groupBy(*by, "_pid").agg(
-        F.max("_lrank").alias("_pn"), F.sum(val).alias("_ps"), F.count(val).alias("_pc"),
-        F.max("_ldense").alias("_pd"), F.min_by(dv, "_lrank").alias("_pfirst"),
-        F.max_by(dv, "_lrank").alias("_plast"))
-    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
-    # a partition whose first value continues the previous partition's last
-    # value does not start a new dense value
-    cont = F.coalesce(F.col("_pfirst").eqNullSafe(
-        F.lag("_plast").over(Window.partitionBy(*by).orderBy("_pid"))) &
-        F.lag("_pid").over(Window.partitionBy(*by).orderBy("_pid")).isNotNull(), F.lit(False)).cast("long")
-    per_part = per_part.withColumn("_cont", cont).withColumn("_pd_net", F.col("_pd") - F.col("_cont"))
-    offs = per_part.select(
-        *[F.col(c).alias(f"_k_{c}") for c in by], F.col("_pid").alias("_k_pid"),
-        F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_rank_off"),
-        F.coalesce(F.sum("_ps").over(before), F.lit(0.0)).alias("_cum_off"),
-        F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_cnt_off"),
-        F.coalesce(F.sum("_pd_net").over(before), F.lit(0)).alias("_dense_off"),
-        F.col("_cont").alias("_k_cont"),
-        F.sum("_pn").over(whole).alias(COUNT),
-        F.sum("_ps").over(whole).alias(TOTAL))
-    cond = F.col("_pid") == F.col("_k_pid")
-    for c in by:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-    j = scanned.join(offs, cond, "inner")
-    extra = [(F.col("_ldense") + F.col("_dense_off") - F.col("_k_cont")).alias(DENSE)] if dense_on else []
-    return j.select(
-        *df.columns,
-        (F.col("_lrank") + F.col("_rank_off")).alias(RANK),
-        F.when(F.col("_lcnt") + F.col("_cnt_off") > 0, F.col("_lcum") + F.col("_cum_off")).alias(CUM),
-        F.col(COUNT), F.col(TOTAL), *extra)
-
-
-def running_total(df: DataFrame, by, order: Sequence[Column], x: str, out: str = "running",
-                  n_parts: int | None = None) -> DataFrame:
-    s = ordered_scan(df, [by] if isinstance(by, str) else by, order, x, n_parts)
+    nulls_last = descending if nulls_last is None else nulls_last
+    x = F.col(lead)
+    first = (x.desc_nulls_last() if nulls_last else x.desc_nulls_first()) if descending else \
+        (x.asc_nulls_last() if nulls_last else x.asc_nulls_first())
+    val = F.col(value) if value else F.lit(None).cast("double")
+    slotted = _slotted(df, by, lead, descending, nulls_last)
+    rows = Window.partitionBy("_k").orderBy(first, *ties)
+    running = rows.rowsBetween(Window.unboundedPreceding, 0)
+    local = slotted.withColumns({
+        "_lrank": F.row_number().over(rows), "_lcum": F.sum(val).over(running), "_lcnt": F.count(val).over(running),
+        **({"_ldense": F.dense_rank().over(Window.partitionBy("_k").orderBy(first))} if dense else {})})
+    j = local.join(_offsets(slotted, by, val, lead, dense), "_k")
+    cum = F.when(F.col("_lcum").isNull(), F.col("_cum_off")).when(F.col("_cum_off").isNull(), F.col("_lcum")) \
+        .otherwise(F.col("_lcum") + F.col("_cum_off"))
+    extra = [(F.col("_ldense") + F.col("_dense_off")).cast("bigint").alias(DENSE)] if dense else []
+    return j.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_lrank") + F.col("_rank_off")).cast("bigint").alias(RANK),
+                    F.when(F.col("_lcnt") + F.col("_cnt_off") > 0, cum).alias(CUM), F.col(COUNT), F.col(TOTAL), *extra)
+
+
+def running_total(df: DataFrame, by, x: str, ties: Sequence[Column], out: str = "running", lead: str | None = None,
+                  descending: bool = True) -> DataFrame:
+    """Running SUM(x) in the order of ``lead`` (``x`` itself by default)."""
+    s = ordered_scan(df, [by] if isinstance(by, str) else by, lead or x, ties, x, descending)
     return s.withColumnRenamed(CUM, out).drop(RANK, COUNT, TOTAL)
 
 
-def ntile(df: DataFrame, by, order: Sequence[Column], n: int, out: str = "tile") -> DataFrame:
+def ntile(df: DataFrame, by, lead: str, ties: Sequence[Column], n: int, out: str = "tile",
+          descending: bool = True) -> DataFrame:
     """NTILE(n): bucket sizes differ by at most one, larger buckets first."""
-    s = ordered_scan(df, [by] if isinstance(by, str) else by, order)
+    s = ordered_scan(df, [by] if isinstance(by, str) else by, lead, ties, descending=descending)
     r, N = F.col(RANK), F.col(COUNT)
     q = F.floor(N / n).cast("long")
     rem = (N - q * n).cast("long")
@@ -171,24 +121,10 @@ def ntile(df: DataFrame, by, order: Sequence[Column], n: int, out: str = "tile")
     return s.withColumn(out, tile.cast("int")).drop(RANK, CUM, COUNT, TOTAL)
 
 
-def dense_rank(df: DataFrame, by, x: str, descending: bool = True, out: str = "dense") -> DataFrame:
-    """DENSE_RANK over x per group: rank the distinct (group, x) pairs (a
-    partial aggregate) with an ordered scan, then join the rank back."""
-    by = [by] if isinstance(by, str) else list(by)
-    d = df.select(*by, x).distinct()
-    o = F.col(x).desc_nulls_last() if descending else F.col(x).asc_nulls_first()
-    r = ordered_scan(d, by, [o]).select(*[F.col(c).alias(f"_d_{c}") for c in by],
-                                        F.col(x).alias("_d_x"), F.col(RANK).alias(out))
-    cond = F.col(x).eqNullSafe(F.col("_d_x"))
-    for c in by:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_d_{c}"))
-    return df.join(r, cond).drop("_d_x", *[f"_d_{c}" for c in by])
-
-
-def pareto(df: DataFrame, by, x: str, tiebreak: Sequence[Column], cut: float = 80.0) -> DataFrame:
+def pareto(df: DataFrame, by, x: str, ties: Sequence[Column], cut: float = 80.0) -> DataFrame:
     """Skew-safe form of ``windows.pareto`` (same columns)."""
     by = [by] if isinstance(by, str) else list(by)
-    s = ordered_scan(df, by, [F.col(x).desc()] + list(tiebreak), x, dense_on=x)
+    s = ordered_scan(df, by, x, ties, x, descending=True, dense=True)
     s = (s.withColumnRenamed(CUM, "cum_value").withColumnRenamed(TOTAL, "group_total")
           .withColumnRenamed(DENSE, "ranking")
           .withColumn("cum_pct", F.lit(100.0) * F.try_divide(F.col("cum_value"), F.col("group_total")))
@@ -198,13 +134,16 @@ def pareto(df: DataFrame, by, x: str, tiebreak: Sequence[Column], cut: float = 8
 
 def median(df: DataFrame, by: Sequence[str], x: Column | str, out: str = "median") -> DataFrame:
     """Exact median per group (mean of the two middle values when the count
-    is even) without a per-group buffer: the rows at the middle ranks are
-    located by an ordered scan and averaged."""
+    is even): the summary names the slots that hold the middle ranks, and only
+    their rows are numbered."""
     by = list(by)
     xc = F.col(x) if isinstance(x, str) else x
     v = df.select(*by, xc.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    s = ordered_scan(v, by, [F.col("_v").asc()])
-    lo = F.floor((F.col(COUNT) + 1) / 2)
-    hi = F.ceil((F.col(COUNT) + 1) / 2)
-    mid = s.where((F.col(RANK) == lo) | (F.col(RANK) == hi))
+    slotted = _slotted(v, by, "_v", False, True)
+    lo, hi = F.floor((F.col(COUNT) + 1) / 2), F.ceil((F.col(COUNT) + 1) / 2)
+    off, last = F.col("_rank_off"), F.col("_rank_off") + F.col("_pn")
+    middle = _offsets(slotted, by, F.lit(None).cast("double"), "_v", False) \
+        .where(((off < lo) & (lo <= last)) | ((off < hi) & (hi <= last)))
+    rank = F.row_number().over(Window.partitionBy("_k").orderBy("_v")) + off
+    mid = slotted.join(middle, "_k").withColumn("_r", rank).where((F.col("_r") == lo) | (F.col("_r") == hi))
     return mid.groupBy(*by).agg(F.avg("_v").alias(out))

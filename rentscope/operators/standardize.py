@@ -5,8 +5,9 @@ same block (city) when that score reaches the threshold; otherwise the
 original is kept.  Work is done once per distinct (block, name), not per row:
 
 1. distinct (block, name) over the data (partial aggregate),
-2. candidates = the block's official names whose *length bound* can still
-   reach the threshold (a lossless prune: LCS <= shorter length),
+2. candidates = the block's official names that share a rare (character,
+   occurrence) token, as every qualifying pair must, and whose *length bound*
+   can still reach the threshold (LCS <= shorter length),
 3. LCS score (bit-parallel in Arrow batches, or the native expression),
    once per distinct pair of token-sorted texts; best candidate per (block, name) by max score then the
    smallest name (a deterministic tie-break),
@@ -77,16 +78,15 @@ def _candidates_prefix(q: DataFrame, s: DataFrame, block: str, threshold: float)
 
 def best_matches(names: DataFrame, seed: DataFrame, block: str, name: str, official: str,
                  threshold: float = DEFAULT_THRESHOLD, scorer: str = "vectorized",
-                 candidates: str = "block") -> DataFrame:
+                 candidates: str = "prefix") -> DataFrame:
     """(block, name) -> (block, name, match, score) for names with a candidate
     at or above the threshold.
 
-    ``candidates="block"`` (default) pairs each distinct name with the
-    official names of its own block that pass the length bound: the official
-    list of a city is a reference table of bounded size, so the pair count is
-    linear in distinct names.  ``"prefix"`` generates pairs by exact prefix
-    filtering on (block, rare token) -- lossless (tests compare it with
-    "block"), worth it when official lists per block are very large."""
+    ``candidates="prefix"`` (default) generates pairs by exact prefix
+    filtering on (block, rare token): no qualifying pair is lost and no
+    all-pairs product of a block is formed.  ``"block"`` pairs each distinct
+    name with the official names of its block that pass the length bound;
+    fine where a block's official list is short (tests compare the two)."""
     q = (names.select(block, name).where(F.col(name).isNotNull() & F.col(block).isNotNull())
               .distinct()
               .select(block, name, token_sort(F.col(name)).alias("_qs")))
@@ -110,10 +110,12 @@ def best_matches(names: DataFrame, seed: DataFrame, block: str, name: str, offic
         pairs = q.join(s, cond, "inner").select(block, name, "_off", "_qs", "_ss")
     # The score depends only on the two token-sorted texts: score each distinct
     # text pair once (names repeat across blocks), then join the scores back.
-    # The pairs are few bytes but CPU-heavy to score, so they are hash-split
-    # into about two tasks per core (AQE would coalesce them into one task).
+    # The pairs are few bytes but CPU-heavy to score, and AQE would coalesce
+    # them by bytes into one task: they are hash-split into as many tasks as the
+    # session's shuffles have (sized for the data), two per core at least.
     score_fn = ratio_vectorized if scorer == "vectorized" else ratio
-    n_parts = max(2, 2 * names.sparkSession.sparkContext.defaultParallelism)
+    spark = names.sparkSession
+    n_parts = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     scores = (pairs.select("_qs", "_ss").repartition(n_parts, "_qs", "_ss").distinct()
                    .withColumn("_score", score_fn(F.col("_qs"), F.col("_ss")))
                    .where(F.col("_score") >= threshold))
@@ -125,7 +127,7 @@ def best_matches(names: DataFrame, seed: DataFrame, block: str, name: str, offic
 
 def standardize(df: DataFrame, seed: DataFrame, name: str, block: str, official: str,
                 out: str, threshold: float = DEFAULT_THRESHOLD, scorer: str = "vectorized",
-                candidates: str = "block") -> DataFrame:
+                candidates: str = "prefix") -> DataFrame:
     """df + ``out``: matched official name or the original.
 
     Guards: NULL name, empty block, or a block without seed rows keep the

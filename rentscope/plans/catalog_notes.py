@@ -151,12 +151,12 @@ def top1_group(spark, sf_dir):
 SELECT b.c_name, b.department, b.revenue, a.dept_avg FROM biz b
 JOIN (SELECT department, avg(revenue) AS raw_avg, {sql_avg_rounded('revenue', 4)} AS dept_avg
       FROM biz WHERE macrosector = 'MACHINERY' GROUP BY department) a ON a.department = b.department
-WHERE b.macrosector = 'MACHINERY' AND b.revenue > a.raw_avg""")
+WHERE b.macrosector = 'MACHINERY' AND b.revenue > a.raw_avg ORDER BY b.revenue DESC""")
 def above_group_avg(spark, sf_dir):
     m = biz(spark, sf_dir).where(F.col("macrosector") == "MACHINERY")
     a = m.groupBy("department").agg(F.avg("revenue").alias("_raw"), avg_rounded(F.col("revenue"), 4).alias("dept_avg"))
     return m.join(a, "department").where(F.col("revenue") > F.col("_raw")).select(
-        "c_name", "department", "revenue", "dept_avg")
+        "c_name", "department", "revenue", "dept_avg").orderBy(F.col("revenue").desc())
 
 
 @register("groups_above_mean_total", _BIZ + """
@@ -166,7 +166,8 @@ WHERE total > (SELECT avg(total) FROM (
   SELECT sum(revenue) AS total FROM biz WHERE macrosector = 'HOUSEHOLD' GROUP BY department) x)""")
 def groups_above_mean_total(spark, sf_dir):
     h = biz(spark, sf_dir).where(F.col("macrosector") == "HOUSEHOLD")
-    return joins.groups_above_mean_total(h, "department", "revenue").select("department", r4("total"))
+    return joins.groups_above_mean_total(h, "department", "revenue").orderBy(F.col("total").desc()) \
+        .select("department", r4("total"))
 
 
 @register("top5_per_group", _BIZ + """
@@ -195,9 +196,8 @@ SELECT department, c_name, revenue,
 FROM biz""")
 def running_total(spark, sf_dir):
     # skew-safe: a department holding a third of all companies is still
-    # scanned by many tasks (range partitioning + partition offsets)
-    r = ordered.running_total(biz(spark, sf_dir), "department",
-                              [F.col("revenue").desc(), F.col("c_custkey")], "revenue")
+    # scanned by many tasks (value ranges + offsets)
+    r = ordered.running_total(biz(spark, sf_dir), "department", "revenue", [F.col("c_custkey")])
     return r.select("department", "c_name", "revenue", r4("running"))
 
 
@@ -206,8 +206,7 @@ SELECT c_name, macrosector, revenue,
        ntile(4) OVER (PARTITION BY macrosector ORDER BY revenue DESC, c_custkey) AS quartile
 FROM biz""")
 def quartiles(spark, sf_dir):
-    q = ordered.ntile(biz(spark, sf_dir), "macrosector",
-                      [F.col("revenue").desc(), F.col("c_custkey")], 4, out="quartile")
+    q = ordered.ntile(biz(spark, sf_dir), "macrosector", "revenue", [F.col("c_custkey")], 4, out="quartile")
     return q.select("c_name", "macrosector", "revenue", F.col("quartile").cast("bigint").alias("quartile"))
 
 
@@ -244,12 +243,10 @@ SELECT c_name, macrosector, revenue, round(cum_value, 4) AS cum_value, round(gro
                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_value,
            sum(revenue) OVER (PARTITION BY macrosector) AS group_total,
            dense_rank() OVER (PARTITION BY macrosector ORDER BY revenue DESC) AS ranking
-    FROM biz WHERE revenue > 0) a) b
+    FROM biz) a) b
 WHERE cum_pct <= 80""")
 def pareto80(spark, sf_dir):
-    # Pareto over revenue-bearing companies (a cumulative share needs x > 0).
-    p = ordered.pareto(biz(spark, sf_dir).where(F.col("revenue") > 0), "macrosector", "revenue",
-                       tiebreak=[F.col("c_custkey")], cut=80.0)
+    p = ordered.pareto(biz(spark, sf_dir), "macrosector", "revenue", [F.col("c_custkey")], cut=80.0)
     return p.select("c_name", "macrosector", "revenue", r4("cum_value"), r4("group_total"),
                     F.round("cum_pct", 6).alias("cum_pct"), "ranking")
 
@@ -334,7 +331,7 @@ def ctr(spark, sf_dir):
         (F.col("ts") < F.lit("2025-01-01").cast("timestamp_ntz")))
     g = e.groupBy("user_id").agg(F.count_if(F.col("event_type") == "click").alias("_c"),
                                  F.count_if(F.col("event_type") == "view").alias("_v"))
-    return g.select("user_id", round_ratio(F.col("_c") * 100, F.col("_v"), 2).alias("ctr"))
+    return g.select("user_id", round_ratio(F.col("_c") * 100, F.col("_v"), 2).cast("double").alias("ctr"))
 
 
 @register("monthly_avg", f"""
@@ -342,37 +339,38 @@ SELECT CAST(month(ts) AS INTEGER) AS mth, user_id, {sql_avg_rounded('value', 2)}
 FROM events GROUP BY month(ts), user_id""")
 def monthly_avg(spark, sf_dir):
     e = _events(spark, sf_dir, "ts", "user_id", "value")
-    return e.groupBy(F.month("ts").alias("mth"), "user_id").agg(avg_rounded(F.col("value"), 2).alias("avg_value"))
+    return e.groupBy(F.month("ts").alias("mth"), "user_id").agg(avg_rounded(F.col("value"), 2).alias("avg_value")) \
+        .orderBy("mth", "user_id")
 
 
 @register("signed_balance", """
 SELECT user_id,
-       round(sum(CASE WHEN event_type = 'purchase' THEN -value ELSE value END), 4) AS final_balance,
-       round(sum(CASE WHEN event_type = 'click' THEN value ELSE -value END), 4) AS final_balance_alt
-FROM events WHERE event_type IN ('click', 'purchase') GROUP BY user_id""")
+       round(sum(CASE WHEN event_type IN ('purchase', 'error') THEN -value ELSE value END), 4) AS final_balance,
+       round(sum(CASE WHEN event_type NOT IN ('purchase', 'error') THEN value ELSE -value END), 4) AS final_balance_alt
+FROM events GROUP BY user_id""")
 def signed_balance(spark, sf_dir):
-    # Two formulations (withdrawal negative / deposit positive) agree when
-    # exactly two transaction types exist: clicks deposit, purchases withdraw.
-    e = _events(spark, sf_dir, "user_id", "event_type", "value").where(F.col("event_type").isin("click", "purchase"))
+    # Every event is one of two transaction kinds: purchases and errors
+    # withdraw, all others deposit.  Both formulations of the source agree.
+    kind = F.when(F.col("event_type").isin("purchase", "error"), "withdrawal").otherwise("deposit")
+    e = _events(spark, sf_dir, "user_id", "event_type", "value").withColumn("kind", kind)
     v = F.col("value")
     return e.groupBy("user_id").agg(
-        F.round(F.sum(F.when(F.col("event_type") == "purchase", -v).otherwise(v)), 4).alias("final_balance"),
-        F.round(F.sum(F.when(F.col("event_type") == "click", v).otherwise(-v)), 4).alias("final_balance_alt"))
+        F.round(F.sum(F.when(F.col("kind") == "withdrawal", -v).otherwise(v)), 4).alias("final_balance"),
+        F.round(F.sum(F.when(F.col("kind") == "deposit", v).otherwise(-v)), 4).alias("final_balance_alt"))
 
 
 @register("keys_with_3plus", """
 SELECT count(*) AS n_keys FROM (
-  SELECT user_id FROM events WHERE event_type = 'error' GROUP BY user_id HAVING count(user_id) >= 3) t""")
+  SELECT user_id FROM events GROUP BY user_id HAVING count(user_id) >= 3) t""")
 def keys_with_3plus(spark, sf_dir):
-    e = _events(spark, sf_dir, "user_id", "event_type").where(F.col("event_type") == "error")
-    return agg.keys_with_min_rows(e, "user_id", 3)
+    return agg.keys_with_min_rows(_events(spark, sf_dir, "user_id"), "user_id", 3)
 
 
 @register("group_range", """
 SELECT event_type, round(max(value) - min(value), 4) AS difference FROM events GROUP BY event_type""")
 def group_range(spark, sf_dir):
     g = agg.group_range(_events(spark, sf_dir, "event_type", "value"), "event_type", "value")
-    return g.select("event_type", r4("difference"))
+    return g.orderBy(F.col("difference").desc()).select("event_type", r4("difference"))
 
 
 # emails = orders (one per order, owned by the customer); texts = lineitems,
@@ -405,14 +403,15 @@ SELECT user_id, email_id FROM (
   FROM texts t JOIN emails e ON t.email_id = e.email_id) x
 WHERE delta_d = 1 AND signup_action = 'Confirmed'""")
 def confirm_gap_window(spark, sf_dir):
-    # The per-email span (max - min action date) is a partial aggregate joined
-    # back, not a window: an email with a huge share of texts is still reduced
-    # map-side before the shuffle.
-    j = _texts(spark, sf_dir).join(_emails(spark, sf_dir), "email_id")
-    span = j.groupBy("email_id").agg(
-        F.datediff(F.max("action_date"), F.min("action_date")).alias("delta_d")).where(F.col("delta_d") == 1)
-    return (j.where(F.col("signup_action") == "Confirmed").join(span, "email_id")
-             .select("user_id", "email_id"))
+    # The per-email span (max - min action date) needs the texts alone: one
+    # partial aggregate, then each of its few rows meets the email once per
+    # confirmation.
+    spans = _texts(spark, sf_dir).groupBy("email_id").agg(
+        F.datediff(F.max("action_date"), F.min("action_date")).alias("delta_d"),
+        F.count_if(F.col("signup_action") == "Confirmed").cast("int").alias("confirmed"))
+    hits = spans.where((F.col("delta_d") == 1) & (F.col("confirmed") > 0)) \
+        .select("email_id", F.explode(F.array_repeat(F.lit(1), F.col("confirmed"))).alias("_one"))
+    return _emails(spark, sf_dir).join(hits, "email_id").select("user_id", "email_id")
 
 
 @register("second_day_confirm", _MAIL + """
@@ -475,7 +474,7 @@ def weighted_mean(spark, sf_dir):
     # exact ROUND(sum(x*w)/sum(w), 1) over integer counts
     s = ipo.agg(F.sum(F.col("item_count") * F.col("order_occurrences")).alias("_xw"),
                 F.sum("order_occurrences").alias("_w"))
-    return s.select(round_ratio(F.col("_xw"), F.col("_w"), 1).alias("avg_items"))
+    return s.select(round_ratio(F.col("_xw"), F.col("_w"), 1).cast("double").alias("avg_items"))
 
 
 _DRUGS = """
@@ -515,7 +514,8 @@ FROM pharmacy_sales WHERE total_sales - cogs < 0 GROUP BY manufacturer""")
 def loss_by_group(spark, sf_dir):
     ps = pharmacy_sales(spark, sf_dir).withColumn("_p", F.col("total_sales") - F.col("cogs")).where(F.col("_p") < 0)
     return ps.groupBy("manufacturer").agg(F.count("drug").alias("drug_count"),
-                                          F.round(F.abs(F.sum("_p")), 4).alias("total_loss"))
+                                          F.round(F.abs(F.sum("_p")), 4).alias("total_loss")) \
+        .orderBy(F.col("drug_count").desc())
 
 
 @register("sales_millions", _DRUGS + """

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import ordered
-from ..operators.quantiles import join_null_safe, median_by
+from ..operators.quantiles import median_by
 
 LOCATION = ["city_name", "neighborhood_final"]
 
@@ -46,17 +46,25 @@ def stratum_supply(tr: DataFrame) -> DataFrame:
 def affordability_rank(tr: DataFrame, n: int = 3) -> DataFrame:
     """Cheapest and priciest neighborhoods per city by median rent.
 
-    Both rankings are skew-safe ordered scans over one row per neighborhood
-    (a city with a third of all neighborhoods is still ranked by many tasks);
-    ties on the median are broken by the neighborhood name.  NULL medians
-    sort last in both directions."""
-    m = median_by(tr, LOCATION, {"median_rent": F.col("rent_value")})
+    One skew-safe ordered scan over one row per neighborhood gives the cheapest
+    rank (a city with a third of all neighborhoods is still ranked by many
+    tasks).  Ties on the median are broken by the neighborhood name in both
+    directions, so the priciest rank follows from it: the rows above are those
+    with a median that are neither below nor tied.  NULL medians sort last in
+    both directions."""
+    m = median_by(tr, LOCATION, {"median_rent": F.col("rent_value")}) \
+        .withColumn("_known", F.when(F.col("median_rent").isNotNull(), 1))
     name = F.col("neighborhood_final").asc_nulls_last()
-    lo = ordered.ordered_scan(m, ["city_name"], [F.col("median_rent").asc_nulls_last(), name]) \
-        .select(*LOCATION, "median_rent", F.col(ordered.RANK).alias("rank_cheapest"))
-    hi = ordered.ordered_scan(m, ["city_name"], [F.col("median_rent").desc_nulls_last(), name]) \
-        .select(*LOCATION, F.col(ordered.RANK).alias("rank_priciest"))
-    both = join_null_safe(lo, hi, LOCATION, how="inner")
+    tied = Window.partitionBy("city_name", "median_rent")
+    s = ordered.ordered_scan(m, ["city_name"], "median_rent", [name], "_known", nulls_last=True) \
+        .withColumn("_place", F.row_number().over(tied.orderBy(name))) \
+        .withColumn("_ties", F.count(F.lit(1)).over(tied))
+    cheapest = F.col(ordered.RANK)
+    below = cheapest - F.col("_place")
+    priciest = F.when(F.col("median_rent").isNull(), cheapest) \
+        .otherwise(F.col(ordered.TOTAL) - below - F.col("_ties") + F.col("_place"))
+    both = s.select(*LOCATION, "median_rent", cheapest.alias("rank_cheapest"),
+                    priciest.cast("bigint").alias("rank_priciest"))
     return both.filter((F.col("rank_cheapest") <= n) | (F.col("rank_priciest") <= n))
 
 

@@ -19,7 +19,7 @@ def _skewed(spark, n=3000, seed=11):
 def test_running_total_equals_window(spark):
     df = _skewed(spark)
     order = [F.col("x").desc(), F.col("id")]
-    a = ordered.running_total(df, "g", order, "x", n_parts=9)
+    a = ordered.running_total(df, "g", "x", [F.col("id")])
     b = windows.running_total(df, "g", order, "x")
     key = lambda r: r.id
     ra = sorted(a.select("id", "running").collect(), key=key)
@@ -33,7 +33,7 @@ def test_ntile_equals_window(spark):
     df = _skewed(spark)
     order = [F.col("x").desc(), F.col("id")]
     for n in (4, 7):
-        a = ordered.ntile(df, "g", order, n, out="t").select("id", "t")
+        a = ordered.ntile(df, "g", "x", [F.col("id")], n, out="t").select("id", "t")
         b = windows.ntile_per_group(df, "g", order, n, out="t").select("id", "t")
         assert sorted(a.collect()) == sorted(b.collect())
 
@@ -59,7 +59,7 @@ def test_median_equals_builtin(spark):
 
 def test_hot_group_spans_partitions(spark):
     df = _skewed(spark)
-    s = ordered.ordered_scan(df, ["g"], [F.col("x").desc(), F.col("id")], "x", n_parts=8)
+    s = ordered.ordered_scan(df, ["g"], "x", [F.col("id")], "x", descending=True)
     # ranks are a permutation 1..n per group, even for the group split across tasks
     chk = s.groupBy("g").agg(F.count("*").alias("c"), F.min("_rank").alias("lo"), F.max("_rank").alias("hi"),
                              F.countDistinct("_rank").alias("d"))
@@ -71,7 +71,7 @@ def test_dense_from_scan_with_ties_across_partitions(spark):
     # many equal values so runs of one value cross partition boundaries
     rows = [(i, "hot" if i % 3 else "cold", float(i // 40)) for i in range(2000)]
     df = spark.createDataFrame(rows, "id int, g string, x double").repartition(5)
-    s = ordered.ordered_scan(df, ["g"], [F.col("x").desc(), F.col("id")], "x", n_parts=11, dense_on="x")
+    s = ordered.ordered_scan(df, ["g"], "x", [F.col("id")], "x", descending=True, dense=True)
     w = df.withColumn("d", F.dense_rank().over(Window.partitionBy("g").orderBy(F.col("x").desc())))
     a = sorted((r.id, r._dense) for r in s.collect())
     b = sorted((r.id, r.d) for r in w.collect())
@@ -101,7 +101,7 @@ def test_affordability_rank_equals_window_form(spark):
 
 def test_scan_with_more_partitions_than_rows(spark):
     df = spark.createDataFrame([(i, "g" if i < 5 else None, float(i)) for i in range(8)], "id int, g string, x double")
-    s = ordered.ordered_scan(df, ["g"], [F.col("x").asc(), F.col("id")], "x", n_parts=50)
+    s = ordered.ordered_scan(df, ["g"], "x", [F.col("id")], "x")
     got = sorted(((r.g, r.id, r._rank, r._cum, r._n) for r in s.collect()), key=repr)
     want = sorted([("g", i, i + 1, float(sum(range(i + 1))), 5) for i in range(5)] +
                   [(None, i, i - 4, float(sum(range(5, i + 1))), 3) for i in range(5, 8)], key=repr)
@@ -113,3 +113,39 @@ def test_median_by_all_null_group(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("z", None), ("z", None)], "g string, x double")
     got = {r.g: r.m for r in median_by(df, "g", {"m": F.col("x")}, extra=[F.count(F.lit(1)).alias("n")]).collect()}
     assert got == {"a": 2.0, "z": None}
+
+
+def test_values_keep_their_types(spark):
+    import datetime as dt
+    from decimal import Decimal
+    rows = [(1, 9007199254740993, Decimal("90071992547409.93"), dt.datetime(9999, 12, 31)),
+            (2, None, Decimal("0.01"), None), (3, 9007199254740995, None, dt.datetime(1, 1, 1))]
+    df = spark.createDataFrame(rows, "id int, b bigint, d decimal(38,2), t timestamp_ntz").withColumn("g", F.lit("g"))
+    got = {r.id: r for r in ordered.ordered_scan(df, ["g"], "id", [], "d").collect()}
+    assert [got[k].b for k in (1, 2, 3)] == [9007199254740993, None, 9007199254740995]
+    assert [got[k]._cum for k in (1, 2, 3)] == [Decimal("90071992547409.93"), Decimal("90071992547409.94"), Decimal("90071992547409.94")]
+    assert got[1].t == dt.datetime(9999, 12, 31)
+    by_time = {r.id: r._rank for r in ordered.ordered_scan(df, ["g"], "t", [], nulls_last=True).collect()}
+    assert by_time == {3: 1, 1: 2, 2: 3}
+    big = {r.id: r._rank for r in ordered.ordered_scan(df, ["g"], "b", [], descending=True).collect()}
+    assert big == {3: 1, 1: 2, 2: 3}
+
+
+def test_special_values_follow_the_window(spark):
+    rows = [(k, "g", v) for k, v in enumerate([0.0, -0.0, float("nan"), float("inf"), float("-inf"), None, 1e-300, 1e300, -5.0, None])]
+    df = spark.createDataFrame(rows, "id int, g string, x double")
+    for desc in (False, True):
+        o = F.col("x").desc() if desc else F.col("x").asc()
+        w = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(o, "id")))
+        s = ordered.ordered_scan(df, ["g"], "x", [F.col("id")], descending=desc)
+        assert sorted((r.id, r.r) for r in w.collect()) == sorted((r.id, r._rank) for r in s.collect())
+
+
+def test_no_task_scans_a_hot_group(spark):
+    """A group with a third of the rows: its largest (group, slot) is a small part of it."""
+    df = spark.range(30000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 500)).alias("g"),
+                                   (F.rand(7) * F.rand(8) * 1000).alias("x"))
+    sizes = ordered._slotted(df, ["g"], "x", True, True).groupBy("_k").count().where("_k.g = 'hot'")
+    assert sizes.agg(F.max("count")).first()[0] < 10000 / 20
+    plan = ordered.ordered_scan(df, ["g"], "x", [F.col("id")], "x")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
