@@ -193,7 +193,7 @@ def driver_silver_job(spark: SparkSession, sf_dir: str) -> DataFrame:
                   non_residential=DRIVER_NON_RESIDENTIAL)
 
 
-def _table_once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def table_once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """A model table written once per session and set of inputs; later readers
     get the written table (a changed input file gives a new key)."""
     key = (name, spark.sparkContext.applicationId, source_stamp(spark, sf_dir))
@@ -219,7 +219,7 @@ def build_model(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def driver_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver table: materialized like the source's silver model."""
-    return _table_once(spark, sf_dir, "silver", lambda: driver_silver_job(spark, sf_dir))
+    return table_once(spark, sf_dir, "silver", lambda: driver_silver_job(spark, sf_dir))
 
 
 def driver_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,7 +244,7 @@ def source_stamp(spark: SparkSession, sf_dir: str) -> tuple:
     """Identity of the inputs: the files of every source table, through the
     FileSystem of their URI."""
     return (sf_dir, *(file_stamp(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
-                      for name in ("events", "part", "customer", "nation")))
+                      for name in ("events", "part", "customer", "nation", "orders", "lineitem")))
 
 
 def _driver_transformation_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,4 +259,4 @@ def driver_transformation(spark: SparkSession, sf_dir: str) -> DataFrame:
     marts read it several times -- the same two materialized models as the
     source project.  ``build_silver`` and ``build_transformation`` are queries
     of their own; the marts read what they wrote."""
-    return _table_once(spark, sf_dir, "transformation", lambda: _driver_transformation_job(spark, sf_dir))
+    return table_once(spark, sf_dir, "transformation", lambda: _driver_transformation_job(spark, sf_dir))
