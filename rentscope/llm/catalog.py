@@ -109,7 +109,52 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """.replace("\\\\", "\\").strip()
 
-ORACLE: dict[str, str] = {"op8_chat_formatting": _CHAT}
+_LINES = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT rid, doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+         string_split(t, chr(10)) AS lines FROM d
+), win AS (
+  SELECT rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS win
+  FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM w) x
+), twice AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS c FROM win) x WHERE c > 1
+), rep AS (
+  SELECT rid, count(DISTINCT i + k) AS n FROM twice, range(3) r(k) GROUP BY rid
+), line AS (
+  SELECT rid, x, length(x) AS n, length(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) AS sym,
+         length(regexp_replace(x, '[^|»›→•·]', '', 'g')) AS sep,
+         length(regexp_replace(x, '[^\p{Lu}]', '', 'g')) AS up
+  FROM (SELECT rid, unnest(lines) AS x FROM w) y
+), judged AS (
+  SELECT rid, n, sym,
+         sym > 0.05 * n OR (sep >= 3 AND sep >= 0.03 * n)
+         OR (n >= 80 AND NOT regexp_matches(x, '[.!?…](?:["''”’»)\]]|[\x20\x09-\x0D]|$)'))
+         OR (n <= 200 AND regexp_matches(x, '{boilerplate}'))
+         OR (n >= 20 AND up > 0.4 * n) AS fails
+  FROM line
+), sums AS (
+  SELECT rid, sum(sym) AS n_symbols, count_if(fails) AS removed, sum(n) AS whole,
+         coalesce(sum(n) FILTER (NOT fails), 0) AS rest
+  FROM judged GROUP BY rid
+), base AS (
+  SELECT w.rid, doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+         CAST(n_symbols AS BIGINT) AS n_symbols,
+         len(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+         - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
+         coalesce(rep.n, 0) AS n_repeat_words, removed AS n_lines_removed, whole, rest
+  FROM w JOIN sums USING (rid) LEFT JOIN rep USING (rid)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+       AND (whole = 0 OR 1 - rest / whole <= 0.4) AS kept,
+       CAST(n_lines_removed AS BIGINT) AS n_lines_removed
+FROM base
+""".replace("\\\\", "\\").replace("{boilerplate}", line_rules.BOILERPLATE).strip()
+
+ORACLE: dict[str, str] = {"op5_quality_rules": _LINES, "op8_chat_formatting": _CHAT}
 
 
 def queries() -> dict[str, Job]:
