@@ -32,9 +32,11 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import map_arrow
 
 WINDOW = 13
@@ -257,8 +259,8 @@ class _Shard:
 
 
 def _spans_of_block(docs: DataFrame, items: list[tuple[int | None, bytes | None]], window: int,
-                    shard_symbols: int) -> DataFrame:
-    """docs (id, h, t) -> (id, h, n_words, starts, ends, items)."""
+                    shard_symbols: int) -> tuple[DataFrame, Broadcast]:
+    """docs (id, h, t) -> (id, h, n_words, starts, ends, items), and what was sent for it."""
     sent = docs.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,7 +287,7 @@ def _spans_of_block(docs: DataFrame, items: list[tuple[int | None, bytes | None]
             yield out(shard)
 
     return map_arrow(docs, run, "id bigint, h bigint, n_words bigint, starts array<bigint>, ends array<bigint>, "
-                                "items array<bigint>")
+                                "items array<bigint>"), sent
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
@@ -309,7 +311,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for k in range(blocks):
         mine = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("item", "t"), F.lit(blocks)) == k)
         items = [(r["item"], None if r["t"] is None else bytes(r["t"])) for r in mine.collect()]
-        parts.append(_spans_of_block(src, items, window, shard_symbols))
+        spans, sent = _spans_of_block(src, items, window, shard_symbols)
+        if blocks > 1:  # one block at a time in the memory of driver and tasks
+            spans = materialize(spans, "block-spans")
+            sent.unpersist()
+        parts.append(spans)
     found = parts[0]
     if blocks > 1:  # one row per document again; equal rows are counted and laid out anew
         for p in parts[1:]:
