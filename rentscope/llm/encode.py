@@ -12,30 +12,64 @@ from __future__ import annotations
 import re
 import struct
 
-CACHE_WORDS = 700_000
+CACHE_WORDS = 500_000   # words of a cache generation; two generations are kept
 END_ID = 1
-# The tokenizer's pieces, for ASCII words in lower case.
-_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII).findall
+# Words of printable ASCII and Latin letters are normalised and cut here; all
+# others by the tokenizer's own normaliser and pre-tokenizer.
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*").fullmatch
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]"
+                     "|[^a-z0-9\u00df-\u00f6\u00f8-\u017f]+").findall
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level BPE writes a byte that has no visible Latin-1 character as
+    the next letter from U+0100 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+_LETTERS = _byte_letters()
 
 
 def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class _Pieces(dict):
-    """Byte-level piece -> ids, merged on first sight."""
+class _Memory(dict):
+    """A dictionary that works out missing values and, once full, starts anew
+    beside its previous generation."""
 
-    def __init__(self, model):
+    def __init__(self) -> None:
         super().__init__()
-        self.model = model
+        self.older: dict = {}
 
-    def __missing__(self, piece: str) -> bytes:
-        found = self[piece] = _packed([t.id for t in self.model.tokenize(piece)])
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        if found is None:
+            found = self.work_out(key)
+        self[key] = found
         return found
 
+    def bound(self) -> None:
+        if len(self) > CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
+
 
-class _Words(dict):
-    """Word (no space, no line feed) -> ids, worked out on first sight."""
+class _Pieces(_Memory):
+    """Byte-level piece -> ids."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize = model.tokenize
+
+    def work_out(self, piece: str) -> bytes:
+        return _packed([t.id for t in self.tokenize(piece)])
+
+
+class _Words(_Memory):
+    """Word (no space, no line feed) -> ids."""
 
     def __init__(self, tok):
         super().__init__()
@@ -43,18 +77,18 @@ class _Words(dict):
         self.pieces = _Pieces(tok.model)
         self.marks = [t.content for t in tok.get_added_tokens_decoder().values()]
 
-    def __missing__(self, word: str) -> bytes:
-        if any(m in word for m in self.marks):  # spelled-out special tokens
-            found = _packed(self.tok.encode(word, add_special_tokens=False).ids)
+    def work_out(self, word: str) -> bytes:
+        if "<|" in word and any(m in word for m in self.marks):  # spelled-out special tokens
+            return _packed(self.tok.encode(word, add_special_tokens=False).ids)
+        if word.isascii() and word.isprintable() or _PLAIN(word):
+            low = word.lower()
+            parts = [low] if low.isalpha() else _PIECES(low)
+            if not low.isascii():
+                parts = [p.encode().decode("latin-1").translate(_LETTERS) for p in parts]
         else:
-            if word.isascii() and word.isprintable():
-                parts = _ASCII_PIECES(word.lower())
-            else:
-                plain = self.tok.normalizer.normalize_str(word)
-                parts = [p for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(plain)]
-            found = b"".join(map(self.pieces.__getitem__, parts))
-        self[word] = found
-        return found
+            plain = self.tok.normalizer.normalize_str(word)
+            parts = [p for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(plain)]
+        return b"".join(map(self.pieces.__getitem__, parts))
 
 
 class WordEncoder:
@@ -77,7 +111,6 @@ class WordEncoder:
         """The ids of a text, in order; null is empty."""
         if not text:
             return b""
-        for cache in (self.words, self.words.pieces):
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
+        self.words.bound()
+        self.words.pieces.bound()
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
