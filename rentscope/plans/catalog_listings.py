@@ -6,9 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import quality
-from . import market, star
+from ..session import scratch_path
+from ..sources import landing
+from . import market, star, warehouse
 from .catalog import register
-from .listings import build_model, driver_silver, driver_staging, driver_transformation
+from .listings import (DRIVER_AS_OF, DRIVER_NON_RESIDENTIAL, build_model, driver_seed, driver_silver, driver_staging,
+                       driver_transformation)
 
 # ---------------------------------------------------------------------------
 # Oracle: the same derivation written independently in DuckDB SQL.
@@ -373,3 +376,26 @@ GROUP BY city_name, neighborhood_final
 ORDER BY n_listings DESC, city_name ASC, neighborhood_final ASC LIMIT 20""")
 def top20_depth(spark, sf_dir):
     return market.top_depth(driver_transformation(spark, sf_dir), 20)
+
+
+@register("warehouse_fact", L_STAR + "SELECT * FROM fact")
+def warehouse_fact(spark, sf_dir):
+    """A13-A15: the whole listing build into a warehouse folder, with the official
+    names read from a CSV seed; returns the published fact table."""
+    root = scratch_path(spark, "warehouse")
+    driver_seed(spark, sf_dir).write.option("header", True).csv(f"{root}/seed")
+    built = warehouse.build(spark, driver_staging(spark, sf_dir), landing.read_seed(spark, f"{root}/seed"), root,
+                            as_of=DRIVER_AS_OF, non_residential=DRIVER_NON_RESIDENTIAL)
+    return built["fact_listing"]
+
+
+@register("published_depth", L_TR + """
+SELECT neighborhood_final, city_name, count(neighborhood_final) AS neighborhood_per_city FROM tr
+GROUP BY neighborhood_final, city_name HAVING count(neighborhood_final) > 1
+ORDER BY neighborhood_per_city DESC, city_name, neighborhood_final""")
+def published_depth(spark, sf_dir):
+    """the depth table written in order and read back in that order."""
+    path = scratch_path(spark, "depth")
+    order = [F.col("neighborhood_per_city").desc(), "city_name", "neighborhood_final"]
+    star.gold_depth(driver_transformation(spark, sf_dir)).orderBy(*order).write.parquet(path)
+    return spark.read.parquet(path).orderBy(*order)

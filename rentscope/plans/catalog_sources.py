@@ -134,3 +134,15 @@ def bronze_union(spark, sf_dir):
     drifted = _typed(odd).drop("LOAD_TYPE").withColumn("LOAD_DATE", F.to_date("UPLOADED_DATE"))
     drifted.write.partitionBy("LOAD_DATE").parquet(f"{path}/LOAD_TYPE=INCREMENTAL/LOAD_ID=drifted")
     return _typed(bronze.read_loads(spark, path))
+
+
+@register("landing_fallback", _OBS + _bronze_sql(_FULL_AT, "'FULL'"))
+def landing_fallback(spark, sf_dir):
+    """A5, A6: pages whose odd listings spell the city without nesting, and all
+    of which repeat the link under an upper-case name."""
+    pages = landing.read_pages(spark, _landed(spark, sf_dir)["all"])
+    flat = F.transform("results", lambda x: F.when(
+        F.regexp_extract(x, '"link":"/listing/([0-9]+)"', 1).cast("int") % 2 == 1,
+        F.regexp_replace(x, '"mciudad":\\{"nombre":("[^"]*")\\}', '"mciudad":$1')).otherwise(x))
+    twice = F.transform(flat, lambda x: F.regexp_replace(x, '("link":"[^"]*")', '$1,"LINK":"later"'))
+    return _typed(landing.to_bronze(pages.withColumn("results", twice), LOADED_AT, "FULL"))
