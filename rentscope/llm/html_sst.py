@@ -67,6 +67,10 @@ NOISE_WORDS = frozenset(
     "notifications alert popup modal overlay newsletter subscribe subscription signup login share sharing social "
     "related recommended recommendations comment comments commentlist discussion disqus respond reply replies "
     "pagination pager copyright complementary contentinfo search tagcloud hidden".split())
+# ... also inside longer names
+NOISE_STEMS = re.compile("cookie|advert|adsby|sidebar|navbar|newsletter|breadcrumb|sponsor|popup|disqus|comments|footer")
+# a header inside an article is the article's own
+HEADER_WORDS = frozenset(("header", "masthead"))
 CONTENT_WORDS = frozenset(("main", "article"))
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
@@ -87,15 +91,18 @@ class _Frame:
 def _element(tag: str, attrs: str, parent: _Frame, removed) -> tuple[_Frame, str, str]:
     """Frame of a new element, its key among its siblings, its link."""
     from xxhash import xxh64_intdigest
-    named, words, link = "", (), ""
+    named, words, link = "", set(), ""
     if "=" in attrs:
         found = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)}
         link = found.pop("href", "")
         if "id" in found:  # numbered ids are one path
             found["id"] = _DIGITS.sub("0", found["id"])
         named = " ".join(f"{k}={v}" for k, v in sorted(found.items())).lower()
-        words = {w for v in found.values() for w in _SPLIT.split(v.lower())}
-    noise = parent.noise or tag in NOISE_TAGS or (tag not in ("html", "body") and not NOISE_WORDS.isdisjoint(words))
+        words = {w for v in found.values() for w in _SPLIT.split(v.lower()) if w}
+    noise = parent.noise or tag in NOISE_TAGS
+    if not noise and words and tag not in ("html", "body"):
+        judged = words - HEADER_WORDS if parent.inside else words
+        noise = not NOISE_WORDS.isdisjoint(judged) or any(NOISE_STEMS.search(w) for w in judged)
     if tag == "header" and not parent.inside:
         noise = True
     inside = parent.inside or (not noise and (tag in CONTENT_WORDS or "role=main" in named))

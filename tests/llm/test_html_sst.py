@@ -19,6 +19,9 @@ def test_odd_pages():
     assert T.extract("<main>x <script>if (a<b) '</main>'</script>y") == "x y"
     assert T.extract("<article>a <a title='x>y' href=z>b</a> <br/>c < d <!-- e") == "a b c < d"
     assert T.extract("<article>t<p title=\"open>u</p>v</article>") in ("t u v", "t", "tu v", "t v")
+    assert T.extract('<article><div class="post-header"><h1>T</h1></div><p>x</p><div id="siteFooter">f</div>'
+                     '<div class="cookieBar">c</div><ol class="comments-list"><li>r</ol></article>') == "T x"
+    assert T.extract('<div class="site-header">h</div><div class="content"><p>x</p></div><div class="adsbygoogle">a</div>') == "x"
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
     assert T.extract(deep) == "x"
     assert T.extract("<nav>only</nav>") == ""
