@@ -95,3 +95,21 @@ def test_prefix_candidates_equal_block_candidates(spark):
     for thr in (65.0, 40.0, 90.0):
         assert got[("prefix", thr)] == got[("block", thr)], thr
     assert dict(got[("prefix", 65.0)])[900] == ""  # empty name matches the empty official name (score 100)
+
+
+def test_prefix_candidates_on_a_hot_block(spark):
+    """One city with all names: the default finds what all pairs find, from far fewer pairs."""
+    import random
+
+    from rentscope.operators import standardize as S
+    rnd = random.Random(5)
+    official = sorted({"".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for _ in range(300)})
+    messy = sorted({"".join(c for c in o if rnd.random() > 0.1) for o in official})
+    names = spark.createDataFrame([("hot", n) for n in messy], "city string, name string")
+    seed = spark.createDataFrame([("hot", o) for o in official], "city string, official string")
+    got = {k: sorted(map(tuple, S.best_matches(names, seed, "city", "name", "official", candidates=k).collect()))
+           for k in ("prefix", "block")}
+    assert got["prefix"] == got["block"] and len(got["prefix"]) > 200
+    q = names.select("city", F.col("name").alias("_qs"))
+    s = seed.select(F.col("city").alias("_sb"), F.col("official").alias("_ss"))
+    assert S._candidates_prefix(q, s, "city", S.DEFAULT_THRESHOLD).count() < 0.9 * len(messy) * len(official)
