@@ -27,7 +27,7 @@ def tree(df) -> str:
     for ln in lines:
         ln = re.sub(r"#\d+L?", "", ln)
         ln = re.sub(r"Location: InMemoryFileIndex\([^)]*\)\[[^\]]*\]", "Location: ...", ln)
-        out.append(ln[:220])
+        out.append(ln[:130])
     return "\n".join(out)
 
 
