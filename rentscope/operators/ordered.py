@@ -97,7 +97,8 @@ def ordered_scan(df: DataFrame, by: Sequence[str], lead: str, ties: Sequence[Col
     cum = F.when(F.col("_lcum").isNull(), F.col("_cum_off")).when(F.col("_cum_off").isNull(), F.col("_lcum")) \
         .otherwise(F.col("_lcum") + F.col("_cum_off"))
     extra = [(F.col("_ldense") + F.col("_dense_off")).cast("bigint").alias(DENSE)] if dense else []
-    return j.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_lrank") + F.col("_rank_off")).cast("bigint").alias(RANK),
+    return j.select(*[F.col(f"`{c}`") for c in df.columns],
+                    (F.col("_lrank") + F.col("_rank_off")).cast("bigint").alias(RANK),
                     F.when(F.col("_lcnt") + F.col("_cnt_off") > 0, cum).alias(CUM), F.col(COUNT), F.col(TOTAL), *extra)
 
 

@@ -1,9 +1,10 @@
 """Exact medians per group.
 
 ``method="scan"`` (default) finds the middle rows through value ranges (see
-``operators.ordered``): no group's values are ever buffered in one task.  ``method="buffer"`` uses the built-in exact percentile, which merges
-every distinct value of a group into one aggregation buffer -- fine when
-groups are known to be small.
+``operators.ordered``): no group's values are ever buffered in one task.
+``method="buffer"`` uses the built-in exact percentile, which merges every
+distinct value of a group into one aggregation buffer -- fine when groups are
+known to be small.
 """
 
 from __future__ import annotations
