@@ -20,10 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import materialize
 from .common import map_arrow
 from .encode import WordEncoder
 
-BLOCK = 1024  # lengths in a block of the suffix sums
+BLOCK = 256  # lengths in a block of the suffix sums
 
 
 def length_histogram(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
@@ -50,7 +51,8 @@ def suffix_sums(hist: DataFrame) -> DataFrame:
     more, ``tokens_truncated`` is the corpus cut to L tokens a document,
     ``share_at_most`` the share of documents no longer than L (L is the
     quantile of every share up to it and above the row before)."""
-    h = hist.withColumn("block", F.floor(F.col("n_tokens") / BLOCK)) \
+    # read twice below (within blocks, over blocks): written once, so the texts are encoded once
+    h = materialize(hist, "lengths").withColumn("block", F.floor(F.col("n_tokens") / BLOCK)) \
         .withColumn("tokens", F.col("n_tokens") * F.col("n_docs"))
     down = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
     blocks = h.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
