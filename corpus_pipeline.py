@@ -33,8 +33,10 @@ def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # the whole row travels as one value, so that no column of it meets a figure's name
-    judged = line_rules.apply_rules(docs.select(F.struct("*").alias("row"), "text")).where("kept")
-    return _with_text(judged.select("row.*", "clean_text").withColumn("text", F.col("clean_text")), docs.columns)
+    judged = line_rules.apply_rules(docs.select(F.struct("*").alias("row"), "text"))
+    # a generator instead of a filter: a filter's condition is pushed below and evaluated a second time
+    kept = judged.select(F.inline(F.when(F.col("kept"), F.array(F.struct("row", "clean_text")))))
+    return _with_text(kept.select("row.*", "clean_text").withColumn("text", F.col("clean_text")), docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
