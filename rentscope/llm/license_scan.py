@@ -26,10 +26,12 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import let
 
 THRESHOLD = 0.55
-STATEMENT = "(?i)licen[sc]e|copyright|copyleft|spdx|public domain|creative commons|\\bcc[ -]by\\b|\\bcc0\\b|permission is hereby|redistribution and use"
+STATEMENT = ("(?i)licen[sc]e|copyright|copyleft|spdx|public domain|creative commons|\\bcc[ -]by\\b|\\bcc0\\b"
+             "|permission is hereby|redistribution and use")
 LICENSE_FILE = "(?i)^(?:un)?licen[sc]e(?:$|[._\\-])|^copying(?:$|[._\\-])|^copyright(?:$|[._\\-])|^notice(?:$|[._\\-])"
 # Usual statements and opening sentences of licences.
 TEMPLATES = {
@@ -160,6 +162,8 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", threshold: fl
                        let(statements(F.col(f"`{text}`"), is_file), judged).alias("j")) \
         .select(*carried, "directory", "is_license_file", F.col("j.top.license").alias("own_license"),
                 (-F.col("j.top.minus")).alias("own_score"), F.col("j.n").cast("bigint").alias("n_statements"))
+    # read three times below: the texts are scored once and stay behind
+    own = materialize(own, "license-scores")
     # one row per directory that holds a licence file
     holders = own.where("is_license_file and own_license is not null").groupBy("directory") \
         .agg(F.min(F.struct((-F.col("own_score")).alias("minus"), "own_license")).alias("b")) \
