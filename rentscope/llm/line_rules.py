@@ -1,8 +1,10 @@
 """Quality rules: line-first cleaning, in built-in Spark functions only.
 
 Every line is judged by itself (punctuation, navigation, boilerplate, symbol
-noise, shouting, repetition).  Failing lines go; a document that loses more
-than ``max_loss`` of its characters, or fails the base figures, is rejected.
+noise, shouting, repetition); only the end of a sentence may stand on another
+line where the text is hard-wrapped (see ``wrap_width``).  Failing lines go; a
+document that loses more than ``max_loss`` of its characters, or fails the base
+figures, is rejected.
 The job is one map over the rows: no shuffle, so hot sources and groups of
 copies cost nothing extra.
 
@@ -25,7 +27,17 @@ from .common import let, words_of
 # Characters counted as symbols.
 SYMBOLS = "[#*$%&|<>]"
 # The end of a sentence inside or at the end of a line.
-SENTENCE_END = "[.!?\\u2026](?:[\"'\\u201d\\u2019\\u00bb)\\]]|[\\x20\\x09-\\x0D]|$)"
+SENTENCE_END = ("[.!?\\u2026](?:[\"'\\u201d\\u2019\\u00bb)\\]]|[\\x20\\x09-\\x0D]|$)"
+                # sentence marks of other scripts, which need no space after them
+                "|[\\u0589\\u061E\\u061F\\u06D4\\u0700-\\u0702\\u0964\\u0965\\u104A\\u104B\\u1362\\u1367\\u1368\\u166E"
+                "\\u1735\\u1736\\u17D4\\u17D5\\u1803\\u1809\\u0F0D\\u0F0E\\u1AA8-\\u1AAB\\u1B5A\\u1B5B\\u1C3B\\u1C3C\\u1C7E\\u1C7F"
+                "\\u3002\\uFE12\\uFE52\\uFE56\\uFE57\\uFF01\\uFF0E\\uFF1F\\uFF61\\uA4FF\\uA60E\\uA60F\\uA6F3\\uA6F7\\uA8CE\\uA8CF]"
+                # Thai and Lao write no mark at a sentence's end
+                "|[\\u0E01-\\u0E2E\\u0E81-\\u0EAE]")
+# Longest word that counts when a line is tested for being full; least share of full lines.
+WRAP_WORD, WRAP_SHARE = 20, 3
+# The line break before a blank line.
+BEFORE_BLANK = "\\n(?=[\\x20\\x09\\x0B-\\x0D]*(?:\\n|\\z))"
 # Separators of menus and breadcrumbs.
 NAV_SEPARATORS = ["|", "\u00bb", "\u203a", "\u2192", "\u2022", "\u00b7"]
 # Phrases of page furniture.
@@ -81,8 +93,37 @@ def repeated_window_words(words: Column) -> Column:
     return let(let(words, hashes), counted).cast("long")
 
 
-def line_fails(line: Column, n_symbols: Column, rules: LineRules = LineRules()) -> Column:
-    """True for a line that any rule rejects (``n_symbols`` of it counted before)."""
+def wrap_width(lines: Column) -> Column:
+    """Width at which lines are hard-wrapped, or null: two or more, and a third of those that another
+    line follows, are so full that the next line's first word had no room."""
+    def measured(ls: Column) -> Column:
+        both = F.transform(ls, lambda x, i: F.struct(
+            _full_length(ls, i).alias("n"), F.length(x).alias("own"),
+            F.rlike(F.trim(x), F.lit("[\\x20\\x09]")).alias("spaced")))
+        return F.filter(both, lambda x: x["n"] > 0)
+
+    def told(m: Column) -> Column:
+        # an address without a space cannot be broken and says nothing of the width
+        width = F.coalesce(F.array_max(F.transform(F.filter(m, lambda x: x["spaced"]), lambda x: x["own"])),
+                           F.array_max(F.transform(m, lambda x: x["own"])))
+        return let(width, lambda w: let(
+            F.size(F.filter(m, lambda x: x["n"] > w)),
+            lambda full: F.when((full >= 2) & (WRAP_SHARE * full >= F.size(m)), w)))
+
+    return let(let(lines, measured), told)
+
+
+def _full_length(lines: Column, i: Column) -> Column:
+    """Length of line ``i`` with the first word of the next one; 0 unless both hold text."""
+    word = F.length(F.regexp_extract(F.coalesce(F.get(lines, i + 1), F.lit("")),
+                                     "^[\\x20\\x09]*([^\\x20\\x09-\\x0D]{1,%d})" % WRAP_WORD, 1))
+    n = F.length(F.coalesce(F.get(lines, i), F.lit("")))
+    return F.when((word > 0) & (n > 0), n + 1 + word).otherwise(F.lit(0))
+
+
+def line_fails(line: Column, n_symbols: Column, continued: Column, rules: LineRules = LineRules()) -> Column:
+    """True for a line that any rule rejects (``n_symbols`` of it counted before); ``continued`` tells
+    that the sentence of a wrapped line ends on another one."""
     n = F.length(line)
     bare = line
     for mark in NAV_SEPARATORS:
@@ -90,16 +131,37 @@ def line_fails(line: Column, n_symbols: Column, rules: LineRules = LineRules())
     separators = n - F.length(bare)
     return ((n_symbols > rules.symbol_share * n)
             | ((separators >= rules.min_separators) & (separators >= rules.nav_share * n))
-            | ((n >= rules.long_line) & ~F.rlike(line, F.lit(SENTENCE_END)))
+            | ((n >= rules.long_line) & ~continued & ~F.rlike(line, F.lit(SENTENCE_END)))
             | ((n <= rules.furniture_chars) & F.rlike(line, F.lit(BOILERPLATE)))
             | ((n >= rules.shout_chars) & (F.regexp_count(line, F.lit("\\p{Lu}")) > rules.shout_share * n)))
 
 
-def _judged(line: Column, rules: LineRules) -> Column:
+def _judged(line: Column, continued: Column, rules: LineRules) -> Column:
     counted = F.struct(line.alias("line"), F.regexp_count(line, F.lit(SYMBOLS)).alias("n_symbols"))
     return let(counted, lambda c: F.struct(
         c["line"].alias("line"), c["n_symbols"].alias("n_symbols"),
-        line_fails(c["line"], c["n_symbols"], rules).alias("fails")))
+        line_fails(c["line"], c["n_symbols"], continued, rules).alias("fails")))
+
+
+def _judged_lines(src: Column, lines: Column, rules: LineRules) -> Column:
+    """The text's lines, judged; the end of a wrapped line's sentence is looked for up to the blank lines."""
+    def open_line(x: Column) -> Column:
+        return (F.length(x) >= rules.long_line) & ~F.rlike(x, F.lit(SENTENCE_END))
+
+    def run(piece: Column, whole: Column) -> Column:
+        ls = F.split(piece, "\n")
+        width = F.when(F.exists(ls, open_line) & F.rlike(piece, F.lit(SENTENCE_END)), F.least(whole, wrap_width(ls)))
+        # a full line goes on below, and the line after a full one ends it
+        return let(width, lambda w: F.transform(ls, lambda x, i: _judged(
+            x, F.coalesce((F.length(x) <= w) & ((_full_length(ls, i) > w) | (_full_length(ls, i - 1) > w)),
+                          F.lit(False)), rules)))
+
+    def runs(whole: Column) -> Column:
+        return F.flatten(F.transform(F.split(src, BEFORE_BLANK), lambda p: run(p, whole)))
+
+    # most texts hold no long line without an end: their lines are not searched again
+    plain = F.transform(lines, lambda x: _judged(x, F.lit(True), rules))
+    return F.when(F.exists(lines, open_line), let(wrap_width(lines), runs)).otherwise(plain)
 
 
 def _chars(lines: Column) -> Column:
@@ -115,7 +177,7 @@ def apply_rules(df: DataFrame, text: str = "text", rules: LineRules = LineRules(
     src = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     a = df.select(*carried, words_of(src).alias("__w"), F.split(src, "\n").alias("__l"))
     a = a.withColumn("__full", F.filter("__l", lambda x: F.rlike(x, F.lit("[^\\x20\\x09-\\x0D]"))))
-    a = a.withColumn("__j", F.transform("__l", lambda x: _judged(x, rules)))
+    a = a.withColumn("__j", _judged_lines(F.array_join("__l", "\n"), F.col("__l"), rules))
     a = a.withColumn("__kept", F.filter("__j", lambda x: ~x["fails"]))
     a = a.select(
         *carried,

@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 from pyspark.sql import functions as F
 
@@ -49,3 +50,22 @@ def test_empty_repeated_and_clashing_columns(spark, make_docs, prose):
     rows = apply_rules(docs).collect()
     assert len(rows) == 2 and rows[0] == rows[1] and rows[0].kept is True and rows[0].n_words == 80
     assert apply_rules(docs.limit(0)).count() == 0
+
+
+def test_hard_wrapped_prose_and_other_scripts(spark, make_docs, prose):
+    paragraphs = []
+    for k in range(6):  # sentences far longer than a line
+        paragraphs.append(" ".join(prose(20 + k, 90).replace(".", ",").lower().split()).rstrip(",") + ".")
+    texts = {}
+    for width in (90, 100, 120):
+        texts[width] = "\n\n".join(textwrap.fill(p, width) for p in paragraphs)
+        texts[width + 1] = "\n".join(textwrap.fill(p, width) for p in paragraphs)
+    junk = " ".join(prose(30, 60).replace(".", "").split())
+    texts[1] = prose(31, 200) + "\n" + junk                    # one line a paragraph: a long line without an end goes
+    marks = "\u0964\u061f\u3002\uff01\uff1f\u06d4\u0589\u1362"
+    for k, mark in enumerate(marks):
+        texts[200 + k] = "\n".join(" ".join(["\u0915\u0939\u0928\u093e%d%d" % (i, j) for j in range(20)]) + mark for i in range(4))
+    got = {r["doc_id"]: r for r in apply_rules(make_docs(list(texts.items()))).collect()}
+    for k, r in got.items():
+        assert r.kept, k
+        assert (r.n_lines_removed == 1 and junk not in r.clean_text) if k == 1 else r.clean_text == texts[k], k
