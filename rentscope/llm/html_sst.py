@@ -12,8 +12,10 @@ A branch's importance mixes both; branches of low importance are removed from
 each page.  A prior stands beside the entropies, since menus and adverts may
 differ on every page: elements whose tag, class or role names them as page
 furniture have no importance, and an article or main element has full
-importance (only its inner boxes can still lose theirs).  Where a page has an
-article or main element, its text comes from there.
+importance whatever its name (only its inner boxes can still lose theirs).
+Where a page has an article or main element, its text comes from there.  A
+named element that holds most of its pages' text, with high importance, is no
+furniture: the tree lifts its name's verdict.
 
 Everything a host contributes is counted by (host, path, content) before it
 meets, so a host with a third of all pages is no hot group; what comes back to
@@ -41,6 +43,8 @@ from .common import map_arrow
 CONTENT_WEIGHT = 0.9   # weight of content against presentation importance
 MIN_IMPORTANCE = 0.2   # branches below are removed
 INNER_IMPORTANCE = 0.05  # ... inside an article
+LIFT_IMPORTANCE = 0.5  # a named branch is content from this importance on
+LIFT_SHARE = 0.5         # ... and this share of its pages' text
 MIN_PAGES = 8          # pages of a host that must show a path
 
 # Element kinds of HTML.
@@ -72,6 +76,10 @@ NOISE_STEMS = re.compile("cookie|advert|adsby|sidebar|navbar|newsletter|breadcru
 # a header inside an article is the article's own
 HEADER_WORDS = frozenset(("header", "masthead"))
 CONTENT_WORDS = frozenset(("main", "article"))
+# names that begin so tell a state ("has-sidebar"); parts that may follow a name ("menu-item")
+STATE_WORDS = frozenset("has with without no not is show hide js".split())
+BOX_WORDS = frozenset("area bar block box button container content group holder inner item items link links list outer "
+                      "panel row section slot text title unit wrap wrapper".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
                   r"|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
@@ -80,43 +88,64 @@ _SPLIT = re.compile(r"[^a-z]+")
 _DIGITS = re.compile(r"\d+")
 
 
+def _names_furniture(name: str, inside: bool) -> bool:
+    """Whether one class, id or role, taken whole or by its last part, names page furniture."""
+    parts = [w for w in _SPLIT.split(name) if w]
+    if not parts or parts[0] in STATE_WORDS:
+        return False
+    while len(parts) > 1 and parts[-1] in BOX_WORDS:
+        parts.pop()
+    if parts[-1] in NOISE_WORDS and not (inside and parts[-1] in HEADER_WORDS):
+        return True
+    return any(NOISE_STEMS.search(w) for w in parts)
+
+
 class _Frame:
-    __slots__ = ("tag", "path", "noise", "inside", "children", "above", "gone")
+    """``barred``: furniture by its tag; ``named``: path of the outermost furniture by name, else None."""
+    __slots__ = ("tag", "path", "barred", "named", "inside", "children", "above", "gone")
 
-    def __init__(self, tag, path, noise, inside, above, gone):
-        self.tag, self.path, self.noise, self.inside, self.above, self.gone = tag, path, noise, inside, above, gone
+    def __init__(self, tag, path, barred, named, inside, above, gone):
+        self.tag, self.path, self.barred, self.named = tag, path, barred, named
+        self.inside, self.above, self.gone = inside, above, gone
         self.children: list[str] = []
 
+    @property
+    def noise(self) -> bool:
+        return self.barred or self.named is not None
+
 
-def _element(tag: str, attrs: str, parent: _Frame, removed) -> tuple[_Frame, str, str]:
+def _element(tag: str, attrs: str, parent: _Frame, removed, lifted) -> tuple[_Frame, str, str]:
     """Frame of a new element, its key among its siblings, its link."""
     from xxhash import xxh64_intdigest
-    named, words, link = "", set(), ""
+    named, names, link = "", set(), ""
     if "=" in attrs:
         found = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)}
         link = found.pop("href", "")
         if "id" in found:  # numbered ids are one path
             found["id"] = _DIGITS.sub("0", found["id"])
         named = " ".join(f"{k}={v}" for k, v in sorted(found.items())).lower()
-        words = {w for v in found.values() for w in _SPLIT.split(v.lower()) if w}
-    noise = parent.noise or tag in NOISE_TAGS
-    if not noise and words and tag not in ("html", "body"):
-        judged = words - HEADER_WORDS if parent.inside else words
-        noise = not NOISE_WORDS.isdisjoint(judged) or any(NOISE_STEMS.search(w) for w in judged)
-    if tag == "header" and not parent.inside:
-        noise = True
-    inside = parent.inside or (not noise and (tag in CONTENT_WORDS or "role=main" in named))
+        names = {w for v in found.values() for w in v.lower().split()}
     key = f"{tag} {named}" if named else tag
     path = xxh64_intdigest(key, parent.path & 0xFFFFFFFFFFFFFFFF)
     path -= (path >> 63) << 64
+    barred = parent.barred or tag in NOISE_TAGS or (tag == "header" and not parent.inside)
+    content = tag in CONTENT_WORDS or "role=main" in named
+    root = parent.named
+    if root is None and not content and tag not in ("html", "body") and path not in lifted \
+            and any(_names_furniture(w, parent.inside) for w in names):
+        root = path
+    inside = parent.inside or (content and not barred and root is None)
     gone = parent.gone or path in removed
-    return _Frame(tag, path, noise, inside, (*parent.above, parent.path), gone), key, link
+    # a named branch counts for itself, not for what stands around it
+    above = () if root == path and parent.named is None else (*parent.above, parent.path)
+    return _Frame(tag, path, barred, root, inside, above, gone), key, link
 
 
-def walk(html: str, removed=frozenset()) -> tuple[list[tuple[str, _Frame | None]], list[_Frame], list[tuple[_Frame, str]]]:
+def walk(html: str, removed=frozenset(), lifted=frozenset()) \
+        -> tuple[list[tuple[str, _Frame | None]], list[_Frame], list[tuple[_Frame, str]]]:
     """The page as (text, element) runs with (" ", None) at block ends, its
     elements, and its links.  Raw and head elements hold no text."""
-    root = _Frame("", 0, False, False, (), False)
+    root = _Frame("", 0, False, None, False, (), False)
     stack, runs, frames, links = [root], [], [root], []
     at, n = 0, len(html)
     while at < n:
@@ -145,7 +174,7 @@ def walk(html: str, removed=frozenset()) -> tuple[list[tuple[str, _Frame | None]
         for open_tag, enders in ENDS.items():
             if tag in enders:
                 _end(stack, {open_tag})
-        frame, key, link = _element(tag, m[3] or m[6] or "", stack[-1], removed)
+        frame, key, link = _element(tag, m[3] or m[6] or "", stack[-1], removed, lifted)
         siblings = stack[-1].children
         if not siblings or siblings[-1] != key:
             siblings.append(key)
@@ -174,11 +203,11 @@ def _joined(runs: list[tuple[str, _Frame | None]], wanted) -> str:
     return " ".join("".join(parts).split())
 
 
-def extract(html: str | None, removed=frozenset()) -> str:
-    """Main text of a page, given the removed paths of its host."""
+def extract(html: str | None, removed=frozenset(), lifted=frozenset()) -> str:
+    """Main text of a page, given the removed paths of its host and the named ones that are content."""
     if not html:
         return ""
-    runs, frames, _ = walk(html, removed)
+    runs, frames, _ = walk(html, removed, lifted)
     if any(f.inside for f in frames):
         return _joined(runs, lambda f: f.inside and not f.noise and not f.gone)
     text = _joined(runs, lambda f: not f.noise and not f.gone)
@@ -194,11 +223,12 @@ def host_of(url: Column) -> Column:
 
 
 def page_facts(pages: DataFrame) -> DataFrame:
-    """What each page adds to its host's tree: (host, path, kind, fact, above, inner, guard).
+    """What each page adds to its host's tree: (host, path, kind, fact, above, inner, guard, share).
 
     kind 0: a child sequence of the path; kind 1: a text or link of it.  Each
     fact counts once per page.  ``guard`` marks article paths and those around
-    them, ``inner`` boxes inside an article that may still be judged."""
+    them, ``inner`` boxes inside an article that may still be judged, ``share``
+    is the part of the page's text that a branch named as furniture holds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
@@ -207,40 +237,48 @@ def page_facts(pages: DataFrame) -> DataFrame:
             return h - ((h >> 63) << 64)
 
         for b in batches:
-            host, path, kind, fact, above, inner, guard = [], [], [], [], [], [], []
+            host, path, kind, fact, above, inner, guard, share = [], [], [], [], [], [], [], []
             for h, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if not html:
                     continue
                 runs, frames, links = walk(html)
                 around = {p for f in frames if f.inside for p in f.above}
                 texts: dict[tuple[int, int], None] = {}
+                chars: dict[int | None, int] = {}
                 for t, f in runs:
-                    if f is not None and not f.noise and not t.isspace():
-                        texts[f.path, digest(" ".join(t.split()))] = None
+                    if f is not None and not f.barred and not t.isspace():
+                        words = " ".join(t.split())
+                        texts[f.path, digest(words)] = None
+                        chars[f.named] = chars.get(f.named, 0) + len(words)
                 for f, link in links:
-                    if not f.noise:
+                    if not f.barred:
                         texts[f.path, digest(link)] = None
-                shapes = {(f.path, digest(" ".join(f.children))): f for f in frames if not f.noise}
+                whole = sum(chars.values())
+                shapes = {(f.path, digest(" ".join(f.children))): f for f in frames if not f.barred}
                 for (p, d), f in shapes.items():
+                    # a path of several shapes on the page counts its share once
+                    held = chars.pop(p, 0) if f.named == p else 0
+                    share.append(held / whole if held else 0.0)
                     host.append(h), path.append(p), kind.append(0), fact.append(d), above.append(f.above)
                     box = f.tag in ("div", "section", "ul", "ol", "table", "dl")
                     inner.append(f.inside and box)
                     guard.append(p in around or (f.inside and not box) or f.tag in ("", "html", "body", "article", "main"))
                 for p, d in texts:
                     host.append(h), path.append(p), kind.append(1), fact.append(d), above.append(())
-                    inner.append(False), guard.append(False)
+                    inner.append(False), guard.append(False), share.append(0.0)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(host, pa.string()), pa.array(path, pa.int64()), pa.array(kind, pa.int8()),
                  pa.array(fact, pa.int64()), pa.array(above, pa.list_(pa.int64())), pa.array(inner, pa.bool_()),
-                 pa.array(guard, pa.bool_())], names=["host", "path", "kind", "fact", "above", "inner", "guard"])
+                 pa.array(guard, pa.bool_()), pa.array(share, pa.float64())],
+                names=["host", "path", "kind", "fact", "above", "inner", "guard", "share"])
 
     return map_arrow(pages.select("host", "html"), run,
                      "host string, path bigint, kind tinyint, fact bigint, above array<bigint>, inner boolean, "
-                     "guard boolean")
+                     "guard boolean, share double")
 
 
 def importance(facts: DataFrame) -> DataFrame:
-    """(host, path, pages, importance, inner, guard) of the hosts' tree paths.
+    """(host, path, pages, importance, inner, guard, share) of the hosts' tree paths.
 
     Presentation importance is the entropy of the child sequences over the m
     pages, to base m.  A text found on c of m pages has entropy log_m(c); the
@@ -249,7 +287,7 @@ def importance(facts: DataFrame) -> DataFrame:
     # counted once by (host, path, kind, fact); the path's figures are sums over facts
     counted = facts.groupBy("host", "path", "kind", "fact").agg(
         F.count("*").alias("c"), F.first("above").alias("above"), F.max("inner").alias("inner"),
-        F.max("guard").alias("guard"))
+        F.max("guard").alias("guard"), F.sum("share").alias("share"))
     shape, text = F.col("kind") == 0, F.col("kind") == 1
     paths = counted.groupBy("host", "path").agg(
         F.sum(F.when(shape, F.col("c"))).alias("m"),
@@ -257,11 +295,11 @@ def importance(facts: DataFrame) -> DataFrame:
         F.count(F.when(text, 1)).alias("texts"),
         F.coalesce(F.sum(F.when(text, F.log("c"))), F.lit(0.0)).alias("textlog"),
         F.first(F.when(shape, F.col("above")), ignorenulls=True).alias("above"),
-        F.max("inner").alias("inner"), F.max("guard").alias("guard")) \
+        F.max("inner").alias("inner"), F.max("guard").alias("guard"), F.sum("share").alias("share")) \
         .where("m is not null")
     log_m = F.log("m")
     base = paths.select(
-        "host", "path", "m", "inner", "guard", "above", "texts",
+        "host", "path", "m", "inner", "guard", "above", "texts", (F.col("share") / F.col("m")).alias("share"),
         F.when(F.col("m") > 1, F.greatest(F.lit(0.0), (log_m - F.col("clogc") / F.col("m")) / log_m))
         .otherwise(F.lit(1.0)).alias("shape_importance"),
         # a text may stand twice on a page's path, but counts once per page, so c <= m
@@ -271,17 +309,21 @@ def importance(facts: DataFrame) -> DataFrame:
         .select("host", F.explode(F.concat("above", F.array("path"))).alias("path"), "texts", "text_importance") \
         .groupBy("host", "path").agg(F.sum("texts").alias("n"), F.sum("text_importance").alias("s"))
     return base.join(below, ["host", "path"], "left").select(
-        "host", "path", F.col("m").alias("pages"), "inner", "guard",
+        "host", "path", F.col("m").alias("pages"), "inner", "guard", "share",
         F.when(F.col("n") > 0, CONTENT_WEIGHT * F.col("s") / F.col("n")
                + (1 - CONTENT_WEIGHT) * F.col("shape_importance")).otherwise(F.lit(1.0)).alias("importance"))
 
 
 def removed_paths(tree: DataFrame) -> DataFrame:
-    """(host, removed): the paths of low importance of each host that has any."""
+    """(host, removed, lifted): the paths of low importance and the named ones that are content,
+    of each host that has any."""
     low = F.when(F.col("inner"), F.col("importance") < INNER_IMPORTANCE) \
         .otherwise((F.col("importance") < MIN_IMPORTANCE) & ~F.col("guard"))
-    return tree.where((F.col("pages") >= MIN_PAGES) & low).groupBy("host") \
-        .agg(F.sort_array(F.collect_set("path")).alias("removed"))
+    low = (F.col("pages") >= MIN_PAGES) & low
+    lift = (F.col("share") >= LIFT_SHARE) & (F.col("importance") >= LIFT_IMPORTANCE)
+    return tree.where(low | lift).groupBy("host").agg(
+        F.sort_array(F.collect_set(F.when(low, F.col("path")))).alias("removed"),
+        F.sort_array(F.collect_set(F.when(lift, F.col("path")))).alias("lifted"))
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -290,11 +332,12 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url: str = "url", h
                        F.col(f"`{html}`").cast("string").alias("html"), host_of(F.col(f"`{url}`")).alias("host"))
     # the table of removed paths is written first, so that its size is known when the join is planned
     removed = materialize(removed_paths(importance(page_facts(src))), "style-tree")
-    joined = src.join(removed, "host", "left").select("id", "url", "html", "removed")
+    joined = src.join(removed, "host", "left").select("id", "url", "html", "removed", "lifted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [extract(h, frozenset(r or ())) for h, r in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            texts = [extract(h, frozenset(r or ()), frozenset(k or ()))
+                     for h, r, k in zip(*(b.column(c).to_pylist() for c in (2, 3, 4)))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())],
                                              names=["id", "url", "text"])
 

@@ -68,3 +68,15 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert got == [(0, "nourl", "x", 1), (3, "http://u@h.example:80/", "", 0)]
     assert T.extract_pages(pages).count() == 4
     assert T.extract_pages(pages.limit(0)).count() == 0
+
+
+def test_names_do_not_empty_a_page(spark):
+    for page in ('<main class="has-sidebar"><p>x</p></main>', '<article class="post hidden-xs"><p>x</p></article>',
+                 '<div id="content" class="with-sidebar"><p>x</p></div>', '<main class="notice"><p>x</p></main>',
+                 '<article><p class="hidden-xs">x</p><p class="ad-box">buy</p></article>'):
+        assert T.extract(page) == "x", page
+    rows = [(k, f"http://n.example/{k}", f'<div class="related">see {k}</div><div class="side"><p>long text {k} of the page</p>'
+             f"<p>and its end {k * 7}</p></div>") for k in range(9)]
+    rows += [(20, "http://one.example/", '<p class="notice">all the text of the page</p>')]
+    got = {r.page_id: r.text for r in T.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[3] == "long text 3 of the page and its end 21" and got[20] == "all the text of the page"
