@@ -45,7 +45,7 @@ MIN_IMPORTANCE = 0.2   # branches below are removed
 INNER_IMPORTANCE = 0.05  # ... inside an article
 LIFT_IMPORTANCE = 0.5  # a named branch is content from this importance on
 LIFT_SHARE = 0.5         # ... and this share of its pages' text
-MIN_PAGES = 8          # pages of a host that must show a path
+MIN_PAGES = 4          # pages of a host that must show a path
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -86,6 +86,9 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|href)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
 _DIGITS = re.compile(r"\d+")
+# numbers of one page in class names: behind a word for a page or an entry, or of three digits and more
+_CLASS_NUMBERS = re.compile(r"(?<![a-z])((?:post|page|entry|node|item|article|story|product|topic|thread|comment|user|author"
+                            r"|category|tag|term|parent|menu-item)(?:-?id)?[-_]?)\d+|\d{3,}", re.I)
 
 
 def _names_furniture(name: str, inside: bool) -> bool:
@@ -123,6 +126,8 @@ def _element(tag: str, attrs: str, parent: _Frame, removed, lifted) -> tuple[_Fr
         link = found.pop("href", "")
         if "id" in found:  # numbered ids are one path
             found["id"] = _DIGITS.sub("0", found["id"])
+        if "class" in found:  # so are classes with a number of the page; layout digits (col-6) stay apart
+            found["class"] = _CLASS_NUMBERS.sub(r"\g<1>0", found["class"])
         named = " ".join(f"{k}={v}" for k, v in sorted(found.items())).lower()
         names = {w for v in found.values() for w in v.lower().split()}
     key = f"{tag} {named}" if named else tag

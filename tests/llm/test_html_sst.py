@@ -80,3 +80,13 @@ def test_names_do_not_empty_a_page(spark):
     rows += [(20, "http://one.example/", '<p class="notice">all the text of the page</p>')]
     got = {r.page_id: r.text for r in T.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
     assert got[3] == "long text 3 of the page and its end 21" and got[20] == "all the text of the page"
+
+
+def test_small_hosts_and_numbered_classes(spark):
+    small = spark.createDataFrame(site(4), "page_id bigint, url string, html string")
+    assert {r.page_id: r.text for r in T.extract_pages(small).collect()}[3] == "unique text 3 here and words 21"
+    rows = [(k, f"http://n.example/{k}", f'<body class="post-{k}"><div class="post-{k} id{1000 + k}"><div class=a>Welcome</div>'
+             f"<div class=b>own words {k}</div></div></body>") for k in range(9)]
+    got = {r.page_id: r.text for r in T.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[5] == "own words 5"
+    assert len({T.walk(f'<div class="col-{k}">x</div>')[1][1].path for k in (3, 9)}) == 2
