@@ -45,6 +45,7 @@ MIN_IMPORTANCE = 0.2   # branches below are removed
 INNER_IMPORTANCE = 0.05  # ... inside an article
 LIFT_IMPORTANCE = 0.5  # a named branch is content from this importance on
 LIFT_SHARE = 0.5         # ... and this share of its pages' text
+ARTICLE_REST = 0.5     # share of an article's text that removed boxes must leave
 MIN_PAGES = 4          # pages of a host that must show a path
 
 # Element kinds of HTML.
@@ -214,7 +215,10 @@ def extract(html: str | None, removed=frozenset(), lifted=frozenset()) -> str:
         return ""
     runs, frames, _ = walk(html, removed, lifted)
     if any(f.inside for f in frames):
-        return _joined(runs, lambda f: f.inside and not f.noise and not f.gone)
+        own = _joined(runs, lambda f: f.inside and not f.noise)
+        left = _joined(runs, lambda f: f.inside and not f.noise and not f.gone)
+        # copies of an article repeat its text as furniture would: what leaves little of it is not applied
+        return left if len(left) >= ARTICLE_REST * len(own) else own
     text = _joined(runs, lambda f: not f.noise and not f.gone)
     # a site whose pages are all alike has no important branch: the prior alone decides
     return text or _joined(runs, lambda f: not f.noise)

@@ -90,3 +90,14 @@ def test_small_hosts_and_numbered_classes(spark):
     got = {r.page_id: r.text for r in T.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
     assert got[5] == "own words 5"
     assert len({T.walk(f'<div class="col-{k}">x</div>')[1][1].path for k in (3, 9)}) == 2
+
+
+def test_copies_of_a_boxed_article_keep_their_text(spark):
+    article = ('<article><h1>T</h1><div class="body"><p>same words</p><section><p>and more</p></section></div></article>'
+               "<div>foot</div>")
+    pages = spark.createDataFrame([(k, f"http://c.example/{k}", article) for k in range(20)], "page_id bigint, url string, html string")
+    assert {r.text for r in T.extract_pages(pages).collect()} == {"T same words and more"}
+    boxed = [(k, f"http://d.example/{k}", f'<article><div class="body"><p>own words of page {k} and others {k * 3}</p></div>'
+              '<div class="x">Follow us</div></article>') for k in range(9)]
+    got = {r.page_id: r.text for r in T.extract_pages(spark.createDataFrame(boxed, "page_id bigint, url string, html string")).collect()}
+    assert got[4] == "own words of page 4 and others 12"
