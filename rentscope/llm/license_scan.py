@@ -1,7 +1,8 @@
 """License scan: sparse TF-IDF cosine to templates, then directory inheritance.
 
-A file's header statements (lines and sentences with licence vocabulary) and,
-for licence files, the whole text are turned into sparse TF-IDF vectors and
+A file's header statements (lines and sentences with licence vocabulary or rare
+words of the templates, and the leading comment block or paragraph joined across
+its line breaks) and, for licence files, the whole text are turned into sparse TF-IDF vectors and
 compared with every template by cosine; weights of the fixed templates are
 literals of the expression, so scoring is one map in built-in functions.
 
@@ -70,6 +71,18 @@ TEMPLATES = {
     "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.", "Creative Commons Attribution-NoDerivatives 4.0 International License."],
     "Proprietary": ["Copyright. All rights reserved.", "Proprietary and confidential; unauthorized copying is strictly prohibited."],
 }
+# ... and their names as they stand in short notices
+SHORT_NAMES = [k for k in TEMPLATES if k not in ("Unlicense", "Proprietary")]
+for _k in SHORT_NAMES:
+    TEMPLATES[_k].append(f"Distributed under {_k}.")
+HEADER_CHARS = 600  # a leading block up to this length is also scored as one statement
+# comment marks at the start of a line, and at the end of a block
+COMMENT_MARKS = "(?m)^[\\x20\\t]*(?:/\\*+|\\*+/?|//+|#+|--+|;+|%+|<!--|\"\"\")[\\x20\\t]*|[\\x20\\t]*(?:\\*+/|-->)[\\x20\\t]*$"
+# Template words that common prose holds too.
+COMMON_WORDS = frozenset("a all and any are as at by can copy either except file following for form free fee in is it "
+                         "later made may not of only or person purpose source terms that the this to under use "
+                         "version v with without work you following provided subject general public code new "
+                         "international library program software compliance conditions available rights reserved".split())
 
 
 def _terms(text: str) -> list[str]:
@@ -93,6 +106,10 @@ class Templates:
             v = {w: (1 + math.log(words.count(w))) * self.idf[w] for w in dict.fromkeys(words)}
             norm = math.sqrt(sum(x * x for x in v.values()))
             self.vectors.append((name, {w: x / norm for w, x in v.items()}))
+        rare = sorted(w for w in df if w not in COMMON_WORDS and re.fullmatch("[a-z]{3,}[0-9]?", w))
+        # two rare words of the templates make a statement too, as does one beside a number
+        word = f"\\b(?:{'|'.join(rare)})\\b"
+        self.statement = f"{STATEMENT}|{word}[\\s\\S]*?(?:{word}|\\b[0-9]\\.[0-9]\\b)"
 
 
 def _map(values: dict[str, float]) -> Column:
@@ -128,13 +145,30 @@ def best_template(statement: Column, templates: Templates) -> Column:
     return let(found, lambda b: F.struct((-b["minus"]).alias("score"), b["license"].alias("license")))
 
 
-def statements(text: Column, whole: Column) -> Column:
-    """Lines and sentences with licence vocabulary; of licence files with any, the whole text too."""
+def statements(text: Column, whole: Column, vocabulary: str = STATEMENT) -> Column:
+    """Lines and sentences with licence vocabulary, and those of the leading block joined across its line
+    breaks; of licence files with any, the whole text too."""
     t = F.coalesce(text, F.lit(""))
     none = F.array().cast("array<string>")
-    cut = F.filter(F.split(t, "\\n|(?<=[.!?])\\s+(?=\\p{Lu})"), lambda x: F.rlike(x, F.lit(STATEMENT)))
-    return F.when(F.rlike(t, F.lit(STATEMENT)), F.concat(cut, F.when(whole, F.array(t)).otherwise(none))) \
-        .otherwise(none)
+    sentence = "(?<=[.!?])\\s+(?=\\p{Lu})"
+
+    def held(parts: Column) -> Column:
+        return F.filter(parts, lambda x: F.rlike(x, F.lit(vocabulary)))
+
+    cut = held(F.split(t, "\\n|" + sentence))
+    block = F.element_at(F.split(F.regexp_replace(F.regexp_replace(t, COMMENT_MARKS, ""), "^\\s+", ""),
+                                 "\\n[\\x20\\t\\r]*\\n"), 1)
+    joined = F.trim(F.regexp_replace(block, "\\s+", " "))
+
+    def header(h: Column) -> Column:
+        short = F.when(F.length(h) <= HEADER_CHARS, F.array(h)).otherwise(none)
+        return held(F.concat(F.split(h, sentence), short))
+
+    def chosen(lines: Column) -> Column:
+        found = F.concat(lines, F.array_except(let(joined, header), lines))
+        return F.when(F.size(found) > 0, F.concat(found, F.when(whole, F.array(t)).otherwise(none))).otherwise(none)
+
+    return F.when(F.rlike(t, F.lit(vocabulary)), let(cut, chosen)).otherwise(none)
 
 
 def directory(path: Column) -> Column:
@@ -159,7 +193,7 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", threshold: fl
         return F.struct(F.size(found).alias("n"), top.alias("top"))
 
     own = files.select(*carried, directory(F.col(f"`{path}`")).alias("directory"), is_file.alias("is_license_file"),
-                       let(statements(F.col(f"`{text}`"), is_file), judged).alias("j")) \
+                       let(statements(F.col(f"`{text}`"), is_file, known.statement), judged).alias("j")) \
         .select(*carried, "directory", "is_license_file", F.col("j.top.license").alias("own_license"),
                 (-F.col("j.top.minus")).alias("own_score"), F.col("j.n").cast("bigint").alias("n_statements"))
     # read three times below: the texts are scored once and stay behind

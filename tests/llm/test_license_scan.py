@@ -1,5 +1,6 @@
 import math
 import re
+import textwrap
 
 from pyspark.sql import functions as F
 
@@ -42,3 +43,16 @@ def test_no_licence_and_empty(spark):
     df = spark.createDataFrame([("s/f.txt", "nothing to see"), ("s/LICENSE", "all of the words")], "path string, text string")
     assert {(r.origin, r.license) for r in L.scan(df).collect()} == {("none", None)}
     assert L.scan(df.limit(0)).count() == 0
+
+
+def test_every_template_is_found_as_a_header(spark):
+    rows, want = [], {}
+    for name, texts in L.TEMPLATES.items():
+        for k, t in enumerate(texts):
+            for form, text in (("plain", t), ("code", f"/*\n * " + "\n * ".join(textwrap.wrap(t, 50)) + "\n */\n\nint x = 1;\n")):
+                rows.append((f"{name}-{k}-{form}.c", text))
+                want[rows[-1][0]] = name
+    rows.append(("only.c", "# Distributed under GPL-3.0-only.\n\nx = 1"))
+    want["only.c"] = "GPL-3.0"
+    got = {r.path: r.own_license for r in L.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert got == want
