@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chat_events, fm_decontam, html_sst, license_scan, line_rules, packing, quality_qda, secret_forest, simhash_gray, token_counts
+from . import (chat_events, conv_repair, fm_decontam, html_sst, license_scan, line_rules, pack_spf, packing, quality_qda, secret_forest,
+               simhash_gray, token_counts, whiten_qdwh)
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,12 @@ def word_tokenizer() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def byte_tokenizer() -> str:
+    """File of the public byte-level BPE tokenizer."""
+    import public_tokenizers
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "text")
     return token_counts.suffix_sums(token_counts.length_histogram(docs, word_tokenizer()))
@@ -86,7 +93,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES: dict[str, Job] = {f.__name__: f for f in (op1_token_counts, op2_quality_qda, op3_html_extraction, op4_simhash_gray, op5_quality_rules, op6_secret_scan, op7_packing, op8_chat_formatting, op9_license_scan, op10_decontamination)}
+def op11_packing_spf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return pack_spf.pack(docs, byte_tokenizer())
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten_qdwh.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conv_repair.repair_conversations(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+QUERIES: dict[str, Job] = {f.__name__: f for f in (
+    op1_token_counts, op2_quality_qda, op3_html_extraction, op4_simhash_gray, op5_quality_rules, op6_secret_scan, op7_packing,
+    op8_chat_formatting, op9_license_scan, op10_decontamination, op11_packing_spf, op12_whitening, op13_conversation_repair)}
 
 # The escaped length: a backslash more for each backslash and each control string.
 _CHAT = r"""
