@@ -43,7 +43,7 @@ from .common import map_arrow
 
 CAPACITY = 2048
 END_ID = 1
-BROADCAST_ROWS = 1_000_000   # rows of (length, task, base), 24 bytes each, that may be sent to every executor
+BROADCAST_ROWS = 200_000   # rows of (length, task, base) that may be sent to every executor, some 20 MB
 
 
 
