@@ -197,7 +197,7 @@ FROM biz""")
 def running_total(spark, sf_dir):
     # skew-safe: a department holding a third of all companies is still
     # scanned by many tasks (value ranges + offsets)
-    r = ordered.running_total(biz(spark, sf_dir), "department", "revenue", [F.col("c_custkey")])
+    r = ordered.running_total(biz(spark, sf_dir), "department", "revenue", ["c_custkey"])
     return r.select("department", "c_name", "revenue", r4("running"))
 
 
@@ -206,7 +206,7 @@ SELECT c_name, macrosector, revenue,
        ntile(4) OVER (PARTITION BY macrosector ORDER BY revenue DESC, c_custkey) AS quartile
 FROM biz""")
 def quartiles(spark, sf_dir):
-    q = ordered.ntile(biz(spark, sf_dir), "macrosector", "revenue", [F.col("c_custkey")], 4, out="quartile")
+    q = ordered.ntile(biz(spark, sf_dir), "macrosector", "revenue", ["c_custkey"], 4, out="quartile")
     return q.select("c_name", "macrosector", "revenue", F.col("quartile").cast("bigint").alias("quartile"))
 
 
@@ -246,7 +246,7 @@ SELECT c_name, macrosector, revenue, round(cum_value, 4) AS cum_value, round(gro
     FROM biz) a) b
 WHERE cum_pct <= 80""")
 def pareto80(spark, sf_dir):
-    p = ordered.pareto(biz(spark, sf_dir), "macrosector", "revenue", [F.col("c_custkey")], cut=80.0)
+    p = ordered.pareto(biz(spark, sf_dir), "macrosector", "revenue", ["c_custkey"], cut=80.0)
     return p.select("c_name", "macrosector", "revenue", r4("cum_value"), r4("group_total"),
                     F.round("cum_pct", 6).alias("cum_pct"), "ranking")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import ordered
@@ -43,29 +43,23 @@ def stratum_supply(tr: DataFrame) -> DataFrame:
                             F.count_if(F.col("property_status") == "ACTIVE").cast("bigint").alias("n_active")])
 
 
-def affordability_rank(tr: DataFrame, n: int = 3) -> DataFrame:
+def affordability_rank(tr: DataFrame, n: int = 3, rows_per_slot: int | None = None) -> DataFrame:
     """Cheapest and priciest neighborhoods per city by median rent.
 
-    One skew-safe ordered scan over one row per neighborhood gives the cheapest
-    rank (a city with a third of all neighborhoods is still ranked by many
-    tasks).  Ties on the median are broken by the neighborhood name in both
-    directions, so the priciest rank follows from it: the rows above are those
-    with a median that are neither below nor tied.  NULL medians sort last in
-    both directions."""
-    m = median_by(tr, LOCATION, {"median_rent": F.col("rent_value")}) \
-        .withColumn("_known", F.when(F.col("median_rent").isNotNull(), 1))
-    name = F.col("neighborhood_final").asc_nulls_last()
-    tied = Window.partitionBy("city_name", "median_rent")
-    s = ordered.ordered_scan(m, ["city_name"], "median_rent", [name], "_known", nulls_last=True) \
-        .withColumn("_place", F.row_number().over(tied.orderBy(name))) \
-        .withColumn("_ties", F.count(F.lit(1)).over(tied))
-    cheapest = F.col(ordered.RANK)
-    below = cheapest - F.col("_place")
-    priciest = F.when(F.col("median_rent").isNull(), cheapest) \
-        .otherwise(F.col(ordered.TOTAL) - below - F.col("_ties") + F.col("_place"))
-    both = s.select(*LOCATION, "median_rent", cheapest.alias("rank_cheapest"),
-                    priciest.cast("bigint").alias("rank_priciest"))
-    return both.filter((F.col("rank_cheapest") <= n) | (F.col("rank_priciest") <= n))
+    Two skew-safe ordered scans over one row per neighborhood (a city with a
+    third of all neighborhoods is still ranked by many tasks).  Ties on the
+    median are broken by the neighborhood name in both directions; NULL medians
+    sort last in both."""
+    rows = tr.count()
+    m = median_by(tr, LOCATION, {"median_rent": F.col("rent_value")}, rows=rows, rows_per_slot=rows_per_slot)
+    # NULL names last: a flag before the name
+    m = m.withColumn("_unnamed", F.col("neighborhood_final").isNull())
+    ties = ["_unnamed", "neighborhood_final"]
+    for descending, out in ((False, "rank_cheapest"), (True, "rank_priciest")):
+        m = ordered.ordered_scan(m, ["city_name"], "median_rent", ties, None, descending, True, rows=rows,
+                                 rows_per_slot=rows_per_slot) \
+            .withColumnRenamed(ordered.RANK, out).drop(ordered.CUM, ordered.COUNT, ordered.TOTAL)
+    return m.drop("_unnamed").filter((F.col("rank_cheapest") <= n) | (F.col("rank_priciest") <= n))
 
 
 def top_depth(tr: DataFrame, n: int = 20) -> DataFrame:

@@ -4,6 +4,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rentscope.operators import ordered, windows
+from rentscope.operators.slots import Slots
+
+
+SMALL = 100   # rows of a slot here: every scan below is cut
 
 
 def _skewed(spark, n=3000, seed=11):
@@ -19,7 +23,7 @@ def _skewed(spark, n=3000, seed=11):
 def test_running_total_equals_window(spark):
     df = _skewed(spark)
     order = [F.col("x").desc(), F.col("id")]
-    a = ordered.running_total(df, "g", "x", [F.col("id")])
+    a = ordered.running_total(df, "g", "x", ["id"], rows_per_slot=SMALL)
     b = windows.running_total(df, "g", order, "x")
     key = lambda r: r.id
     ra = sorted(a.select("id", "running").collect(), key=key)
@@ -33,14 +37,14 @@ def test_ntile_equals_window(spark):
     df = _skewed(spark)
     order = [F.col("x").desc(), F.col("id")]
     for n in (4, 7):
-        a = ordered.ntile(df, "g", "x", [F.col("id")], n, out="t").select("id", "t")
+        a = ordered.ntile(df, "g", "x", ["id"], n, out="t", rows_per_slot=SMALL).select("id", "t")
         b = windows.ntile_per_group(df, "g", order, n, out="t").select("id", "t")
         assert sorted(a.collect()) == sorted(b.collect())
 
 
 def test_pareto_and_dense_equal_window(spark):
     df = _skewed(spark).where(F.col("x") > 0)
-    a = ordered.pareto(df, "g", "x", [F.col("id")])
+    a = ordered.pareto(df, "g", "x", ["id"], rows_per_slot=SMALL)
     b = windows.pareto(df, "g", "x", [F.col("id")])
     cols = ["id", "ranking"]
     assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
@@ -51,7 +55,7 @@ def test_pareto_and_dense_equal_window(spark):
 
 def test_median_equals_builtin(spark):
     df = _skewed(spark)
-    a = {r.g: r.median for r in ordered.median(df, ["g"], "x").collect()}
+    a = {r.g: r.median for r in ordered.median(df, ["g"], "x", rows_per_slot=SMALL).collect()}
     b = {r.g: r.m for r in df.groupBy("g").agg(F.median("x").alias("m")).collect()}
     assert a.keys() == b.keys()
     assert all(abs(a[k] - b[k]) < 1e-9 for k in a)
@@ -59,7 +63,7 @@ def test_median_equals_builtin(spark):
 
 def test_hot_group_spans_partitions(spark):
     df = _skewed(spark)
-    s = ordered.ordered_scan(df, ["g"], "x", [F.col("id")], "x", descending=True)
+    s = ordered.ordered_scan(df, ["g"], "x", ["id"], "x", descending=True, rows_per_slot=SMALL)
     # ranks are a permutation 1..n per group, even for the group split across tasks
     chk = s.groupBy("g").agg(F.count("*").alias("c"), F.min("_rank").alias("lo"), F.max("_rank").alias("hi"),
                              F.countDistinct("_rank").alias("d"))
@@ -71,7 +75,7 @@ def test_dense_from_scan_with_ties_across_partitions(spark):
     # many equal values so runs of one value cross partition boundaries
     rows = [(i, "hot" if i % 3 else "cold", float(i // 40)) for i in range(2000)]
     df = spark.createDataFrame(rows, "id int, g string, x double").repartition(5)
-    s = ordered.ordered_scan(df, ["g"], "x", [F.col("id")], "x", descending=True, dense=True)
+    s = ordered.ordered_scan(df, ["g"], "x", ["id"], "x", descending=True, dense=True, rows_per_slot=SMALL)
     w = df.withColumn("d", F.dense_rank().over(Window.partitionBy("g").orderBy(F.col("x").desc())))
     a = sorted((r.id, r._dense) for r in s.collect())
     b = sorted((r.id, r.d) for r in w.collect())
@@ -87,8 +91,9 @@ def test_affordability_rank_equals_window_form(spark):
         nb = f"n{rnd.randint(0, 60)}"
         rows.append((city, nb, float(rnd.choice([10, 20, 30, 40, 55]))))  # many tied medians
     tr = spark.createDataFrame(rows, "city_name string, neighborhood_final string, rent_value double")
-    got = sorted(tuple(r) for r in market.affordability_rank(tr, 3).select(
-        "city_name", "neighborhood_final", "median_rent", "rank_cheapest", "rank_priciest").collect())
+    got, whole = (sorted(tuple(r) for r in market.affordability_rank(tr, 3, slot).select(
+        "city_name", "neighborhood_final", "median_rent", "rank_cheapest", "rank_priciest").collect()) for slot in (20, None))
+    assert got == whole
     m = tr.groupBy("city_name", "neighborhood_final").agg(F.median("rent_value").alias("median_rent"))
     lo = Window.partitionBy("city_name").orderBy(F.col("median_rent").asc(), F.col("neighborhood_final").asc())
     hi = Window.partitionBy("city_name").orderBy(F.col("median_rent").desc(), F.col("neighborhood_final").asc())
@@ -101,7 +106,7 @@ def test_affordability_rank_equals_window_form(spark):
 
 def test_scan_with_more_partitions_than_rows(spark):
     df = spark.createDataFrame([(i, "g" if i < 5 else None, float(i)) for i in range(8)], "id int, g string, x double")
-    s = ordered.ordered_scan(df, ["g"], "x", [F.col("id")], "x")
+    s = ordered.ordered_scan(df, ["g"], "x", ["id"], "x", rows_per_slot=2)
     got = sorted(((r.g, r.id, r._rank, r._cum, r._n) for r in s.collect()), key=repr)
     want = sorted([("g", i, i + 1, float(sum(range(i + 1))), 5) for i in range(5)] +
                   [(None, i, i - 4, float(sum(range(5, i + 1))), 3) for i in range(5, 8)], key=repr)
@@ -111,8 +116,9 @@ def test_scan_with_more_partitions_than_rows(spark):
 def test_median_by_all_null_group(spark):
     from rentscope.operators.quantiles import median_by
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("z", None), ("z", None)], "g string, x double")
-    got = {r.g: r.m for r in median_by(df, "g", {"m": F.col("x")}, extra=[F.count(F.lit(1)).alias("n")]).collect()}
-    assert got == {"a": 2.0, "z": None}
+    for slot in (1, None):
+        got = {r.g: r.m for r in median_by(df, "g", {"m": F.col("x")}, extra=[F.count(F.lit(1)).alias("n")], rows_per_slot=slot).collect()}
+        assert got == {"a": 2.0, "z": None}
 
 
 def test_values_keep_their_types(spark):
@@ -121,13 +127,13 @@ def test_values_keep_their_types(spark):
     rows = [(1, 9007199254740993, Decimal("90071992547409.93"), dt.datetime(9999, 12, 31)),
             (2, None, Decimal("0.01"), None), (3, 9007199254740995, None, dt.datetime(1, 1, 1))]
     df = spark.createDataFrame(rows, "id int, b bigint, d decimal(38,2), t timestamp_ntz").withColumn("g", F.lit("g"))
-    got = {r.id: r for r in ordered.ordered_scan(df, ["g"], "id", [], "d").collect()}
+    got = {r.id: r for r in ordered.ordered_scan(df, ["g"], "id", [], "d", rows_per_slot=1).collect()}
     assert [got[k].b for k in (1, 2, 3)] == [9007199254740993, None, 9007199254740995]
     assert [got[k]._cum for k in (1, 2, 3)] == [Decimal("90071992547409.93"), Decimal("90071992547409.94"), Decimal("90071992547409.94")]
     assert got[1].t == dt.datetime(9999, 12, 31)
-    by_time = {r.id: r._rank for r in ordered.ordered_scan(df, ["g"], "t", [], nulls_last=True).collect()}
+    by_time = {r.id: r._rank for r in ordered.ordered_scan(df, ["g"], "t", [], nulls_last=True, rows_per_slot=1).collect()}
     assert by_time == {3: 1, 1: 2, 2: 3}
-    big = {r.id: r._rank for r in ordered.ordered_scan(df, ["g"], "b", [], descending=True).collect()}
+    big = {r.id: r._rank for r in ordered.ordered_scan(df, ["g"], "b", [], descending=True, rows_per_slot=1).collect()}
     assert big == {3: 1, 1: 2, 2: 3}
 
 
@@ -137,15 +143,83 @@ def test_special_values_follow_the_window(spark):
     for desc in (False, True):
         o = F.col("x").desc() if desc else F.col("x").asc()
         w = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(o, "id")))
-        s = ordered.ordered_scan(df, ["g"], "x", [F.col("id")], descending=desc)
-        assert sorted((r.id, r.r) for r in w.collect()) == sorted((r.id, r._rank) for r in s.collect())
+        for slot in (1, 3, None):
+            s = ordered.ordered_scan(df, ["g"], "x", ["id"], descending=desc, rows_per_slot=slot)
+            assert sorted((r.id, r.r) for r in w.collect()) == sorted((r.id, r._rank) for r in s.collect())
+
+
+def _largest_slot(df, lead, ties, rows_per_slot, **kw):
+    slots = Slots.of(df, lead, ties, rows_per_slot=rows_per_slot, **kw)
+    sizes = ordered._slotted(df, ["g"], slots).groupBy("_k").count()
+    return sizes.agg(F.max("count"), F.count("*")).first()
 
 
 def test_no_task_scans_a_hot_group(spark):
     """A group with a third of the rows: its largest (group, slot) is a small part of it."""
     df = spark.range(30000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 500)).alias("g"),
                                    (F.rand(7) * F.rand(8) * 1000).alias("x"))
-    sizes = ordered._slotted(df, ["g"], "x", True, True).groupBy("_k").count().where("_k.g = 'hot'")
-    assert sizes.agg(F.max("count")).first()[0] < 10000 / 20
-    plan = ordered.ordered_scan(df, ["g"], "x", [F.col("id")], "x")._jdf.queryExecution().executedPlan().toString()
+    largest, _ = _largest_slot(df, "x", ["id"], 500, descending=True)
+    assert largest < 1000
+    plan = ordered.ordered_scan(df, ["g"], "x", ["id"], "x", rows_per_slot=500)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_an_outlier_does_not_collapse_the_slots(spark):
+    df = spark.range(200_001).select("id", F.when(F.col("id") == 7, 1e15).otherwise(F.col("id").cast("double")).alias("x"),
+                                     F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("g"))
+    largest, slots = _largest_slot(df, "x", ["id"], 1000)
+    assert slots > 200 and largest < 2000
+
+
+def test_a_hot_value_is_cut_by_its_ties(spark):
+    # a third of the rows hold one value, a third none; the first tie-break column is constant
+    df = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, 7.0).when(F.col("id") % 3 == 1, F.col("id") / 9.0).alias("x"),
+                                    F.lit("k").alias("t"), F.lit("a").alias("g"), (F.col("id") % 11).alias("v"))
+    largest, slots = _largest_slot(df, "x", ["t", "id"], 200, descending=False, nulls_last=True)
+    assert largest < 450 and slots > 130
+    for descending in (False, True):
+        o = F.col("x").desc_nulls_last() if descending else F.col("x").asc_nulls_last()
+        rows, alike = Window.partitionBy("g").orderBy(o, "t", "id"), Window.partitionBy("g").orderBy(o)
+        want = df.select("id", F.row_number().over(rows).alias("a"), F.dense_rank().over(alike).alias("b"),
+                         F.sum("v").over(rows.rowsBetween(Window.unboundedPreceding, 0)).alias("c"), (F.rank().over(alike) - 1).alias("d"),
+                         F.count("*").over(alike).alias("e"))
+        got = ordered.ordered_scan(df, ["g"], "x", ["t", "id"], "v", descending, True, dense=True, ranks=True, rows_per_slot=200) \
+            .select("id", "_rank", "_dense", "_cum", "_below", "_upto")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_string_and_time_ties_cut_a_hot_value(spark):
+    df = spark.range(6000).select("id", F.lit(1).alias("x"), F.lit("a").alias("g"), F.lpad(F.col("id").cast("string"), 6, "0").alias("name"),
+                                  F.timestamp_seconds(F.col("id") * 60).alias("t"))
+    for tie in ("name", "t", "id"):
+        largest, slots = _largest_slot(df, "x", [tie], 100)
+        assert largest < 300 and slots > 40, tie
+
+
+def test_relative_ranks_equal_window(spark):
+    df = _skewed(spark)
+    for descending in (False, True):
+        o = Window.partitionBy("g").orderBy(F.col("x").desc() if descending else F.col("x").asc())
+        want = df.select("id", F.percent_rank().over(o).alias("p"), F.cume_dist().over(o).alias("c"))
+        for slot in (SMALL, None):
+            got = ordered.relative_ranks(df, "g", "x", "p", "c", descending, ties=["id"], rows_per_slot=slot).select("id", "p", "c")
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    one = spark.createDataFrame([("g", 1.0)], "g string, x double")
+    assert tuple(ordered.relative_ranks(one, "g", "x").first())[2:] == (0.0, 1.0)
+
+
+def test_neighbours_equal_window(spark):
+    df = _skewed(spark).withColumn("y", F.col("id") * 2)
+    for descending in (False, True):
+        o = Window.partitionBy("g").orderBy(F.col("x").desc() if descending else F.col("x").asc(), "id")
+        want = df.select("id", F.lag("x").over(o).alias("px"), F.lag("y").over(o).alias("py"), F.lead("x").over(o).alias("nx"))
+        for slot in (SMALL, 5, None):
+            got = ordered.neighbours(df, "g", "x", ["id"], {"px": "x", "py": "y"}, {"nx": "x"}, descending, rows_per_slot=slot)
+            assert sorted(map(str, got.select("id", "px", "py", "nx").collect())) == sorted(map(str, want.collect()))
+
+
+def test_empty_tables(spark):
+    df = spark.createDataFrame([], "id int, g string, x double")
+    assert ordered.ordered_scan(df, ["g"], "x", ["id"], "x", dense=True, ranks=True).count() == 0
+    assert ordered.neighbours(df, "g", "x", ["id"], {"p": "x"}).count() == 0
+    assert ordered.median(df, ["g"], "x").count() == 0

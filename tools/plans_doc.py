@@ -49,7 +49,7 @@ def main():
          N.top3_profit(spark, SF)),
     ]
     items.append(("Skew-safe running total (E5): windows per (group, slot) + offsets from a partial aggregate",
-                  ordered.running_total(N.biz(spark, SF), "department", "revenue", [F.col("c_custkey")])))
+                  ordered.running_total(N.biz(spark, SF), "department", "revenue", ["c_custkey"])))
     with open("PLANS.md", "w") as f:
         f.write("# Physical plans of key operators\n\n"
                 "Generated by `tools/plans_doc.py` at sf0.01, `local[4]`, AQE on. These are the initial plans;\n"
