@@ -15,7 +15,7 @@ from ..streaming.refresh import read_silver, refresh_from_stream
 from .catalog import register
 from .catalog_listings import _SILVER, _STG, _with
 from .landing_pages import pages_from_tables, write_landing
-from .listings import DRIVER_AS_OF, DRIVER_NON_RESIDENTIAL, source_stamp
+from .listings import BRONZE_COLUMNS, DRIVER_AS_OF, DRIVER_NON_RESIDENTIAL, source_stamp
 
 LOADED_AT = _dt.datetime(2024, 2, 1)  # the load instant stamped on a full load
 STREAMED_AT = _dt.datetime(2024, 2, 4)  # ... and on the incremental batches
@@ -96,7 +96,7 @@ def landing_bronze(spark, sf_dir):
 SELECT city, count(*) AS total_entries, count(*) AS listings_seen, count(DISTINCT event_id // 50) AS pages
 FROM obs GROUP BY city""")
 def catalog_summary(spark, sf_dir):
-    return landing.catalog_summary(landing.read_pages(spark, _landed(spark, sf_dir)["all"]))
+    return landing.require_catalog(landing.catalog_summary(landing.read_pages(spark, _landed(spark, sf_dir)["all"])))
 
 
 def _full_and_stream(spark, sf_dir) -> str:
@@ -125,14 +125,63 @@ def refresh_silver(spark, sf_dir):
     return read_silver(spark, f"{root}/state", as_of=DRIVER_AS_OF, non_residential=DRIVER_NON_RESIDENTIAL)
 
 
+def _drifted(rows):
+    """Loaded rows as another source would write them: numbers instead of text."""
+    return _typed(rows).drop("LOAD_TYPE").withColumn("LOAD_DATE", F.to_date("UPLOADED_DATE"))
+
+
+@register("refresh_silver_drift", _with(_STG.replace("e.ts AS extracted_at", f"{_TWO_LOADS[0]} AS extracted_at").replace(
+    "CASE WHEN day(e.ts) = 1 THEN 'FULL' ELSE 'INCREMENTAL' END", _TWO_LOADS[1]), _SILVER) + "SELECT * FROM silver")
+def refresh_silver_drift(spark, sf_dir):
+    """S2 over loads whose types drift: text, then numbers, one load a batch."""
+    land, root = _landed(spark, sf_dir), scratch_path(spark, "refresh-drift")
+    landing.full_load(spark, land["even"], f"{root}/bronze", loaded_at=LOADED_AT)
+    odd = landing.to_bronze(landing.read_pages(spark, land["odd"]), STREAMED_AT, "INCREMENTAL")
+    bronze.write_load(_drifted(odd), f"{root}/bronze", "INCREMENTAL", "drifted")
+    refresh_from_stream(spark, f"{root}/bronze", f"{root}/state", f"{root}/checkpoint", loads_per_trigger=1).awaitTermination()
+    return read_silver(spark, f"{root}/state", as_of=DRIVER_AS_OF, non_residential=DRIVER_NON_RESIDENTIAL)
+
+
+@register("load_contract", _OBS + f"""
+SELECT city, count(*) AS n_listings, 'MVALORARRIENDO' AS missing, 1 AS n_loads FROM obs WHERE {_EVEN} GROUP BY city""")
+def load_contract(spark, sf_dir):
+    """A7, A9: a load is written again from pages without the rent.  The
+    contract fails it before anything is published: the load reads as before."""
+    land, path = _landed(spark, sf_dir), scratch_path(spark, "load-contract")
+    landing.full_load(spark, land["even"], path, loaded_at=LOADED_AT, load_id="monthly")
+    pages = landing.read_pages(spark, land["odd"])
+    without = F.transform("results", lambda x: F.map_filter(x, lambda k, _: k != "mvalorarriendo"))
+    try:
+        landing.load(spark, pages.withColumn("results", without), path, "monthly", "FULL", LOADED_AT)
+        missing = ""
+    except ValueError as failed:
+        missing = ",".join(c for c in BRONZE_COLUMNS if f"'{c}'" in str(failed))
+    rows = bronze.read_loads(spark, path)
+    return rows.groupBy(F.col("`MCIUDAD.NOMBRE`").alias("city")).agg(
+        F.count(F.lit(1)).alias("n_listings"), F.lit(missing).alias("missing"), F.count_distinct("LOAD_ID").cast("int").alias("n_loads"))
+
+
+# a leaf that is NULL is not in the page
+_LEAVES = {"MNROBANOS": "p_size % 5 <> 0", "MNROGARAJES": "p_size % 3 <> 0", "DATA.MVALORADMINISTRACION": "event_id % 4 <> 0"}
+
+
+@register("landing_leaves", _OBS + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS name, count(*) AS n_values, count(DISTINCT city) AS n_cities FROM obs WHERE {_LEAVES.get(c, 'true')}"
+    for c in BRONZE_COLUMNS))
+def landing_leaves(spark, sf_dir):
+    """A3, A4: all leaves of all listings, whatever their depth, by dotted name."""
+    listed = landing.listings(landing.read_pages(spark, _landed(spark, sf_dir)["all"]))
+    return landing.leaves(listed, ["city"], underscore_to_dot=True).groupBy("name").agg(
+        F.count("value").alias("n_values"), F.count_distinct("city").alias("n_cities"))
+
+
 @register("bronze_union", _OBS + _bronze_sql(*_TWO_LOADS))
 def bronze_union(spark, sf_dir):
     """A12: two loads whose types drifted (text against numbers), unioned by name."""
     land, path = _landed(spark, sf_dir), scratch_path(spark, "bronze-drift")
     landing.full_load(spark, land["even"], path, loaded_at=LOADED_AT)
     odd = landing.to_bronze(landing.read_pages(spark, land["odd"]), STREAMED_AT, "INCREMENTAL")
-    drifted = _typed(odd).drop("LOAD_TYPE").withColumn("LOAD_DATE", F.to_date("UPLOADED_DATE"))
-    drifted.write.partitionBy("LOAD_DATE").parquet(f"{path}/LOAD_TYPE=INCREMENTAL/LOAD_ID=drifted")
+    bronze.write_load(_drifted(odd), path, "INCREMENTAL", "drifted")
     return _typed(bronze.read_loads(spark, path))
 
 
@@ -140,9 +189,8 @@ def bronze_union(spark, sf_dir):
 def landing_fallback(spark, sf_dir):
     """A5, A6: pages whose odd listings spell the city without nesting, and all
     of which repeat the link under an upper-case name."""
-    pages = landing.read_pages(spark, _landed(spark, sf_dir)["all"])
-    flat = F.transform("results", lambda x: F.when(
-        F.regexp_extract(x, '"link":"/listing/([0-9]+)"', 1).cast("int") % 2 == 1,
-        F.regexp_replace(x, '"mciudad":\\{"nombre":("[^"]*")\\}', '"mciudad":$1')).otherwise(x))
-    twice = F.transform(flat, lambda x: F.regexp_replace(x, '("link":"[^"]*")', '$1,"LINK":"later"'))
-    return _typed(landing.to_bronze(pages.withColumn("results", twice), LOADED_AT, "FULL"))
+    text = spark.read.schema("value string, city string").text(_landed(spark, sf_dir)["all"])
+    flat = F.regexp_replace("value", '("link":"/listing/[0-9]*[13579]"[^{}]*"mciudad":)\\{"nombre":("[^"]*")\\}', "$1$2")
+    twice = F.regexp_replace(flat, '("link":"[^"]*")', '$1,"LINK":"later"')
+    pages = text.select(F.from_json(twice, landing.PAGE_SCHEMA).alias("page")).select("page.*")
+    return _typed(landing.to_bronze(pages, LOADED_AT, "FULL"))

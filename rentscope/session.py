@@ -151,6 +151,20 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to a name that is not taken; its parents are made."""
+    fs, src = _fs(spark, source)
+    _, dst = _fs(spark, target)
+    fs.mkdirs(dst.getParent())
+    if fs.exists(dst) or not fs.rename(src, dst):
+        raise FileExistsError(target)
+
+
 def file_stamp(spark: SparkSession, path: str) -> tuple:
     """(length, modification time) of a table's files, by name."""
     fs, p = _fs(spark, path)

@@ -2,28 +2,36 @@
 
 A landing page is one JSON object ``{totalEntries, results: [listing...]}``
 per file (or per line), stored under ``.../city=<name>/``.  Executors parse
-files in parallel with an explicit schema; only a load's row count and which
-fields occurred reach the driver, observed while the load is written.
+files in parallel with an explicit schema; only a load's row count, the largest
+catalog size and which fields occurred reach the driver, observed while the load
+is staged.
+
+A listing is a map from its keys, in page order, to typed JSON values (variants),
+parsed once: whether a value is an object is a matter of its type, never of its
+text.  A dotted column name is looked up along the objects to any depth.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.listings import BRONZE_COLUMNS
-from ..session import drop_path
+from ..session import materialize
+from .bronze import read_loads, write_load
 
 
-# A page as the portal returns it.  A listing stays raw JSON text here: every
-# leaf reaches bronze as text, so a badly typed or drifted cell is kept as it
-# came and staging's casts decide about it.
+# A page as the portal returns it.  Cells reach bronze as text, so a badly typed or
+# drifted one is kept as it came and staging's casts decide about it; numbers are
+# written in plain form (50.0 as 50).
 PAGE_SCHEMA = T.StructType([
     T.StructField("totalEntries", T.LongType()),
-    T.StructField("results", T.ArrayType(T.StringType())),
+    T.StructField("results", T.ArrayType(T.MapType(T.StringType(), T.VariantType()))),
 ])
 
 # Other spellings of a required field, tried in order where the field is absent or null.
@@ -35,7 +43,6 @@ FALLBACKS = {
     "LOCALIZACION.LON": ["LON"],
     "LOCALIZACION.LAT": ["LAT"],
 }
-NESTING = 3  # levels of nested objects that become dotted names
 
 
 def read_pages(spark: SparkSession, path: str, multi_line: bool = False, schema=PAGE_SCHEMA,
@@ -51,33 +58,91 @@ def read_pages(spark: SparkSession, path: str, multi_line: bool = False, schema=
 
 
 def listings(pages: DataFrame, keep=("city",)) -> DataFrame:
-    """A1: one row per listing (raw JSON in ``listing``); pages with NULL or
-    empty results add nothing."""
+    """A1: one row per listing (``listing``, a map of its fields); pages with
+    NULL or empty results add nothing."""
     keep = [k for k in keep if k in pages.columns]
     return pages.select(*keep, F.explode("results").alias("listing"))
 
 
-def fields_of(listing: Column, underscore_to_dot: bool = False, nesting: int = NESTING) -> Column:
-    """A3, A4: a listing's leaves as array<struct<name, value>>, in page order;
-    nested objects become dotted upper-case names, values are text."""
-    entry = "array<struct<name:string,value:string>>"
+def _object(value: Column) -> Column:
+    """The fields of a JSON object; NULL for any other value."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
+def _names(fields: Column, underscore_to_dot: bool) -> Column:
+    """A4: a map's keys as column names, in its order."""
+    keys = F.transform(F.map_keys(fields), lambda k: F.upper(k))
+    return F.transform(keys, lambda k: F.replace(k, F.lit("_"), F.lit("."))) if underscore_to_dot else keys
+
 
-    def leaves(text: Column, prefix: Column | None, level: int) -> Column:
-        def one(e: Column) -> Column:
-            name = e["key"] if prefix is None else F.concat(prefix, F.lit("."), e["key"])
-            leaf = F.array(F.struct(name.alias("name"), e["value"].alias("value")))
-            if level == 0:
-                return leaf
-            return F.when(F.startswith(e["value"], F.lit("{")), leaves(e["value"], name, level - 1)).otherwise(leaf)
-        found = F.map_entries(F.from_json(text, "map<string,string>"))
-        return F.coalesce(F.flatten(F.transform(found, one)), F.array().cast(entry))
+def _inside(names: Column, values: Column, key: str) -> Column:
+    """The fields of the object under the first of a key."""
+    return _object(F.get(values, (F.array_position(names, key) - 1).cast("int")))
 
-    def named(x: Column) -> Column:
-        name = F.upper(x["name"])
-        return F.struct((F.replace(name, F.lit("_"), F.lit(".")) if underscore_to_dot else name).alias("name"),
-                        x["value"].alias("value"))
 
-    return F.transform(leaves(listing, None, nesting), named)
+def _lookup(names: Column, values: Column, name: str, dots: bool, opened: dict[str, tuple[Column, Column]] | None = None) \
+        -> tuple[Column, Column]:
+    """A3, A6: (text, occurs) of the leaf with a dotted name: the first key that
+    equals it, or the rest of the name in the object under the first key that
+    equals its beginning.  ``opened`` holds (names, values) of objects that are
+    looked into more than once."""
+    parts = name.split(".")
+    at = F.array_position(names, name)
+    value = F.get(values, (at - 1).cast("int"))
+    written = value.cast("string")
+    text = F.when(~F.startswith(written, F.lit("{")) | _object(value).isNull(), written)
+    occurs = F.coalesce(at > 0, F.lit(False))
+    for k in range(1, len(parts)):
+        head = ".".join(parts[:k])
+        if opened:
+            inner_names, inner_values = opened[head]
+        else:
+            inner = _inside(names, values, head)
+            inner_names, inner_values = _names(inner, dots), F.map_values(inner)
+        below, there = _lookup(inner_names, inner_values, ".".join(parts[k:]), dots)
+        text, occurs = F.coalesce(text, below), occurs | F.coalesce(there, F.lit(False))
+    return text, occurs
+
+
+def columns_of(listed: DataFrame, names=BRONZE_COLUMNS, underscore_to_dot: bool = False) -> DataFrame:
+    """A3-A7: the named columns of listings as text, and ``_occurs``, which of
+    them a listing has.  A5: other spellings fill a column that is absent or null."""
+    spellings = {c: (c, *FALLBACKS.get(c, [])) for c in names}
+    heads = sorted({n.rsplit(".", k)[0] for f in spellings.values() for n in f for k in range(1, n.count(".") + 1)})
+    n, v = F.col("_names"), F.col("_values")
+    named = listed.select(_names(F.col("listing"), underscore_to_dot).alias("_names"), F.map_values("listing").alias("_values"))
+    named = named.select("*", *[_inside(n, v, h).alias(f"_in{k}") for k, h in enumerate(heads)])
+    named = named.select("_names", "_values", *[c for k in range(len(heads)) for c in (
+        _names(F.col(f"_in{k}"), underscore_to_dot).alias(f"_n{k}"), F.map_values(f"_in{k}").alias(f"_v{k}"))])
+    opened = {h: (F.col(f"_n{k}"), F.col(f"_v{k}")) for k, h in enumerate(heads)}
+    found = {c: [_lookup(n, v, s, underscore_to_dot, opened) for s in f] for c, f in spellings.items()}
+    texts = [F.coalesce(*[t for t, _ in f]).alias(c) for c, f in found.items()]
+    occurs = [reduce(lambda a, b: a | b, [o for _, o in f]) for f in found.values()]
+    return named.select(*texts, F.array(*occurs).alias("_occurs"))
+
+
+def leaves(listed: DataFrame, keys: Sequence[str], underscore_to_dot: bool = False) -> DataFrame:
+    """A3, A4: (keys, name, value): every leaf of every listing, objects
+    flattened to any depth.  Each round takes one level off the objects that
+    are left, until none is."""
+    def level(df: DataFrame, name: Column) -> DataFrame:
+        return df.select(*keys, name.alias("name"), F.col("value"), _object(F.col("value")).alias("inner"))
+
+    def named(c: Column) -> Column:
+        name = F.upper(c)
+        return F.replace(name, F.lit("_"), F.lit(".")) if underscore_to_dot else name
+
+    now = level(listed.select(*keys, F.explode("listing").alias("key", "value")), named(F.col("key")))
+    done = []
+    while True:
+        now = materialize(now.withColumn("value", F.when(F.col("inner").isNull(), F.col("value").cast("string")))
+                          .withColumn("inner", F.to_json(F.to_variant_object("inner"))), "leaves")
+        done.append(now.where("inner is null").select(*keys, "name", "value"))
+        deeper = now.where("inner is not null")
+        if deeper.isEmpty():
+            return reduce(lambda a, b: a.union(b), done)
+        parsed = deeper.select(*keys, F.col("name").alias("prefix"), F.explode(_object(F.parse_json("inner"))).alias("key", "value"))
+        now = level(parsed, F.concat("prefix", F.lit("."), named(F.col("key"))))
 
 
 def catalog_summary(pages: DataFrame) -> DataFrame:
@@ -89,6 +154,13 @@ def catalog_summary(pages: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("pages"))
 
 
+def require_catalog(summary: DataFrame) -> DataFrame:
+    """A2: the summary itself; raises if the reported sizes add up to 0."""
+    if not summary.agg(F.sum("total_entries")).first()[0]:
+        raise ValueError("the catalogs report no listings")
+    return summary
+
+
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     """A3: struct fields become top-level columns named ``parent.child`` at
     any depth (arrays are left as they are)."""
@@ -164,57 +236,43 @@ def with_audit(df: DataFrame, loaded_at: _dt.datetime | Column, load_type: str)
     return df.withColumns({"UPLOADED_DATE": ts.cast("timestamp_ntz"), "LOAD_TYPE": F.lit(load_type)})
 
 
-def _named(fields: Column, name: str) -> Column:
-    return F.filter(fields, lambda x: (x["name"] == name) & ~F.startswith(F.coalesce(x["value"], F.lit("")), F.lit("{")))
-
-
-def _value(fields: Column, names: list[str]) -> Column:
-    """A5, A6: the first value of the first spelling that has one."""
-    return F.coalesce(*[F.get(_named(fields, n), F.lit(0))["value"] for n in names])
-
-
 def to_bronze(pages: DataFrame, loaded_at, load_type: str) -> DataFrame:
     """A1, A3-A8 in one projection chain (streaming-safe: no actions): the
     required columns as text, the load instant and the load type."""
-    rows = listings(pages, keep=()).select(fields_of(F.col("listing"), load_type == "FULL").alias("_f"))
-    named = rows.select("_f", *[_value(F.col("_f"), [c, *FALLBACKS.get(c, [])]).alias(c) for c in BRONZE_COLUMNS])
-    return with_audit(named.drop("_f"), loaded_at, load_type)
-
-
-def _present(name: str) -> Column:
-    """Does any listing have the required field, in whatever spelling?"""
-    spellings = [name, *FALLBACKS.get(name, [])]
-    return F.max(F.exists("_f", lambda x: x["name"].isin(*spellings)).cast("int"))
+    rows = columns_of(listings(pages, keep=()), underscore_to_dot=load_type == "FULL")
+    return with_audit(rows.drop("_occurs"), loaded_at, load_type)
 
 
 def load(spark: SparkSession, pages: DataFrame, bronze_path: str, load_id: str, load_type: str,
          loaded_at: _dt.datetime | Column) -> int:
-    """A7-A9: one load into its own folder ``LOAD_TYPE=/LOAD_ID=``; returns its rows.
-
-    The landing is parsed once: the write observes which required fields
-    occurred.  A load that lacks one is taken back and raises.  Writing the
-    same load again replaces its folder, so a replay leaves one copy."""
-    path = f"{bronze_path.rstrip('/')}/LOAD_TYPE={load_type}/LOAD_ID={load_id}"
-    seen = Observation(f"load-{load_id}")
-    rows = listings(pages, keep=()).select(fields_of(F.col("listing"), load_type == "FULL").alias("_f"))
-    rows = rows.observe(seen, F.count(F.lit(1)).alias("n"),
-                        *[_present(c).alias(f"p{k}") for k, c in enumerate(BRONZE_COLUMNS)])
-    out = rows.select(*[_value(F.col("_f"), [c, *FALLBACKS.get(c, [])]).alias(c) for c in BRONZE_COLUMNS])
-    out = with_audit(out, loaded_at, load_type).drop("LOAD_TYPE").withColumn("LOAD_DATE", F.to_date("UPLOADED_DATE"))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("LOAD_DATE").parquet(path)
-    got = seen.get
-    missing = [c for k, c in enumerate(BRONZE_COLUMNS) if got["n"] and not got[f"p{k}"]]
-    if missing or not got["n"]:
-        drop_path(spark, path)
-    if missing:
-        raise ValueError(f"missing required columns: {missing}")
-    return got["n"]
+    """A7-A9: one load, staged, checked, then published (see ``sources.bronze``);
+    returns its rows.
+
+    The landing is parsed once: the staging write observes which required
+    fields occurred and the largest reported catalog size (A2).  A load that
+    lacks a field, or whose catalogs report no entries at all, raises and leaves
+    an earlier load of its id as it was.  Writing the same load again replaces
+    it, so a replay leaves one copy."""
+    seen, catalogs = Observation(), Observation()
+    pages = pages.observe(catalogs, F.max("totalEntries").alias("most"))
+    rows = columns_of(listings(pages, keep=()), underscore_to_dot=load_type == "FULL")
+    rows = rows.observe(seen, *[F.max(F.get("_occurs", F.lit(k)).cast("int")).alias(f"p{k}") for k in range(len(BRONZE_COLUMNS))])
+    out = with_audit(rows.drop("_occurs"), loaded_at, load_type).drop("LOAD_TYPE").withColumn("LOAD_DATE", F.to_date("UPLOADED_DATE"))
+
+    def check(n: int) -> None:
+        if catalogs.get["most"] == 0:
+            raise ValueError("the catalogs report no listings")
+        got = seen.get
+        missing = [c for k, c in enumerate(BRONZE_COLUMNS) if n and not got[f"p{k}"]]
+        if missing:
+            raise ValueError(f"missing required columns: {missing}")
+
+    return write_load(out, bronze_path, load_type, load_id, check)
 
 
 def full_load(spark: SparkSession, landing: str, bronze_path: str, loaded_at: _dt.datetime | None = None,
               multi_line: bool = False, load_id: str | None = None) -> DataFrame:
     """A10: every page of every city -> bronze (batch)."""
-    from .bronze import read_loads
     loaded_at = loaded_at or _dt.datetime.now().replace(microsecond=0)
     load_id = load_id or f"full-{_dt.datetime.now():%Y%m%dT%H%M%S%f}"
     if not load(spark, read_pages(spark, landing, multi_line), bronze_path, load_id, "FULL", loaded_at):

@@ -30,13 +30,13 @@ import json
 import math
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.listings import NON_RESIDENTIAL_TYPES, lifecycle, merge_states, snapshot_state, staging
+from ..plans.listings import BRONZE_COLUMNS, NON_RESIDENTIAL_TYPES, lifecycle, merge_states, snapshot_state, staging
 from ..session import drop_path, list_names, publish_text, read_text, scratch_path
-from ..sources.bronze import as_text, read_loads
+from ..sources.bronze import ENTRY, LOG, as_text, current_loads, log_entries, read_entries, with_columns
 
 ROWS_PER_BUCKET = 500_000
 
@@ -66,9 +66,11 @@ def merge_batch(spark: SparkSession, bronze_rows: DataFrame, state_path: str, ba
     if now and batch_id in now["batches"]:
         return
     staged = scratch_path(spark, "batch-state")  # read twice below: buckets, rows
-    snapshot_state(staging(as_text(bronze_rows))).write.parquet(staged)
+    folded, merged_rows, old_rows = Observation(), Observation(), Observation()
+    n = F.count(F.lit(1)).alias("n")
+    snapshot_state(staging(as_text(bronze_rows))).observe(folded, n).write.parquet(staged)
     new = spark.read.parquet(staged)
-    n_new = new.count()
+    n_new = folded.get["n"]
     if not n_new:
         return
     n_buckets = now["n_buckets"] if now else max(1, math.ceil(n_new / rows_per_bucket))
@@ -79,7 +81,9 @@ def merge_batch(spark: SparkSession, bronze_rows: DataFrame, state_path: str, ba
     touched = None if wide else {r.b for r in new.select(bucket_of(F.col("property_id"), n_buckets).alias("b"))
                                  .distinct().collect()}
     old = read_state(spark, state_path, now, touched) if now else None
-    merged = merge_states(new if old is None else new.unionByName(old.select(*new.columns)))
+    if old is not None:
+        old = old.select(*new.columns).observe(old_rows, n)
+    merged = merge_states(new if old is None else new.unionByName(old)).observe(merged_rows, n)
     folder = f"data/{zlib.crc32(batch_id.encode()):08x}-{(now or {'number': 0})['number'] + 1:09d}"
     merged.withColumn("bucket", bucket_of(F.col("property_id"), n_buckets)).repartition("bucket") \
         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket") \
@@ -91,8 +95,8 @@ def merge_batch(spark: SparkSession, bronze_rows: DataFrame, state_path: str, ba
     known = {"number": number, "n_buckets": n_buckets, "buckets": buckets,
              "batches": [*(now["batches"] if now else []), batch_id][-1000:],
              "previous": sorted(set(now["buckets"].values())) if now else []}
-    replaced = old.count() if old is not None else 0
-    known["rows"] = (now["rows"] if now else 0) - replaced + spark.read.parquet(f"{state_path}/{folder}").count()
+    replaced = old_rows.get["n"] if old is not None else 0
+    known["rows"] = (now["rows"] if now else 0) - replaced + merged_rows.get["n"]
     publish_text(spark, f"{state_path}/manifest-{number:09d}.json", json.dumps(known))
     drop_path(spark, staged)
     _clean(spark, state_path, known)
@@ -114,14 +118,27 @@ def read_silver(spark: SparkSession, state_path: str, as_of=None, non_residentia
 
 
 def refresh_from_stream(spark: SparkSession, bronze_path: str, state_path: str, checkpoint: str,
-                        rows_per_bucket: int = ROWS_PER_BUCKET) -> StreamingQuery:
-    """Stream the bronze loads as text; fold every micro-batch into the state."""
-    schema = read_loads(spark, bronze_path).schema
+                        rows_per_bucket: int = ROWS_PER_BUCKET, loads_per_trigger: int | None = None) -> StreamingQuery:
+    """Stream the log of bronze loads; fold every micro-batch's loads into the state.
+
+    The stream's rows are log entries, one per published load, so a batch reads
+    its loads by the schemas recorded with them: loads whose types or columns
+    drifted pass like any other.  An entry whose load has been written again
+    since is left to the newer entry."""
     stream = f"{zlib.crc32(checkpoint.encode()):08x}"
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        merge_batch(batch.sparkSession, batch, state_path, f"{stream}-{epoch}", rows_per_bucket)
-
-    return (spark.readStream.schema(schema).parquet(bronze_path)
+        session = batch.sparkSession
+        live = {e["number"] for e in current_loads(log_entries(session, bronze_path))}
+        entries = sorted((r.asDict() for r in batch.collect()), key=lambda e: e["number"])  # a row per load
+        entries = [e for e in entries if e["number"] in live]
+        if entries:
+            rows = with_columns(read_entries(session, entries, bronze_path), BRONZE_COLUMNS)
+            merge_batch(session, rows, state_path, f"{stream}-{epoch}", rows_per_bucket)
+
+    reader = spark.readStream.schema(ENTRY)
+    if loads_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", loads_per_trigger)
+    return (reader.json(f"{bronze_path.rstrip('/')}/{LOG}")
             .writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -261,3 +261,109 @@ def test_scratch_folder_must_be_named_off_local_masters(spark, monkeypatch):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.checkpoint_root(Session())
 
+
+
+def _bronze_row(spark, path):
+    return {r.MIDINMUEBLE: r for r in bronze_src.read_loads(spark, path).collect()}
+
+
+def test_text_that_looks_like_an_object_is_kept(spark):
+    root = _scratch()
+    _write_pages(f"{root}/l", "x", [_page([_listing(1, title="{Oferta} Apto", mciudad={"nombre": "{Y}"}), _listing(2, mciudad="{Z}")])])
+    rows = landing.full_load(spark, f"{root}/l", f"{root}/b", multi_line=True)
+    r = {x.MIDINMUEBLE: x for x in rows.collect()}
+    assert (r["1"].TITLE, r["1"]["MCIUDAD.NOMBRE"], r["2"]["MCIUDAD.NOMBRE"]) == ("{Oferta} Apto", "{Y}", "{Z}")
+
+
+def test_names_reach_to_any_depth(spark):
+    root = _scratch()
+    deep = {"a": {"b": {"c": {"d": {"e": "five", "f": None}}, "c_d": {"g": 1.50}}}, "A.B.X": "flat", "list": [{"k": 1}], "empty": {}}
+    _write_pages(f"{root}/l", "x", [_page([deep, {"a": "text", "a_b_x": 2}])])
+    listed = landing.listings(landing.read_pages(spark, f"{root}/l", multi_line=True))
+    names = ["A.B.C.D.E", "A.B.C.D.G", "A.B.X", "A", "A.B"]
+    got = landing.columns_of(listed, names, underscore_to_dot=True).orderBy("A").collect()
+    assert [tuple(r)[:5] for r in got] == [("five", "1.5", "flat", None, None), (None, None, "2", "text", None)]
+    assert [list(r._occurs) for r in got] == [[True, True, True, True, True], [False, False, True, True, False]]
+    flat = sorted((r.name, r.value) for r in landing.leaves(listed, ["city"], underscore_to_dot=True).collect())
+    assert flat == [("A", "text"), ("A.B.C.D.E", "five"), ("A.B.C.D.F", None), ("A.B.C.D.G", "1.5"), ("A.B.X", "2"), ("A.B.X", "flat"),
+                    ("LIST", '[{"k":1}]')]
+
+
+def test_first_spelling_in_page_order_wins(spark):
+    root = _scratch()
+    _write_pages(f"{root}/l", "x", [_page([{"link": "first", "LINK": "second"}, {"LINK": "upper", "link": "lower"}])])
+    listed = landing.listings(landing.read_pages(spark, f"{root}/l", multi_line=True))
+    assert sorted(r.LINK for r in landing.columns_of(listed, ["LINK"]).collect()) == ["first", "upper"]
+
+
+def test_a_failed_reload_leaves_the_load_and_streams_see_no_unchecked_one(spark, monkeypatch):
+    root = _scratch()
+    good, bad = [_listing(1), _listing(2)], [_listing(3)]
+    del bad[0]["mvalorarriendo"]
+    _write_pages(f"{root}/good", "x", [_page(good)])
+    _write_pages(f"{root}/bad", "x", [_page(bad)])
+    out, state, ck = f"{root}/b", f"{root}/state", f"{root}/ck"
+    landing.full_load(spark, f"{root}/good", out, dt.datetime(2026, 1, 1), multi_line=True, load_id="x")
+    with pytest.raises(ValueError, match="MVALORARRIENDO"):
+        landing.full_load(spark, f"{root}/bad", out, dt.datetime(2026, 1, 2), multi_line=True, load_id="x")
+    assert _ids(spark, out) == ["1", "2"] and spark.read.parquet(out).count() == 2
+    # a load that stops between the move and the log entry is not there for readers
+    with monkeypatch.context() as m:
+        m.setattr(bronze_src, "publish_text", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            landing.full_load(spark, f"{root}/good", out, dt.datetime(2026, 1, 3), multi_line=True, load_id="y")
+    assert _ids(spark, out) == ["1", "2"]
+    refresh_from_stream(spark, out, state, ck).awaitTermination()
+    assert sorted(r.property_id for r in read_silver(spark, state).collect()) == ["1", "2"]
+    # a good reload replaces the load under its id
+    landing.full_load(spark, f"{root}/good", out, dt.datetime(2026, 1, 4), multi_line=True, load_id="x")
+    rows = bronze_src.read_loads(spark, out)
+    assert rows.count() == 2 and {r.LOAD_ID for r in rows.collect()} == {"x"}
+    assert {r.UPLOADED_DATE.day for r in rows.collect()} == {4}
+    refresh_from_stream(spark, out, state, ck).awaitTermination()
+    assert {r.extracted_at.day for r in read_silver(spark, state).collect()} == {4}
+
+
+def test_drifted_loads_pass_through_the_stream(spark):
+    root = _scratch()
+    _write_pages(f"{root}/l", "x", [_page([_listing(k) for k in (1, 2)])])
+    out = f"{root}/b"
+    rows = landing.full_load(spark, f"{root}/l", out, dt.datetime(2026, 1, 1), multi_line=True)
+    later = rows.withColumn("UPLOADED_DATE", F.lit(dt.datetime(2026, 1, 5)).cast("timestamp_ntz")).drop("LOAD_TYPE", "LOAD_ID")
+    later = later.withColumn("LOAD_DATE", F.to_date("UPLOADED_DATE"))
+    typed = later.withColumn("MAREA", F.col("MAREA").cast("double") + 1).withColumn("EXTRA", F.lit(1))
+    bronze_src.write_load(typed, out, "INCREMENTAL", "typed")
+    short = later.where("MIDINMUEBLE = '2'").withColumn("UPLOADED_DATE", F.lit(dt.datetime(2026, 1, 9)).cast("timestamp_ntz")).drop("ESTRATO")
+    bronze_src.write_load(short, out, "INCREMENTAL", "short")
+    refresh_from_stream(spark, out, f"{root}/s", f"{root}/ck", loads_per_trigger=1).awaitTermination()
+    got = {r.property_id: (r.total_area, r.extracted_at.day, r.socioeconomic_stratum) for r in read_silver(spark, f"{root}/s").collect()}
+    assert got == {"1": (51.0, 5, 4), "2": (50.0, 9, None)}
+
+
+def test_a_thousand_loads_are_read_without_a_job_per_folder(spark):
+    root = _scratch()
+    row = spark.createDataFrame([("1", dt.date(2026, 1, 1))], "MIDINMUEBLE string, LOAD_DATE date").coalesce(1)
+    bronze_src.write_load(row, f"{root}/b", "FULL", "l0")
+    entry = bronze_src.log_entries(spark, f"{root}/b")[0]
+    for k in range(1, 1000):   # the other folders are links to the first one
+        os.symlink(f"{root}/b/{entry['folder']}", f"{root}/b/LOAD_TYPE=FULL/LOAD_ID=l{k}")
+        with open(f"{root}/b/_log/{k + 1:012d}.json", "w") as f:
+            json.dump(entry | {"number": k + 1, "load_id": f"l{k}", "folder": f"LOAD_TYPE=FULL/LOAD_ID=l{k}"}, f)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("read-thousand", "")
+    rows = bronze_src.read_loads(spark, f"{root}/b")
+    jobs = len(tracker.getJobIdsForGroup("read-thousand"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 3 and rows.count() == 1000 and rows.select("LOAD_ID").distinct().count() == 1000
+
+
+def test_a_reported_total_of_zero_raises(spark):
+    root = _scratch()
+    _write_pages(f"{root}/l", "x", [_page([_listing(1)], total=0)])
+    pages = landing.read_pages(spark, f"{root}/l", multi_line=True)
+    with pytest.raises(ValueError, match="report no listings"):
+        landing.require_catalog(landing.catalog_summary(pages))
+    with pytest.raises(ValueError, match="report no listings"):
+        landing.full_load(spark, f"{root}/l", f"{root}/b", multi_line=True)
+    with pytest.raises(ValueError, match="no loads"):
+        bronze_src.read_loads(spark, f"{root}/b")
