@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import folds
+
 
 def count_histogram(df: DataFrame, key: str, bucket: str = "bucket", n: str = "n_keys") -> DataFrame:
     """How many keys have 1, 2, 3, ... rows (two-level aggregate)."""
@@ -65,13 +67,13 @@ def weighted_mean(df: DataFrame, x: str, w: str, out: str = "weighted_mean", dig
                                        F.sum(w).cast("double")), digits).alias(out))
 
 
-def invert_index(df: DataFrame, key: str, value: str, out: str = "keys") -> DataFrame:
-    """value -> sorted list of distinct keys.
+def invert_index(df: DataFrame, key: str, value: str, out: str = "keys", entries: int = folds.ENTRIES) -> DataFrame:
+    """value -> sorted lists of distinct keys, of a bounded size: (value, part,
+    parts, out); a value of more keys has several rows (see ``operators.folds``).
 
-    Pairs are de-duplicated first (a partial aggregate), so each list holds
-    distinct keys only; use it where the key domain per value is bounded."""
+    Pairs are de-duplicated first, by a partial aggregate."""
     pairs = df.select(value, key).where(F.col(key).isNotNull()).distinct()
-    return pairs.groupBy(value).agg(F.sort_array(F.collect_list(key)).alias(out))
+    return folds.lists(pairs, [value], key, out, entries)
 
 
 def word_frequency(df: DataFrame, words_col: Column, out_word: str = "word", out_n: str = "n") -> DataFrame:

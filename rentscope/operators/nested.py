@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import folds
+
 
 def record_sum(df: DataFrame, items: str, qty_field: str, out: str = "total",
                min_total: float | None = None) -> DataFrame:
@@ -61,14 +63,12 @@ def two_level_totals_long(df: DataFrame, outer: str, inner: str, items: str, nam
 
 
 def two_level_totals(df: DataFrame, outer: str, inner: str, items: str, name_field: str,
-                     qty_field: str, min_total: float) -> DataFrame:
-    """outer -> map(inner -> total): the long form folded into one map per
-    outer key.  Each map holds the distinct inner keys of one outer key, so
-    use it where that domain is bounded; ``two_level_totals_long`` is the
-    collection-free form."""
+                     qty_field: str, min_total: float, entries: int = folds.ENTRIES) -> DataFrame:
+    """outer -> map(inner -> total): the long form folded into maps of a bounded
+    size, (outer, part, parts, totals); a key of more inner keys has several
+    rows (see ``operators.folds``)."""
     sums = two_level_totals_long(df, outer, inner, items, name_field, qty_field, min_total)
-    return sums.groupBy(outer).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct(inner, "total")))).alias("totals"))
+    return folds.maps(sums, [outer], inner, "total", entries=entries)
 
 
 def map_of_lists_totals(df: DataFrame, key: str, cat_map: str, name_field: str, qty_field: str) -> DataFrame:
@@ -79,8 +79,7 @@ def map_of_lists_totals(df: DataFrame, key: str, cat_map: str, name_field: str,
                  .agg(F.sum(F.col(f"_it.{qty_field}")).alias("total")))
 
 
-def map_totals(df: DataFrame, key: str, cat_map: str, name_field: str, qty_field: str) -> DataFrame:
-    """Same totals folded back to one map per key."""
+def map_totals(df: DataFrame, key: str, cat_map: str, name_field: str, qty_field: str, entries: int = folds.ENTRIES) -> DataFrame:
+    """Same totals folded into maps of a bounded size per key: (key, part, parts, totals)."""
     t = map_of_lists_totals(df, key, cat_map, name_field, qty_field)
-    return t.groupBy(key).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "total")))).alias("totals"))
+    return folds.maps(t, [key], "category", "total", entries=entries)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import avg_rounded, sql_avg_rounded
 from ..functions.text import WORD_SPLIT, capitalize_first
 from ..operators import aggregates as agg
-from ..operators import nested
+from ..operators import folds, nested
 from ..sources.tables import table
 from .catalog import register
 from .listings import table_once
@@ -123,12 +123,26 @@ SELECT o_orderpriority AS store, string_agg(o_orderstatus || '=' || CAST(CAST(to
 FROM (SELECT o_orderpriority, o_orderstatus, sum(qty) AS total FROM items
       GROUP BY o_orderpriority, o_orderstatus HAVING sum(qty) >= 10) t GROUP BY o_orderpriority""")
 def nested_two_level_map(spark, sf_dir):
-    # the map-shaped result; statuses per priority are few
-    m = nested.two_level_totals(order_records(spark, sf_dir), "o_orderpriority", "o_orderstatus", "items", "item",
-                                "qty", 10)
+    # the map-shaped result; statuses per priority are few, so a map is whole
+    m = folds.whole(nested.two_level_totals(order_records(spark, sf_dir), "o_orderpriority", "o_orderstatus", "items",
+                                            "item", "qty", 10))
     return m.select(F.col("o_orderpriority").alias("store"), _map_text("totals").alias("totals"))
 
 
+@register("nested_part_maps", _ITEMS + """
+, sums AS (SELECT o_orderpriority AS store, item, sum(qty) AS total FROM items GROUP BY o_orderpriority, item HAVING sum(qty) >= 10)
+SELECT store, count(*) AS n_items, sum(total) AS total, CAST(min(item) AS BIGINT) AS first_item, true AS bounded
+FROM sums GROUP BY store""")
+def nested_part_maps(spark, sf_dir):
+    """D24 where the inner domain is wide: all parts sold per priority, in maps of
+    about 500 entries, summed up again from the maps."""
+    m = nested.two_level_totals(order_records(spark, sf_dir), "o_orderpriority", "item", "items", "item", "qty", 10, entries=500)
+    total = F.aggregate(F.map_values("totals"), F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double"))
+    return m.groupBy(F.col("o_orderpriority").alias("store")).agg(
+        F.sum(F.size("totals")).alias("n_items"), F.sum(total).alias("total"), F.min(F.array_min(F.map_keys("totals"))).alias("first_item"),
+        (F.max(F.size("totals")) <= 750).alias("bounded"))
+
+
 @register("map_totals", _ITEMS + """
 SELECT o_orderpriority AS store, string_agg(l_returnflag || '=' || CAST(CAST(total AS BIGINT) AS VARCHAR), ','
                                             ORDER BY l_returnflag) AS totals
@@ -136,7 +150,7 @@ FROM (SELECT o_orderpriority, l_returnflag, sum(qty) AS total FROM items
       GROUP BY o_orderpriority, l_returnflag) t GROUP BY o_orderpriority""")
 def map_totals(spark, sf_dir):
     m = order_flag_maps(spark, sf_dir).withColumnRenamed("o_orderpriority", "store")
-    return nested.map_totals(m, "store", "by_flag", "item", "qty").select("store", _map_text("totals").alias("totals"))
+    return folds.whole(nested.map_totals(m, "store", "by_flag", "item", "qty")).select("store", _map_text("totals").alias("totals"))
 
 
 # ---------------------------------------------------------------------------
@@ -158,7 +172,7 @@ SELECT p_size, count(*) AS n_brands, array_to_string(list_sort(list(p_brand)), '
 FROM (SELECT DISTINCT p_size, p_brand FROM part WHERE p_brand IS NOT NULL) t GROUP BY p_size""")
 def invert_index(spark, sf_dir):
     # size -> the sorted distinct brands that make it (bounded by the brand domain)
-    inv = agg.invert_index(table(spark, sf_dir, "part", "p_size", "p_brand"), key="p_brand", value="p_size")
+    inv = folds.whole(agg.invert_index(table(spark, sf_dir, "part", "p_size", "p_brand"), key="p_brand", value="p_size"))
     return inv.select("p_size", F.size("keys").cast("bigint").alias("n_brands"),
                       F.array_join("keys", ",").alias("brands"))
 
