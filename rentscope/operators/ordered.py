@@ -207,6 +207,30 @@ def neighbours(df: DataFrame, by, lead: str, ties: Sequence, previous: dict[str,
     return j.withColumns(fixed).select(*[F.col(f"`{c}`") for c in df.columns], *previous, *following)
 
 
+def carry_forward(df: DataFrame, by, lead: str, ties: Sequence, value: str, out: str, descending: bool = False,
+                  nulls_last: bool | None = None, rows: int | None = None, rows_per_slot: int | None = None) -> DataFrame:
+    """df + the last non-NULL ``value`` at or before each row of its group.
+
+    A slot's own last value is the summary; a slot without one takes that of the
+    nearest slot before."""
+    by = _by(by)
+    nulls_last = descending if nulls_last is None else nulls_last
+    slots = _slots(df, lead, ties, descending, nulls_last, rows, rows_per_slot)
+    keys = [F.col(f"`{c}`") for c in by] if slots.single else [F.col("_k")]
+    rows_to_here = Window.partitionBy(*keys).orderBy(_direction(lead, descending, nulls_last), *ties) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = F.last(F.col(f"`{value}`"), ignorenulls=True).over(rows_to_here)
+    if slots.single:
+        return df.withColumn(out, here)
+    local = _slotted(df, by, slots).withColumns({out: here, "_at": F.count(F.lit(1)).over(rows_to_here)})
+    ends = local.groupBy("_k").agg(F.max_by(out, "_at").alias("_end"))
+    before = Window.partitionBy(*_group(by)).orderBy(*[F.col(f"_k.{c}") for c in slots.paths]) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("_k", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    return local.join(carried, "_k").withColumn(out, F.coalesce(out, "_carried")) \
+        .select(*[F.col(f"`{c}`") for c in df.columns], out)
+
+
 def median(df: DataFrame, by: Sequence[str], x: Column | str, out: str = "median", rows: int | None = None,
            rows_per_slot: int | None = None) -> DataFrame:
     """Exact median per group (mean of the two middle values when the count is

@@ -30,7 +30,7 @@ def register(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import catalog_listings, catalog_nested, catalog_notes, catalog_sources  # noqa: F401
+    from . import catalog_history, catalog_listings, catalog_nested, catalog_notes, catalog_sources  # noqa: F401
 
 
 def queries() -> dict[str, Job]:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..sources import bronze, landing
 from ..streaming.ingest import incremental_ingest
-from ..streaming.refresh import read_silver, refresh_from_stream
+from ..streaming.refresh import read_silver, read_sketches, refresh_from_stream
 from .catalog import register
 from .catalog_listings import _SILVER, _STG, _with
 from .landing_pages import pages_from_tables, write_landing
@@ -142,6 +142,24 @@ def refresh_silver_drift(spark, sf_dir):
     return read_silver(spark, f"{root}/state", as_of=DRIVER_AS_OF, non_residential=DRIVER_NON_RESIDENTIAL)
 
 
+@register("market_sketches", _with(_STG.replace("e.ts AS extracted_at", f"{_TWO_LOADS[0]} AS extracted_at").replace(
+    "CASE WHEN day(e.ts) = 1 THEN 'FULL' ELSE 'INCREMENTAL' END", _TWO_LOADS[1])) + """
+SELECT city_name, '2024-02' AS month, count(*) AS n_sightings, count(DISTINCT property_id) AS n_properties,
+       CAST(min(rent_value) AS DOUBLE) AS lowest, CAST(max(rent_value) AS DOUBLE) AS highest,
+       CAST(quantile_disc(rent_value, 0.5) AS DOUBLE) AS median_rent
+FROM stg GROUP BY city_name""")
+def market_sketches(spark, sf_dir):
+    """Distinct properties and median rent of all sightings, from the sketches
+    that the refresh keeps beside its state, merged over two batches."""
+    land, root = _landed(spark, sf_dir), scratch_path(spark, "sketches")
+    landing.full_load(spark, land["even"], f"{root}/bronze", loaded_at=LOADED_AT)
+    landing.load(spark, landing.read_pages(spark, land["odd"]), f"{root}/bronze", "odd", "INCREMENTAL", STREAMED_AT)
+    refresh_from_stream(spark, f"{root}/bronze", f"{root}/state", f"{root}/checkpoint", loads_per_trigger=1).awaitTermination()
+    m = read_sketches(spark, f"{root}/state")
+    return m.select("city_name", "month", F.col("n").alias("n_sightings"), F.col("n_members").alias("n_properties"), "lowest", "highest",
+                    F.col("median").alias("median_rent"))
+
+
 @register("load_contract", _OBS + f"""
 SELECT city, count(*) AS n_listings, 'MVALORARRIENDO' AS missing, 1 AS n_loads FROM obs WHERE {_EVEN} GROUP BY city""")
 def load_contract(spark, sf_dir):

@@ -19,6 +19,12 @@ The bucket count comes from the number of properties (``ROWS_PER_BUCKET``) and
 is stored in the manifest; when the state has outgrown it fourfold, the next
 merge writes all buckets anew with a larger count.
 
+Beside the buckets the state keeps *sketches* of all sightings per city and
+month (``operators.cubes``: counts, extremes, a KLL sketch of the rents, an HLL
+sketch of the properties).  They merge, so a batch adds its own to those of the
+months it touches; distinct counts and medians over any cities and months
+are read from them without the history.
+
 Late files need no watermark: the newest ``extracted_at`` wins and first/last
 sightings do not depend on arrival order.  Silver is ``lifecycle(state,
 as_of)``: a projection computed on read.
@@ -34,11 +40,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import cubes
 from ..plans.listings import BRONZE_COLUMNS, NON_RESIDENTIAL_TYPES, lifecycle, merge_states, snapshot_state, staging
 from ..session import drop_path, list_names, publish_text, read_text, scratch_path
 from ..sources.bronze import ENTRY, LOG, as_text, current_loads, log_entries, read_entries, with_columns
 
 ROWS_PER_BUCKET = 500_000
+SKETCHED_BY = ["city_name", "month"]
 
 
 def bucket_of(c, n: int):
@@ -65,10 +73,11 @@ def merge_batch(spark: SparkSession, bronze_rows: DataFrame, state_path: str, ba
     now = manifest(spark, state_path)
     if now and batch_id in now["batches"]:
         return
+    stg = staging(as_text(bronze_rows))
     staged = scratch_path(spark, "batch-state")  # read twice below: buckets, rows
     folded, merged_rows, old_rows = Observation(), Observation(), Observation()
     n = F.count(F.lit(1)).alias("n")
-    snapshot_state(staging(as_text(bronze_rows))).observe(folded, n).write.parquet(staged)
+    snapshot_state(stg).observe(folded, n).write.parquet(staged)
     new = spark.read.parquet(staged)
     n_new = folded.get["n"]
     if not n_new:
@@ -93,8 +102,9 @@ def merge_batch(spark: SparkSession, bronze_rows: DataFrame, state_path: str, ba
     buckets.update({str(b): folder for b in written})
     number = (now["number"] if now else 0) + 1
     known = {"number": number, "n_buckets": n_buckets, "buckets": buckets,
+             "sketches": _merge_sketches(spark, stg, state_path, folder.replace("data/", "data/s-"), (now or {}).get("sketches", {})),
              "batches": [*(now["batches"] if now else []), batch_id][-1000:],
-             "previous": sorted(set(now["buckets"].values())) if now else []}
+             "previous": sorted({*now["buckets"].values(), *now.get("sketches", {}).values()}) if now else []}
     replaced = old_rows.get["n"] if old is not None else 0
     known["rows"] = (now["rows"] if now else 0) - replaced + merged_rows.get["n"]
     publish_text(spark, f"{state_path}/manifest-{number:09d}.json", json.dumps(known))
@@ -102,9 +112,42 @@ def merge_batch(spark: SparkSession, bronze_rows: DataFrame, state_path: str, ba
     _clean(spark, state_path, known)
 
 
+def _merge_sketches(spark: SparkSession, stg: DataFrame, state_path: str, folder: str, stored: dict[str, str]) -> dict[str, str]:
+    """Adds a batch's sketches to the stored ones; returns month -> folder."""
+    month = F.coalesce(F.date_format("extracted_at", "yyyy-MM"), F.lit("none"))
+    staged = scratch_path(spark, "batch-sketches")
+    cubes.states(stg.withColumn("month", month), SKETCHED_BY, F.col("rent_value"), F.col("property_id")).write.parquet(staged)
+    new = spark.read.parquet(staged)
+    touched = sorted(r["month"] for r in new.select("month").distinct().collect())
+    old = sorted({f"{state_path}/{stored[m]}/month={m}" for m in touched if m in stored})
+    both = new
+    if old:
+        before = spark.read.option("basePath", state_path).parquet(*old).withColumn("month", F.col("month").cast("string"))
+        both = new.unionByName(before.select(*new.columns))
+    both.groupBy(*SKETCHED_BY).agg(*cubes.merged()).repartition("month").write.mode("overwrite") \
+        .option("partitionOverwriteMode", "static").partitionBy("month").parquet(f"{state_path}/{folder}")
+    drop_path(spark, staged)
+    return stored | dict.fromkeys(touched, folder)
+
+
+def read_sketches(spark: SparkSession, state_path: str, by=("city_name", "month"), months=None) -> DataFrame:
+    """Measures of all sightings (``cubes.measures``) by any of city and month,
+    for some months or all: the stored states, merged."""
+    root = state_path.rstrip("/")
+    found = manifest(spark, root)
+    if found is None:
+        raise ValueError(f"no state in {state_path}")
+    folders = [f"{root}/{f}/month={m}" for m, f in sorted(found["sketches"].items()) if months is None or m in months]
+    if not folders:
+        raise ValueError(f"no such months in {state_path}")
+    schema = ("city_name string, n bigint, total double, lowest double, highest double, quantiles binary, members binary, month string")
+    stored = spark.read.schema(schema).option("basePath", root).parquet(*folders)
+    return cubes.measures(stored.groupBy(*by).agg(*cubes.merged()))
+
+
 def _clean(spark: SparkSession, state_path: str, known: dict) -> None:
     """Folders that neither this state nor the one before refers to."""
-    live = {*known["buckets"].values(), *known["previous"]}
+    live = {*known["buckets"].values(), *known["sketches"].values(), *known["previous"]}
     for name in list_names(spark, f"{state_path}/data"):
         if f"data/{name}" not in live:
             drop_path(spark, f"{state_path}/data/{name}")
