@@ -119,13 +119,10 @@ def _merge_sketches(spark: SparkSession, stg: DataFrame, state_path: str, folder
     cubes.states(stg.withColumn("month", month), SKETCHED_BY, F.col("rent_value"), F.col("property_id")).write.parquet(staged)
     new = spark.read.parquet(staged)
     touched = sorted(r["month"] for r in new.select("month").distinct().collect())
-    old = sorted({f"{state_path}/{stored[m]}/month={m}" for m in touched if m in stored})
-    both = new
-    if old:
-        before = spark.read.option("basePath", state_path).parquet(*old).withColumn("month", F.col("month").cast("string"))
-        both = new.unionByName(before.select(*new.columns))
-    both.groupBy(*SKETCHED_BY).agg(*cubes.merged()).repartition("month").write.mode("overwrite") \
-        .option("partitionOverwriteMode", "static").partitionBy("month").parquet(f"{state_path}/{folder}")
+    old = sorted({f"{state_path}/{stored[m]}/of={m}" for m in touched if m in stored})
+    both = new.unionByName(spark.read.parquet(*old)) if old else new
+    both.groupBy(*SKETCHED_BY).agg(*cubes.merged()).withColumn("of", F.col("month")).repartition("of").write.mode("overwrite") \
+        .option("partitionOverwriteMode", "static").partitionBy("of").parquet(f"{state_path}/{folder}")
     drop_path(spark, staged)
     return stored | dict.fromkeys(touched, folder)
 
@@ -137,12 +134,10 @@ def read_sketches(spark: SparkSession, state_path: str, by=("city_name", "month"
     found = manifest(spark, root)
     if found is None:
         raise ValueError(f"no state in {state_path}")
-    folders = [f"{root}/{f}/month={m}" for m, f in sorted(found["sketches"].items()) if months is None or m in months]
+    folders = [f"{root}/{f}/of={m}" for m, f in sorted(found["sketches"].items()) if months is None or m in months]
     if not folders:
         raise ValueError(f"no such months in {state_path}")
-    schema = ("city_name string, n bigint, total double, lowest double, highest double, quantiles binary, members binary, month string")
-    stored = spark.read.schema(schema).option("basePath", root).parquet(*folders)
-    return cubes.measures(stored.groupBy(*by).agg(*cubes.merged()))
+    return cubes.measures(spark.read.parquet(*folders).groupBy(*by).agg(*cubes.merged()))
 
 
 def _clean(spark: SparkSession, state_path: str, known: dict) -> None:

@@ -104,7 +104,7 @@ def test_folds_are_bounded_and_whole(spark):
     assert {r.part for r in m if r.k == "hot"} == set(range(40)) and all(list(r.order) == sorted(r.order) for r in m)
     with pytest.raises(Exception, match="more entries"):
         folds.whole(folds.lists(long, ["k"], "item", entries=100)).collect()
-    one = folds.whole(folds.lists(long.union(spark.createDataFrame([(None, 1, 1), ("z", None, 1)], long.schema)), ["k"], "item")).collect()
+    one = folds.whole(folds.lists(long.union(spark.createDataFrame([(None, 1, 1), ("z", None, 1)], "k string, item bigint, total bigint")), ["k"], "item")).collect()
     assert sorted((str(r.k), len(r["items"])) for r in one)[0] == ("None", 1) and len(one) == 9
 
 
