@@ -59,18 +59,52 @@ def test_gray_rank_is_a_gray_code_position():
     assert (G.gray_rank(n ^ (n >> np.uint64(1))) == n).all()
 
 
-def test_salted_buckets_lose_no_link(spark):
+def _nodes(spark, values):
+    return spark.createDataFrame([(i, v - (1 << 64) if v >> 63 else v) for i, v in enumerate(values)], "id bigint, fp bigint")
+
+
+def test_ranges_lose_no_link(spark):
     rng = np.random.default_rng(5)
     base = int(rng.integers(0, 2**63))
     values = sorted({base ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 64, (150, 2))}
-                    | {int(v) for v in rng.integers(0, 2**63, 60)})
-    nodes = spark.createDataFrame([(i, v - (1 << 64) if v >> 63 else v) for i, v in enumerate(values)], "id bigint, fp bigint")
-    want = {i: c for i, c in enumerate(closure(values)) if closure(values).count(c) > 1}
-    for rows in (2048, 16):
-        got = {r.node: r.component for r in components(G.link_forest(nodes, bucket_rows=rows)).collect()}
+                    | {int(v) for v in rng.integers(0, 2**64, 60, dtype=np.uint64)})
+    lab = closure(values)
+    want = {i: c for i, c in enumerate(lab) if lab.count(c) > 1}
+    for rows in (None, 16, 5):
+        got = {r.node: r.component for r in components(G.link_forest(_nodes(spark, values), rows=rows)).collect()}
         assert got == want
 
 
+def test_gray_order_in_spark_is_the_rank(spark):
+    values = [0, 1, 2**63, 2**64 - 1, *np.random.default_rng(1).integers(0, 2**64, 200, dtype=np.uint64).tolist()]
+    rows = _nodes(spark, values).select("id", G.gray_order(G.F.col("fp")).alias("r")).orderBy("r").collect()
+    rank = G.gray_rank(np.array(values, np.uint64))
+    assert [r.id for r in rows] == np.argsort(rank, kind="stable").tolist()
+
+
+def test_the_hierarchy_forms_and_prunes_groups(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    nodes = G.materialize(G.fingerprints(docs), "test-fps").groupBy("fp").agg(G.F.min("id").alias("id"))
+    index = G.gray_index(nodes)
+    ranges = index.count()
+    x = np.concatenate([np.frombuffer(r.fps, np.uint64) for r in index.select("range", "fps").orderBy("range").collect()])
+    rank = G.gray_rank(x)
+    assert ranges > 10 and len(x) == nodes.count() and (rank[1:] > rank[:-1]).all()
+    assert index.where("mask <> 0").count() > ranges / 2          # neighbours share bits
+    pairs = G.range_pairs(index).count()
+    assert ranges <= pairs < ranges * (ranges + 1) // 2           # whole ranges are pruned,
+    seen = {}
+    order, labels = G.gray_links(x, seen=seen)
+    upper = sum(len(level[0]) for level in G._groups(x)[1:])
+    assert upper > 50 and seen["pruned"] > seen["judged"] / 2    # ... and groups within them
+    # every link is found: all pairs, in blocks
+    want = np.arange(len(x))
+    for k in range(0, len(x), 256):
+        i, j = np.nonzero(np.bitwise_count(x[k:k + 256, None] ^ x[None, :]) <= 3)
+        G._merge(want, i + k, j)
+    assert (labels == want).all() and (order == np.arange(len(x))).all()
+
+
 def test_components_of_paths_loops_and_nothing(spark):
     pairs = [(k, k + 1) for k in range(1, 40)] + [(100, 101), (101, 100), (7, 7), (200, 100), (300, 300)]
     got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "u bigint, v bigint")).collect()}
