@@ -1,6 +1,7 @@
 """License scan: sparse TF-IDF cosine to templates, then directory inheritance.
 
-A file's header statements (lines and sentences with licence vocabulary or rare
+An ``SPDX-License-Identifier`` line of a known licence names it.  Otherwise a
+file's header statements (lines and sentences with licence vocabulary or rare
 words of the templates, and the leading comment block or paragraph joined across
 its line breaks) and, for licence files, the whole text are turned into sparse TF-IDF vectors and
 compared with every template by cosine; weights of the fixed templates are
@@ -15,8 +16,8 @@ with a third of all files is no hot group.
 Defined cases: null text holds no statement; a null path is the root
 directory; of several licence files in a directory the best score decides, then
 the smaller licence id; equal scores of templates go to the smaller id;
-repeated rows keep a row each; extra columns are carried through unless they
-have the name of an output column; an empty table gives an empty result.
+repeated rows keep a row each; extra columns of any name are carried through
+unless they have the name of an output column; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -53,7 +54,11 @@ TEMPLATES = {
         "Released under the ISC License.",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
         "hereby granted."],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or any later "
+        "version."],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
@@ -71,6 +76,28 @@ TEMPLATES = {
     "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.", "Creative Commons Attribution-NoDerivatives 4.0 International License."],
     "Proprietary": ["Copyright. All rights reserved.", "Proprietary and confidential; unauthorized copying is strictly prohibited."],
 }
+# Headings of the licences' texts.
+HEADINGS = {
+    "Apache-2.0": "Apache License Version 2.0, January 2004",
+    "MIT": "MIT License",
+    "BSD-2-Clause": "BSD 2-Clause License",
+    "BSD-3-Clause": "BSD 3-Clause License",
+    "ISC": "ISC License",
+    "GPL-2.0": "GNU General Public License Version 2, June 1991",
+    "GPL-3.0": "GNU General Public License Version 3, 29 June 2007",
+    "LGPL-3.0": "GNU Lesser General Public License Version 3, 29 June 2007",
+    "AGPL-3.0": "GNU Affero General Public License Version 3, 19 November 2007",
+    "MPL-2.0": "Mozilla Public License Version 2.0",
+    "EPL-2.0": "Eclipse Public License - v 2.0",
+    "CC0-1.0": "Creative Commons CC0 1.0 Universal",
+    "CC-BY-4.0": "Creative Commons Attribution 4.0 International Public License",
+    "CC-BY-SA-4.0": "Creative Commons Attribution-ShareAlike 4.0 International Public License",
+    "CC-BY-NC-4.0": "Creative Commons Attribution-NonCommercial 4.0 International Public License",
+    "CC-BY-ND-4.0": "Creative Commons Attribution-NoDerivatives 4.0 International Public License",
+}
+for _k, _t in HEADINGS.items():
+    TEMPLATES[_k].append(_t)
+SPDX = "(?i)SPDX-License-Identifier:[\\x20\\t(]*([A-Za-z0-9.+\\-]+)"
 # ... and their names as they stand in short notices
 SHORT_NAMES = [k for k in TEMPLATES if k not in ("Unlicense", "Proprietary")]
 for _k in SHORT_NAMES:
@@ -89,6 +116,20 @@ def _terms(text: str) -> list[str]:
     return re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", text.lower())
 
 
+def _any_of(words: list[str]) -> str:
+    """A pattern of any of the words, factored by their beginnings: a place in
+    the text is tried against the letters that may follow, not against every word."""
+    if not words:
+        return ""
+    tails: dict[str, list[str]] = {}
+    for w in words:
+        if w:
+            tails.setdefault(w[0], []).append(w[1:])
+    branches = [re.escape(c) + _any_of(t) for c, t in sorted(tails.items())]
+    body = branches[0] if len(branches) == 1 and "" not in words else f"(?:{'|'.join(branches)})"
+    return (f"(?:{body})?" if branches else "") if "" in words else body
+
+
 class Templates:
     """Unit TF-IDF vectors of the templates and the inverse document frequencies."""
 
@@ -101,6 +142,7 @@ class Templates:
                 df[w] = df.get(w, 0) + 1
         self.idf = {w: math.log((1 + n) / (1 + c)) + 1 for w, c in df.items()}
         self.unknown = math.log(1 + n) + 1
+        self.names = sorted(templates)
         self.vectors = []
         for name, words in texts:
             v = {w: (1 + math.log(words.count(w))) * self.idf[w] for w in dict.fromkeys(words)}
@@ -108,7 +150,7 @@ class Templates:
             self.vectors.append((name, {w: x / norm for w, x in v.items()}))
         rare = sorted(w for w in df if w not in COMMON_WORDS and re.fullmatch("[a-z]{3,}[0-9]?", w))
         # two rare words of the templates make a statement too, as does one beside a number
-        word = f"\\b(?:{'|'.join(rare)})\\b"
+        word = f"\\b{_any_of(rare)}\\b"
         self.statement = f"{STATEMENT}|{word}[\\s\\S]*?(?:{word}|\\b[0-9]\\.[0-9]\\b)"
 
 
@@ -145,6 +187,13 @@ def best_template(statement: Column, templates: Templates) -> Column:
     return let(found, lambda b: F.struct((-b["minus"]).alias("score"), b["license"].alias("license")))
 
 
+def named_license(text: Column, templates: Templates) -> Column:
+    """The known licence that an SPDX line names, ``-only`` and ``-or-later`` left aside."""
+    found = F.regexp_replace(F.regexp_extract(F.coalesce(text, F.lit("")), SPDX, 1), "(?i)(?:\\+|-only|-or-later)$", "")
+    known = F.filter(F.lit(templates.names), lambda n: F.lower(n) == F.lower(found))
+    return F.get(known, F.lit(0))
+
+
 def statements(text: Column, whole: Column, vocabulary: str = STATEMENT) -> Column:
     """Lines and sentences with licence vocabulary, and those of the leading block joined across its line
     breaks; of licence files with any, the whole text too."""
@@ -182,7 +231,8 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", threshold: fl
     known = Templates(templates or TEMPLATES)
     out = ("directory", "is_license_file", "own_license", "own_score", "n_statements", "license", "origin",
            "from_directory", text)
-    carried = [F.col(f"`{c}`") for c in files.columns if c not in out]
+    carried = F.struct(*[F.col(f"`{c}`") for c in files.columns if c not in out])
+    kept = [f"row.`{c}`" for c in files.columns if c not in out]
     name = F.regexp_extract(F.coalesce(F.col(f"`{path}`"), F.lit("")), "[^/]*$", 0)
     is_file = F.rlike(name, F.lit(LICENSE_FILE))
 
@@ -192,27 +242,29 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", threshold: fl
                                       lambda b: F.struct((-b["score"]).alias("minus"), b["license"].alias("license"))))
         return F.struct(F.size(found).alias("n"), top.alias("top"))
 
-    own = files.select(*carried, directory(F.col(f"`{path}`")).alias("directory"), is_file.alias("is_license_file"),
-                       let(statements(F.col(f"`{text}`"), is_file, known.statement), judged).alias("j")) \
-        .select(*carried, "directory", "is_license_file", F.col("j.top.license").alias("own_license"),
-                (-F.col("j.top.minus")).alias("own_score"), F.col("j.n").cast("bigint").alias("n_statements"))
+    source = F.col(f"`{text}`")
+    own = files.select(carried.alias("row"), directory(F.col(f"`{path}`")).alias("directory"), is_file.alias("is_license_file"),
+                       named_license(source, known).alias("named"), let(statements(source, is_file, known.statement), judged).alias("j")) \
+        .select("row", "directory", "is_license_file", F.coalesce("named", "j.top.license").alias("own_license"),
+                F.when(F.col("named").isNotNull(), 1.0).otherwise(-F.col("j.top.minus")).alias("own_score"),
+                F.col("j.n").cast("bigint").alias("n_statements"))
     # read three times below: the texts are scored once and stay behind
     own = materialize(own, "license-scores")
     # one row per directory that holds a licence file
     holders = own.where("is_license_file and own_license is not null").groupBy("directory") \
         .agg(F.min(F.struct((-F.col("own_score")).alias("minus"), "own_license")).alias("b")) \
-        .select(F.col("directory").alias("__holder"), F.col("b.own_license").alias("__given"))
+        .select(F.col("directory").alias("holder"), F.col("b.own_license").alias("given"))
     # every distinct directory with its ancestors, itself included; the deepest holder decides
     dirs = own.select("directory").distinct()
     steps = F.when(F.col("directory") == "", F.array(F.lit(""))).otherwise(F.concat(F.array(F.lit("")), F.transform(
         F.sequence(F.lit(1), F.size(F.split("directory", "/"))),
         lambda k: F.array_join(F.slice(F.split(F.col("directory"), "/"), F.lit(1), k), "/"))))
-    nearest = dirs.select("directory", F.explode(steps).alias("__holder")).join(holders, "__holder") \
-        .groupBy("directory").agg(F.max(F.struct(F.length("__holder").alias("depth"), "__holder", "__given")).alias("b")) \
-        .select("directory", F.col("b.__given").alias("__given"), F.col("b.__holder").alias("__holder"))
+    nearest = dirs.select("directory", F.explode(steps).alias("holder")).join(holders, "holder") \
+        .groupBy("directory").agg(F.max(F.struct(F.length("holder").alias("depth"), "holder", "given")).alias("b")) \
+        .select("directory", F.col("b.given").alias("given"), F.col("b.holder").alias("holder"))
     return own.join(nearest, "directory", "left").select(
-        *carried, "directory", "is_license_file", "own_license", "own_score", "n_statements",
-        F.coalesce("own_license", "__given").alias("license"),
-        F.when(F.col("own_license").isNotNull(), "own").when(F.col("__given").isNotNull(), "inherited")
+        *kept, "directory", "is_license_file", "own_license", "own_score", "n_statements",
+        F.coalesce("own_license", "given").alias("license"),
+        F.when(F.col("own_license").isNotNull(), "own").when(F.col("given").isNotNull(), "inherited")
         .otherwise("none").alias("origin"),
-        F.when(F.col("own_license").isNull(), F.col("__holder")).alias("from_directory"))
+        F.when(F.col("own_license").isNull(), F.col("holder")).alias("from_directory"))

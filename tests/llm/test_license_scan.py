@@ -56,3 +56,54 @@ def test_every_template_is_found_as_a_header(spark):
     want["only.c"] = "GPL-3.0"
     got = {r.path: r.own_license for r in L.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
     assert got == want
+
+
+def test_headings_and_identifiers(spark):
+    openings = {
+        "GPL-2.0": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free "
+                   "Software Foundation, Inc.\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but "
+                   "changing it is not allowed.\n\n                            Preamble\n",
+        "GPL-3.0": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software "
+                   "Foundation, Inc. <https://fsf.org/>\n",
+        "LGPL-3.0": "                   GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n",
+        "AGPL-3.0": "                    GNU AFFERO GENERAL PUBLIC LICENSE\n                       Version 3, 19 November 2007\n",
+        "Apache-2.0": "                                 Apache License\n                           Version 2.0, January 2004\n"
+                      "                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n",
+        "MIT": "MIT License\n\nCopyright (c) 2024 A. Person\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this "
+               "software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without "
+               "limitation the rights\nto use, copy, modify, merge, publish.\n",
+        "ISC": "ISC License\n\nPermission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.\n",
+        "BSD-3-Clause": "BSD 3-Clause License\n\nCopyright (c) 2024\n\nRedistribution and use in source and binary forms, with or without\n"
+                        "modification, are permitted provided that the following conditions are met:\n",
+        "MPL-2.0": "Mozilla Public License Version 2.0\n==================================\n\n1. Definitions\n",
+        "EPL-2.0": "Eclipse Public License - v 2.0\n\n    THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE\n",
+        "Unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy.\n",
+        "CC0-1.0": "Creative Commons Legal Code\n\nCC0 1.0 Universal\n",
+        "CC-BY-4.0": "Creative Commons Attribution 4.0 International Public License\n\nBy exercising the Licensed Rights\n",
+    }
+    rows = [(k, f"d{n}/LICENSE", t) for n, (k, t) in enumerate(openings.items())]
+    rows += [(k, f"s/{n}.py", f"# SPDX-License-Identifier: {tag}\nimport os\n") for n, (k, tag) in enumerate([
+        ("MIT", "MIT"), ("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2.0-only"), ("GPL-3.0", "GPL-3.0-or-later"), ("LGPL-3.0", "lgpl-3.0+"),
+        ("BSD-2-Clause", "(BSD-2-Clause OR MIT)")])]
+    rows += [("GPL-2.0", "h/a.c", "/* This program is free software; you can redistribute it and/or modify\n * it under the terms of the GNU General "
+              "Public License as published by\n * the Free Software Foundation; either version 2 of the License, or\n * (at your option) any later "
+              "version.\n */\nint x;\n")]
+    got = L.scan(spark.createDataFrame(rows, "want string, path string, text string"))
+    assert [(r.path, r.want, r.license) for r in got.collect() if r.want != r.license] == []
+    unknown = L.scan(spark.createDataFrame([("x.py", "# SPDX-License-Identifier: Foo-1.0\n")], "path string, text string")).first()
+    assert unknown.license is None
+
+
+def test_columns_of_any_name_are_carried(spark):
+    clash = ["j", "row", "named", "holder", "given", "__given", "__holder", "b", "_"]
+    df = spark.createDataFrame([("a/LICENSE", "Released under the MIT License.", *range(9)), ("a/b.txt", None, *range(9))],
+                               "path string, text string, " + ", ".join(f"`{c}` int" for c in clash))
+    got = {r.path: r for r in L.scan(df).collect()}
+    assert got["a/b.txt"].license == "MIT" and [got["a/b.txt"][c] for c in clash] == list(range(9))
+
+
+def test_factored_words_match_the_same():
+    import re
+    words = ["a", "ab", "abc", "b", "ba", "free", "freed", "x2"]
+    for w in words + ["", "abcd", "fre", "x", "c"]:
+        assert bool(re.fullmatch(L._any_of(sorted(words)), w)) == (w in words)
