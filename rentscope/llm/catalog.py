@@ -152,7 +152,8 @@ WITH d AS (
 ), judged AS (
   SELECT rid, n, sym,
          sym > 0.05 * n OR (sep >= 3 AND sep >= 0.03 * n)
-         OR (n >= 80 AND NOT regexp_matches(x, '[.!?…](?:["''”’»)\]]|[\x20\x09-\x0D]|$)'))
+         OR (n >= 80 AND NOT regexp_matches(x, '[.!?…](?:["''”’»)\]]|[\x20\x09-\x0D]|$)')
+             AND NOT regexp_matches(x, '^[\x20\t]*(?:[-*+•‣–—▪●·]|\(?[0-9]{1,3}[.)]|\(?[A-Za-z][.)]|#{1,6})[\x20\t]+[^\x20\t]'))
          OR (n <= 200 AND regexp_matches(x, '{boilerplate}'))
          OR (n >= 20 AND up > 0.4 * n) AS fails
   FROM line

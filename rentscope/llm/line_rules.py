@@ -2,7 +2,8 @@
 
 Every line is judged by itself (punctuation, navigation, boilerplate, symbol
 noise, shouting, repetition); only the end of a sentence may stand on another
-line where the text is hard-wrapped (see ``wrap_width``).  Failing lines go; a
+line where the text is hard-wrapped (see ``wrap_width``).  List items and
+headings need no end of a sentence.  Failing lines go; a
 document that loses more than ``max_loss`` of its characters, or fails the base
 figures, is rejected.
 The job is one map over the rows: no shuffle, so hot sources and groups of
@@ -10,9 +11,9 @@ copies cost nothing extra.
 
 Defined cases: null text counts as empty; an empty text has no words, fails
 the base rule (fewer than 50 words) and cleans to ``''``; repeated rows and
-equal texts are judged alike; any extra column is carried through unless it
-has the name of an output column, which replaces it; an empty table gives an
-empty result.
+equal texts are judged alike; an extra column of any name is carried through
+unless it has the name of an output column, which replaces it; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ SENTENCE_END = ("[.!?\\u2026](?:[\"'\\u201d\\u2019\\u00bb)\\]]|[\\x20\\x09-\\x0D
                 "\\u3002\\uFE12\\uFE52\\uFE56\\uFE57\\uFF01\\uFF0E\\uFF1F\\uFF61\\uA4FF\\uA60E\\uA60F\\uA6F3\\uA6F7\\uA8CE\\uA8CF]"
                 # Thai and Lao write no mark at a sentence's end
                 "|[\\u0E01-\\u0E2E\\u0E81-\\u0EAE]")
+# The beginning of a list item or of a heading.
+ITEM = "^[\\x20\\t]*(?:[-*+\u2022\u2023\u2013\u2014\u25aa\u25cf\u00b7]|\\(?[0-9]{1,3}[.)]|\\(?[A-Za-z][.)]|#{1,6})[\\x20\\t]+[^\\x20\\t]"
 # Longest word that counts when a line is tested for being full; least share of full lines.
 WRAP_WORD, WRAP_SHARE = 20, 3
 # The line break before a blank line.
@@ -131,7 +134,7 @@ def line_fails(line: Column, n_symbols: Column, continued: Column, rules: LineRu
     separators = n - F.length(bare)
     return ((n_symbols > rules.symbol_share * n)
             | ((separators >= rules.min_separators) & (separators >= rules.nav_share * n))
-            | ((n >= rules.long_line) & ~continued & ~F.rlike(line, F.lit(SENTENCE_END)))
+            | ((n >= rules.long_line) & ~continued & ~F.rlike(line, F.lit(SENTENCE_END)) & ~F.rlike(line, F.lit(ITEM)))
             | ((n <= rules.furniture_chars) & F.rlike(line, F.lit(BOILERPLATE)))
             | ((n >= rules.shout_chars) & (F.regexp_count(line, F.lit("\\p{Lu}")) > rules.shout_share * n)))
 
@@ -173,25 +176,26 @@ def apply_rules(df: DataFrame, text: str = "text", rules: LineRules = LineRules(
     in order), ``n_lines_removed``, ``lost_share`` and ``kept``."""
     out = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "clean_text",
            "n_lines_removed", "lost_share", "kept")
-    carried = [F.col(f"`{c}`") for c in df.columns if c not in out]
+    # the row travels as one value, so that no column of it meets a name used here
+    carried = [c for c in df.columns if c not in out]
+    row = F.struct(*[F.col(f"`{c}`") for c in carried]) if carried else F.lit(None).cast("int")
     src = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    a = df.select(*carried, words_of(src).alias("__w"), F.split(src, "\n").alias("__l"))
-    a = a.withColumn("__full", F.filter("__l", lambda x: F.rlike(x, F.lit("[^\\x20\\x09-\\x0D]"))))
-    a = a.withColumn("__j", _judged_lines(F.array_join("__l", "\n"), F.col("__l"), rules))
-    a = a.withColumn("__kept", F.filter("__j", lambda x: ~x["fails"]))
+    a = df.select(row.alias("row"), words_of(src).alias("words"), F.split(src, "\n").alias("lines"))
+    a = a.withColumn("full", F.filter("lines", lambda x: F.rlike(x, F.lit("[^\\x20\\x09-\\x0D]"))))
+    a = a.withColumn("judged", _judged_lines(F.array_join("lines", "\n"), F.col("lines"), rules))
+    a = a.withColumn("stay", F.filter("judged", lambda x: ~x["fails"]))
     a = a.select(
-        *carried,
-        F.size("__w").cast("long").alias("n_words"),
-        F.length(F.array_join("__w", "")).cast("long").alias("word_chars"),
-        F.aggregate("__j", F.lit(0), lambda t, x: t + x["n_symbols"]).cast("long").alias("n_symbols"),
-        (F.size("__full") - F.size(F.array_distinct("__full"))).cast("long").alias("n_dup_lines"),
-        repeated_window_words(F.col("__w")).alias("n_repeat_words"),
-        F.array_join(F.transform("__kept", lambda x: x["line"]), "\n").alias("clean_text"),
-        (F.size("__j") - F.size("__kept")).cast("long").alias("n_lines_removed"),
-        _chars(F.col("__j")).alias("__all"), _chars(F.col("__kept")).alias("__left"))
-    a = a.withColumn("base_failed", (F.col("n_words") < rules.min_words)
-                     | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
-    a = a.withColumn("lost_share", F.when(F.col("__all") > 0, 1 - F.col("__left") / F.col("__all"))
-                     .otherwise(F.lit(0.0)))
+        "row",
+        F.size("words").cast("long").alias("n_words"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        F.aggregate("judged", F.lit(0), lambda t, x: t + x["n_symbols"]).cast("long").alias("n_symbols"),
+        (F.size("full") - F.size(F.array_distinct("full"))).cast("long").alias("n_dup_lines"),
+        repeated_window_words(F.col("words")).alias("n_repeat_words"),
+        F.array_join(F.transform("stay", lambda x: x["line"]), "\n").alias("clean_text"),
+        (F.size("judged") - F.size("stay")).cast("long").alias("n_lines_removed"),
+        _chars(F.col("judged")).alias("whole"), _chars(F.col("stay")).alias("left"))
+    base_failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
+    lost = F.when(F.col("whole") > 0, 1 - F.col("left") / F.col("whole")).otherwise(F.lit(0.0))
+    a = a.withColumns({"base_failed": base_failed, "lost_share": lost})
     a = a.withColumn("kept", ~F.col("base_failed") & (F.col("lost_share") <= rules.max_loss))
-    return a.drop("__all", "__left")
+    return a.select(*[F.col(f"row.`{c}`") for c in carried], *out)

@@ -69,3 +69,20 @@ def test_hard_wrapped_prose_and_other_scripts(spark, make_docs, prose):
     for k, r in got.items():
         assert r.kept, k
         assert (r.n_lines_removed == 1 and junk not in r.clean_text) if k == 1 else r.clean_text == texts[k], k
+
+
+def test_list_items_and_headings_need_no_sentence_end(spark, make_docs):
+    words = "market garden river stone harbour window letter morning"
+    marks = ["- ", "* ", "\u2022 ", "1. ", "12) ", "(a) ", "## ", "+ ", "\u2013 "]
+    items = [f"{m}item {k} of the {words} and the {words} in the list of things {k}" for k, m in enumerate(marks * 3)]
+    plain = [f"item {k} of the {words} and the {words} in the list of things {k}" for k in range(27)]
+    got = {r.doc_id: r for r in apply_rules(make_docs([(1, "\n".join(items)), (2, "\n".join(plain))])).collect()}
+    assert got[1].n_lines_removed == 0 and got[1].lost_share == 0
+    assert got[2].lost_share > 0.9
+
+
+def test_columns_of_any_name_are_carried(spark):
+    clash = ["__w", "__l", "__all", "__j", "__kept", "__full", "row", "words", "lines", "full", "judged", "stay", "whole", "left"]
+    df = spark.createDataFrame([("A few words.", *range(len(clash)))], "text string, " + ", ".join(f"`{c}` int" for c in clash))
+    row = apply_rules(df).first()
+    assert [row[c] for c in clash] == list(range(len(clash))) and row.text == "A few words." and row.n_words == 3
