@@ -58,8 +58,13 @@ def role_tag(role: Column) -> Column:
 
 def events_of_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
                     text: str = "text", delta_chars: int = DELTA_CHARS) -> DataFrame:
-    """Event log (conv, seq, message, kind, role, text) of finished turns: an
-    assistant's text streams in as deltas, any other text comes at once.
+    """Event log (conv, seq, message, kind, role, text) of finished turns, as
+    a chat service would have recorded them.
+
+    An assistant's text streams in as deltas; every third such message is a
+    second try, after a draft that was regenerated.  Any other text comes at once;
+    every third is the edit of a first version.  One in seven is a message begun
+    and deleted besides.  Folding gives the turns back.
 
     Rows are numbered by (turn, role, text) within the conversation, so that
     repeated turns stay apart; the number is the message and orders its events."""
@@ -69,17 +74,31 @@ def events_of_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
         F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("role"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")) \
         .withColumn("message", F.row_number().over(order).cast("bigint"))
+    event = "array<struct<k:int,kind:string,text:string>>"
     pieces = F.floor((F.length("text") + delta_chars - 1) / delta_chars).cast("int")
-    streamed = F.concat(
-        F.array(F.struct(F.lit(0).alias("k"), F.lit("message").alias("kind"), F.lit("").alias("text"))),
-        F.when(pieces > 0, F.transform(F.sequence(F.lit(1), F.greatest(pieces, F.lit(1))), lambda i: F.struct(
-            i.alias("k"), F.lit("delta").alias("kind"),
-            F.substring(F.col("text"), (i - 1) * delta_chars + 1, F.lit(delta_chars)).alias("text"))))
-        .otherwise(F.array().cast("array<struct<k:int,kind:string,text:string>>")))
-    whole = F.array(F.struct(F.lit(0).alias("k"), F.lit("message").alias("kind"), F.col("text").alias("text")))
-    return rows.select("conv", "message", "role",
-                       F.explode(F.when(F.col("role") == "assistant", streamed).otherwise(whole)).alias("e")) \
-        .select("conv", (F.shiftleft("message", 32) + F.col("e.k")).alias("seq"), "message", "e.kind", "role", "e.text")
+    number = F.pmod(F.xxhash64("conv", "message"), F.lit(21))
+
+    def one(k: int, kind: str, what: Column) -> Column:
+        return F.struct(F.lit(k).alias("k"), F.lit(kind).alias("kind"), what.alias("text"))
+
+    draft = F.concat(F.lit("draft: "), F.reverse(F.substring("text", 1, 40)))
+    nothing = F.array().cast(event)
+    deltas = F.when(pieces > 0, F.transform(F.sequence(F.lit(1), F.greatest(pieces, F.lit(1))), lambda i: F.struct(
+        (i + 8).alias("k"), F.lit("delta").alias("kind"),
+        F.substring(F.col("text"), (i - 1) * delta_chars + 1, F.lit(delta_chars)).alias("text")))).otherwise(nothing)
+    opening = F.array(one(0, "message", F.lit("")))
+    retried = F.array(one(0, "message", F.lit("")), one(1, "delta", draft), one(2, "delta", F.lit(" ...")),
+                      one(3, "regenerate", F.lit(None).cast("string")))
+    streamed = F.concat(F.when(number % 3 == 0, retried).otherwise(opening), deltas)
+    whole = F.when(number % 3 == 0, F.array(one(0, "message", draft), one(1, "edit", F.col("text")))) \
+        .otherwise(F.array(one(0, "message", F.col("text"))))
+    events = F.when(F.col("role") == "assistant", streamed).otherwise(whole)
+    # a message of its own, behind all others of its conversation
+    gone = F.when(number % 7 == 0, F.array(one(0, "message", draft), one(1, "delta", F.lit(" ...")), one(2, "delete", F.lit("")))) \
+        .otherwise(nothing)
+    told = rows.select("conv", "message", "role", F.explode(events).alias("e")) \
+        .unionByName(rows.select("conv", (F.col("message") + (1 << 30)).alias("message"), "role", F.explode(gone).alias("e")))
+    return told.select("conv", (F.shiftleft("message", 32) + F.col("e.k")).alias("seq"), "message", "e.kind", "role", "e.text")
 
 
 def fold(events: DataFrame) -> DataFrame:

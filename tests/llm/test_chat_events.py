@@ -53,3 +53,16 @@ def test_query_has_its_own_conversation(spark):
     row = catalog.queries()["op8_chat_formatting"](spark, "/root/testdata/sf0.001").where("conv_id = -1").first()
     text = "</s>[INST] ok [/INST]"
     assert (row.n_turns, row.loss_chars, row.loss_sha256) == (2, 21, hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_the_log_holds_edits_regenerations_and_deletions(spark, prose):
+    rows = [(c, t, ["user", "assistant", "system"][t % 3], prose(9 * c + t, 40)) for c in range(12) for t in range(6)]
+    log = C.events_of_turns(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+    kinds = {r.kind: r["count"] for r in log.groupBy("kind").count().collect()}
+    assert min(kinds[k] for k in ("edit", "regenerate", "delete")) >= 3
+    # without them the result differs: a draft or a deleted message would stay
+    final = {(r.conv, r.text) for r in C.fold(log).collect()}
+    assert final == {(c, t) for c, _, _, t in rows}
+    naive = C.fold(log.where("kind in ('message', 'delta')"))
+    assert {(r.conv, r.text) for r in naive.collect()} != final
+    assert "draft: " in "".join(r.text for r in naive.collect())
