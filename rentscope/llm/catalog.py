@@ -55,8 +55,7 @@ def op4_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
-    model = secret_forest.train(secret_forest.labelled_findings(spark))
-    return secret_forest.findings(docs, model)
+    return secret_forest.findings(docs, secret_forest.usual_model(spark))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

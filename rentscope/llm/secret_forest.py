@@ -1,15 +1,18 @@
 """Secret scan: pattern candidates, judged by a random forest.
 
-A text is split before every long run of key characters that holds a digit;
-each candidate is described by its length, character classes and transitions,
+Candidates come first, whatever their length and alphabet: values assigned to a
+secret word, passwords in URLs, private-key blocks, dotted web tokens, and long
+runs of key characters with a digit.  A text is cut before each of them;
+each is described by its length, character classes and transitions,
 dictionary coverage, path and neighbouring words.  A random forest, trained
 with Spark ML on labelled findings, removes the false positives.  The fitted
 trees are turned into one SQL expression, so scoring and redaction are a single
 map in built-in functions: nothing is exploded, joined or shuffled to redact.
 
 Defined cases: null text has no candidates and stays null; an empty text stays
-empty; a null path counts as empty; repeated rows are judged alike; extra
-columns are carried through; an empty table gives an empty result.
+empty; a null path counts as empty; a private-key block without an end is
+judged run by run; repeated rows are judged alike; extra columns are carried
+through; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,18 +24,17 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import let
 
 KEY_CHARS = "A-Za-z0-9+/_\\-"
 MIN_LENGTH = 16
 CONTEXT = 48        # characters of neighbourhood on each side
-TRAIN_ROWS = 6000   # bound of the generated labelled findings
+TRAIN_ROWS = 8000   # bound of the generated labelled findings
 TREES, DEPTH, SEED = 20, 6, 42
 THRESHOLD = 0.5
 MASK = "[SECRET]"
 
-BEFORE_CANDIDATE = (f"(?<![{KEY_CHARS}])(?=[{KEY_CHARS}]{{{MIN_LENGTH},}})(?=[A-Za-z+/_\\-]*[0-9])")
-CANDIDATE = f"^[{KEY_CHARS}]{{{MIN_LENGTH},}}=*"
 # Words of identifiers and prose, for dictionary coverage.
 DICTIONARY = ("account action admin again array author backup banner before block board build button cache "
               "center change channel check child class client color column common config content control count "
@@ -51,14 +53,33 @@ DICTIONARY = ("account action admin again array author backup banner before bloc
 SECRET_WORDS = "token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credential"
 OTHER_WORDS = ("sha-?1|sha-?256|md5|commit|checksum|digest|hash|uuid|guid|integrity|etag|revision|build|order|card|"
                "phone|isbn|invoice|serial|tracking|id|ref|version|blob|tree")
+# Places where a value is assigned to a secret word, or stands as a password in a URL.
+ASSIGNED = f"(?i:{SECRET_WORDS})[\"']?(?:\\s{{0,3}}(?:=>|[:=])\\s{{0,3}}[\"']?|(?<=(?i:bearer))\\s)"
+IN_URL = "://[^\\s:/@\"']{1,64}:"
+VALUE = "[^\\s\"'`,;<>\\[\\](){}]"      # a character of an assigned value
+MIN_VALUE = 6
+KEY_BLOCK = "-----(?:BEGIN|END) [A-Z ]{0,40}PRIVATE KEY-----"
+BEFORE_CANDIDATE = "|".join([
+    f"(?<={ASSIGNED})(?={VALUE}{{{MIN_VALUE},}})",
+    f"(?<={IN_URL})(?=[^\\s@/\"']{{3,128}}@)",
+    # a run; not inside an assigned value, nor behind a dot of a web token
+    f"(?<![{KEY_CHARS}])(?=[{KEY_CHARS}]{{{MIN_LENGTH},}})(?=[A-Za-z+/_\\-]*[0-9])"
+    f"(?<!{ASSIGNED}{VALUE}{{1,128}})(?<!eyJ[{KEY_CHARS}]{{0,256}}\\.)(?<!{IN_URL}[^\\s@/\"']{{1,64}})"])
+AROUND_BLOCK = "(?=-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----)|(?<=-----END [A-Z ]{0,40}PRIVATE KEY-----)"
+IS_BLOCK = "^-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[\\s\\S]*-----END [A-Z ]{0,40}PRIVATE KEY-----$"
+RUN = f"^(?:eyJ[{KEY_CHARS}]+(?:\\.[{KEY_CHARS}]+)+|(?=[A-Za-z+/_\\-]*[0-9])[{KEY_CHARS}]{{{MIN_LENGTH},}}=*)"
 # Prefixes that issuers put before their keys.
 ISSUED = "^(?:AKIA|ASIA|gh[pousr]_|xox[abpr]-|sk_live_|sk-|rk_live_|AIza|eyJ|glpat-|hf_|npm_|SG)"
 PLACEHOLDER = "(?i)example|xxxx|your|change_?me|placeholder|dummy|sample|12345678|abcdef01|00000000"
 TEST_PATH = "(?i)(?:^|[/_.\\-])(?:tests?|examples?|fixtures?|samples?|mocks?|docs?|spec)(?:[/_.\\-]|$)"
 
+# Values that refer to a secret kept elsewhere, or stand for none.
+REFERENCE = ("^[$%*@&.]|^(?i:none|null|true|false|undefined|required|optional|string|str|os\\.|self\\.|this\\.|env\\.|process\\.|settings\\."
+             "|config\\.|args\\.|getenv|getpass|input|request\\.|https?:)|^[a-z_]+(?:\\.[a-z_]+)+$")
+
 FEATURES = ["length", "digits", "upper", "lower", "switches", "case_switches", "distinct", "dictionary", "hex_only",
             "all_digits", "uuid", "separators", "secret_word", "other_word", "assigned", "quoted", "issued",
-            "placeholder", "test_path"]
+            "placeholder", "test_path", "symbols", "letters", "in_url", "block", "reference"]
 
 
 def _n(text: Column, pattern: str) -> Column:
@@ -93,6 +114,11 @@ def features(value: Column, left: Column, right: Column, path: Column) -> Column
         "issued": _is(value, ISSUED),
         "placeholder": _is(value, PLACEHOLDER),
         "test_path": _is(path, TEST_PATH),
+        "symbols": _n(value, f"[^{KEY_CHARS}=.]"),
+        "letters": _is(value, "^[a-z]+[.!?:]?$|^[A-Z]?[a-z\\u00c0-\\u024f]+[.!?:]?$"),
+        "in_url": _is(left, IN_URL + "$") * _is(right, "^@"),
+        "block": _is(value, "^-----BEGIN "),
+        "reference": _is(value, REFERENCE),
     }
     return F.struct(*[cols[k].alias(k) for k in FEATURES])
 
@@ -120,6 +146,11 @@ def labelled_findings(spark: SparkSession, rows: int = TRAIN_ROWS) -> DataFrame:
     other_left = one("commit ", "sha256: ", 'md5 = "', "checksum: ", "uuid=", 'id: "', "order no. ", "build ", "etag: ",
                      "sha1:", "tracking ", "invoice ")
     n40, n32 = F.substring(hexed, 1, 40), F.substring(hexed, 41, 32)
+    plain64 = F.translate(b64, "+/", "")
+    digits = F.substring(F.translate(h, "abcdef", ""), 2, 2)
+    assigned_left = one('password = "', "password: ", "PASSWORD=", 'token = "', "secret=", "api_key: ", 'secret = "', "pwd=", "passwd: '")
+    url_left = one("postgres://app:", "https://user:", "mysql://root:", "amqp://svc:", "redis://cache:")
+    block = one("-----BEGIN PRIVATE KEY-----", "-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN EC PRIVATE KEY-----")
     kinds = [  # value, left, label
         (n40, secret_left, 1), (F.substring(b64, 1, 40), secret_left, 1), (n32, secret_left, 1),
         (F.concat(F.lit("AKIA"), F.upper(F.substring(b64, 5, 16))), one("", "key ", 'id = "', "use "), 1),
@@ -139,6 +170,24 @@ def labelled_findings(spark: SparkSession, rows: int = TRAIN_ROWS) -> DataFrame:
                       "00000000000000000"), u.cast("string"), F.lit("000000")), secret_left, 0),
         (F.concat(word[0], word[1], word[2], word[3], u.cast("string")), plain_left, 0),
         (F.translate(F.substring(h, 9, 19), "abcdef", "709215"), one("card ", "phone: ", "isbn ", "", "order "), 0),
+        # short and mixed values, assigned
+        (F.substring(plain64, 1, 10), assigned_left, 1), (F.substring(h, 3, 12), assigned_left, 1),
+        (F.translate(F.substring(plain64, 1, 30), "0123456789", ""), assigned_left, 1),
+        (F.concat(word[0], digits, one("!", "$", "#", "%", "&"), F.substring(plain64, 4, 2)), assigned_left, 1),
+        (F.concat(F.substring(plain64, 1, 9), one("&", "!", "@", "^", "*"), digits, one("!", "?", "-", "."), word[1]), assigned_left, 1),
+        (F.concat(one("sk-proj-", "pk.", "key-", "v1."), F.substring(plain64, 3, 11), F.lit("."), F.substring(plain64, 20, 10)), assigned_left, 1),
+        (F.concat(F.lit("eyJ"), F.substring(plain64, 1, 17), F.lit(".eyJ"), F.substring(plain64, 9, 30), F.lit("."), F.substring(plain64, 5, 40)),
+         one("", "jwt ", "Authorization: Bearer ", 'token = "'), 1),
+        (F.concat(F.substring(plain64, 2, 4), one("cr3t", "P", "$", "", "!"), F.substring(plain64, 30, 3)), url_left, 1),
+        (F.concat(word[2], digits), url_left, 1),
+        (F.concat(block, F.lit("\\n"), b64, F.lit("\\n"), F.reverse(b64), F.lit("\\n"), F.replace(block, F.lit("BEGIN"), F.lit("END"))), plain_left, 1),
+        # ... and what stands there without being one
+        (word[0], assigned_left, 0), (F.concat(F.initcap(word[3]), one("", ".", "!", ":")), assigned_left, 0),
+        (F.concat(F.translate(F.substring(h, 1, 9), "0123456789", "aeioulnrst"), one("", ".", "?")), assigned_left, 0),
+        (F.concat_ws("_", word[0], word[1]), assigned_left, 0), (F.concat_ws(".", one("os", "self", "config", "settings", "args"), word[1]), assigned_left, 0),
+        (F.concat(one("$", "${", "%", "****", "xxxx"), F.upper(word[1])), assigned_left, 0),
+        (one("required", "optional", "None", "undefined", "string", "********", "changeme", "your_password", "example"), assigned_left, 0),
+        (F.concat_ws("-", word[0], word[1], word[2]), assigned_left, 0),
     ]
     kind = F.pmod(i, F.lit(len(kinds)))
 
@@ -154,7 +203,7 @@ def labelled_findings(spark: SparkSession, rows: int = TRAIN_ROWS) -> DataFrame:
         .alias("path"))
     # a value opened by a quotation mark is closed by it; about one in ten of the others ends a quotation
     closing = F.when(F.rlike("left", F.lit("\"$")), F.lit('"')).when(F.rlike("left", F.lit("'$")), F.lit("'")) \
-        .otherwise(F.lit(""))
+        .when(F.rlike("left", F.lit(IN_URL + "$")), F.lit("@db.host/")).otherwise(F.lit(""))
     return out.select("value", "left", F.concat(closing, F.lit(" "), prose).alias("right"), "path",
                       F.col("label").cast("double").alias("label"))
 
@@ -163,8 +212,20 @@ def train(findings: DataFrame) -> RandomForestClassificationModel:
     """Forest over labelled findings (value, left, right, path, label)."""
     described = findings.select("label", features(F.col("value"), F.col("left"), F.col("right"), F.col("path"))
                                 .alias("f")).select("label", "f.*")
-    table = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(described)
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, maxBins=64).fit(table)
+    # the fit reads its rows several times; one partition, as bagging follows the partitions
+    table = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(materialize(described, "findings").coalesce(1))
+    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, maxBins=64).fit(table.select("features", "label"))
+
+
+_FITTED: dict[str, RandomForestClassificationModel] = {}
+
+
+def usual_model(spark: SparkSession) -> RandomForestClassificationModel:
+    """The forest of the generated findings, fitted once in an application."""
+    app = spark.sparkContext.applicationId
+    if app not in _FITTED:
+        _FITTED[app] = train(labelled_findings(spark))
+    return _FITTED[app]
 
 
 def forest_score(model: RandomForestClassificationModel, f: Column) -> Column:
@@ -187,8 +248,12 @@ def scored_parts(text: Column, path: Column, model: RandomForestClassificationMo
     without a candidate has a null value.  Joining value and rest gives the text."""
     def judged(parts: Column) -> Column:
         def one(x: Column, i: Column) -> Column:
-            value = F.regexp_extract(x, CANDIDATE, 0)
             left = F.coalesce(F.substring(F.get(parts, i - 1), -CONTEXT, CONTEXT), F.lit(""))
+            run = F.regexp_extract(x, RUN, 0)
+            assigned = F.regexp_extract(x, f"^{VALUE}{{{MIN_VALUE},}}", 0)
+            value = F.when(F.rlike(x, F.lit(IS_BLOCK)), x) \
+                .when(F.rlike(left, F.lit(IN_URL + "$")) & F.rlike(x, F.lit("^[^\\s@/\"']{3,128}@")), F.regexp_extract(x, "^[^\\s@/\"']{3,128}", 0)) \
+                .when(F.rlike(left, F.lit(f"(?:{ASSIGNED})$")) & (assigned != ""), assigned).otherwise(run)
 
             def with_value(v: Column) -> Column:
                 rest = F.substring(x, F.length(v) + 1, F.length(x))
@@ -197,7 +262,12 @@ def scored_parts(text: Column, path: Column, model: RandomForestClassificationMo
                 return F.struct(F.when(v != "", v).alias("value"), rest.alias("rest"), score.alias("score"))
             return let(value, with_value)
         return F.transform(parts, one)
-    return let(F.split(text, BEFORE_CANDIDATE), judged)
+    # key blocks stay whole; all other text is cut before its candidates
+    def cut(pieces: Column) -> Column:
+        return F.flatten(F.transform(pieces, lambda p: F.when(F.rlike(p, F.lit(IS_BLOCK)), F.array(p)).otherwise(F.split(p, BEFORE_CANDIDATE))))
+
+    parts = F.when(F.contains(text, F.lit("PRIVATE KEY-----")), let(F.split(text, AROUND_BLOCK), cut)).otherwise(F.split(text, BEFORE_CANDIDATE))
+    return let(parts, judged)
 
 
 def findings(docs: DataFrame, model: RandomForestClassificationModel, id_col: str = "doc_id", text: str = "text",
