@@ -68,3 +68,11 @@ def test_run_equals_brute_force(spark):
     for r in P.run(spark, SF).collect():
         got[r.doc_id] = got.get(r.doc_id, 0) + r.length
     assert got == {i: len(ids_of(t)) + 1 for i, t in texts.items()}
+
+
+def test_near_dedup_with_shared_and_missing_ids(spark, make_docs, prose):
+    a, b, c = (prose(k, 200) for k in (31, 32, 33))
+    rows = [(5, a), (5, b), (None, c), (None, c + " "), (9, b), (7, a), (None, prose(34, 200))]
+    got = sorted((r.doc_id or -1, r.text) for r in P.simhash_near_dedup(spark, make_docs(rows), SF).collect())
+    want = {(5, a), (5, b), (-1, prose(34, 200))}
+    assert len(got) == 4 and want < set(got) and [t for i, t in got if i == -1 and t.strip() == c]
