@@ -13,9 +13,13 @@ each page.  A prior stands beside the entropies, since menus and adverts may
 differ on every page: elements whose tag, class or role names them as page
 furniture have no importance, and an article or main element has full
 importance whatever its name (only its inner boxes can still lose theirs).
-Where a page has an article or main element, its text comes from there.  A
-named element that holds most of its pages' text, with high importance, is no
-furniture: the tree lifts its name's verdict.
+Where a page has an article or main element, its text comes from there; an
+article inside an article is a reader's, and short articles beside a long one
+are teasers.  A named element that holds most of its pages' text, with high
+importance, is no furniture: the tree lifts its name's verdict.  So does the page
+itself for a form or a named element round all its articles, or round most of
+their text, or of all its text where it has none (unless the name is one of
+readers' comments).
 
 Everything a host contributes is counted by (host, path, content) before it
 meets, so a host with a third of all pages is no hot group; what comes back to
@@ -32,6 +36,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -45,7 +50,9 @@ MIN_IMPORTANCE = 0.2   # branches below are removed
 INNER_IMPORTANCE = 0.05  # ... inside an article
 LIFT_IMPORTANCE = 0.5  # a named branch is content from this importance on
 LIFT_SHARE = 0.5         # ... and this share of its pages' text
+LIFT_CHARS = 200       # characters that a form or a named branch must hold for its own page to lift it
 ARTICLE_REST = 0.5     # share of an article's text that removed boxes must leave
+TEASER_SHARE = 0.2     # an article of less than this share of the page's longest is a teaser
 MIN_PAGES = 4          # pages of a host that must show a path
 
 # Element kinds of HTML.
@@ -55,7 +62,7 @@ BLOCKS = frozenset("address article aside blockquote body br caption center dd d
                    "figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li "
                    "main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead "
                    "tr ul".split())
-NOISE_TAGS = frozenset("nav aside footer form button select menu dialog head input label fieldset legend".split()) | RAW
+NOISE_TAGS = frozenset("nav aside footer button select menu dialog head input label fieldset legend".split()) | RAW
 # an open element of the first kind ends when an element of the second kind starts
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"},
         "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"},
@@ -71,7 +78,11 @@ NOISE_WORDS = frozenset(
     "sidebar sidebars side aside rail widget widgets cookie cookies consent gdpr notice notices notification "
     "notifications alert popup modal overlay newsletter subscribe subscription signup login share sharing social "
     "related recommended recommendations comment comments commentlist discussion disqus respond reply replies "
-    "pagination pager copyright complementary contentinfo search tagcloud hidden".split())
+    "pagination pager copyright complementary contentinfo search tagcloud hidden thread threads reaction reactions "
+    "response responses feedback".split())
+# ... of which these are the readers'
+READER_WORDS = frozenset("comment comments commentlist discussion disqus respond reply replies thread threads reaction reactions "
+                         "response responses feedback".split())
 # ... also inside longer names
 NOISE_STEMS = re.compile("cookie|advert|adsby|sidebar|navbar|newsletter|breadcrumb|sponsor|popup|disqus|comments|footer")
 # a header inside an article is the article's own
@@ -105,20 +116,22 @@ def _names_furniture(name: str, inside: bool) -> bool:
 
 
 class _Frame:
-    """``barred``: furniture by its tag; ``named``: path of the outermost furniture by name, else None."""
-    __slots__ = ("tag", "path", "barred", "named", "inside", "children", "above", "gone")
-
-    def __init__(self, tag, path, barred, named, inside, above, gone):
-        self.tag, self.path, self.barred, self.named = tag, path, barred, named
-        self.inside, self.above, self.gone = inside, above, gone
+    """``barred``: furniture by its tag; ``named``: path of the outermost furniture by name (or a form), else
+    None; ``readers``: whether that is a name of comments; ``article``: number of the outermost article or main
+    element, ``nested``: in an article within it."""
+    __slots__ = ("tag", "path", "barred", "named", "readers", "inside", "children", "above", "gone", "article", "nested", "within")
+
+    def __init__(self, tag, path, barred, named, readers, inside, above, gone, article, nested, within):
+        self.tag, self.path, self.barred, self.named, self.readers = tag, path, barred, named, readers
+        self.inside, self.above, self.gone, self.article, self.nested, self.within = inside, above, gone, article, nested, within
         self.children: list[str] = []
 
     @property
     def noise(self) -> bool:
-        return self.barred or self.named is not None
+        return self.barred or self.named is not None or self.nested
 
 
-def _element(tag: str, attrs: str, parent: _Frame, removed, lifted) -> tuple[_Frame, str, str]:
+def _element(tag: str, attrs: str, parent: _Frame, removed, lifted, counter) -> tuple[_Frame, str, str]:
     """Frame of a new element, its key among its siblings, its link."""
     from xxhash import xxh64_intdigest
     named, names, link = "", set(), ""
@@ -137,21 +150,27 @@ def _element(tag: str, attrs: str, parent: _Frame, removed, lifted) -> tuple[_Fr
     barred = parent.barred or tag in NOISE_TAGS or (tag == "header" and not parent.inside)
     content = tag in CONTENT_WORDS or "role=main" in named
     root = parent.named
+    readers = parent.readers
     if root is None and not content and tag not in ("html", "body") and path not in lifted \
-            and any(_names_furniture(w, parent.inside) for w in names):
+            and (tag == "form" or any(_names_furniture(w, parent.inside) for w in names)):
         root = path
+        readers = any(p in READER_WORDS for w in names for p in _SPLIT.split(w))
     inside = parent.inside or (content and not barred and root is None)
+    # the outermost article; a second one within an article is a reader's
+    article = parent.article if parent.article is not None or not content else counter()
+    nested = parent.nested or (tag == "article" and parent.within)
     gone = parent.gone or path in removed
     # a named branch counts for itself, not for what stands around it
     above = () if root == path and parent.named is None else (*parent.above, parent.path)
-    return _Frame(tag, path, barred, root, inside, above, gone), key, link
+    return _Frame(tag, path, barred, root, readers, inside, above, gone, article, nested, parent.within or tag == "article"), key, link
 
 
 def walk(html: str, removed=frozenset(), lifted=frozenset()) \
         -> tuple[list[tuple[str, _Frame | None]], list[_Frame], list[tuple[_Frame, str]]]:
     """The page as (text, element) runs with (" ", None) at block ends, its
     elements, and its links.  Raw and head elements hold no text."""
-    root = _Frame("", 0, False, None, False, (), False)
+    root = _Frame("", 0, False, None, False, False, (), False, None, False, False)
+    counter = count().__next__
     stack, runs, frames, links = [root], [], [root], []
     at, n = 0, len(html)
     while at < n:
@@ -180,7 +199,7 @@ def walk(html: str, removed=frozenset(), lifted=frozenset()) \
         for open_tag, enders in ENDS.items():
             if tag in enders:
                 _end(stack, {open_tag})
-        frame, key, link = _element(tag, m[3] or m[6] or "", stack[-1], removed, lifted)
+        frame, key, link = _element(tag, m[3] or m[6] or "", stack[-1], removed, lifted, counter)
         siblings = stack[-1].children
         if not siblings or siblings[-1] != key:
             siblings.append(key)
@@ -209,14 +228,46 @@ def _joined(runs: list[tuple[str, _Frame | None]], wanted) -> str:
     return " ".join("".join(parts).split())
 
 
+def _own_lifts(runs: list[tuple[str, _Frame | None]], frames: list[_Frame]) -> frozenset:
+    """Paths of forms and named elements that hold all articles of the page, or most of the text
+    of its articles, or of all its text where it has none."""
+    roots = {f.named for f in frames if f.named is not None and not f.readers and not f.barred}
+    if not roots:
+        return frozenset()
+    articles = [f for f in frames if f.tag in CONTENT_WORDS and not f.barred]
+    held = {f.named for f in articles}
+    if len(held) == 1 and held & roots:
+        return frozenset(held)
+    chars: dict[int | None, int] = {}
+    for t, f in runs:
+        if f is not None and not f.barred and not t.isspace() and (not articles or f.article is not None):
+            chars[f.named] = chars.get(f.named, 0) + len(t)
+    whole = sum(chars.values())
+    return frozenset(r for r in roots if chars.get(r, 0) >= max(LIFT_SHARE * whole, LIFT_CHARS))
+
+
+def _teasers(runs: list[tuple[str, _Frame | None]]) -> set[int]:
+    """Numbers of the articles that are short beside the page's longest one."""
+    chars: dict[int, int] = {}
+    for t, f in runs:
+        if f is not None and f.article is not None and not f.noise:
+            chars[f.article] = chars.get(f.article, 0) + len(t.strip())
+    longest = max(chars.values(), default=0)
+    return {k for k, n in chars.items() if n < TEASER_SHARE * longest}
+
+
 def extract(html: str | None, removed=frozenset(), lifted=frozenset()) -> str:
     """Main text of a page, given the removed paths of its host and the named ones that are content."""
     if not html:
         return ""
     runs, frames, _ = walk(html, removed, lifted)
+    own_lifts = _own_lifts(runs, frames)
+    if own_lifts:
+        runs, frames, _ = walk(html, removed, lifted | own_lifts)
     if any(f.inside for f in frames):
-        own = _joined(runs, lambda f: f.inside and not f.noise)
-        left = _joined(runs, lambda f: f.inside and not f.noise and not f.gone)
+        short = _teasers(runs)
+        own = _joined(runs, lambda f: f.inside and not f.noise and f.article not in short)
+        left = _joined(runs, lambda f: f.inside and not f.noise and f.article not in short and not f.gone)
         # copies of an article repeat its text as furniture would: what leaves little of it is not applied
         return left if len(left) >= ARTICLE_REST * len(own) else own
     text = _joined(runs, lambda f: not f.noise and not f.gone)

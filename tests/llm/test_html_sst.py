@@ -101,3 +101,25 @@ def test_copies_of_a_boxed_article_keep_their_text(spark):
               '<div class="x">Follow us</div></article>') for k in range(9)]
     got = {r.page_id: r.text for r in T.extract_pages(spark.createDataFrame(boxed, "page_id bigint, url string, html string")).collect()}
     assert got[4] == "own words of page 4 and others 12"
+
+
+STORY = "A long story of the town that has more than one sentence. It goes on for a while, as stories do. " * 3
+
+
+def test_wrappers_forms_and_nested_articles():
+    text = " ".join(STORY.split())
+    for page in (f'<body><form id="aspnetForm"><div id="content"><p>{STORY}</p></div></form></body>',
+                 f"<article><form><p>{STORY}</p></form></article>",
+                 f'<form action="/"><nav>menu</nav><main><p>{STORY}</p></main><input><button>Go</button></form>',
+                 f'<div class="content-sidebar-wrap"><p>{STORY}</p></div>',
+                 f'<div class="widget"><article><p>{STORY}</p></article></div><form>Search here</form>',
+                 f'<article><p>{STORY}</p><ol class="thread"><li><article><p>nice</p></article></li></ol></article>',
+                 f'<article><p>{STORY}</p><div><article><p>a reader</p></article></div></article>',
+                 f'<article><p>{STORY}</p></article><div class="reactions"><p>{STORY} {STORY}</p></div>',
+                 f'<div><p>{STORY}</p></div><div class="comments"><p>{STORY} {STORY}</p></div>',
+                 f"<main><article><p>{STORY}</p></article></main><article><h2>Next</h2><p>a teaser</p></article>",
+                 f"<article><p>{STORY}</p><form><label>Name</label><input> write to us</form></article>"):
+        assert T.extract(page) == text, page
+    two = f"<article><p>{STORY}</p></article><article><p>{STORY}</p></article>"
+    assert T.extract(two) == f"{text} {text}"
+    assert T.extract('<p>x</p><form>Search</form><div class="comments"><article>r</article></div>') == "x"
