@@ -9,8 +9,10 @@ over the host's pages:
   every page has the highest entropy, so it carries no importance).
 
 A branch's importance mixes both; branches of low importance are removed from
-each page.  A prior stands beside the entropies, since menus and adverts may
-differ on every page: elements whose tag, class or role names them as page
+each page.  Menus, adverts and footers may differ on every page, so the tree
+also weighs its branches: where one box holds most of the text that its parent
+holds over the host's pages, the boxes beside it that hold little of it are
+removed, whatever their names.  A prior stands beside the tree: elements whose tag, class or role names them as page
 furniture have no importance, and an article or main element has full
 importance whatever its name (only its inner boxes can still lose theirs).
 Where a page has an article or main element, its text comes from there; an
@@ -53,6 +55,8 @@ LIFT_SHARE = 0.5         # ... and this share of its pages' text
 LIFT_CHARS = 200       # characters that a form or a named branch must hold for its own page to lift it
 ARTICLE_REST = 0.5     # share of an article's text that removed boxes must leave
 TEASER_SHARE = 0.2     # an article of less than this share of the page's longest is a teaser
+MAJOR_SHARE = 0.5      # share of its parent's text that makes a box the major one,
+MINOR_SHARE = 0.1      # ... and share under which a box beside it is removed
 MIN_PAGES = 4          # pages of a host that must show a path
 
 # Element kinds of HTML.
@@ -63,6 +67,7 @@ BLOCKS = frozenset("address article aside blockquote body br caption center dd d
                    "main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead "
                    "tr ul".split())
 NOISE_TAGS = frozenset("nav aside footer button select menu dialog head input label fieldset legend".split()) | RAW
+BOXES = frozenset("div section nav aside header footer form ul ol dl table center figure details dialog menu article main".split())
 # an open element of the first kind ends when an element of the second kind starts
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"},
         "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"},
@@ -119,12 +124,13 @@ class _Frame:
     """``barred``: furniture by its tag; ``named``: path of the outermost furniture by name (or a form), else
     None; ``readers``: whether that is a name of comments; ``article``: number of the outermost article or main
     element, ``nested``: in an article within it."""
-    __slots__ = ("tag", "path", "barred", "named", "readers", "inside", "children", "above", "gone", "article", "nested", "within")
+    __slots__ = ("tag", "path", "barred", "named", "readers", "inside", "children", "above", "gone", "article", "nested", "within", "parent")
 
     def __init__(self, tag, path, barred, named, readers, inside, above, gone, article, nested, within):
         self.tag, self.path, self.barred, self.named, self.readers = tag, path, barred, named, readers
         self.inside, self.above, self.gone, self.article, self.nested, self.within = inside, above, gone, article, nested, within
         self.children: list[str] = []
+        self.parent: _Frame | None = None
 
     @property
     def noise(self) -> bool:
@@ -200,6 +206,7 @@ def walk(html: str, removed=frozenset(), lifted=frozenset()) \
             if tag in enders:
                 _end(stack, {open_tag})
         frame, key, link = _element(tag, m[3] or m[6] or "", stack[-1], removed, lifted, counter)
+        frame.parent = stack[-1]
         siblings = stack[-1].children
         if not siblings or siblings[-1] != key:
             siblings.append(key)
@@ -285,8 +292,10 @@ def host_of(url: Column) -> Column:
 def page_facts(pages: DataFrame) -> DataFrame:
     """What each page adds to its host's tree: (host, path, kind, fact, above, inner, guard, share).
 
-    kind 0: a child sequence of the path; kind 1: a text or link of it.  Each
-    fact counts once per page.  ``guard`` marks article paths and those around
+    kind 0: a child sequence of the path; kind 1: a text or link of it; kind 2:
+    the path's parent (the fact) and the characters it holds (the share), of every
+    box and of what stands around boxes, furniture by tag or name not left out;
+    ``guard`` is true of paths inside an article there.  Each fact counts once per page.  ``guard`` marks article paths and those around
     them, ``inner`` boxes inside an article that may still be judged, ``share``
     is the part of the page's text that a branch named as furniture holds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,6 +335,21 @@ def page_facts(pages: DataFrame) -> DataFrame:
                 for p, d in texts:
                     host.append(h), path.append(p), kind.append(1), fact.append(d), above.append(())
                     inner.append(False), guard.append(False), share.append(0.0)
+                weight: dict[int, int] = {}
+                for t, f in runs:
+                    if f is not None and not t.isspace():
+                        weight[id(f)] = weight.get(id(f), 0) + len(" ".join(t.split()))
+                held_by: dict[tuple[int, int], list] = {}
+                for f in reversed(frames):
+                    n = weight.get(id(f), 0)
+                    if f.parent is not None:
+                        weight[id(f.parent)] = weight.get(id(f.parent), 0) + n
+                        if f.tag in BOXES or f.tag in ("html", "body"):
+                            seen = held_by.setdefault((f.path, f.parent.path), [0, f.tag in BOXES, f.parent.inside])
+                            seen[0] += n
+                for (p, up), (n, box, within) in held_by.items():
+                    host.append(h), path.append(p), kind.append(2), fact.append(up), above.append(())
+                    inner.append(box), guard.append(within), share.append(float(n))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(host, pa.string()), pa.array(path, pa.int64()), pa.array(kind, pa.int8()),
                  pa.array(fact, pa.int64()), pa.array(above, pa.list_(pa.int64())), pa.array(inner, pa.bool_()),
@@ -337,19 +361,37 @@ def page_facts(pages: DataFrame) -> DataFrame:
                      "guard boolean, share double")
 
 
-def importance(facts: DataFrame) -> DataFrame:
+def counted_facts(facts: DataFrame) -> DataFrame:
+    """Facts counted by (host, path, kind, fact), written once: the tree is read several times."""
+    return materialize(facts.groupBy("host", "path", "kind", "fact").agg(
+        F.count("*").alias("c"), F.first("above").alias("above"), F.max("inner").alias("inner"),
+        F.max("guard").alias("guard"), F.sum("share").alias("share")), "style-facts")
+
+
+def minor_branches(counted: DataFrame) -> DataFrame:
+    """(host, path): boxes of little text beside a major one, outside of articles,
+    on hosts of ``MIN_PAGES`` pages or more.
+
+    A box's part is its text over that of its parent's boxes and other content, summed over the host's pages."""
+    boxes = counted.where("kind = 2").select("host", "path", F.col("fact").alias("up"), F.col("share").alias("chars"), "inner", "guard",
+                                             F.col("c").alias("pages"))
+    around = boxes.groupBy("host", "path").agg(F.sum("chars").alias("whole")).withColumnRenamed("path", "up")
+    part = boxes.join(around, ["host", "up"]).where("whole > 0 and pages >= " + str(MIN_PAGES)) \
+        .withColumn("part", F.col("chars") / F.col("whole"))
+    major = part.where(F.col("inner") & ~F.col("guard") & (F.col("part") >= MAJOR_SHARE)).select("host", "up").distinct()
+    return part.where(F.col("inner") & ~F.col("guard") & (F.col("part") < MINOR_SHARE)).join(major, ["host", "up"], "left_semi") \
+        .select("host", "path").distinct()
+
+
+def importance(counted: DataFrame) -> DataFrame:
     """(host, path, pages, importance, inner, guard, share) of the hosts' tree paths.
 
     Presentation importance is the entropy of the child sequences over the m
     pages, to base m.  A text found on c of m pages has entropy log_m(c); the
     content importance of a branch is one minus the mean over all texts at or
     below it."""
-    # counted once by (host, path, kind, fact); the path's figures are sums over facts
-    counted = facts.groupBy("host", "path", "kind", "fact").agg(
-        F.count("*").alias("c"), F.first("above").alias("above"), F.max("inner").alias("inner"),
-        F.max("guard").alias("guard"), F.sum("share").alias("share"))
     shape, text = F.col("kind") == 0, F.col("kind") == 1
-    paths = counted.groupBy("host", "path").agg(
+    paths = counted.where("kind < 2").groupBy("host", "path").agg(
         F.sum(F.when(shape, F.col("c"))).alias("m"),
         F.sum(F.when(shape, F.col("c") * F.log("c"))).alias("clogc"),
         F.count(F.when(text, 1)).alias("texts"),
@@ -374,16 +416,18 @@ def importance(facts: DataFrame) -> DataFrame:
                + (1 - CONTENT_WEIGHT) * F.col("shape_importance")).otherwise(F.lit(1.0)).alias("importance"))
 
 
-def removed_paths(tree: DataFrame) -> DataFrame:
-    """(host, removed, lifted): the paths of low importance and the named ones that are content,
-    of each host that has any."""
+def removed_paths(tree: DataFrame, minor: DataFrame) -> DataFrame:
+    """(host, removed, lifted): the paths of low importance and the minor ones, and the named ones that are
+    content, of each host that has any."""
     low = F.when(F.col("inner"), F.col("importance") < INNER_IMPORTANCE) \
         .otherwise((F.col("importance") < MIN_IMPORTANCE) & ~F.col("guard"))
     low = (F.col("pages") >= MIN_PAGES) & low
     lift = (F.col("share") >= LIFT_SHARE) & (F.col("importance") >= LIFT_IMPORTANCE)
-    return tree.where(low | lift).groupBy("host").agg(
-        F.sort_array(F.collect_set(F.when(low, F.col("path")))).alias("removed"),
-        F.sort_array(F.collect_set(F.when(lift, F.col("path")))).alias("lifted"))
+    judged = tree.select("host", F.when(low, F.col("path")).alias("low"), F.when(lift, F.col("path")).alias("lift")) \
+        .where("low is not null or lift is not null") \
+        .unionByName(minor.select("host", F.col("path").alias("low")), allowMissingColumns=True)
+    return judged.groupBy("host").agg(F.sort_array(F.collect_set("low")).alias("removed"),
+                                      F.sort_array(F.collect_set("lift")).alias("lifted"))
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -391,7 +435,8 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url: str = "url", h
     src = pages.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{url}`").cast("string").alias("url"),
                        F.col(f"`{html}`").cast("string").alias("html"), host_of(F.col(f"`{url}`")).alias("host"))
     # the table of removed paths is written first, so that its size is known when the join is planned
-    removed = materialize(removed_paths(importance(page_facts(src))), "style-tree")
+    counted = counted_facts(page_facts(src))
+    removed = materialize(removed_paths(importance(counted), minor_branches(counted)), "style-tree")
     joined = src.join(removed, "host", "left").select("id", "url", "html", "removed", "lifted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

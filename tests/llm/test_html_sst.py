@@ -57,7 +57,7 @@ def test_importance_of_known_entropies(spark):
     for k in range(8):
         rows.append((k, "http://a.example/", f"<body><div class=s>same</div><div class=d>text {k}</div></body>"))
     src = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("host", T.host_of(T.F.col("url")))
-    got = sorted(round(r.importance, 6) for r in T.importance(T.page_facts(src)).collect() if not r.guard)
+    got = sorted(round(r.importance, 6) for r in T.importance(T.counted_facts(T.page_facts(src))).collect() if not r.guard)
     assert got == [0.0, 0.9]  # the shape never varies: weight 0.9 on content
 
 
@@ -123,3 +123,34 @@ def test_wrappers_forms_and_nested_articles():
     two = f"<article><p>{STORY}</p></article><article><p>{STORY}</p></article>"
     assert T.extract(two) == f"{text} {text}"
     assert T.extract('<p>x</p><form>Search</form><div class="comments"><article>r</article></div>') == "x"
+
+
+def test_the_tree_weighs_branches_without_names(spark, prose):
+    # menus, adverts and footers that differ on every page and have no telling tag or name
+    rows, want = [], {}
+    for k in range(8):
+        words = prose(50 + k, 60).split()
+        story = [" ".join(words[i:i + 12]) + "." for i in range(0, 60, 12)] * 2
+        menu = "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in words[:5])
+        html = (f"<body><div class=q1><ul>{menu}</ul></div><div class=q2>{words[7]} {words[9]}.</div><div class=q3><h1>{words[3]}</h1>"
+                + "".join(f"<p>{p}</p>" for p in story) + f"</div><div class=q4>&copy; {words[11]} {words[5]}</div></body>")
+        rows.append((k, f"http://w.example/{k}", html))
+        want[k] = " ".join([words[3], *story])
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {r.page_id: r.text for r in T.extract_pages(pages).collect()} == want
+    few = T.extract_pages(pages.where("page_id < 3")).collect()       # three pages are no evidence
+    assert all(r.text != want[r.page_id] for r in few)
+
+
+def test_the_tree_judges_every_host(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").withColumn("host", T.host_of(T.F.col("url")))
+    counted = T.counted_facts(T.page_facts(pages))
+    judged = T.removed_paths(T.importance(counted), T.minor_branches(counted))
+    sizes = {r.host: r["count"] for r in pages.groupBy("host").count().collect()}
+    found = {r.host: r.removed for r in judged.collect()}
+    assert all(found.get(h) for h, n in sizes.items() if n >= T.MIN_PAGES)
+    # the menu, the advert and the footer of each page, with all words of names left out
+    h = pages.where("html is not null").first()
+    removed = frozenset(found[h.host])
+    gone = {f.tag for f in T.walk(h.html, removed)[1] if f.path in removed}
+    assert {"nav", "div", "footer"} <= gone and "article" not in gone
