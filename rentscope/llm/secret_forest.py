@@ -59,9 +59,10 @@ IN_URL = "://[^\\s:/@\"']{1,64}:"
 VALUE = "[^\\s\"'`,;<>\\[\\](){}]"      # a character of an assigned value
 MIN_VALUE = 6
 KEY_BLOCK = "-----(?:BEGIN|END) [A-Z ]{0,40}PRIVATE KEY-----"
+# one look at the characters before a place rules out nearly all of them, before any word is tried
 BEFORE_CANDIDATE = "|".join([
-    f"(?<={ASSIGNED})(?={VALUE}{{{MIN_VALUE},}})",
-    f"(?<={IN_URL})(?=[^\\s@/\"']{{3,128}}@)",
+    f"(?<=[:=>\"']|[:=>]\\s|[:=>]\\s\\s|[:=>]\\s\\s\\s|[rR]\\s)(?={VALUE}{{{MIN_VALUE}}})(?<={ASSIGNED})",
+    f"(?<=:)(?<={IN_URL})(?=[^\\s@/\"']{{3,128}}@)",
     # a run; not inside an assigned value, nor behind a dot of a web token
     f"(?<![{KEY_CHARS}])(?=[{KEY_CHARS}]{{{MIN_LENGTH},}})(?=[A-Za-z+/_\\-]*[0-9])"
     f"(?<!{ASSIGNED}{VALUE}{{1,128}})(?<!eyJ[{KEY_CHARS}]{{0,256}}\\.)(?<!{IN_URL}[^\\s@/\"']{{1,64}})"])
