@@ -15,8 +15,9 @@ symbols, whole documents):
 
 The job is one map over the documents: texts are never shuffled, and hot
 sources or copies stay where they are read.  The benchmark is sent to the
-tasks in blocks of at most ``BLOCK_BYTES`` text bytes (measured first); more
-blocks mean more passes, whose spans are merged per document.
+tasks in blocks of at most ``BLOCK_BYTES`` text bytes (measured first), as
+word numbers and window positions, some 20 bytes a word; more blocks mean more
+passes, whose spans are merged per document.
 
 Defined cases: null or wordless texts have ``n_words`` 0 and are clean; items
 without a word match nothing; items with equal windows all count; items
@@ -27,8 +28,10 @@ each; extra columns are ignored; empty tables give no hits or no rows.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +46,7 @@ WINDOW = 13
 SHARD_SYMBOLS = 1 << 20
 SAMPLE = 8
 BLOCK_BYTES = 32 << 20
+SEARCH_ROWS = 1 << 16
 # A-Z to a-z; every ASCII character outside 0-9 and a-z is a word boundary.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
                for b in range(256))
@@ -148,25 +152,81 @@ class FMIndex:
         return out
 
 
+class Windows(NamedTuple):
+    """The distinct windows of one length: where each begins in ``Phrases.codes``, and the items that hold it."""
+
+    length: int
+    starts: np.ndarray
+    owner_at: np.ndarray  # of window w: owners[owner_at[w]:owner_at[w + 1]]
+    owners: np.ndarray    # places in ``Phrases.ids``
+
+
 class Phrases:
-    """The windows of a block of items, as numbers; built once per task."""
+    """The windows of a block of items, as positions in one sequence of word numbers.
+
+    Built once on the driver and sent as arrays; a worker keeps what it was
+    sent, and makes the word lookup once for all its tasks."""
 
     def __init__(self, items: list[tuple[int | None, bytes | None]], window: int = WINDOW):
-        self.vocab: dict[bytes, int] = {}
-        by_length: dict[int, dict[tuple, set]] = {}
-        for item, text in items:
+        vocab: dict[bytes, int] = {}
+        codes, lens = array("i"), []
+        for _, text in items:
             words = words_of_bytes(text)
-            if not words:
-                continue
-            codes = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words]
-            size = min(window, len(codes))
-            for s in range(len(codes) - size + 1):
-                owners = by_length.setdefault(size, {}).setdefault(tuple(codes[s:s + size]), set())
-                if item is not None:
-                    owners.add(item)
-        self.groups = [(size, np.array(list(found), np.int64), [sorted(o) for o in found.values()])
-                       for size, found in sorted(by_length.items())]
-        self.shortest = min(by_length, default=0)
+            lens.append(len(words))
+            codes.extend([vocab.setdefault(w, len(vocab) + 1) for w in words])
+        self.words = b" ".join(vocab)
+        self.n_words = len(vocab)
+        self.codes = np.array(codes, np.int32)
+        self.ids = np.array([-1 if item is None else item for item, _ in items], np.int64)
+        named = np.array([item is not None for item, _ in items], bool)
+        lens = np.array(lens, np.int64)
+        self.groups = self._groups(lens, np.minimum(lens, window), named)
+        self.shortest = min((g.length for g in self.groups), default=0)
+        self._vocab: dict[bytes, int] | None = None
+
+    def _groups(self, lens: np.ndarray, sizes: np.ndarray, named: np.ndarray) -> list[Windows]:
+        """Equal windows are found by ranks of twice the length from step to step:
+        a window of p to 2p - 1 words is its first and its last p words."""
+        begins = np.cumsum(lens) - lens
+        rank, p = self.codes.astype(np.int64), 1
+        out = []
+        for size in np.unique(sizes[sizes > 0]).tolist():
+            while 2 * p <= size:
+                after = np.zeros_like(rank)
+                after[:-p] = rank[p:] + 1
+                rank = np.unique(rank * (int(rank.max()) + 2) + after, return_inverse=True)[1]
+                p *= 2
+            own = np.flatnonzero(sizes == size)
+            n = lens[own] - size + 1
+            starts = np.repeat(begins[own] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            item = np.repeat(own, n)
+            _, first, window = np.unique(rank[starts] * (int(rank.max()) + 1) + rank[starts + size - p],
+                                         return_index=True, return_inverse=True)
+            pairs = np.unique((window * len(lens) + item)[named[item]])
+            owner_at = np.searchsorted(pairs, np.arange(len(first) + 1) * len(lens))
+            out.append(Windows(size, starts[first].astype(np.int32), owner_at.astype(np.int32),
+                               (pairs % len(lens)).astype(np.int32)))
+        return out
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_vocab": None}
+
+    @property
+    def vocab(self) -> dict[bytes, int]:
+        if self._vocab is None:
+            self._vocab = {w: k for k, w in enumerate(self.words.split(), 1)}
+        return self._vocab
+
+    def possible(self, g: Windows, text: np.ndarray) -> np.ndarray:
+        """The windows all of whose words occur in ``text``."""
+        present = np.zeros(self.n_words + 1, bool)
+        present[text] = True
+        absent = np.zeros(len(self.codes) + 1, np.int32)
+        np.cumsum(~present[self.codes], out=absent[1:])
+        return np.flatnonzero(absent[g.starts + g.length] == absent[g.starts])
+
+    def items_of(self, g: Windows, windows: np.ndarray) -> set[int]:
+        return {i for w in windows.tolist() for i in self.ids[g.owners[g.owner_at[w]:g.owner_at[w + 1]]].tolist()}
 
 
 def _merged(starts: np.ndarray, ends: np.ndarray) -> tuple[list[int], list[int]]:
@@ -232,39 +292,47 @@ class _Shard:
             word = np.concatenate([r[2] for r in self.runs])
             size = np.concatenate([r[3] for r in self.runs])
             run_at = np.cumsum(size + 1) - size - 1
-            index = FMIndex(text, len(self.p.vocab))
-            for length, phrases, owners in self.p.groups:
-                lo, hi = index.search(phrases)
-                n = hi - lo
-                if not n.sum():
+            index = FMIndex(text, self.p.n_words)
+            for g in self.p.groups:
+                which, pos = self._occurrences(index, g, self.p.possible(g, text))
+                if not len(pos):
                     continue
-                rows = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                which = np.repeat(np.arange(len(phrases)), n)
-                pos = index.locate(rows)
                 run = np.searchsorted(run_at, pos, side="right") - 1
                 first = word[run] + pos - run_at[run]
                 d = doc[run]
                 order = np.argsort(d, kind="stable")
                 cuts = np.flatnonzero(np.concatenate([[True], d[order][1:] != d[order][:-1]]))
                 for part in np.split(order, cuts[1:]):
-                    own = set()
-                    for w in np.unique(which[part]).tolist():
-                        own.update(owners[w])
                     h = hits.setdefault(int(d[part[0]]), [[], [], set()])
                     h[0].append(first[part])
-                    h[1].append(first[part] + length)
-                    h[2] |= own
+                    h[1].append(first[part] + g.length)
+                    h[2] |= self.p.items_of(g, np.unique(which[part]))
         return self.rows, {r: (*_merged(np.concatenate(h[0]), np.concatenate(h[1])), sorted(h[2]))
                            for r, h in hits.items()}
 
 
+    def _occurrences(self, index: FMIndex, g: Windows, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, text position) of every occurrence; windows are looked up ``SEARCH_ROWS`` at a time.
+
+        Windows of one length never share a position, so the occurrences are at most the shard's symbols."""
+        which, pos = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for k in range(0, len(windows), SEARCH_ROWS):
+            some = windows[k:k + SEARCH_ROWS]
+            lo, hi = index.search(self.p.codes[g.starts[some][:, None] + np.arange(g.length)])
+            n = hi - lo
+            rows = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            which.append(np.repeat(some, n))
+            pos.append(index.locate(rows))
+        return np.concatenate(which), np.concatenate(pos)
+
+
 def _spans_of_block(docs: DataFrame, items: list[tuple[int | None, bytes | None]], window: int,
                     shard_symbols: int) -> tuple[DataFrame, Broadcast]:
     """docs (id, h, t) -> (id, h, n_words, starts, ends, items), and what was sent for it."""
-    sent = docs.sparkSession.sparkContext.broadcast(items)
+    sent = docs.sparkSession.sparkContext.broadcast(Phrases(items, window))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases = Phrases(sent.value, window)
+        phrases = sent.value
 
         def out(shard: _Shard) -> pa.RecordBatch:
             rows, hits = shard.close()

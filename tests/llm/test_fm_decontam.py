@@ -1,4 +1,5 @@
 import hashlib
+import pickle
 import random
 import re
 
@@ -84,3 +85,27 @@ def test_spans_and_empty_tables(spark, make_docs):
     assert got == {1: [(2, 17), (18, 33)], 2: []}
     assert D.decontaminate(docs.limit(0), bench).count() == 0
     assert D.decontaminate(docs, bench.limit(0)).where("n_hit > 0 or contaminated").count() == 0
+
+
+def test_windows_are_whole_and_small(prose):
+    """Windows and owners equal a dictionary of them; the arrays stay within 20 bytes a word and the ids."""
+    items = [(i, prose(i % 9, 5 + 3 * i).encode()) for i in range(30)]
+    items += [(30, items[29][1]), (None, prose(50, 20).encode()), (31, b"a b"), (32, b"a b"), (33, None), (34, b"")]
+    p = D.Phrases(items)
+    want = {}
+    for item, t in items:
+        w = D.words_of_bytes(t)
+        k = min(13, len(w))
+        for s in range(len(w) - k + 1 if w else 0):
+            want.setdefault(tuple(w[s:s + k]), set()).update([] if item is None else [item])
+    back = {v: k for k, v in p.vocab.items()}
+    got = {}
+    for g in p.groups:
+        for w, s in enumerate(g.starts.tolist()):
+            key = tuple(back[c] for c in p.codes[s:s + g.length].tolist())
+            assert key not in got
+            got[key] = p.items_of(g, np.array([w]))
+    assert got == want
+    size = p.codes.nbytes + sum(g.starts.nbytes + g.owner_at.nbytes + g.owners.nbytes - 4 for g in p.groups)
+    assert size <= 20 * len(p.codes)
+    assert pickle.loads(pickle.dumps(p)).vocab == p.vocab
