@@ -16,6 +16,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -69,56 +70,76 @@ def _object(value: Column) -> Column:
     return F.try_variant_get(value, "$", "map<string,variant>")
 
 
-def _names(fields: Column, underscore_to_dot: bool) -> Column:
-    """A4: a map's keys as column names, in its order."""
-    keys = F.transform(F.map_keys(fields), lambda k: F.upper(k))
-    return F.transform(keys, lambda k: F.replace(k, F.lit("_"), F.lit("."))) if underscore_to_dot else keys
+class _Fields(NamedTuple):
+    """SQL of an object's keys as column names, in its order, of their values, and
+    of the values' texts."""
 
+    names: str
+    values: str
+    texts: str
 
-def _inside(names: Column, values: Column, key: str) -> Column:
-    """The fields of the object under the first of a key."""
-    return _object(F.get(values, (F.array_position(names, key) - 1).cast("int")))
 
+_OBJECT = "try_variant_get({}, '$', 'map<string,variant>')"
 
-def _lookup(names: Column, values: Column, name: str, dots: bool, opened: dict[str, tuple[Column, Column]] | None = None) \
-        -> tuple[Column, Column]:
+
+def _quoted(name: str) -> str:
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _fields(of: str, underscore_to_dot: bool) -> _Fields:
+    """A4: the fields of a map; an object among its values has no text."""
+    name = "replace(upper(k), '_', '.')" if underscore_to_dot else "upper(k)"
+    values = f"map_values({of})"
+    written = f"transform({values}, v -> cast(v AS string))"
+    text = f"CASE WHEN NOT startswith(w, '{{') OR {_OBJECT.format('v')} IS NULL THEN w END"
+    return _Fields(f"transform(map_keys({of}), k -> {name})", values, f"zip_with({written}, {values}, (w, v) -> {text})")
+
+
+def _place(fields: _Fields, name: str) -> str:
+    return f"array_position({fields.names}, {_quoted(name)})"
+
+
+def _inside(fields: _Fields, key: str) -> str:
+    """The object under the first of a key; NULL where there is none."""
+    return _OBJECT.format(f"get({fields.values}, cast({_place(fields, key)} - 1 AS int))")
+
+
+def _lookup(fields: _Fields, name: str, dots: bool, opened: dict[str, _Fields] | None = None) -> tuple[str, str]:
     """A3, A6: (text, occurs) of the leaf with a dotted name: the first key that
     equals it, or the rest of the name in the object under the first key that
-    equals its beginning.  ``opened`` holds (names, values) of objects that are
-    looked into more than once."""
+    equals its beginning.  ``opened`` holds the fields of objects that are looked
+    into more than once."""
     parts = name.split(".")
-    at = F.array_position(names, name)
-    value = F.get(values, (at - 1).cast("int"))
-    written = value.cast("string")
-    text = F.when(~F.startswith(written, F.lit("{")) | _object(value).isNull(), written)
-    occurs = F.coalesce(at > 0, F.lit(False))
+    texts = [f"get({fields.texts}, cast({_place(fields, name)} - 1 AS int))"]
+    occurs = [f"coalesce({_place(fields, name)} > 0, false)"]
     for k in range(1, len(parts)):
         head = ".".join(parts[:k])
-        if opened:
-            inner_names, inner_values = opened[head]
-        else:
-            inner = _inside(names, values, head)
-            inner_names, inner_values = _names(inner, dots), F.map_values(inner)
-        below, there = _lookup(inner_names, inner_values, ".".join(parts[k:]), dots)
-        text, occurs = F.coalesce(text, below), occurs | F.coalesce(there, F.lit(False))
-    return text, occurs
+        inner = opened[head] if opened else _fields(_inside(fields, head), dots)
+        below, there = _lookup(inner, ".".join(parts[k:]), dots)
+        texts.append(below)
+        occurs.append(there)
+    return f"coalesce({', '.join(texts)})", f"({' OR '.join(occurs)})"
 
 
 def columns_of(listed: DataFrame, names=BRONZE_COLUMNS, underscore_to_dot: bool = False) -> DataFrame:
     """A3-A7: the named columns of listings as text, and ``_occurs``, which of
-    them a listing has.  A5: other spellings fill a column that is absent or null."""
+    them a listing has.  A5: other spellings fill a column that is absent or null.
+
+    Keys and texts of a listing are made once, by projections of their own; a
+    column is then a place in them.  The expressions are SQL text, since a tree of
+    columns of this size takes longer to build than to run."""
     spellings = {c: (c, *FALLBACKS.get(c, [])) for c in names}
     heads = sorted({n.rsplit(".", k)[0] for f in spellings.values() for n in f for k in range(1, n.count(".") + 1)})
-    n, v = F.col("_names"), F.col("_values")
-    named = listed.select(_names(F.col("listing"), underscore_to_dot).alias("_names"), F.map_values("listing").alias("_values"))
-    named = named.select("*", *[_inside(n, v, h).alias(f"_in{k}") for k, h in enumerate(heads)])
-    named = named.select("_names", "_values", *[c for k in range(len(heads)) for c in (
-        _names(F.col(f"_in{k}"), underscore_to_dot).alias(f"_n{k}"), F.map_values(f"_in{k}").alias(f"_v{k}"))])
-    opened = {h: (F.col(f"_n{k}"), F.col(f"_v{k}")) for k, h in enumerate(heads)}
-    found = {c: [_lookup(n, v, s, underscore_to_dot, opened) for s in f] for c, f in spellings.items()}
-    texts = [F.coalesce(*[t for t, _ in f]).alias(c) for c, f in found.items()]
-    occurs = [reduce(lambda a, b: a | b, [o for _, o in f]) for f in found.values()]
-    return named.select(*texts, F.array(*occurs).alias("_occurs"))
+    top = _Fields("_names", "_values", "_texts")
+    opened = {h: _Fields(f"_n{k}", f"_v{k}", f"_t{k}") for k, h in enumerate(heads)}
+    named = listed.selectExpr(*[f"{x} AS {c}" for x, c in zip(_fields("listing", underscore_to_dot), top)])
+    named = named.selectExpr(*top, *[f"{_inside(top, h)} AS _in{k}" for k, h in enumerate(heads)])
+    named = named.selectExpr(*top, *[f"{x} AS {c}" for k, f in enumerate(opened.values())
+                                     for x, c in zip(_fields(f"_in{k}", underscore_to_dot), f)])
+    found = {c: [_lookup(top, s, underscore_to_dot, opened) for s in f] for c, f in spellings.items()}
+    texts = [F.expr(f"coalesce({', '.join(t for t, _ in f)})").alias(c) for c, f in found.items()]
+    occurs = [" OR ".join(o for _, o in f) for f in found.values()]
+    return named.select(*texts, F.expr(f"array({', '.join(occurs)})").alias("_occurs"))
 
 
 def leaves(listed: DataFrame, keys: Sequence[str], underscore_to_dot: bool = False) -> DataFrame:
