@@ -18,10 +18,6 @@ def anti_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on=on, how="left_anti")
 
 
-def semi_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
-    return left.join(right, on=on, how="left_semi")
-
-
 def above_group_avg(df: DataFrame, by, x: str, out: str = "group_avg") -> DataFrame:
     """Rows whose value exceeds their group's average (aggregate joined back)."""
     avg = df.groupBy(by).agg(F.avg(x).alias(out))
