@@ -8,7 +8,7 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import bronze, landing
 from ..streaming.ingest import incremental_ingest
 from ..streaming.refresh import read_silver, read_sketches, refresh_from_stream
@@ -34,7 +34,7 @@ def _landed(spark, sf_dir) -> dict[str, str]:
     key = (spark.sparkContext.applicationId, source_stamp(spark, sf_dir))
     if key not in _LANDED:
         root = scratch_path(spark, "landing")
-        pages = pages_from_tables(spark, sf_dir)
+        pages = materialize(pages_from_tables(spark, sf_dir), "pages")     # three writes of one job's pages
         write_landing(pages, f"{root}/all")
         for k, name in enumerate(("even", "odd")):
             write_landing(pages.where(F.col("page") % 2 == k), f"{root}/{name}")

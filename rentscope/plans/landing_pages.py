@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import table
+from ..sources.tables import growing, table
 
 PAGE_SIZE = 50  # fixed value: listings per portal page
 
@@ -17,7 +17,7 @@ def pages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     c = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal")
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    j = (e.join(p, e.user_id == p.p_partkey).join(c, e.user_id == c.c_custkey)
+    j = (e.join(growing(p), e.user_id == p.p_partkey).join(growing(c), e.user_id == c.c_custkey)
           .join(n, c.c_nationkey == n.n_nationkey))
     size = F.col("p_size")
     listing = F.struct(

@@ -367,3 +367,12 @@ def test_a_reported_total_of_zero_raises(spark):
         landing.full_load(spark, f"{root}/l", f"{root}/b", multi_line=True)
     with pytest.raises(ValueError, match="no loads"):
         bronze_src.read_loads(spark, f"{root}/b")
+
+
+def test_landing_broadcasts_no_table_that_grows(spark):
+    """Part and customer are merged however small their files look; only nations
+    and the totals of a city are small whatever the input."""
+    plan = pages_from_tables(spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join [" in line]
+    assert any("user_id" in line for line in joins)
+    assert not [line for line in joins if "Broadcast" in line and "user_id" in line], plan
