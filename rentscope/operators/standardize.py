@@ -98,8 +98,10 @@ def best_matches(names: DataFrame, seed: DataFrame, block: str, name: str, offic
     if candidates == "prefix" and threshold > 0:
         cand = _candidates_prefix(q, s, block, threshold).select(
             F.col(block).alias("_cb"), F.col("_qs").alias("_cq"), F.col("_ss").alias("_cs"))
-        pairs = (cand.join(q, (F.col("_cb") == F.col(block)) & (F.col("_cq") == F.col("_qs")))
-                     .join(s, (F.col("_cb") == F.col("_sb")) & (F.col("_cs") == F.col("_ss")))
+        # merged: the size of q is planned from the packed files of the rows' table, so it
+        # might be broadcast whatever its size in memory
+        pairs = (cand.join(q.hint("merge"), (F.col("_cb") == F.col(block)) & (F.col("_cq") == F.col("_qs")))
+                     .join(s.hint("merge"), (F.col("_cb") == F.col("_sb")) & (F.col("_cs") == F.col("_ss")))
                      .where(length_bound(F.col("_ql"), F.col("_sl")) >= threshold)
                      .select(block, name, "_off", "_qs", "_ss"))
     else:

@@ -18,7 +18,7 @@ from ..functions.clean import (NON_RESIDENTIAL_TYPES, blank_to_null, col_type, d
 from ..operators.standardize import standardize
 from ..operators.windows import latest_per_key
 from ..session import file_stamp, scratch_path
-from ..sources.tables import table
+from ..sources.tables import growing, table
 
 # Bronze column names, in order (19 source fields + 2 audit columns).
 BRONZE_COLUMNS = [
@@ -60,8 +60,8 @@ def observations_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     c = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal")
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    j = (e.join(p, e.user_id == p.p_partkey)
-          .join(c, e.user_id == c.c_custkey)
+    j = (e.join(growing(p), e.user_id == p.p_partkey)
+          .join(growing(c), e.user_id == c.c_custkey)
           .join(n, c.c_nationkey == n.n_nationkey))
     size = F.col("p_size")
     return j.select(
@@ -230,8 +230,8 @@ def driver_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     listed = e.select("user_id").distinct()
-    j = (listed.join(p, listed.user_id == p.p_partkey)
-               .join(c, listed.user_id == c.c_custkey)
+    j = (listed.join(growing(p), listed.user_id == p.p_partkey)
+               .join(growing(c), listed.user_id == c.c_custkey)
                .join(n, c.c_nationkey == n.n_nationkey))
     return j.select(F.col("n_name").alias("city_name"),
                     F.upper("p_name").alias("neighborhood_official_name")).distinct()

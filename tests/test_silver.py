@@ -54,3 +54,24 @@ def test_schema_and_one_row_per_property(spark):
     assert len(rows) == 2  # one survivor for the NULL key too
     p = [r for r in rows if r.property_id == "P"][0]
     assert p.property_link == "y" and p.rent_value == 2.0  # deterministic tie-break
+
+
+def test_observations_and_seed_broadcast_no_table_that_grows(spark):
+    """Part and customer are merged however small their files look."""
+    from conftest import SF_SMALL
+    from rentscope.plans.listings import driver_seed, observations_from_tables
+    for df in (observations_from_tables(spark, SF_SMALL), driver_seed(spark, SF_SMALL)):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join [" in line]
+        assert any("user_id" in line for line in joins)
+        assert not [line for line in joins if "Broadcast" in line and "user_id" in line], plan
+
+
+def test_names_and_seed_are_not_broadcast_by_the_size_of_their_files(spark):
+    from rentscope.operators.standardize import best_matches
+    rows = spark.sql("SELECT * FROM VALUES ('c', 'abc'), ('c', 'abd') AS t(city, name)")
+    seed = spark.sql("SELECT * FROM VALUES ('c', 'ABC'), ('c', 'ABD') AS t(city, official)")
+    plan = best_matches(rows, seed, "city", "name", "official")._jdf.queryExecution().sparkPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join [" in line]
+    assert not [line for line in joins if "Broadcast" in line and "_cb" in line], plan
+    assert len([line for line in joins if "Merge" in line and "_cb" in line]) >= 2, plan
