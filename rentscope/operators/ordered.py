@@ -56,15 +56,19 @@ def _group(by: Sequence[str]) -> list[Column]:
 def _offsets(slotted: DataFrame, by: Sequence[str], slots: Slots, value: Column, dense: bool) -> DataFrame:
     """Per (group, slot): rows, value sum and count of the slots before and of
     the group; rows and distinct values of the leading column below the slot's."""
-    per = slotted.groupBy("_k").agg(F.count(F.lit(1)).alias("_pn"), F.sum(value).alias("_ps"), F.count(value).alias("_pc"))
+    sums = [F.count(F.lit(1)).alias("_pn"), F.sum(value).alias("_ps"), F.count(value).alias("_pc")]
     path = [F.col(f"_k.{c}") for c in slots.paths]
     group = _group(by)
     lead = path[0]
     if dense:
-        distinct = slotted.select("_k", F.col(f"`{slots.lead}`")).distinct().groupBy("_k").agg(F.count(F.lit(1)).alias("_pd"))
+        # by slot and value, then by slot: one pass over the rows for sums and distinct values
+        per = slotted.groupBy("_k", F.col(f"`{slots.lead}`").alias("_lead")).agg(*sums).groupBy("_k").agg(
+            *[F.sum(c).alias(c) for c in ("_pn", "_ps", "_pc")], F.count(F.lit(1)).alias("_pd"))
         # the slots of a hot value share it: it counts where its first slot is
         first = F.row_number().over(Window.partitionBy(*group, lead).orderBy(*path)) == 1
-        per = per.join(distinct, "_k").withColumn("_pd", F.when(first, F.col("_pd")).otherwise(0))
+        per = per.withColumn("_pd", F.when(first, F.col("_pd")).otherwise(0))
+    else:
+        per = slotted.groupBy("_k").agg(*sums)
     before = Window.partitionBy(*group).orderBy(*path).rowsBetween(Window.unboundedPreceding, -1)
     below = Window.partitionBy(*group).orderBy(lead).rangeBetween(Window.unboundedPreceding, -1)
     whole, alike = Window.partitionBy(*group), Window.partitionBy(*group, lead)
@@ -139,9 +143,12 @@ def running_total(df: DataFrame, by, x: str, ties: Sequence, out: str = "running
 
 
 def ntile(df: DataFrame, by, lead: str, ties: Sequence, n: int, out: str = "tile", descending: bool = True,
-          rows: int | None = None, rows_per_slot: int | None = None) -> DataFrame:
-    """NTILE(n): bucket sizes differ by at most one, larger buckets first."""
-    s = ordered_scan(df, _by(by), lead, ties, descending=descending, rows=rows, rows_per_slot=rows_per_slot)
+          rows: int | None = None, rows_per_slot: int | None = None, scanned: bool = False) -> DataFrame:
+    """NTILE(n): bucket sizes differ by at most one, larger buckets first.
+
+    ``scanned``: df comes from ``ordered_scan`` over the same groups in the same
+    order and still has its row numbers and counts; they are not made again."""
+    s = df if scanned else ordered_scan(df, _by(by), lead, ties, descending=descending, rows=rows, rows_per_slot=rows_per_slot)
     r, N = F.col(RANK), F.col(COUNT)
     q = F.floor(N / n).cast("long")
     rem = (N - q * n).cast("long")

@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,6 @@ MAX_SLOTS = 4096
 SKETCH_K = 4096             # rank error of about one part in a thousand
 MERGE_WAYS = 64             # sketches of partitions are merged so many at a time, then together
 _TOP = 2 * MAX_SLOTS + 2    # above all numbered ranges
-_STEPS = (2 * MAX_SLOTS).bit_length() + 1
 
 
 def ascending_value(df: DataFrame, name: str) -> Column | None:
@@ -84,17 +84,25 @@ def _place(value: Column, ranged: Column, descending: bool, nulls_last: bool) ->
     return F.when(value.isNull(), F.lit(2 * _TOP if nulls_last else -2 * _TOP)).otherwise(slot).cast("int")
 
 
-def _last_edge(edges: Column, value: Column) -> Column:
-    """Index of the last edge at or below a value, by bisection."""
-    def step(a: Column, _: Column) -> Column:
-        middle = F.floor((a["lo"] + a["hi"] + 1) / 2).cast("int")
-        return F.struct(F.when(F.get(edges, middle) <= value, middle).otherwise(a["lo"]).alias("lo"),
-                        F.when(F.get(edges, middle) <= value, a["hi"]).otherwise(middle - 1).alias("hi"))
+def _local(df: DataFrame, paths: Sequence[str], rows: Sequence[tuple], edges: str | None = None) -> DataFrame:
+    """A few rows as a local table: (paths), with a list of edges behind.  Made from
+    Arrow, its rows lie in the plan and no Python worker has to unpack them."""
+    columns = list(zip(*rows))
+    arrays = {c: pa.array(v, pa.int32()) for c, v in zip(paths, columns)}
+    if edges:
+        arrays[edges] = pa.array(columns[-1], pa.list_(pa.float64()))
+    return df.sparkSession.createDataFrame(pa.table(arrays))
 
-    # -infinity is at or below all, so lo = 0 holds; rounds after lo = hi change nothing
-    start = F.struct(F.lit(0).alias("lo"), (F.size(edges) - 1).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(_STEPS)), start,
-                       lambda a, i: F.when(a["lo"] < a["hi"], step(a, i)).otherwise(a), lambda a: a["lo"])
+
+def _with_last_edge(df: DataFrame, edges: str, value: str, out: str, most: int) -> DataFrame:
+    """df + the index of the last of at most ``most`` edges at or below a value, by
+    bisection: one projection a halving, which Spark compiles, where a fold over the
+    array would be interpreted row by row."""
+    at, e = F.col(out), F.col(edges)
+    df = df.withColumn(out, F.lit(0))       # -infinity is at or below all
+    for k in reversed(range((most - 1).bit_length())):
+        df = df.withColumn(out, F.when(F.get(e, at + (1 << k)) <= F.col(value), at + (1 << k)).otherwise(at))
+    return df
 
 
 class Slots:
@@ -108,7 +116,7 @@ class Slots:
         self.lead, self.descending, self.nulls_last = lead, descending, nulls_last
         self.single = True
         self.edges: list[float] = []
-        self.levels: list[tuple[str, DataFrame]] = []     # tie-break column, (prefix, edges) of hot slots
+        self.levels: list[tuple[str, DataFrame, int]] = []     # tie-break column, (prefix, edges) of hot slots, most edges
 
     @property
     def paths(self) -> list[str]:
@@ -141,7 +149,7 @@ class Slots:
             v = ascending_value(df, tie)
             if v is None or not prefixes:
                 break
-            table = df.sparkSession.createDataFrame(prefixes, ", ".join(f"{c} int" for c in found.paths))
+            table = _local(df, found.paths, prefixes)
             slotted = found.apply(df).join(F.broadcast(table), found.paths)
             cut, deeper = [], []
             for r in _quantiles(_sketched(slotted, found.paths, v), most).toLocalIterator():
@@ -153,8 +161,7 @@ class Slots:
                     deeper += [(*prefix, edges.index(b)) for b in sorted(set(steps)) if steps.count(b) > 1]
             if not cut:
                 break
-            schema = ", ".join(f"{c} int" for c in found.paths) + ", _edges array<double>"
-            found.levels.append((tie, df.sparkSession.createDataFrame(cut, schema)))
+            found.levels.append((tie, _local(df, found.paths, cut, "_edges"), max(len(c[-1]) for c in cut)))
             prefixes = deeper
         return found
 
@@ -168,9 +175,9 @@ class Slots:
             out = Bucketizer(splits=self.edges, inputCol="_v0", outputCol="_b0").transform(out)
             ranged = F.col("_b0").cast("int")
         out = out.withColumn("_s0", _place(value, ranged, self.descending, self.nulls_last)).drop("_v0", "_b0")
-        for k, (tie, table) in enumerate(self.levels):
-            out = out.join(F.broadcast(table), [f"_s{i}" for i in range(k + 1)], "left")
-            v = ascending_value(df, tie)
-            place = _place(v, _last_edge(F.col("_edges"), v), False, False)      # ties rise, NULLs first
-            out = out.withColumn(f"_s{k + 1}", F.when(F.col("_edges").isNotNull(), place).otherwise(F.lit(0))).drop("_edges")
+        for k, (tie, table, most) in enumerate(self.levels):
+            out = out.join(F.broadcast(table), [f"_s{i}" for i in range(k + 1)], "left").withColumn("_tv", ascending_value(df, tie))
+            out = _with_last_edge(out, "_edges", "_tv", "_te", most)
+            place = _place(F.col("_tv"), F.col("_te"), False, False)      # ties rise, NULLs first
+            out = out.withColumn(f"_s{k + 1}", F.when(F.col("_edges").isNotNull(), place).otherwise(F.lit(0))).drop("_edges", "_tv", "_te")
         return out.select(*[F.col(f"`{c}`") for c in df.columns], *self.paths)

@@ -108,8 +108,9 @@ def quantity_running(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem", "l_returnflag", "l_quantity", "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey")
     ties = ["l_orderkey", "l_partkey", "l_linenumber", "l_suppkey"]
     s = ordered.ordered_scan(li, ["l_returnflag"], "l_quantity", ties, "l_quantity", descending=True, dense=True, rows_per_slot=SLOT) \
-        .drop(ordered.COUNT, ordered.TOTAL, ordered.RANK)
-    s = ordered.ntile(s.withColumnsRenamed({ordered.CUM: "s", ordered.DENSE: "d"}), "l_returnflag", "l_quantity", ties, 7, rows_per_slot=SLOT)
+        .withColumnsRenamed({ordered.CUM: "s", ordered.DENSE: "d"})
+    # the tiles follow the order of the running sums: one scan numbers the rows for both
+    s = ordered.ntile(s, "l_returnflag", "l_quantity", ties, 7, rows_per_slot=SLOT, scanned=True)
     return s.groupBy("l_returnflag", "l_quantity").agg(
         F.count(F.lit(1)).alias("n_rows"), F.max("d").alias("dense"), F.max("s").cast("double").alias("running"),
         F.max("tile").cast("bigint").alias("last_tile"))

@@ -223,3 +223,33 @@ def test_empty_tables(spark):
     assert ordered.ordered_scan(df, ["g"], "x", ["id"], "x", dense=True, ranks=True).count() == 0
     assert ordered.neighbours(df, "g", "x", ["id"], {"p": "x"}).count() == 0
     assert ordered.median(df, ["g"], "x").count() == 0
+
+
+def test_last_edge_equals_bisection(spark):
+    import bisect
+    from rentscope.operators.slots import _with_last_edge
+    inf = float("inf")
+    lists = [[-inf, inf], [-inf, 1.0, 2.0, inf], [-inf, *[float(k) for k in range(9)], inf]]
+    values = [-inf, -5.0, 0.0, 1.0, 1.5, 2.0, 8.0, 8.5, 1e300, inf]
+    df = spark.createDataFrame([(e, v) for e in lists for v in values] + [(None, 3.0), ([-inf, inf], None)], "e array<double>, v double")
+    for r in _with_last_edge(df, "e", "v", "at", max(map(len, lists))).collect():
+        assert r.at == (0 if r.e is None or r.v is None else bisect.bisect_right(r.e, r.v) - 1), r
+
+
+def test_tiles_of_scanned_rows_equal_window(spark):
+    df = _skewed(spark)
+    s = ordered.ordered_scan(df, ["g"], "x", ["id"], "x", descending=True, dense=True, rows_per_slot=SMALL)
+    a = ordered.ntile(s, "g", "x", ["id"], 7, out="t", scanned=True).select("id", "t", ordered.DENSE)
+    w = Window.partitionBy("g").orderBy(F.col("x").desc())
+    b = df.select("id", F.ntile(7).over(w.orderBy(F.col("x").desc(), "id")).alias("t"), F.dense_rank().over(w).cast("bigint").alias(ordered.DENSE))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_hot_values_are_scanned_once(spark):
+    """Running sums and tiles of the same order read the table for the rows and for
+    the offsets; a row's slot is compiled, not folded in a lambda."""
+    from conftest import SF_MID
+    from rentscope.plans.catalog_history import quantity_running
+    plan = quantity_running(spark, SF_MID)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan parquet") == 2, plan
+    assert "lambda" not in plan and "namedlambda" not in plan
